@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wayfarer.schema import NA_TOKENS, WHITESPACE_CLASS
-
-STRIP_PATTERN = f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$"
+from wayfarer.schema import NA_TOKENS, PY_WHITESPACE
 
 
 def _col(c) -> Column:
@@ -16,7 +14,7 @@ def _col(c) -> Column:
 
 def strip(c) -> Column:
     """Remove leading/trailing Unicode whitespace (Spark ``trim`` only removes spaces)."""
-    return F.regexp_replace(_col(c).cast("string"), STRIP_PATTERN, "")
+    return F.btrim(_col(c).cast("string"), F.lit(PY_WHITESPACE))
 
 
 def null_if_na_token(c) -> Column:

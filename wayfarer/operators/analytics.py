@@ -16,19 +16,23 @@ def finite_or_null(c: Column) -> Column:
 
 def cost_per_day_raw(price="price", duration="duration", digits: int | None = 2) -> Column:
     """Summary variant: price / raw duration, rounded, +/-inf -> NULL."""
-    v = F.try_divide(F.col(price), F.col(duration))
+    v = F.try_divide(_c(price), _c(duration))
     v = F.bround(v, digits) if digits is not None else v
     return finite_or_null(v)
 
 
+def _c(x) -> Column:
+    return F.col(x) if isinstance(x, str) else x
+
+
 def defaulted_duration(duration="duration") -> Column:
-    d = F.col(duration)
+    d = _c(duration)
     return F.when(d.isNull() | (d == 0), F.lit(1.0)).otherwise(d)
 
 
 def cost_per_day(price="price", duration="duration") -> Column:
     """Clustering / recommender / chart variant: duration NULL or 0 -> 1 first."""
-    return finite_or_null(F.try_divide(F.col(price), defaulted_duration(duration)))
+    return finite_or_null(F.try_divide(_c(price), defaulted_duration(duration)))
 
 
 def with_cost_per_day(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from wayfarer.functions.numeric import to_double
 from wayfarer.functions.text import null_if_na_token, strip
 from wayfarer.operators.mapping import complete_columns, normalize_headers
 from wayfarer.operators.ranking import ranked_values
+from wayfarer.session import materialize
 from wayfarer.schema import DEFAULT_TYPE, KEY_COLUMN, LISTING_COLUMNS, NUMERIC_COLUMNS, STRING_COLUMNS
 
 DEDUP_KEY = ["name", "location", "price", "source"]
@@ -112,8 +113,14 @@ def null_na_text(df: DataFrame, columns: Sequence[str] = STRING_COLUMNS) -> Data
     return df.withColumns({c: null_if_na_token(F.col(c)) for c in columns if c in df.columns})
 
 
-def clean_listings(df: DataFrame, impute: bool = True) -> DataFrame:
-    """The full clean stage; adds ``listing_key`` (md5 of the dedup key)."""
+def clean_listings(df: DataFrame, impute: bool = True, materialize_stage: bool = True) -> DataFrame:
+    """The full clean stage; adds ``listing_key`` (md5 of the dedup key).
+
+    The deduplicated, filtered table is materialised once before imputation,
+    because the imputation reads it several times (observed-rating ranks,
+    counts, rows to fill); recomputing the upstream joins and the dedup
+    shuffle for each would multiply the stage's cost.
+    """
     work = normalize_headers(df)
     work = complete_columns(work).select(*LISTING_COLUMNS)
     work = normalize_strings(work)
@@ -123,6 +130,8 @@ def clean_listings(df: DataFrame, impute: bool = True) -> DataFrame:
     work = work.withColumn(KEY_COLUMN, listing_key())
     work = apply_defaults(work)
     if impute:
+        if materialize_stage:
+            work = materialize(work, "clean_base")
         work = impute_rating(work)
     work = null_na_text(work)
     return work.select(*LISTING_COLUMNS, KEY_COLUMN)

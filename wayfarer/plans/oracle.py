@@ -1,13 +1,152 @@
-"""SQL twins (DuckDB dialect) of the registered queries, over the same tables."""
+"""SQL twins (DuckDB dialect) of the registered queries, over the same tables.
+
+They restate each operator's semantics with window functions and plain
+aggregates (exact median = ``quantile_cont``; ordered draws = ``row_number``),
+independently of the DataFrame implementation.
+"""
 
 from __future__ import annotations
 
-from wayfarer.plans.sqlparts import rnd, with_clean
+from wayfarer.plans import queries as Q
+from wayfarer.plans.sqlparts import (
+    FEEDS, MAP_A, MAP_B, MAP_C, RAW_LISTINGS, analytics, booking_demand, clean_ctes, cost_default, cost_raw,
+    in_list, na, nan_null, parse_duration_text, parse_price_text, rnd, strip, to_double_text, with_clean,
+)
 
 ORACLE: dict[str, str] = {}
 
+NORM = f"""WITH raw AS ({RAW_LISTINGS}),
+norm AS (
+  SELECT {strip('name')} AS name, {strip('location')} AS location, {strip('lower(type)')} AS type,
+         {strip('source')} AS source, nullif({strip('review_text')}, '') AS review_text,
+         {nan_null('price')} AS price, {nan_null('duration')} AS duration, {nan_null('rating')} AS rating
+  FROM raw)
+"""
+DEDUP = """SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY name, location, price, source
+      ORDER BY type NULLS LAST, duration NULLS LAST, rating NULLS LAST, review_text NULLS LAST) AS rn
+    FROM norm) WHERE rn = 1"""
+TEXT = "WITH t AS (SELECT p_partkey, concat('$', CAST(p_retailprice AS VARCHAR), ' / night') AS price_text, " \
+       "concat(CAST(p_size AS VARCHAR), [' days', ' weeks', 'h', ' month'][p_partkey % 4 + 1]) AS duration_text " \
+       "FROM part)"
+NUMTEXT = """WITH t AS (SELECT p_partkey, CASE p_partkey % 7
+    WHEN 0 THEN CAST(p_retailprice AS VARCHAR)
+    WHEN 1 THEN concat(' ', CAST(p_size AS VARCHAR), ' ')
+    WHEN 2 THEN concat(CAST(p_size AS VARCHAR), 'd')
+    WHEN 3 THEN concat('1,', CAST(p_size AS VARCHAR))
+    WHEN 4 THEN CASE WHEN p_size % 2 = 0 THEN 'inf' ELSE '-Infinity' END
+    WHEN 5 THEN CASE WHEN p_size % 2 = 0 THEN 'NaN' ELSE 'abc' END
+    ELSE concat(CAST(p_size AS VARCHAR), 'e-2') END AS value_text FROM part)"""
+ANALYTICS = f"a AS ({analytics('clean')})"
+
+
+def _explorer_where() -> str:
+    e = Q.EXPLORER
+    (plo, phi), (rlo, rhi) = e["price_range"], e["rating_range"]
+    types = sorted({t.lower() for t in e["types"]})
+    return (f"price BETWEEN {plo} AND {phi} AND rating BETWEEN {rlo} AND {rhi} "
+            f"AND location IN {in_list(e['locations'])} AND source IN {in_list(e['sources'])} "
+            f"AND lower(type) IN {in_list(types)}")
+
+
+# ---- clean stage -------------------------------------------------------------
+
+ORACLE["clean_pipeline"] = with_clean("SELECT * FROM clean")
+ORACLE["string_norm"] = NORM + "SELECT name, location, type, source, review_text FROM norm"
+ORACLE["numeric_coerce"] = NUMTEXT + f"\nSELECT p_partkey, value_text, {to_double_text('value_text')} AS value FROM t"
+ORACLE["dedup_listings"] = NORM + DEDUP
+ORACLE["valid_rows"] = NORM + ("SELECT * FROM norm WHERE name IS NOT NULL AND name <> '' "
+                               "AND lower(name) <> 'nan' AND price IS NOT NULL")
+ORACLE["defaults"] = NORM + ("SELECT name, coalesce(nullif(type, ''), 'offer') AS type, location, price, "
+                             "CASE WHEN duration IS NULL OR duration = 0 THEN 1.0 ELSE duration END AS duration, "
+                             "rating, source, review_text FROM norm")
+ORACLE["impute_rating"] = with_clean("SELECT listing_key, rating FROM clean")
+ORACLE["complete_rows"] = NORM + "SELECT * FROM norm WHERE price IS NOT NULL AND rating IS NOT NULL"
+
+# ---- parsing / mapping / imports ----------------------------------------------
+
+ORACLE["parse_price"] = TEXT + f"\nSELECT p_partkey, price_text, {parse_price_text('price_text')} AS price FROM t"
+ORACLE["parse_duration"] = TEXT + (f"\nSELECT p_partkey, duration_text, {parse_duration_text('duration_text')} "
+                                   "AS duration FROM t")
+ORACLE["map_schema"] = f"WITH {FEEDS}\n{MAP_A}"
+ORACLE["import_sources"] = f"WITH {FEEDS}\n{MAP_A}\nUNION ALL\n{MAP_B}"
+ORACLE["header_alias_import"] = f"WITH {FEEDS}\n{MAP_C}"
+ORACLE["external_distinct"] = f"WITH {FEEDS}\nSELECT DISTINCT * FROM ({MAP_A}\nUNION ALL\n{MAP_B}\nUNION ALL\n{MAP_C})"
+ORACLE["union_sources"] = (f"WITH {FEEDS}\n{MAP_A}\nUNION ALL\nSELECT title AS name, NULL AS type, NULL AS location, "
+                           "total_price AS price, NULL AS duration, NULL AS rating, NULL AS source, "
+                           "NULL AS review_text FROM feed_b")
+ORACLE["booking_demand"] = booking_demand()
+ORACLE["booking_demand_head"] = booking_demand(20000)
+
+# ---- projections ---------------------------------------------------------------
+
+ORACLE["cost_per_day"] = with_clean(f"SELECT listing_key, {rnd(cost_raw())} AS cost_per_day_summary, "
+                                    f"{rnd(cost_default())} AS cost_per_day FROM clean")
+ORACLE["analytics_projection"] = with_clean(
+    f"SELECT * EXCLUDE (cost_per_day), {rnd('cost_per_day')} AS cost_per_day FROM a", ANALYTICS)
+
+
+def _fmt(x: str, sym: str) -> str:
+    return (f"CASE WHEN {x} IS NULL OR isnan({x}) THEN '—' "
+            f"WHEN {x} = CAST('inf' AS DOUBLE) THEN '{sym}inf' WHEN {x} = CAST('-inf' AS DOUBLE) THEN '{sym}-inf' "
+            f"ELSE concat('{sym}', format('{{:,.2f}}', {x})) END")
+
+
+ORACLE["format_price"] = with_clean(f"SELECT listing_key, price, {_fmt('price', '€')} AS price_fmt, "
+                                    f"{_fmt('rating', 'XYZ ')} AS rating_fmt FROM clean")
+
+
+# ---- filters -------------------------------------------------------------------
+
+ORACLE["explorer_filter"] = with_clean(
+    f"SELECT * EXCLUDE (cost_per_day), {rnd('cost_per_day')} AS cost_per_day FROM a WHERE {_explorer_where()}",
+    ANALYTICS)
+ORACLE["filter_domain"] = with_clean(f"""
+SELECT 'price' AS dimension, CAST(NULL AS VARCHAR) AS value, coalesce(pmin, 0.0) AS lo,
+       CASE WHEN pmin IS NULL THEN 1.0 WHEN pmin >= pmax THEN pmin + 1.0 ELSE pmax END AS hi FROM s
+UNION ALL
+SELECT 'rating', NULL, CASE WHEN rmin IS NULL THEN 0.0 ELSE greatest(0.0, rmin) END,
+       CASE WHEN rmin IS NULL THEN 5.0 ELSE least(5.0, least(5.0, greatest(rmax, rmin + 0.1))) END FROM s
+UNION ALL SELECT DISTINCT 'location', location, NULL, NULL FROM a WHERE location IS NOT NULL
+UNION ALL SELECT DISTINCT 'source', source, NULL, NULL FROM a WHERE source IS NOT NULL
+UNION ALL SELECT DISTINCT 'type', {strip('type')}, NULL, NULL FROM a WHERE type IS NOT NULL""",
+    ANALYTICS + ",\ns AS (SELECT min(price) AS pmin, max(price) AS pmax, min(rating) AS rmin, "
+                "max(rating) AS rmax FROM a)")
+
+# ---- aggregates and top-k ------------------------------------------------------
+
 ORACLE["popular_destinations"] = with_clean(f"""
 SELECT location, count(name) AS listings, {rnd('avg(price)')} AS avg_price, {rnd('avg(rating)')} AS avg_rating
 FROM clean WHERE location IS NOT NULL GROUP BY location""")
-
-ORACLE["clean_pipeline"] = with_clean("SELECT * FROM clean")
+ORACLE["type_summary"] = with_clean(f"""
+SELECT type, {rnd('avg(price)')} AS avg_price, {rnd('quantile_cont(price, 0.5)')} AS median_price,
+       {rnd('avg(cpd)')} AS avg_cost_per_day, count(name) AS "count"
+FROM (SELECT *, {cost_raw()} AS cpd FROM clean WHERE type IS NOT NULL) GROUP BY type""")
+ORACLE["price_rating_stats"] = with_clean(f"""
+SELECT {rnd('CASE WHEN count(*) > 2 AND stddev_samp(price) > 0 AND stddev_samp(rating) > 0 THEN corr(price, rating) END')}
+         AS pearson_correlation_price_rating,
+       count(*) AS n_points, {rnd('avg(price)')} AS mean_price, {rnd('avg(rating)')} AS mean_rating
+FROM clean WHERE price IS NOT NULL AND rating IS NOT NULL""")
+ORACLE["top_price_locations"] = with_clean(f"""
+SELECT location, {rnd('avg(price)')} AS price FROM clean WHERE price IS NOT NULL AND location IS NOT NULL
+GROUP BY location ORDER BY avg(price) DESC, location ASC LIMIT 15""")
+ORACLE["kpis"] = with_clean(f"""
+SELECT count(*) AS rows_filtered, {rnd('avg(price)')} AS avg_price,
+       {rnd('quantile_cont(price, 0.5)')} AS median_price, {rnd('avg(rating)')} AS avg_rating,
+       (SELECT count(DISTINCT source) FROM a) AS n_sources, (SELECT count(DISTINCT location) FROM a) AS n_locations,
+       (SELECT count(*) FROM a) AS rows_loaded
+FROM a WHERE {_explorer_where()}""", ANALYTICS)
+ORACLE["source_share"] = with_clean(f"""
+SELECT source, count(*) AS "count", {rnd('count(*) / (SELECT count(*) FROM a)')} AS share FROM a GROUP BY source""",
+    ANALYTICS)
+ORACLE["top_locations"] = with_clean("""
+SELECT location, count(*) AS listings FROM a GROUP BY location ORDER BY listings DESC, location LIMIT 12""",
+    ANALYTICS)
+ORACLE["top_locations_dashboard"] = with_clean("""
+SELECT location, count(name) AS listings FROM clean WHERE location IS NOT NULL GROUP BY location
+ORDER BY listings DESC, location LIMIT 18""")
+ORACLE["price_p75"] = with_clean(f"SELECT {rnd('quantile_cont(price, 0.75)')} AS price_p75 FROM clean")
+ORACLE["best_rated"] = with_clean("""
+SELECT name, location, rating, price, source, listing_key FROM clean
+ORDER BY rating DESC NULLS LAST, price ASC NULLS LAST, listing_key LIMIT 25""")
+ORACLE["preview"] = with_clean("SELECT * FROM clean ORDER BY listing_key LIMIT 1000")

@@ -1,9 +1,9 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 All run over the whole generated tables (no id subsets, no row caps); limits
-appear only where the operator is itself a top-k or a capped sample.
-Floating aggregates are rounded to 6 decimals (half-even) so the SQL twins
-compare exactly.
+appear only where the operator is itself a top-k, a preview or a capped
+sample. Floating aggregates are rounded to 6 decimals (half-even) so the SQL
+twins compare exactly.
 """
 
 from __future__ import annotations
@@ -11,9 +11,19 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from wayfarer.functions.currency import format_price
+from wayfarer.functions.numeric import to_double
+from wayfarer.functions.parse import parse_duration, parse_price
+from wayfarer.operators import analytics as AN
 from wayfarer.operators import clean as C
+from wayfarer.operators import filters as FL
 from wayfarer.operators import insights as I
+from wayfarer.operators.mapping import complete_columns, map_to_listing_schema, union_frames
+from wayfarer.schema import KEY_COLUMN, LISTING_COLUMNS, SourceSpec, ATTRACTION_MAPPING, BOOKING_MAPPING
+from wayfarer.sources import booking_demand as BD
+from wayfarer.sources import feeds as FD
 from wayfarer.sources import fixtures as FX
 
 D = 6  # digits for oracle-checked floating outputs
@@ -21,6 +31,15 @@ D = 6  # digits for oracle-checked floating outputs
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+BOOKING = SourceSpec("booking:export_sample", "", BOOKING_MAPPING, "hotel")
+ATTRACTION = SourceSpec("tripadvisor:export_sample", "", ATTRACTION_MAPPING, "offer")
+
+# explorer / preference parameters used by the registered queries
+EXPLORER = dict(price_range=(5000.0, 60000.0), rating_range=(3.2, 4.6),
+                locations=["NATION_1", "NATION_5", "NATION_7", "NATION_12", "NATION_18", "nan"],
+                sources=["1-URGENT", "2-HIGH", "rare", "5-LOW"], types=["Standard", "LARGE", "offer"])
+PREFS = dict(max_price=50000.0, min_rating=3.5, preferred_locations=[" nation_3 ", "NATION_7", "Nation_18"])
+
 
 def register(name: str):
     def deco(fn: QueryFn) -> QueryFn:
@@ -33,11 +52,206 @@ def clean_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.clean_listings(FX.raw_listings(spark, sf_dir))
 
 
-@register("popular_destinations")
-def q_popular_destinations(spark, sf_dir):
-    return I.popular_destinations(clean_fixture(spark, sf_dir), digits=D)
+def normalized_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.coerce_numeric(C.normalize_strings(FX.raw_listings(spark, sf_dir)))
+
 
+def r6(c):
+    return F.bround(c, D)
+
+
+# ---- clean stage -------------------------------------------------------------
 
 @register("clean_pipeline")
 def q_clean_pipeline(spark, sf_dir):
     return clean_fixture(spark, sf_dir)
+
+
+@register("string_norm")
+def q_string_norm(spark, sf_dir):
+    return C.normalize_strings(FX.raw_listings(spark, sf_dir)).select("name", "location", "type", "source",
+                                                                       "review_text")
+
+
+@register("numeric_coerce")
+def q_numeric_coerce(spark, sf_dir):
+    df = FX.numeric_text(spark, sf_dir)
+    return df.select("p_partkey", "value_text", to_double("value_text").alias("value"))
+
+
+@register("dedup_listings")
+def q_dedup_listings(spark, sf_dir):
+    return C.dedup_first(normalized_raw(spark, sf_dir), C.DEDUP_KEY, ["type", "duration", "rating", "review_text"])
+
+
+@register("valid_rows")
+def q_valid_rows(spark, sf_dir):
+    return C.valid_rows(normalized_raw(spark, sf_dir))
+
+
+@register("defaults")
+def q_defaults(spark, sf_dir):
+    return C.apply_defaults(normalized_raw(spark, sf_dir))
+
+
+@register("impute_rating")
+def q_impute_rating(spark, sf_dir):
+    return clean_fixture(spark, sf_dir).select(KEY_COLUMN, "rating")
+
+
+@register("complete_rows")
+def q_complete_rows(spark, sf_dir):
+    return AN.complete_rows(normalized_raw(spark, sf_dir), ["price", "rating"])
+
+
+# ---- parsing / mapping / imports ----------------------------------------------
+
+@register("parse_price")
+def q_parse_price(spark, sf_dir):
+    df = FX.text_listings(spark, sf_dir)
+    return df.select("p_partkey", "price_text", parse_price("price_text").alias("price"))
+
+
+@register("parse_duration")
+def q_parse_duration(spark, sf_dir):
+    df = FX.text_listings(spark, sf_dir)
+    return df.select("p_partkey", "duration_text", parse_duration("duration_text").alias("duration"))
+
+
+@register("map_schema")
+def q_map_schema(spark, sf_dir):
+    f = FX.feed_frames(spark, sf_dir)
+    return map_to_listing_schema(f["feed_a"], BOOKING.mapping, BOOKING.name, BOOKING.default_type)
+
+
+@register("import_sources")
+def q_import_sources(spark, sf_dir):
+    f = FX.feed_frames(spark, sf_dir)
+    return FD.import_frames([(f["feed_a"], BOOKING), (f["feed_b"], ATTRACTION)])
+
+
+@register("header_alias_import")
+def q_header_alias_import(spark, sf_dir):
+    return FD.header_alias_import(FX.feed_frames(spark, sf_dir)["feed_c"], "external:feed_c")
+
+
+@register("external_distinct")
+def q_external_distinct(spark, sf_dir):
+    f = FX.feed_frames(spark, sf_dir)
+    specs = FD.import_frames([(f["feed_a"], BOOKING), (f["feed_b"], ATTRACTION)])
+    folder = FD.header_alias_import(f["feed_c"], "external:feed_c")
+    return union_frames([specs, folder]).dropDuplicates()
+
+
+@register("union_sources")
+def q_union_sources(spark, sf_dir):
+    f = FX.feed_frames(spark, sf_dir)
+    mapped = map_to_listing_schema(f["feed_a"], BOOKING.mapping, BOOKING.name, BOOKING.default_type)
+    partial = f["feed_b"].select(F.col("title").alias("name"), F.col("total_price").alias("price"))
+    return complete_columns(union_frames([mapped, partial])).select(*LISTING_COLUMNS)
+
+
+@register("booking_demand")
+def q_booking_demand(spark, sf_dir):
+    return BD.transform_booking_demand(FX.booking_demand_raw(spark, sf_dir))
+
+
+@register("booking_demand_head")
+def q_booking_demand_head(spark, sf_dir):
+    return BD.transform_booking_demand(FX.booking_demand_raw(spark, sf_dir), max_rows=20000)
+
+
+# ---- projections ---------------------------------------------------------------
+
+@register("cost_per_day")
+def q_cost_per_day(spark, sf_dir):
+    df = clean_fixture(spark, sf_dir)
+    return df.select(KEY_COLUMN, r6(AN.cost_per_day_raw()).alias("cost_per_day_summary"),
+                     r6(AN.cost_per_day()).alias("cost_per_day"))
+
+
+@register("analytics_projection")
+def q_analytics_projection(spark, sf_dir):
+    df = AN.analytics_projection(clean_fixture(spark, sf_dir))
+    return df.withColumn("cost_per_day", r6(F.col("cost_per_day")))
+
+
+@register("format_price")
+def q_format_price(spark, sf_dir):
+    df = clean_fixture(spark, sf_dir)
+    return df.select(KEY_COLUMN, "price", format_price("price", "EUR").alias("price_fmt"),
+                     format_price("rating", "XYZ").alias("rating_fmt"))
+
+
+# ---- filters -------------------------------------------------------------------
+
+def explorer_rows(spark, sf_dir):
+    return FL.explorer_filter(AN.analytics_projection(clean_fixture(spark, sf_dir)), **EXPLORER)
+
+
+@register("explorer_filter")
+def q_explorer_filter(spark, sf_dir):
+    return explorer_rows(spark, sf_dir).withColumn("cost_per_day", r6(F.col("cost_per_day")))
+
+
+@register("filter_domain")
+def q_filter_domain(spark, sf_dir):
+    return FL.filter_domain(AN.analytics_projection(clean_fixture(spark, sf_dir)))
+
+
+# ---- aggregates and top-k ------------------------------------------------------
+
+@register("popular_destinations")
+def q_popular_destinations(spark, sf_dir):
+    return I.popular_destinations(clean_fixture(spark, sf_dir), digits=D)
+
+
+@register("type_summary")
+def q_type_summary(spark, sf_dir):
+    return I.type_summary(clean_fixture(spark, sf_dir), digits=D)
+
+
+@register("price_rating_stats")
+def q_price_rating_stats(spark, sf_dir):
+    return I.price_rating_stats(clean_fixture(spark, sf_dir), digits=D)
+
+
+@register("top_price_locations")
+def q_top_price_locations(spark, sf_dir):
+    return I.top_price_locations(clean_fixture(spark, sf_dir), 15, digits=D)
+
+
+@register("kpis")
+def q_kpis(spark, sf_dir):
+    full = AN.analytics_projection(clean_fixture(spark, sf_dir))
+    return I.kpis(full, FL.explorer_filter(full, **EXPLORER), digits=D)
+
+
+@register("source_share")
+def q_source_share(spark, sf_dir):
+    return I.source_share(AN.analytics_projection(clean_fixture(spark, sf_dir)), digits=D)
+
+
+@register("top_locations")
+def q_top_locations(spark, sf_dir):
+    return I.top_locations(AN.analytics_projection(clean_fixture(spark, sf_dir)), 12)
+
+
+@register("top_locations_dashboard")
+def q_top_locations_dashboard(spark, sf_dir):
+    return I.top_locations(clean_fixture(spark, sf_dir), 18, count_names=True)
+
+
+@register("price_p75")
+def q_price_p75(spark, sf_dir):
+    return I.price_quantile(clean_fixture(spark, sf_dir), 0.75).select(r6(F.col("price_p75")).alias("price_p75"))
+
+
+@register("best_rated")
+def q_best_rated(spark, sf_dir):
+    return I.best_rated(clean_fixture(spark, sf_dir), 25)
+
+
+@register("preview")
+def q_preview(spark, sf_dir):
+    return I.preview(clean_fixture(spark, sf_dir), 1000)

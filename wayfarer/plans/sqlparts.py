@@ -7,8 +7,7 @@ twins state the same semantics independently of the DataFrame code.
 from __future__ import annotations
 
 from wayfarer.functions.parse import DURATION_NUMBER, PRICE_NUMBER
-from wayfarer.functions.text import STRIP_PATTERN
-from wayfarer.schema import NA_TOKENS
+from wayfarer.schema import NA_TOKENS, PY_WHITESPACE
 
 U_RANGE_SQL = "1152921504606846976.0"  # 2**60
 
@@ -17,8 +16,11 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+WHITESPACE_SQL = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(STRIP_PATTERN)}, '', 'g')"
+    return f"trim({x}, {WHITESPACE_SQL})"
 
 
 def na(x: str) -> str:
@@ -116,10 +118,121 @@ clean AS (
   FROM imputed)"""
 
 
-def with_clean(body: str) -> str:
-    """A full statement: raw fixture -> clean stage -> ``body`` (which reads ``clean``)."""
-    return f"WITH raw AS ({RAW_LISTINGS}),{clean_ctes()}\n{body}"
+def with_clean(body: str, extra: str = "") -> str:
+    """A full statement: raw fixture -> clean stage [-> extra CTEs] -> ``body``."""
+    more = f",\n{extra}" if extra else ""
+    return f"WITH raw AS ({RAW_LISTINGS}),{clean_ctes()}{more}\n{body}"
 
 
 def with_raw(body: str) -> str:
     return f"WITH raw AS ({RAW_LISTINGS})\n{body}"
+
+
+def num_first(x: str) -> str:
+    """First unsigned number of a numeric value's text form (sign dropped)."""
+    ax = f"abs({x})"
+    m = f"regexp_extract(CAST({x} AS VARCHAR), {q(PRICE_NUMBER)}, 0)"
+    return (f"(CASE WHEN isnan({x}) OR {ax} = CAST('inf' AS DOUBLE) THEN NULL "
+            f"WHEN ({ax} >= 1e-4 AND {ax} < 1e16) OR {ax} = 0 THEN {ax} "
+            f"ELSE (CASE WHEN {m} <> '' THEN CAST({m} AS DOUBLE) END) END)")
+
+
+def review(x: str) -> str:
+    s = strip(x)
+    return f"(CASE WHEN {s} <> '' AND lower({s}) <> 'nan' THEN {s} END)"
+
+
+NUMERIC_TEXT_SQL = r"^[+-]?(([0-9]+([.][0-9]*)?|[.][0-9]+)([e][+-]?[0-9]+)?|inf|infinity|nan)$"
+
+
+def to_double_text(x: str) -> str:
+    t = f"lower(trim(CAST({x} AS VARCHAR)))"
+    v = f"(CASE WHEN regexp_matches({t}, {q(NUMERIC_TEXT_SQL)}) THEN TRY_CAST({t} AS DOUBLE) END)"
+    return nan_null(v)
+
+
+STAR = """lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+     JOIN nation ON s_nationkey = n_nationkey JOIN orders ON l_orderkey = o_orderkey"""
+
+FEEDS = f"""
+fbase AS (
+  SELECT l_linenumber % 3 AS _feed, concat(p_name, ' ', p_brand) AS _name, n_name AS _loc, p_type AS _type,
+         l_extendedprice AS _price, l_quantity AS _dur,
+         CASE WHEN l_returnflag = 'R' THEN NULL ELSE 3.0 + l_discount * 20.0 END AS _rating,
+         o_orderpriority AS _review
+  FROM {STAR}),
+feed_a AS (SELECT _name AS hotel_name, _loc AS city, _type AS property_type, _price AS price_per_night,
+                  _dur AS nights, _rating AS rating, _review AS review_snippet FROM fbase WHERE _feed = 0),
+feed_b AS (SELECT _name AS title, _loc AS destination, _type AS attraction_type, _price AS total_price,
+                  _dur AS days, _rating AS review_rating, _review AS review_excerpt FROM fbase WHERE _feed = 1),
+feed_c AS (SELECT _name AS Hotel_Name, _price AS Price, _rating AS Rating, _loc AS Location, _review AS Review
+           FROM fbase WHERE _feed = 2)"""
+
+
+def mapped(src: str, name: str, typ: str | None, loc: str, price: str, dur: str | None, rating: str,
+           rev: str, label: str, default_type: str) -> str:
+    tval = f"coalesce(CAST({typ} AS VARCHAR), {q(default_type)})" if typ else q(default_type)
+    d = f"round_even({num_first(dur)}, 2)" if dur else "CAST(NULL AS DOUBLE)"
+    return (f"SELECT {na(strip(name))} AS name, {na(f'lower({strip(tval)})')} AS type, {na(strip(loc))} AS location, "
+            f"{num_first(price)} AS price, {d} AS duration, {nan_null(f'CAST({rating} AS DOUBLE)')} AS rating, "
+            f"{q(label)} AS source, {na(review(rev))} AS review_text FROM {src}")
+
+
+MAP_A = mapped("feed_a", "hotel_name", "property_type", "city", "price_per_night", "nights", "rating",
+               "review_snippet", "booking:export_sample", "hotel")
+MAP_B = mapped("feed_b", "title", "attraction_type", "destination", "total_price", "days", "review_rating",
+               "review_excerpt", "tripadvisor:export_sample", "offer")
+MAP_C = mapped("feed_c", "Hotel_Name", None, "Location", "Price", None, "Rating", "Review",
+               "external:feed_c", "offer")
+
+BOOKING_RAW = """
+SELECT DISTINCT CASE WHEN o_orderstatus = 'F' THEN 'City Hotel' ELSE 'Resort Hotel' END AS hotel,
+       n_name AS country,
+       CASE WHEN l_tax = 0 THEN NULL ELSE l_extendedprice / 1000 END AS adr,
+       CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_linenumber % 3 END AS stays_in_weekend_nights,
+       CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity % 7 END AS stays_in_week_nights,
+       l_orderkey AS booking_ref
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+     JOIN orders ON l_orderkey = o_orderkey"""
+
+
+def booking_demand(max_rows: int | None = None) -> str:
+    lim = f"AND rn <= {int(max_rows)}" if max_rows else ""
+    return f"""
+WITH bd AS ({BOOKING_RAW}),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY hotel NULLS LAST, country NULLS LAST, adr NULLS LAST,
+      stays_in_weekend_nights NULLS LAST, stays_in_week_nights NULLS LAST, booking_ref NULLS LAST) AS rn
+  FROM bd)
+SELECT concat({strip("coalesce(hotel, 'nan')")}, ' — booking ', CAST(rn AS VARCHAR)) AS name,
+       'hotel' AS type, {na(strip("coalesce(country, 'nan')"))} AS location,
+       {nan_null('CAST(adr AS DOUBLE)')} AS price,
+       greatest(1.0, coalesce(CAST(stays_in_weekend_nights AS DOUBLE), 0.0)
+                     + coalesce(CAST(stays_in_week_nights AS DOUBLE), 0.0)) AS duration,
+       CAST(NULL AS DOUBLE) AS rating, 'kaggle:hotel_booking_demand' AS source,
+       CAST(NULL AS VARCHAR) AS review_text
+FROM numbered WHERE adr IS NOT NULL {lim}"""
+
+
+def cost_raw(price: str = "price", duration: str = "duration") -> str:
+    v = f"round_even(CASE WHEN {duration} = 0 THEN NULL ELSE {price} / {duration} END, 2)"
+    return f"(CASE WHEN isnan({v}) OR abs({v}) = CAST('inf' AS DOUBLE) THEN NULL ELSE {v} END)"
+
+
+def cost_default(price: str = "price", duration: str = "duration") -> str:
+    d = f"(CASE WHEN {duration} IS NULL OR {duration} = 0 THEN 1.0 ELSE {duration} END)"
+    v = f"({price} / {d})"
+    return f"(CASE WHEN isnan({v}) OR abs({v}) = CAST('inf' AS DOUBLE) THEN NULL ELSE {v} END)"
+
+
+def analytics(src: str = "clean") -> str:
+    """P11 over a listing relation: defaulted duration, cost_per_day, categorical 'nan'."""
+    return (f"SELECT coalesce(name, 'nan') AS name, coalesce(type, 'nan') AS type, "
+            f"coalesce(location, 'nan') AS location, price, "
+            f"CASE WHEN duration IS NULL OR duration = 0 THEN 1.0 ELSE duration END AS duration, rating, "
+            f"coalesce(source, 'nan') AS source, review_text, listing_key, {cost_default()} AS cost_per_day "
+            f"FROM {src}")
+
+
+def in_list(values) -> str:
+    return "(" + ", ".join(q(v) for v in values) + ")"

@@ -33,12 +33,9 @@ NA_TOKENS = [
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
     "n/a", "nan", "null",
 ]
-# Characters removed by Python's str.strip() (Unicode whitespace), as a
-# regex character class valid in both Java and RE2 syntax.
-WHITESPACE_CLASS = (
-    r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+# Characters removed by Python's str.strip(): every code point Python calls
+# whitespace (the largest is U+3000), derived by rule rather than listed.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 DEFAULT_TYPE = "offer"
 # Header aliases for folder auto-import: target column -> candidate headers,
 # first existing header wins (compared case-insensitively).

@@ -62,3 +62,26 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """Path for an intermediate table under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def has_checkpoint_dir(spark: SparkSession) -> bool:
+    if spark.sparkContext.getCheckpointDir():
+        return True
+    return bool(spark.conf.get("spark.checkpoint.dir", None))
+
+
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of a DataFrame that feeds several consumers.
+
+    With a shared checkpoint folder configured the rows are written there once
+    (reliable checkpoint: survives executor loss, every consumer re-reads the
+    files instead of recomputing joins and shuffles). Without one, fall back
+    to ``persist(MEMORY_AND_DISK)``, which recomputes lost blocks from lineage.
+    """
+    from pyspark import StorageLevel
+
+    spark = df.sparkSession
+    if has_checkpoint_dir(spark):
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -130,3 +130,19 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("review_text"),
         F.col("doc_id"),
     )
+
+
+def numeric_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text numbers in several shapes: plain, padded, Java-suffixed, grouped,
+    infinities, NaN and junk."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice", "p_size")
+    size = F.col("p_size").cast("string")
+    k = F.col("p_partkey") % 7
+    text = (F.when(k == 0, F.col("p_retailprice").cast("string"))
+            .when(k == 1, F.concat(F.lit(" "), size, F.lit(" ")))
+            .when(k == 2, F.concat(size, F.lit("d")))
+            .when(k == 3, F.concat(F.lit("1,"), size))
+            .when(k == 4, F.when(F.col("p_size") % 2 == 0, F.lit("inf")).otherwise(F.lit("-Infinity")))
+            .when(k == 5, F.when(F.col("p_size") % 2 == 0, F.lit("NaN")).otherwise(F.lit("abc")))
+            .otherwise(F.concat(size, F.lit("e-2"))))
+    return part.select("p_partkey", text.alias("value_text"))
