@@ -133,8 +133,11 @@ def clean_listings(df: DataFrame, impute: bool = True, materialize_stage: bool =
         if materialize_stage:
             work = materialize(work, "clean_base")
         work = impute_rating(work)
-    work = null_na_text(work)
-    return work.select(*LISTING_COLUMNS, KEY_COLUMN)
+    work = null_na_text(work).select(*LISTING_COLUMNS, KEY_COLUMN)
+    if materialize_stage:
+        # the clean table feeds every downstream operator: written once
+        work = materialize(work, "clean")
+    return work
 
 
 def with_key(df: DataFrame) -> DataFrame:
