@@ -19,6 +19,7 @@ listing table, no pairs.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -188,7 +189,7 @@ def recommend_preferences(df: DataFrame, max_price: float | None = None, min_rat
 
     wb, sqb = weights("location_bucket")
     wt, sqt = weights("type_key")
-    ideal_norm = (sum(v * v for v in ideal.values()) + sqb + sqt) ** 0.5
+    ideal_norm = math.sqrt(sum(ideal[z] * ideal[z] for z in Z) + sqb + sqt)
     dot = _dot(ideal) + wb + wt
     if n <= 1:
         sim = F.lit(None).cast("double")

@@ -150,3 +150,282 @@ ORACLE["best_rated"] = with_clean("""
 SELECT name, location, rating, price, source, listing_key FROM clean
 ORDER BY rating DESC NULLS LAST, price ASC NULLS LAST, listing_key LIMIT 25""")
 ORACLE["preview"] = with_clean("SELECT * FROM clean ORDER BY listing_key LIMIT 1000")
+
+
+# ---- sampling and caps ---------------------------------------------------------
+
+from wayfarer.plans.sqlparts import hash_u, listing_key  # noqa: E402,F401
+from wayfarer.operators.sentiment import NEGATIONS, NEGATION_SCALAR  # noqa: E402
+from wayfarer.operators.chartdata import LOG_EDGES  # noqa: E402
+
+LIST_COLS = "name, type, location, price, duration, rating, source, review_text, listing_key"
+DRAWS = (f"d AS (SELECT *, coalesce(source, 'nan') AS _src, {hash_u('listing_key', 42)} AS _u, "
+         f"{hash_u('listing_key', 99)} AS _u2 FROM clean),\n"
+         "cnt AS (SELECT _src, count(*) AS n_s FROM d GROUP BY _src)")
+
+
+def _balanced(cap: int) -> str:
+    return with_clean(f"""
+SELECT {LIST_COLS} FROM chosen
+UNION ALL
+SELECT {LIST_COLS} FROM (SELECT *, row_number() OVER (ORDER BY _u2, listing_key) AS rn2 FROM ranked WHERE rn > quota), need
+WHERE rn2 <= need.need""", DRAWS + f""",
+qt AS (SELECT _src, n_s, row_number() OVER (ORDER BY _src) - 1 AS i, count(*) OVER () AS k FROM cnt),
+quota AS (SELECT _src, CAST(floor({cap} / k) AS BIGINT) + CASE WHEN i < {cap} % k THEN 1 ELSE 0 END AS quota FROM qt),
+ranked AS (SELECT d.*, q.quota, row_number() OVER (PARTITION BY d._src ORDER BY _u, listing_key) AS rn
+           FROM d JOIN quota q USING (_src)),
+chosen AS (SELECT * FROM ranked WHERE rn <= quota),
+need AS (SELECT {cap} - count(*) AS need FROM chosen)""")
+
+
+ORACLE["balanced_cap"] = _balanced(Q.CAP)
+ORACLE["cap_policy"] = _balanced(30_000)
+ORACLE["proportional_cap"] = with_clean(f"""
+SELECT {LIST_COLS} FROM (
+  SELECT d.*, q.quota, row_number() OVER (PARTITION BY d._src ORDER BY _u, listing_key) AS rn
+  FROM d JOIN quota q USING (_src)) WHERE rn <= quota""", DRAWS + f""",
+cont AS (SELECT _src, n_s, n_s / (SELECT sum(n_s) FROM cnt) * {float(Q.CAP)} AS c FROM cnt),
+fl AS (SELECT *, floor(c) AS f FROM cont),
+quota AS (SELECT _src, CAST(f + CASE WHEN row_number() OVER (ORDER BY c - f DESC, _src ASC)
+                                  <= {Q.CAP} - (SELECT sum(f) FROM fl) THEN 1 ELSE 0 END AS BIGINT) AS quota FROM fl)""")
+ORACLE["uniform_cap"] = with_clean(f"""
+SELECT {LIST_COLS} FROM d QUALIFY row_number() OVER (ORDER BY _u, listing_key) <= {Q.CAP}""", DRAWS)
+ORACLE["scatter_sample"] = with_clean(f"""
+SELECT price, rating, name, location, type, source, listing_key FROM d
+WHERE price IS NOT NULL AND rating IS NOT NULL
+QUALIFY row_number() OVER (ORDER BY _u, listing_key) <= {Q.SCATTER_POINTS}""", DRAWS)
+
+PREP = """med AS (SELECT coalesce(quantile_cont(rating, 0.5), 0.0) AS m FROM clean),
+prep0 AS (SELECT clean.* EXCLUDE (rating, duration),
+                 CASE WHEN duration IS NULL OR duration = 0 THEN 1.0 ELSE duration END AS duration,
+                 coalesce(rating, med.m) AS rating FROM clean, med),
+prep AS (SELECT * FROM (SELECT *, (CASE WHEN isnan(price / duration) OR abs(price / duration) = CAST('inf' AS DOUBLE)
+                                      THEN NULL ELSE price / duration END) AS cost_per_day FROM prep0)
+         WHERE price IS NOT NULL AND cost_per_day IS NOT NULL)"""
+ORACLE["impute_median"] = with_clean(
+    f"SELECT listing_key, rating, duration, {rnd('cost_per_day')} AS cost_per_day FROM prep", PREP)
+
+# ---- chart data ----------------------------------------------------------------
+
+
+def _bins_rule(lo: int, hi: int, root: float, n: str = "n") -> str:
+    return f"CAST(least({hi}, greatest({lo}, floor(pow(CAST({n} AS DOUBLE), {root})))) AS INTEGER)"
+
+
+def _hist(values_cte: str, rule: str) -> tuple[str, str]:
+    """(CTEs, final SELECT) of an equal-width histogram over v(x); ``rule``
+    is an SQL expression over n giving the bin count."""
+    edge = "(CASE WHEN {k} = nb THEN hi ELSE {k} * ((hi - lo) / nb) + lo END)"
+    e0, e1 = edge.format(k="i0"), edge.format(k="(i0 + 1)")
+    eb, eb1 = edge.format(k="bin"), edge.format(k="(bin + 1)")
+    ctes = f"""{values_cte},
+st AS (SELECT min(x) AS mn, max(x) AS mx, count(*) AS n FROM v),
+p AS (SELECT CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo, CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi,
+             {rule} AS nb, n FROM st),
+b0 AS (SELECT x, p.*, CASE WHEN floor((x - lo) * (nb / (hi - lo))) >= nb THEN nb - 1
+                          ELSE floor((x - lo) * (nb / (hi - lo))) END AS i0 FROM v, p),
+b AS (SELECT CASE WHEN x < {e0} THEN i0 - 1 WHEN x >= {e1} AND i0 <> nb - 1 THEN i0 + 1 ELSE i0 END AS bin
+      FROM b0),
+c AS (SELECT CAST(bin AS INTEGER) AS bin, count(*) AS cnt FROM b GROUP BY 1),
+allb AS (SELECT CAST(unnest(range(0, nb)) AS INTEGER) AS bin, lo, hi, nb FROM p WHERE n > 0)"""
+    body = f"""SELECT allb.bin, {rnd(eb)} AS bin_lo, {rnd(eb1)} AS bin_hi, coalesce(cnt, 0) AS "count"
+FROM allb LEFT JOIN c USING (bin)"""
+    return ctes, body
+
+
+def _vals(expr: str, src: str) -> str:
+    return f"v AS (SELECT CAST({expr} AS DOUBLE) AS x FROM {src} WHERE {expr} IS NOT NULL AND NOT isnan({expr}))"
+
+
+def _clean_hist(values_cte: str, rule: str, pre: str = "") -> str:
+    ctes, body = _hist(values_cte, rule)
+    return with_clean(body, (pre + ",\n" if pre else "") + ctes)
+
+
+ORACLE["rating_histogram"] = _clean_hist(_vals("rating", "clean"), _bins_rule(10, 35, 0.25))
+ORACLE["rating_histogram_dashboard"] = _clean_hist(
+    _vals("rating", "clean"), _bins_rule(15, 40, 0.25, "(SELECT count(*) FROM clean)"))
+ORACLE["cost_per_day_histogram"] = _clean_hist(_vals("cost_per_day", "a"), _bins_rule(20, 50, 0.5), ANALYTICS)
+ORACLE["price_histogram"] = _clean_hist(
+    _vals("price", f"(SELECT * FROM a WHERE {_explorer_where()})"), _bins_rule(15, 45, 0.5), ANALYTICS)
+
+_NB = LOG_EDGES - 1
+_LOG_EDGE = "pow(10.0, CASE WHEN {k} = " + str(_NB) + " THEN lb ELSE {k} * ((lb - la) / " + str(_NB) + ") + la END)"
+ORACLE["price_histogram_log"] = with_clean(f"""
+SELECT allb.bin, {rnd(_LOG_EDGE.format(k='bin'))} AS bin_lo, {rnd(_LOG_EDGE.format(k='(bin + 1)'))} AS bin_hi,
+       coalesce(cnt, 0) AS "count"
+FROM allb LEFT JOIN c USING (bin)""", _vals("price", "clean") + f""",
+st AS (SELECT min(x) AS mn, max(x) AS mx FROM v),
+p AS (SELECT log10(greatest(mn, 1e-6)) AS la, log10(mx) AS lb FROM st),
+b0 AS (SELECT x, p.*, least(greatest(floor((log10(x) - la) / ((lb - la) / {_NB})), 0), {_NB - 1}) AS i0
+       FROM v, p WHERE x > 0),
+b1 AS (SELECT *, CASE WHEN x < {_LOG_EDGE.format(k='i0')} THEN i0 - 1
+                      WHEN i0 < {_NB - 1} AND x >= {_LOG_EDGE.format(k='(i0 + 1)')} THEN i0 + 1 ELSE i0 END AS bin
+       FROM b0),
+c AS (SELECT CAST(bin AS INTEGER) AS bin, count(*) AS cnt FROM b1
+      WHERE x >= {_LOG_EDGE.format(k='0')} AND x <= {_LOG_EDGE.format(k=str(_NB))} AND bin >= 0 GROUP BY 1),
+allb AS (SELECT CAST(unnest(range(0, {_NB})) AS INTEGER) AS bin, la, lb FROM p WHERE lb IS NOT NULL)""")
+
+ORACLE["rating_box_by_type"] = with_clean(f"""
+SELECT s.type, {rnd('q1')} AS q1, {rnd('median')} AS median, {rnd('q3')} AS q3,
+       {rnd('min(CASE WHEN rating >= q1 - 1.5 * (q3 - q1) THEN rating END)')} AS whisker_lo,
+       {rnd('max(CASE WHEN rating <= q3 + 1.5 * (q3 - q1) THEN rating END)')} AS whisker_hi,
+       {rnd('min(rating)')} AS "min", {rnd('max(rating)')} AS "max", count(*) AS n,
+       count(CASE WHEN rating < q1 - 1.5 * (q3 - q1) OR rating > q3 + 1.5 * (q3 - q1) THEN 1 END) AS n_outliers
+FROM sub s JOIN q USING (type) GROUP BY s.type, q1, median, q3""", """
+sub AS (SELECT type, rating FROM clean WHERE rating IS NOT NULL AND NOT isnan(rating) AND type IS NOT NULL),
+q AS (SELECT type, quantile_cont(rating, 0.25) AS q1, quantile_cont(rating, 0.5) AS median,
+             quantile_cont(rating, 0.75) AS q3 FROM sub GROUP BY type)""")
+
+# ---- tiers ---------------------------------------------------------------------
+
+_QS = Q.CENTER_QS
+_CENTERS = ",\n".join(
+    f"quantile_cont(price, {qq}) AS px{i}, quantile_cont(cost_per_day, {qq}) AS py{i}" for i, qq in enumerate(_QS))
+_D = [f"((price - px{i}) * (price - px{i}) + (cost_per_day - py{i}) * (cost_per_day - py{i}))" for i in range(3)]
+
+
+def _rank_sql(i: int) -> str:
+    parts = []
+    for j in range(3):
+        if j == i:
+            continue
+        tie = "TRUE" if j < i else "FALSE"
+        parts.append(f"(CASE WHEN px{j} < px{i} OR (px{j} = px{i} AND {tie}) THEN 1 ELSE 0 END)")
+    return " + ".join(parts)
+
+
+_LABEL = ("CASE " + " ".join(
+    f"WHEN cluster = {i} THEN (['budget', 'mid-range', 'premium'])[{_rank_sql(i)} + 1]" for i in range(3))
+    + " END")
+TIERS = f"""m AS (SELECT * FROM (SELECT *, {cost_default()} AS cost_per_day FROM clean)
+      WHERE price IS NOT NULL AND cost_per_day IS NOT NULL),
+cen AS (SELECT {_CENTERS} FROM m),
+asg0 AS (SELECT m.*, cen.*, CASE WHEN {_D[2]} < least({_D[0]}, {_D[1]}) THEN 2 WHEN {_D[1]} < {_D[0]} THEN 1 ELSE 0 END
+                AS cluster FROM m, cen),
+asg AS (SELECT *, {_LABEL} AS cluster_label FROM asg0)"""
+ORACLE["assign_centers"] = with_clean(
+    f"SELECT listing_key, price, {rnd('cost_per_day')} AS cost_per_day, CAST(cluster AS INTEGER) AS cluster, "
+    "cluster_label FROM asg", TIERS)
+ORACLE["tier_counts"] = with_clean('SELECT cluster_label, count(*) AS "count" FROM asg GROUP BY cluster_label', TIERS)
+
+# ---- recommendations -----------------------------------------------------------
+
+_NUM = ["price", "duration", "rating", "cost_per_day"]
+
+
+def _feats_sql(src: str, name: str) -> str:
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _NUM)
+    zs = ", ".join(f"CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE {c} - m_{c} END AS z_{c}" for c in _NUM)
+    return f"""{name}_st AS (SELECT {stats} FROM {src}),
+{name}_top AS (SELECT coalesce(location, 'nan') AS loc FROM {src} GROUP BY 1 ORDER BY count(*) DESC, loc ASC LIMIT 15),
+{name}_z AS (SELECT {src}.*, {zs},
+             CASE WHEN coalesce(location, 'nan') IN (SELECT loc FROM {name}_top) THEN coalesce(location, 'nan')
+                  ELSE 'Other' END AS location_bucket,
+             lower(coalesce(type, 'nan')) AS type_key
+             FROM {src}, {name}_st),
+{name} AS (SELECT *, sqrt(z_price * z_price + z_duration * z_duration + z_rating * z_rating
+                         + z_cost_per_day * z_cost_per_day + 2.0) AS norm FROM {name}_z)"""
+
+
+FEATS = PREP + ",\n" + _feats_sql("prep", "f")
+ZCOLS = ["z_price", "z_duration", "z_rating", "z_cost_per_day"]
+ORACLE["features"] = with_clean(
+    "SELECT listing_key, " + ", ".join(f"{rnd(z)} AS {z}" for z in ZCOLS)
+    + f", location_bucket, type_key, {rnd('norm')} AS norm FROM f", FEATS)
+
+
+def _sim(q: str, f: str = "f") -> str:
+    dot = " + ".join(f"{f}.{z} * {q}.{z}" for z in ZCOLS)
+    return (f"(({dot} + CASE WHEN {f}.location_bucket = {q}.location_bucket THEN 1.0 ELSE 0.0 END "
+            f"+ CASE WHEN {f}.type_key = {q}.type_key THEN 1.0 ELSE 0.0 END) / ({f}.norm * {q}.norm))")
+
+
+RESULT = ("f.name, f.type, f.location, f.price, f.duration, f.rating, f.source, f.review_text, "
+          f"{rnd('f.cost_per_day')} AS cost_per_day, f.listing_key")
+ORDERED = FEATS + f""",
+o AS (SELECT *, row_number() OVER (ORDER BY {hash_u('listing_key', 43)}, listing_key) - 1 AS idx,
+             count(*) OVER () AS n FROM f)"""
+ORACLE["similar_listings"] = with_clean(f"""
+SELECT q.name AS query_name, {RESULT}, {rnd(_sim('q'))} AS similarity, q.listing_key AS query_key
+FROM f, (SELECT * FROM o WHERE idx = 0) q WHERE f.listing_key <> q.listing_key
+ORDER BY {_sim('q')} DESC, f.listing_key LIMIT 5""", ORDERED)
+ORACLE["batch_recommend"] = with_clean(f"""
+SELECT query_name, name, type, location, price, duration, rating, source, review_text, cost_per_day, listing_key,
+       {rnd('sim')} AS similarity, query_key, seed_index FROM (
+  SELECT q.name AS query_name, {RESULT}, {_sim('q')} AS sim, q.listing_key AS query_key,
+         CAST(q.idx AS INTEGER) AS seed_index,
+         row_number() OVER (PARTITION BY q.idx ORDER BY {_sim('q')} DESC, f.listing_key) AS r
+  FROM f, (SELECT * FROM o WHERE idx IN (0, n // 2, n - 1)) q WHERE f.listing_key <> q.listing_key)
+WHERE r <= 5""", ORDERED)
+
+_P = Q.PREFS
+_PREF_LOCS = sorted({str(x).strip().lower() for x in _P["preferred_locations"] if str(x).strip()})
+WORK = (f"work AS (SELECT * FROM prep WHERE price <= {float(_P['max_price'])} AND rating >= {float(_P['min_rating'])} "
+        f"AND lower(coalesce(location, 'nan')) IN {in_list(_PREF_LOCS)})")
+_MED = ", ".join(f"quantile_cont({z}, 0.5) AS {z}" for z in ZCOLS)
+
+
+def _w(col: str) -> str:
+    return (f"w_{col} AS (SELECT {col} AS k, CASE WHEN 2 * count(*) > (SELECT count(*) FROM g) THEN 1.0 ELSE 0.5 END AS w "
+            f"FROM g GROUP BY {col} HAVING 2 * count(*) >= (SELECT count(*) FROM g))")
+
+
+PREFS_CTE = PREP + ",\n" + WORK + ",\n" + _feats_sql("work", "g") + f""",
+ideal AS (SELECT {_MED} FROM g),
+{_w('location_bucket')},
+{_w('type_key')},
+inorm AS (SELECT sqrt(z_price * z_price + z_duration * z_duration + z_rating * z_rating
+                      + z_cost_per_day * z_cost_per_day
+                      + coalesce((SELECT sum(w * w) FROM w_location_bucket), 0.0)
+                      + coalesce((SELECT sum(w * w) FROM w_type_key), 0.0)) AS v FROM ideal),
+scored AS (
+  SELECT g.*, CASE WHEN (SELECT count(*) FROM g) <= 1 THEN NULL WHEN inorm.v = 0 THEN 0.0
+                   ELSE ({' + '.join(f'g.{z} * ideal.{z}' for z in ZCOLS)}
+                         + coalesce((SELECT w FROM w_location_bucket WHERE k = g.location_bucket), 0.0)
+                         + coalesce((SELECT w FROM w_type_key WHERE k = g.type_key), 0.0)) / (inorm.v * g.norm)
+              END AS sim
+  FROM g, ideal, inorm)"""
+ORACLE["recommend_preferences"] = with_clean(f"""
+SELECT name, type, location, price, duration, rating, source, review_text, {rnd('cost_per_day')} AS cost_per_day,
+       listing_key, {rnd('sim')} AS similarity_to_ideal
+FROM scored ORDER BY sim DESC NULLS LAST, listing_key LIMIT 8""", PREFS_CTE)
+_PT = sorted({t.lower() for t in ["Standard", "offer", "PROMO"]})
+ORACLE["preference_filter"] = with_clean(
+    f"SELECT listing_key, price, rating, location, type FROM work WHERE lower(coalesce(type, 'nan')) IN {in_list(_PT)}",
+    PREP + ",\n" + WORK)
+
+# ---- sentiment -----------------------------------------------------------------
+
+_LEX = ", ".join(f"('{t}', {v})" for t, v in Q.LEXICON)
+_NEG = in_list(NEGATIONS)
+SENT = f"""docs AS (SELECT doc_id, text, lang FROM documents),
+tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS t FROM docs
+        WHERE NOT (text IS NULL OR trim(text) = '' OR lower(trim(text)) = 'nan')),
+ex AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM tok),
+ng AS (SELECT *, coalesce(lag(token, 1) OVER w IN {_NEG}, FALSE) OR coalesce(lag(token, 2) OVER w IN {_NEG}, FALSE)
+                 OR coalesce(lag(token, 3) OVER w IN {_NEG}, FALSE) AS negated
+       FROM ex WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+lex AS (SELECT * FROM (VALUES {_LEX}) l(token, valence)),
+vals AS (SELECT doc_id, CASE WHEN negated AND coalesce(valence, 0.0) <> 0 THEN valence * {NEGATION_SCALAR}
+                             ELSE coalesce(valence, 0.0) END AS v FROM ng LEFT JOIN lex USING (token)),
+agg AS (SELECT doc_id, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1.0 ELSE 0.0 END) AS ps,
+               sum(CASE WHEN v < 0 THEN v - 1.0 ELSE 0.0 END) AS ns, count(CASE WHEN v = 0 THEN 1 END) AS nu
+        FROM vals GROUP BY doc_id),
+sc AS (SELECT d.doc_id, d.lang,
+              coalesce(s / sqrt(s * s + 15.0), 0.0) AS c,
+              coalesce(abs(ps / (ps + abs(ns) + nu)), 0.0) AS p,
+              coalesce(abs(ns / (ps + abs(ns) + nu)), 0.0) AS ng_,
+              coalesce(abs(nu / (ps + abs(ns) + nu)), 1.0) AS u
+       FROM docs d LEFT JOIN agg a USING (doc_id))"""
+ORACLE["sentiment"] = (f"WITH {SENT}\nSELECT doc_id, {rnd('c')} AS sentiment_compound, {rnd('p')} AS sentiment_pos, "
+                       f"{rnd('ng_')} AS sentiment_neg, {rnd('u')} AS sentiment_neu FROM sc")
+SENT4 = SENT + """,
+sc4 AS (SELECT doc_id, lang, coalesce(round_even(c, 4), 0.0) AS c, round_even(p, 3) AS p, round_even(ng_, 3) AS ng_,
+               round_even(u, 3) AS u FROM sc)"""
+ORACLE["sentiment_by_language"] = (
+    f"WITH {SENT4}\nSELECT lang AS location, count(*) AS reviews, {rnd('avg(c)')} AS avg_sentiment_compound, "
+    f"{rnd('avg(p)')} AS avg_sentiment_pos, {rnd('avg(ng_)')} AS avg_sentiment_neg, {rnd('avg(u)')} AS avg_sentiment_neu "
+    "FROM sc4 WHERE lang IS NOT NULL GROUP BY lang")
+_sc, _sb = _hist("v AS (SELECT c AS x FROM sc4 WHERE c IS NOT NULL AND NOT isnan(c))", "32")
+ORACLE["sentiment_histogram"] = f"WITH {SENT4},\n{_sc}\n{_sb}"

@@ -255,3 +255,180 @@ def q_best_rated(spark, sf_dir):
 @register("preview")
 def q_preview(spark, sf_dir):
     return I.preview(clean_fixture(spark, sf_dir), 1000)
+
+
+# ---- sampling and caps ---------------------------------------------------------
+
+from wayfarer.operators import chartdata as CD  # noqa: E402
+from wayfarer.operators import recommend as R  # noqa: E402
+from wayfarer.operators import sampling as S  # noqa: E402
+from wayfarer.operators import sentiment as X  # noqa: E402
+from wayfarer.operators import tiers as T  # noqa: E402
+
+CAP = 10_001       # bites: six sources, 'rare' below its quota -> the fill path runs
+SCATTER_POINTS = 4000
+CENTER_QS = (0.2, 0.5, 0.8)
+# a small lexicon table (token, valence) supplied to the sentiment operator
+LEXICON = [("the", 0.5), ("and", 1.2), ("that", -0.8), ("for", 0.3), ("was", -1.1),
+           ("good", 1.9), ("great", 3.1), ("bad", -2.5), ("poor", -2.1), ("excellent", 2.7),
+           ("terrible", -2.5), ("love", 3.2), ("hate", -2.7), ("nice", 1.8), ("awful", -2.0)]
+
+
+@register("balanced_cap")
+def q_balanced_cap(spark, sf_dir):
+    return S.balanced_cap(clean_fixture(spark, sf_dir), CAP)
+
+
+@register("proportional_cap")
+def q_proportional_cap(spark, sf_dir):
+    return S.proportional_cap(clean_fixture(spark, sf_dir), CAP)
+
+
+@register("uniform_cap")
+def q_uniform_cap(spark, sf_dir):
+    return S.uniform_cap(clean_fixture(spark, sf_dir), CAP)
+
+
+@register("cap_policy")
+def q_cap_policy(spark, sf_dir):
+    return S.cap_policy(clean_fixture(spark, sf_dir), S.DEFAULT_CAP)
+
+
+@register("scatter_sample")
+def q_scatter_sample(spark, sf_dir):
+    return S.scatter_sample(clean_fixture(spark, sf_dir), SCATTER_POINTS, "type")
+
+
+@register("impute_median")
+def q_impute_median(spark, sf_dir):
+    prep = R.prepare_numeric(clean_fixture(spark, sf_dir))
+    return prep.select(KEY_COLUMN, "rating", "duration", r6(F.col("cost_per_day")).alias("cost_per_day"))
+
+
+# ---- chart data ----------------------------------------------------------------
+
+def _hist6(h):
+    return h.select("bin", r6(F.col("bin_lo")).alias("bin_lo"), r6(F.col("bin_hi")).alias("bin_hi"), "count")
+
+
+@register("price_histogram_log")
+def q_price_histogram_log(spark, sf_dir):
+    return _hist6(CD.price_histogram(clean_fixture(spark, sf_dir)))
+
+
+@register("price_histogram")
+def q_price_histogram(spark, sf_dir):
+    """Explorer price histogram (linear bins) over the filtered rows."""
+    return _hist6(CD.histogram(explorer_rows(spark, sf_dir), "price", CD.EXPLORER_PRICE_BINS))
+
+
+@register("rating_histogram")
+def q_rating_histogram(spark, sf_dir):
+    return _hist6(CD.histogram(clean_fixture(spark, sf_dir), "rating", CD.RATING_BINS))
+
+
+@register("rating_histogram_dashboard")
+def q_rating_histogram_dashboard(spark, sf_dir):
+    df = clean_fixture(spark, sf_dir)
+    return _hist6(CD.histogram(df, "rating", CD.RATING_BINS_DASHBOARD, n_rule_rows=df))
+
+
+@register("cost_per_day_histogram")
+def q_cost_per_day_histogram(spark, sf_dir):
+    return _hist6(CD.histogram(AN.analytics_projection(clean_fixture(spark, sf_dir)), "cost_per_day", CD.COST_BINS))
+
+
+@register("rating_box_by_type")
+def q_rating_box_by_type(spark, sf_dir):
+    b = CD.box_stats(clean_fixture(spark, sf_dir), "rating", "type")
+    return b.select("type", *[r6(F.col(c)).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi",
+                                                                "min", "max")], "n", "n_outliers")
+
+
+# ---- tiers ---------------------------------------------------------------------
+
+def _assigned(spark, sf_dir):
+    rows = T.model_rows(clean_fixture(spark, sf_dir))
+    return T.assign_centers(rows, T.quantile_centers(rows, CENTER_QS))
+
+
+@register("assign_centers")
+def q_assign_centers(spark, sf_dir):
+    return _assigned(spark, sf_dir).select(KEY_COLUMN, "price", r6(F.col("cost_per_day")).alias("cost_per_day"),
+                                           "cluster", "cluster_label")
+
+
+@register("tier_counts")
+def q_tier_counts(spark, sf_dir):
+    return CD.tier_counts(_assigned(spark, sf_dir))
+
+
+@register("kmeans_tiers")
+def q_kmeans_tiers(spark, sf_dir):
+    return T.kmeans_tiers(clean_fixture(spark, sf_dir)).select(KEY_COLUMN, "price", "cost_per_day", "cluster",
+                                                               "cluster_label")
+
+
+# ---- recommendations -----------------------------------------------------------
+
+def _feats(spark, sf_dir):
+    return R.features(R.prepare_numeric(clean_fixture(spark, sf_dir)))
+
+
+@register("features")
+def q_features(spark, sf_dir):
+    f = _feats(spark, sf_dir)
+    return f.select(KEY_COLUMN, *[r6(F.col(z)).alias(z) for z in R.Z], "location_bucket", "type_key",
+                    r6(F.col("norm")).alias("norm"))
+
+
+@register("similar_listings")
+def q_similar_listings(spark, sf_dir):
+    f = _feats(spark, sf_dir)
+    out = R.similar_listings(f, R.row_at(f, 0).drop("_order_u"), 5)
+    return out.withColumn("similarity", r6(F.col("similarity"))).withColumn("cost_per_day", r6(F.col("cost_per_day")))
+
+
+@register("batch_recommend")
+def q_batch_recommend(spark, sf_dir):
+    out = R.batch_recommend(_feats(spark, sf_dir), None, 5)
+    return out.withColumn("similarity", r6(F.col("similarity"))).withColumn("cost_per_day", r6(F.col("cost_per_day")))
+
+
+@register("recommend_preferences")
+def q_recommend_preferences(spark, sf_dir):
+    out = R.recommend_preferences(clean_fixture(spark, sf_dir), top_k=8, **PREFS)
+    return (out.withColumn("similarity_to_ideal", r6(F.col("similarity_to_ideal")))
+            .withColumn("cost_per_day", r6(F.col("cost_per_day"))))
+
+
+@register("preference_filter")
+def q_preference_filter(spark, sf_dir):
+    prep = R.prepare_numeric(clean_fixture(spark, sf_dir))
+    out = FL.preference_filter(prep, types=["Standard", "offer", "PROMO"], **PREFS)
+    return out.select(KEY_COLUMN, "price", "rating", "location", "type")
+
+
+# ---- sentiment -----------------------------------------------------------------
+
+def _scored(spark, sf_dir, digits=None):
+    lex = X.lexicon_frame(spark, LEXICON)
+    return X.sentiment(FX.reviews(spark, sf_dir), lex, "doc_id", digits=digits)
+
+
+@register("sentiment")
+def q_sentiment(spark, sf_dir):
+    s = _scored(spark, sf_dir)
+    return s.select("doc_id", *[r6(F.col(c)).alias(c) for c in ("sentiment_compound", "sentiment_pos",
+                                                                 "sentiment_neg", "sentiment_neu")])
+
+
+@register("sentiment_by_language")
+def q_sentiment_by_language(spark, sf_dir):
+    r = X.sentiment_rollup(_scored(spark, sf_dir, digits=(4, 3)), "location")
+    return r.select("location", "reviews", *[r6(F.col(c)).alias(c) for c in r.columns if c.startswith("avg_")])
+
+
+@register("sentiment_histogram")
+def q_sentiment_histogram(spark, sf_dir):
+    return _hist6(CD.histogram(_scored(spark, sf_dir, digits=(4, 3)), "sentiment_compound", CD.SENTIMENT_BINS))
