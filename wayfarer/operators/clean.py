@@ -17,7 +17,7 @@ from wayfarer.functions.numeric import to_double
 from wayfarer.functions.text import null_if_na_token, strip
 from wayfarer.operators.mapping import complete_columns, normalize_headers
 from wayfarer.operators.ranking import ranked_values
-from wayfarer.session import materialize
+from wayfarer.session import materialize, small_table
 from wayfarer.schema import DEFAULT_TYPE, KEY_COLUMN, LISTING_COLUMNS, NUMERIC_COLUMNS, STRING_COLUMNS
 
 DEDUP_KEY = ["name", "location", "price", "source"]
@@ -89,17 +89,20 @@ def impute_rating(df: DataFrame, key: str = KEY_COLUMN, seed: int = IMPUTE_SEED,
     """
     c = F.col(column)
     observed = df.where(c.isNotNull())
-    ranked = ranked_values(observed, column)          # distinct ratings only
-    n_obs = observed.agg(F.count(F.lit(1))).scalar()
-    n_vals = ranked.agg(F.count(F.lit(1))).scalar()
-    width = F.greatest(F.ceil(n_obs / F.greatest(n_vals, F.lit(1))), F.lit(1)).cast("bigint")
+    ranked = materialize(ranked_values(observed, column), "rating_ranks")   # distinct ratings only
+    tot = ranked.agg(F.sum("cnt").alias("n_obs"), F.count(F.lit(1)).alias("n_vals")).first()
+    n_obs, n_vals = int(tot["n_obs"] or 0), int(tot["n_vals"] or 0)
+    width = max(-(-n_obs // max(n_vals, 1)), 1)   # ordinal bucket width: ~one interval per bucket
     lo, hi = F.col("below"), F.col("below") + F.col("cnt") - 1
     intervals = ranked.select(
         F.col(column).alias("_draw"), F.col("below").alias("_lo"), (F.col("below") + F.col("cnt")).alias("_hi"),
-        F.explode(F.sequence(F.floor(lo / width), F.floor(hi / width))).alias("_ob"))
+        F.explode(F.sequence(F.floor(lo / F.lit(width)), F.floor(hi / F.lit(width)))).alias("_ob"))
+    # one row per distinct rating (plus bucket spill-over): broadcast when the
+    # checked size allows, else a shuffle join on the bucket
+    intervals = small_table(intervals, 1_000_000) or intervals
     u = hash_u(key, seed)
-    missing = df.where(c.isNull()).withColumn("_d", F.when(n_obs > 0, F.pmod(u, n_obs)))
-    missing = missing.withColumn("_ob", F.floor(F.col("_d") / width))
+    missing = df.where(c.isNull()).withColumn("_d", F.pmod(u, F.lit(n_obs)) if n_obs > 0 else F.lit(None).cast("bigint"))
+    missing = missing.withColumn("_ob", F.floor(F.col("_d") / F.lit(width)))
     filled = (missing.join(intervals, "_ob", "left")
               .where(F.col("_lo").isNull() | ((F.col("_d") >= F.col("_lo")) & (F.col("_d") < F.col("_hi")))))
     fallback = F.lit(3.0) + F.lit(2.0) * (u / F.lit(U_RANGE))

@@ -16,8 +16,8 @@ None of these puts a whole group into one task:
   only the boundary bin's rows are ranked with a window.
 * ``consecutive_index`` numbers rows 1..n in a total order: range-partitioned
   sort, in-partition positions from ``monotonically_increasing_id``, the
-  layout frozen with a reliable checkpoint, then per-partition offsets from a
-  table with one row per partition.
+  layout frozen by writing it to the shared checkpoint folder, then
+  per-partition offsets from a table with one row per partition.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfarer.functions.keys import U_BITS
+from wayfarer.session import small_table
 
 HASH_BIN_BITS = 16
 _BIN_SHIFT = U_BITS - HASH_BIN_BITS
@@ -54,7 +55,10 @@ def ranked_values(df: DataFrame, value: str, group_cols: Sequence[str] = (),
     if g:
         w = w.join(stats, g)
     else:
-        w = w.select("*", *[stats.select(c).scalar().alias(c) for c in ("_lo", "_hi", "_n")])
+        row = stats.first()   # one row: the global range and count
+        vals = (row["_lo"], row["_hi"], row["_n"]) if row is not None else (None, None, 0)
+        w = w.select("*", F.lit(vals[0]).cast("double").alias("_lo"), F.lit(vals[1]).cast("double").alias("_hi"),
+                     F.lit(vals[2]).cast("bigint").alias("_n"))
     span = F.col("_hi") - F.col("_lo")
     w = w.withColumn(
         "_bin",
@@ -113,34 +117,43 @@ def exact_quantile_scalar(df: DataFrame, value: str, q: float) -> Column:
     return exact_quantiles(df, value, [q], names=["_q"]).select("_q").scalar()
 
 
-def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (),
-               flag: str | None = None) -> DataFrame:
-    """Rows with the k smallest (u, tie) per group.
-
-    ``u`` must be a uniform 60-bit hash column; ``k`` an int, a scalar Column,
-    or the name of a column that is constant within each group. With ``flag``
-    every row is returned and ``flag`` marks the kept ones.
-    """
-    g = list(group_cols)
-    d = df.withColumn("_hb", F.shiftright(F.col(u), _BIN_SHIFT))
-    if isinstance(k, str):
-        d = d.withColumn("_k", F.col(k))
-    else:
-        d = d.withColumn("_k", k if isinstance(k, Column) else F.lit(int(k)))
-    d = d.withColumn("_k", F.col("_k").cast("bigint"))
+def _bin_bounds(d: DataFrame, g: list[str]) -> DataFrame:
+    """Per group: row count, boundary bin and rows still needed inside it."""
     counts = d.groupBy(*g, "_hb").agg(F.count(F.lit(1)).alias("_c"), F.max("_k").alias("_k"))
     cum = F.coalesce(F.sum("_c").over(
         Window.partitionBy(*g).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.withColumn("_cb", cum)
     boundary = (F.col("_cb") < F.col("_k")) & (F.col("_k") <= F.col("_cb") + F.col("_c"))
-    bounds = counts.groupBy(*g).agg(
-        F.sum("_c").alias("_ng"),
+    return counts.groupBy(*g).agg(
+        F.sum("_c").alias("_ng"), F.max("_k").alias("_kg"),
         F.max(F.when(boundary, F.col("_hb"))).alias("_bstar"),
         F.max(F.when(boundary, F.col("_k") - F.col("_cb"))).alias("_need"))
+
+
+def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (),
+               flag: str | None = None, max_groups: int = 100_000) -> DataFrame:
+    """Rows with the k smallest (u, tie) per group.
+
+    ``u`` must be a uniform 60-bit hash column; ``k`` an int or the name of a
+    column that is constant within each group. With ``flag`` every row is
+    returned and ``flag`` marks the kept ones.
+
+    One aggregation pass counts rows per (group, u-bin); the per-group
+    boundary table (one row per group, size-checked) is broadcast, or
+    inlined as literals for a single group; a second pass keeps the rows
+    below the boundary bin and ranks only the boundary bin's rows.
+    """
+    g = list(group_cols)
+    d = df.withColumn("_hb", F.shiftright(F.col(u), _BIN_SHIFT))
+    d = d.withColumn("_k", (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("bigint"))
+    bounds = _bin_bounds(d, g)
     if g:
-        d = d.join(bounds, g, "left")
+        small = small_table(bounds, max_groups)
+        d = d.join(small if small is not None else bounds, g, "left")
     else:
-        d = d.select("*", *[bounds.select(c).scalar().alias(c) for c in ("_ng", "_bstar", "_need")])
+        row = bounds.first()
+        vals = (row["_ng"], row["_bstar"], row["_need"]) if row is not None else (0, None, None)
+        d = d.select("*", *[F.lit(v).cast("bigint").alias(c) for v, c in zip(vals, ("_ng", "_bstar", "_need"))])
     take_all = F.col("_ng") <= F.col("_k")
     positive = F.col("_k") > 0
     inner = d.where(F.col("_bstar").isNull() | (F.col("_hb") != F.col("_bstar")))
@@ -150,31 +163,39 @@ def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (
     rn = F.row_number().over(Window.partitionBy(*g).orderBy(F.col(u), F.col(tie)))
     edge = edge.withColumn("_sel", F.coalesce(take_all | (positive & (rn <= F.col("_need"))), F.lit(False)))
     both = inner.unionByName(edge)
-    drop = ["_hb", "_k", "_ng", "_bstar", "_need"]
+    drop = ["_hb", "_k", "_ng", "_kg", "_bstar", "_need"]
+    drop = [c for c in drop if c in both.columns]
     if flag:
         return both.withColumnRenamed("_sel", flag).drop(*drop)
     return both.where("_sel").drop(*drop, "_sel")
 
 
-def row_at_hash_rank(df: DataFrame, u: str, tie: str, rank) -> DataFrame:
-    """The single row at 0-based position ``rank`` in (u, tie) order (empty if out of range)."""
-    r = rank if isinstance(rank, Column) else F.lit(int(rank))
-    top = hash_top_k(df, u, tie, r + 1)
-    # the wanted row is the last kept one; a limit-1 top-k keeps one row per task
-    return top.orderBy(F.col(u).desc(), F.col(tie).desc()).limit(1)
+def row_at_hash_rank(df: DataFrame, u: str, tie: str, rank: int) -> DataFrame:
+    """The single row at 0-based position ``rank`` in (u, tie) order (empty if
+    out of range): one counting pass, then only the boundary bin is ranked."""
+    rank = int(rank)
+    if rank == 0:
+        return df.orderBy(F.col(u), F.col(tie)).limit(1)
+    d = df.withColumn("_hb", F.shiftright(F.col(u), _BIN_SHIFT)).withColumn("_k", F.lit(rank + 1).cast("bigint"))
+    row = _bin_bounds(d, []).first()
+    if row is None or row["_bstar"] is None:
+        return df.limit(0)
+    edge = df.where(F.shiftright(F.col(u), _BIN_SHIFT) == F.lit(row["_bstar"]))
+    rn = F.row_number().over(Window.orderBy(F.col(u), F.col(tie)))
+    return edge.withColumn("_rn", rn).where(F.col("_rn") == F.lit(row["_need"])).drop("_rn")
 
 
 def consecutive_index(df: DataFrame, order_cols: Sequence, index_col: str = "row_index",
                       partitions: int | None = None) -> DataFrame:
     """Number rows 1..n following ``order_cols`` (a total order), distributed.
 
-    The sorted layout is written as a reliable checkpoint (shared checkpoint
-    folder) so that partition ids and in-partition positions are stable under
-    task retries; offsets come from a table with one row per partition.
+    The sorted layout (with partition id and in-partition position as
+    columns) is written once to the shared checkpoint folder, so the numbering
+    is stable under task retries; offsets come from a table with one row per
+    partition.
     """
     spark = df.sparkSession
-    from wayfarer.session import checkpoint_dir
-    checkpoint_dir(spark)
+    from wayfarer.session import materialize
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid = F.monotonically_increasing_id()
@@ -182,7 +203,7 @@ def consecutive_index(df: DataFrame, order_cols: Sequence, index_col: str = "row
             .withColumn("_mid", mid))
     laid = laid.select("*", F.shiftright("_mid", 33).alias("_pid"),
                        F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos")).drop("_mid")
-    laid = laid.checkpoint(eager=True)
+    laid = materialize(laid, "ordered")
     sizes = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
     sizes = sizes.withColumn("_off", F.coalesce(F.sum("_size").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

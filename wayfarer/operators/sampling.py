@@ -15,6 +15,7 @@ from wayfarer.functions.keys import hash_u
 from wayfarer.operators.analytics import complete_rows
 from wayfarer.operators.ranking import hash_top_k
 from wayfarer.schema import KEY_COLUMN
+from wayfarer.session import small_table
 
 CAP_SEED = 42
 FILL_SEED = 99
@@ -33,10 +34,12 @@ def source_counts(df: DataFrame) -> DataFrame:
                          F.count(F.lit(1)).over(Window.partitionBy()).alias("k"))
 
 
-def _with_quota(df: DataFrame, quotas: DataFrame) -> DataFrame:
-    # quotas has one row per source; AQE turns this into a broadcast join when
-    # the runtime size is small and keeps a shuffle join otherwise.
-    return df.withColumn("_src", _src()).join(quotas.select("_src", "quota"), "_src")
+def _with_quota(df: DataFrame, quotas: DataFrame, max_sources: int = 100_000) -> DataFrame:
+    """Attach each row's source quota; the quota table (one row per source) is
+    broadcast after a size check, else joined with a shuffle."""
+    q = quotas.select("_src", "quota")
+    small = small_table(q, max_sources)
+    return df.withColumn("_src", _src()).join(small if small is not None else q, "_src")
 
 
 def uniform_cap(df: DataFrame, cap: int, key: str = KEY_COLUMN, seed: int = CAP_SEED) -> DataFrame:
@@ -55,12 +58,16 @@ def balanced_cap(df: DataFrame, cap: int, key: str = KEY_COLUMN, seed: int = CAP
     base = F.floor(F.lit(cap) / F.col("k"))
     quota = (base + F.when(F.col("i") < F.lit(cap) % F.col("k"), 1).otherwise(0)).cast("bigint")
     quotas = counts.withColumn("quota", quota).withColumn("take", F.least(F.col("n_s"), F.col("quota")))
-    need = quotas.agg((F.lit(cap) - F.sum("take")).alias("need")).select("need").scalar()
+    quotas = small_table(quotas) or quotas
+    taken = quotas.agg(F.sum("take")).first()[0] or 0
+    need = max(int(cap) - int(taken), 0)
     d = _with_quota(df, quotas).withColumn("_u", hash_u(key, seed))
     flagged = hash_top_k(d, "_u", key, "quota", ["_src"], flag="_chosen")
     chosen = flagged.where("_chosen").select(*cols)
+    if need == 0:
+        return chosen
     rest = flagged.where(~F.col("_chosen")).select(*cols).withColumn("_u2", hash_u(key, fill_seed))
-    fill = hash_top_k(rest, "_u2", key, F.greatest(need, F.lit(0))).select(*cols)
+    fill = hash_top_k(rest, "_u2", key, need).select(*cols)
     return chosen.unionByName(fill)
 
 
@@ -84,6 +91,7 @@ def proportional_cap(df: DataFrame, cap: int, key: str = KEY_COLUMN, seed: int =
     if k <= 1 or m < 2 or cap < k or n - cap < k:
         return uniform_cap(df, cap, key, seed)
     quotas = proportional_quotas(counts, cap)
+    quotas = small_table(quotas) or quotas
     d = _with_quota(df, quotas).withColumn("_u", hash_u(key, seed))
     return hash_top_k(d, "_u", key, "quota", ["_src"]).select(*df.columns)
 

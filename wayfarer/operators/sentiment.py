@@ -2,9 +2,9 @@
 
 Whole review texts are tokenised on the executors (``[a-z]+`` over the
 lower-cased text); tokens are exploded with their position and a flag for
-"a negation word among the three previous tokens" (computed with array
-functions, no window); token valences come from a lexicon table joined by
-token; per-review sums are pre-aggregated map-side (a review's tokens never
+"a negation word among the three previous tokens" (shifted copies of the
+token array zipped with it: no window, no per-element lambda); token
+valences come from a lexicon table joined by token; per-review sums are pre-aggregated map-side (a review's tokens never
 leave their partition before the combine) and joined back by key.
 
 Scores follow the published valence-aware formulas: compound =
@@ -39,23 +39,45 @@ def lexicon_frame(spark: SparkSession, entries: Iterable[tuple[str, float]]) ->
     return spark.createDataFrame(list(entries), "token string, valence double")
 
 
-def _negated_flags(tokens):
-    neg = F.array(*[F.lit(w) for w in NEGATIONS])
-    return F.transform(tokens, lambda t, i: F.exists(
-        F.slice(tokens, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))),
-        lambda p: F.array_contains(neg, p)))
+def _shifted(tokens, k: int):
+    """The token array shifted right by k (k empty strings in front), same length."""
+    pad = F.array(*[F.lit("") for _ in range(k)])
+    return F.slice(F.concat(pad, tokens), 1, F.size(tokens))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Text work is CPU-bound per document: when the scan yields fewer
+    partitions than the cluster has cores, spread the documents first."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(2 * cores)
+    return df
 
 
 def token_scores(df: DataFrame, lexicon: DataFrame, key: str, text: str = "review_text",
                  negation: bool = True) -> DataFrame:
-    """key, s, pos_sum, neg_sum, neu_count for every review that has tokens."""
+    """key, s, pos_sum, neg_sum, neu_count for every review that has tokens.
+
+    Each token travels with its three predecessors (shifted copies of the
+    token array, zipped), so the negation test is a hash-set membership on
+    the exploded row: no window, no per-element lambda.
+    """
     txt = F.col(text).cast("string")
     blank = txt.isNull() | (F.btrim(txt) == "") | (F.lower(F.btrim(txt)) == "nan")
-    tok = df.select(key, F.when(~blank, F.regexp_extract_all(F.lower(txt), F.lit(TOKEN_PATTERN), 0)).alias("_t"))
+    tok = _spread(df.select(key, text)).select(
+        key, F.when(~blank, F.regexp_extract_all(F.lower(txt), F.lit(TOKEN_PATTERN), 0)).alias("_t"))
     tok = tok.where(F.size("_t") > 0)
-    flags = _negated_flags(F.col("_t")) if negation else F.transform(F.col("_t"), lambda t: F.lit(False))
-    exploded = tok.select(key, F.explode(F.arrays_zip(F.col("_t").alias("t"), flags.alias("n"))).alias("_z"))
-    exploded = exploded.select(key, F.col("_z.t").alias("token"), F.col("_z.n").alias("_neg"))
+    t = F.col("_t")
+    if negation:
+        zipped = F.arrays_zip(t.alias("t"), _shifted(t, 1).alias("p1"), _shifted(t, 2).alias("p2"),
+                              _shifted(t, 3).alias("p3"))
+        exploded = tok.select(key, F.explode(zipped).alias("_z"))
+        negated = (F.col("_z.p1").isin(NEGATIONS) | F.col("_z.p2").isin(NEGATIONS)
+                   | F.col("_z.p3").isin(NEGATIONS))
+        exploded = exploded.select(key, F.col("_z.t").alias("token"), negated.alias("_neg"))
+    else:
+        exploded = tok.select(key, F.explode(t).alias("token"), F.lit(False).alias("_neg"))
     n_lex = lexicon.count()
     lex = F.broadcast(lexicon) if n_lex <= MAX_BROADCAST_LEXICON else lexicon
     j = exploded.join(lex, "token", "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -74,14 +75,31 @@ def materialize(df, name: str = "stage"):
     """Cut the lineage of a DataFrame that feeds several consumers.
 
     With a shared checkpoint folder configured the rows are written there once
-    (reliable checkpoint: survives executor loss, every consumer re-reads the
-    files instead of recomputing joins and shuffles). Without one, fall back
-    to ``persist(MEMORY_AND_DISK)``, which recomputes lost blocks from lineage.
+    as a Parquet table and read back: the write survives executor loss, and
+    every consumer gets column pruning and filter pushdown on the stored
+    columns instead of recomputing joins and shuffles. Without a shared
+    folder, fall back to ``persist(MEMORY_AND_DISK)`` (lost blocks are
+    recomputed from lineage).
     """
     from pyspark import StorageLevel
 
     spark = df.sparkSession
     if has_checkpoint_dir(spark):
-        checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
+        path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def small_table(df, max_rows: int = 100_000):
+    """Collect a table that is small by construction after checking its size.
+
+    Returns a local DataFrame wrapped in ``broadcast`` when it has at most
+    ``max_rows`` rows, else ``None`` (callers then keep a shuffle join).
+    """
+    from pyspark.sql import functions as F
+
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
