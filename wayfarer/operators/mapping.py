@@ -44,10 +44,11 @@ def complete_columns(df: DataFrame, columns: Iterable[str] = LISTING_COLUMNS,
 
 
 def map_to_listing_schema(df: DataFrame, mapping: Mapping[str, str], source_name: str,
-                          default_type: str = DEFAULT_TYPE) -> DataFrame:
+                          default_type: str = DEFAULT_TYPE, source_col: Column | None = None) -> DataFrame:
     """Project any feed onto the listing schema in a single ``select``.
 
-    Unmapped / absent targets are NULL; ``source`` is the label; ``type`` is
+    Unmapped / absent targets are NULL; ``source`` is the label (or the
+    per-row ``source_col`` expression, e.g. built from the file name); ``type`` is
     defaulted, stripped and lower-cased; prices / durations are parsed from
     text; ratings are coerced; text that is blank or an NA token is NULL.
     """
@@ -81,7 +82,7 @@ def map_to_listing_schema(df: DataFrame, mapping: Mapping[str, str], source_name
     return df.select(
         name.alias("name"), typ.alias("type"), location.alias("location"),
         price.cast("double").alias("price"), duration.cast("double").alias("duration"),
-        rating.cast("double").alias("rating"), F.lit(source_name).alias("source"),
+        rating.cast("double").alias("rating"), (source_col if source_col is not None else F.lit(source_name)).alias("source"),
         review.alias("review_text"),
     )
 

@@ -33,20 +33,32 @@ def invalid_utf8_files(spark: SparkSession, paths: Sequence[str] | str) -> set[s
     return {r.f for r in bad.collect()}
 
 
-def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, detect_encoding: bool = True) -> DataFrame:
-    """All-text CSV scan with a header; Latin-1 for files that are not UTF-8."""
+FILE_COLUMN = "_source_file"
+
+
+def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, detect_encoding: bool = True,
+                  with_file_name: bool = False) -> DataFrame:
+    """All-text CSV scan with a header; Latin-1 for files that are not UTF-8.
+    ``with_file_name`` adds the file name of every row as ``_source_file``."""
     paths_list = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.options(**CSV_OPTIONS)
+
+    def scan(ps, encoding=None):
+        r = spark.read.options(**CSV_OPTIONS)
+        if encoding:
+            r = r.option("encoding", encoding)
+        df = r.csv(ps)
+        return df.withColumn(FILE_COLUMN, F.col("_metadata.file_name")) if with_file_name else df
+
     if not detect_encoding:
-        return reader.csv(paths_list)
+        return scan(paths_list)
     bad = invalid_utf8_files(spark, paths_list)
     if not bad:
-        return reader.csv(paths_list)
-    good_paths = [p for p in paths_list if p not in bad and not any(b.endswith(p) for b in bad)]
-    latin = spark.read.options(**CSV_OPTIONS).option("encoding", "ISO-8859-1").csv(sorted(bad))
-    if not good_paths:
+        return scan(paths_list)
+    good = [p for p in paths_list if not any(b == p or b.endswith(p.split("://")[-1]) for b in bad)]
+    latin = scan(sorted(bad), "ISO-8859-1")
+    if not good:
         return latin
-    return reader.csv(good_paths).unionByName(latin, allowMissingColumns=True)
+    return scan(good).unionByName(latin, allowMissingColumns=True)
 
 
 def read_listing_files(spark: SparkSession, pattern: str) -> DataFrame:

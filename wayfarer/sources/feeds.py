@@ -11,12 +11,12 @@ import logging
 import os
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfarer.operators.mapping import map_to_listing_schema, union_frames
 from wayfarer.schema import DEFAULT_TYPE, HEADER_ALIASES, SourceSpec
-from wayfarer.sources.csv import list_files, read_csv_text
+from wayfarer.sources.csv import FILE_COLUMN, list_files, read_csv_text
 
 log = logging.getLogger(__name__)
 
@@ -77,19 +77,22 @@ def load_folder(spark: SparkSession, folder: str) -> DataFrame:
         by_header.setdefault(header, []).append(f)
     frames = []
     for header, paths in by_header.items():
-        raw = read_csv_text(spark, paths).withColumn("_file", F.col("_metadata.file_name"))
-        mapping = alias_mapping(list(header))
-        mapped = map_to_listing_schema(raw, mapping, "", DEFAULT_TYPE).withColumn(
-            "source", F.concat(F.lit("external:"), F.regexp_replace(F.col("_file"), r"\.[^.]*$", "")))
-        frames.append(mapped.drop("_file") if "_file" in mapped.columns else mapped)
+        raw = read_csv_text(spark, paths, with_file_name=True)
+        frames.append(map_to_listing_schema(raw, alias_mapping(list(header)), "", DEFAULT_TYPE,
+                                            source_col=file_label(F.col(FILE_COLUMN))))
     return union_frames(frames, spark)
 
 
+def file_label(file_name: Column, prefix: str = "external:") -> Column:
+    """``<prefix><file name without its last extension>``."""
+    return F.concat(F.lit(prefix), F.regexp_replace(file_name, r"\.[^.]*$", ""))
+
+
 def external_import(spark: SparkSession, specs: Sequence[SourceSpec] = (), folder: str | None = None,
                     frames: Iterable[DataFrame] = ()) -> DataFrame:
     """Spec sources plus folder files (plus given frames), whole-row distinct."""
     parts = [import_sources(spark, specs)] if specs else []
-    if folder and os.path.isdir(folder) or (folder and "://" in folder):
+    if folder and (os.path.isdir(folder) or "://" in folder):
         parts.append(load_folder(spark, folder))
     parts.extend(frames)
     return union_frames(parts, spark).dropDuplicates()
