@@ -77,3 +77,13 @@ def test_consecutive_index(spark):
     want = df.toPandas().sort_values(["g", "v", "id"], na_position="last")
     assert got["idx"].tolist() == list(range(1, 801))
     assert got["id"].tolist() == want["id"].tolist()
+
+
+def test_exact_quantiles_local_and_distributed_agree(spark):
+    df = _skewed(spark, 2000, 9)
+    qs = [0.1, 0.25, 0.5, 0.75]
+    a = {r["g"]: tuple(r[1:]) for r in exact_quantiles(df, "v", qs, ["g"]).collect()}
+    b = {r["g"]: tuple(r[1:]) for r in exact_quantiles(df, "v", qs, ["g"], max_local=0).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert all(abs(x - y) <= 1e-9 * max(1.0, abs(x)) for x, y in zip(a[k], b[k]))

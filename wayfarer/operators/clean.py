@@ -22,6 +22,7 @@ from wayfarer.schema import DEFAULT_TYPE, KEY_COLUMN, LISTING_COLUMNS, NUMERIC_C
 
 DEDUP_KEY = ["name", "location", "price", "source"]
 IMPUTE_SEED = 42
+MAX_LOCAL_VALUES = 100_000   # distinct ratings handled as one collected histogram
 
 
 def normalize_strings(df: DataFrame) -> DataFrame:
@@ -89,14 +90,27 @@ def impute_rating(df: DataFrame, key: str = KEY_COLUMN, seed: int = IMPUTE_SEED,
     """
     c = F.col(column)
     observed = df.where(c.isNotNull())
-    ranked = materialize(ranked_values(observed, column), "rating_ranks")   # distinct ratings only
-    tot = ranked.agg(F.sum("cnt").alias("n_obs"), F.count(F.lit(1)).alias("n_vals")).first()
-    n_obs, n_vals = int(tot["n_obs"] or 0), int(tot["n_vals"] or 0)
+    # distinct observed ratings with their ordinal intervals [lo, hi); ratings
+    # are a small value domain, so after a size check the intervals are built
+    # from one collected histogram; otherwise ranked_values does it distributed
+    hist = observed.groupBy(c.alias("_draw")).agg(F.count(F.lit(1)).alias("cnt"))
+    small = hist.orderBy("_draw").limit(MAX_LOCAL_VALUES + 1).collect()
+    if len(small) <= MAX_LOCAL_VALUES:
+        rows, lo_acc = [], 0
+        for r in small:
+            rows.append((r["_draw"], lo_acc, lo_acc + r["cnt"]))
+            lo_acc += r["cnt"]
+        n_obs, n_vals = lo_acc, len(rows)
+        ranked = df.sparkSession.createDataFrame(rows, "_draw double, _lo long, _hi long")
+    else:
+        rv = materialize(ranked_values(observed, column), "rating_ranks")
+        ranked = rv.select(F.col(column).alias("_draw"), F.col("below").alias("_lo"),
+                           (F.col("below") + F.col("cnt")).alias("_hi"))
+        tot = rv.agg(F.sum("cnt").alias("n_obs"), F.count(F.lit(1)).alias("n_vals")).first()
+        n_obs, n_vals = int(tot["n_obs"] or 0), int(tot["n_vals"] or 0)
     width = max(-(-n_obs // max(n_vals, 1)), 1)   # ordinal bucket width: ~one interval per bucket
-    lo, hi = F.col("below"), F.col("below") + F.col("cnt") - 1
-    intervals = ranked.select(
-        F.col(column).alias("_draw"), F.col("below").alias("_lo"), (F.col("below") + F.col("cnt")).alias("_hi"),
-        F.explode(F.sequence(F.floor(lo / F.lit(width)), F.floor(hi / F.lit(width)))).alias("_ob"))
+    intervals = ranked.select("_draw", "_lo", "_hi", F.explode(F.sequence(
+        F.floor(F.col("_lo") / F.lit(width)), F.floor((F.col("_hi") - 1) / F.lit(width)))).alias("_ob"))
     # one row per distinct rating (plus bucket spill-over): broadcast when the
     # checked size allows, else a shuffle join on the bucket
     intervals = small_table(intervals, 1_000_000) or intervals

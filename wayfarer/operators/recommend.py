@@ -98,10 +98,13 @@ def _dot(q: dict) -> Column:
     return acc
 
 
-def _query_values(one_row: DataFrame) -> dict | None:
-    cols = Z + ["location_bucket", "type_key", "norm", KEY_COLUMN, "name"]
-    r = one_row.select(*cols).first()
-    return None if r is None else {c: r[c] for c in cols}
+QUERY_COLUMNS = Z + ["location_bucket", "type_key", "norm", KEY_COLUMN, "name"]
+
+
+def _query_values(one_row) -> dict | None:
+    """Query features from a one-row DataFrame (or an already collected Row)."""
+    r = one_row.select(*QUERY_COLUMNS).first() if isinstance(one_row, DataFrame) else one_row
+    return None if r is None else {c: r[c] for c in QUERY_COLUMNS}
 
 
 def similarity_to(q: dict) -> Column:
@@ -116,9 +119,9 @@ def _result_columns(feats: DataFrame) -> list[str]:
     return [c for c in keep if c in feats.columns]
 
 
-def similar_listings(feats: DataFrame, query_row: DataFrame, top_k: int = 5) -> DataFrame:
-    """Top-k listings most similar to the single row of ``query_row`` (a
-    one-row selection of ``feats``), the query itself excluded."""
+def similar_listings(feats: DataFrame, query_row, top_k: int = 5) -> DataFrame:
+    """Top-k listings most similar to the query listing (a one-row selection
+    of ``feats``, or that row already collected), the query itself excluded."""
     q = _query_values(query_row)
     if q is None:
         raise IndexError("query row not found")
@@ -139,8 +142,14 @@ def row_at(feats: DataFrame, index) -> DataFrame:
 
 def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k: int = 5) -> DataFrame:
     """Top-k similar listings for each seed position (default: first, middle
-    and last row); one TakeOrderedAndProject per seed, unioned."""
-    n = feats.agg(F.count(F.lit(1))).first()[0]
+    and last row of the table's row order); one TakeOrderedAndProject per
+    seed, unioned. Row count, first and last rows come from one aggregate."""
+    fo = with_row_order(feats)
+    order = F.struct(F.col("_order_u"), F.col(KEY_COLUMN))
+    row = F.struct(*[F.col(c) for c in QUERY_COLUMNS])
+    ends = fo.agg(F.count(F.lit(1)).alias("n"), F.min_by(row, order).alias("first"),
+                  F.max_by(row, order).alias("last")).first()
+    n = int(ends["n"])
     if n < 2:
         return feats.limit(0)
     if seeds is None:
@@ -149,7 +158,13 @@ def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k:
     for s in seeds:
         if s >= n:
             continue
-        rec = similar_listings(feats, row_at(feats, s).drop("_order_u"), min(top_k, n - 1))
+        if s == 0:
+            q = ends["first"]
+        elif s == n - 1:
+            q = ends["last"]
+        else:
+            q = row_at_hash_rank(fo, "_order_u", KEY_COLUMN, s).select(*QUERY_COLUMNS).first()
+        rec = similar_listings(feats, q, min(top_k, n - 1))
         parts.append(rec.withColumn("seed_index", F.lit(int(s))))
     out = parts[0]
     for p in parts[1:]:

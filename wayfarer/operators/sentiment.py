@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfarer.schema import SENTIMENT_COLUMNS
+from wayfarer.session import spread_if_narrow
 
 # Negation words (apostrophe-free forms, as produced by the tokeniser).
 NEGATIONS = [
@@ -45,16 +46,6 @@ def _shifted(tokens, k: int):
     return F.slice(F.concat(pad, tokens), 1, F.size(tokens))
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Text work is CPU-bound per document: when the scan yields fewer
-    partitions than the cluster has cores, spread the documents first."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(2 * cores)
-    return df
-
-
 def token_scores(df: DataFrame, lexicon: DataFrame, key: str, text: str = "review_text",
                  negation: bool = True) -> DataFrame:
     """key, s, pos_sum, neg_sum, neu_count for every review that has tokens.
@@ -65,7 +56,7 @@ def token_scores(df: DataFrame, lexicon: DataFrame, key: str, text: str = "revie
     """
     txt = F.col(text).cast("string")
     blank = txt.isNull() | (F.btrim(txt) == "") | (F.lower(F.btrim(txt)) == "nan")
-    tok = _spread(df.select(key, text)).select(
+    tok = spread_if_narrow(df.select(key, text), key).select(
         key, F.when(~blank, F.regexp_extract_all(F.lower(txt), F.lit(TOKEN_PATTERN), 0)).alias("_t"))
     tok = tok.where(F.size("_t") > 0)
     t = F.col("_t")

@@ -103,3 +103,15 @@ def small_table(df, max_rows: int = 100_000):
     if len(rows) > max_rows:
         return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread_if_narrow(df, *cols):
+    """Hash-spread a scan that yields fewer partitions than the session has
+    cores (a file with a single row group is read by a single task). On a
+    large input this is a no-op: its scan already has many splits."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    n = 2 * cores
+    return df.repartition(n, *cols) if cols else df.repartition(n)

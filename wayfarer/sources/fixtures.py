@@ -11,15 +11,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wayfarer.session import spread_if_narrow
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _lineitem_star(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
+    li = spread_if_narrow(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag"), "l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -118,7 +120,7 @@ def booking_demand_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as listings with review text (whole texts)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread_if_narrow(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     return docs.select(
         F.concat(F.lit("doc "), F.col("doc_id").cast("string")).alias("name"),
         F.lit("review").alias("type"),
