@@ -87,3 +87,16 @@ def test_exact_quantiles_local_and_distributed_agree(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert all(abs(x - y) <= 1e-9 * max(1.0, abs(x)) for x, y in zip(a[k], b[k]))
+
+
+def test_hash_top_k_refines_large_boundary_bins(spark, monkeypatch):
+    import wayfarer.operators.ranking as RK
+    monkeypatch.setattr(RK, "EDGE_LIMIT", 5)          # force the multi-level refinement
+    df = _skewed(spark, 1500, 3).withColumn("key", F.col("id").cast("string"))
+    d = df.withColumn("u", hash_u("key", 8))
+    pdf = d.toPandas()
+    for bits_rows in (None, 40):
+        got = {r.key for r in RK.hash_top_k(d, "u", "key", 333, max_group_rows=bits_rows).collect()}
+        assert got == set(pdf.sort_values(["u", "key"]).head(333)["key"])
+    got_g = RK.hash_top_k(d.withColumn("k", F.lit(25)), "u", "key", "k", ["g"], max_group_rows=500).toPandas()
+    assert set(got_g["key"]) == set(pdf.sort_values(["u", "key"]).groupby("g").head(25)["key"])

@@ -34,7 +34,6 @@ from wayfarer.functions.keys import U_BITS
 from wayfarer.session import small_table
 
 HASH_BIN_BITS = 16
-_BIN_SHIFT = U_BITS - HASH_BIN_BITS
 
 
 def _signed_log(c: Column) -> Column:
@@ -170,54 +169,95 @@ def exact_quantile_scalar(df: DataFrame, value: str, q: float) -> Column:
     return exact_quantiles(df, value, [q], names=["_q"]).select("_q").scalar()
 
 
+EDGE_LIMIT = 2_000_000        # rows ranked directly inside one boundary bin
+TARGET_BIN_ROWS = 1024        # rows per bin aimed at when the group size is known
+
+
 def _bin_bounds(d: DataFrame, g: list[str]) -> DataFrame:
-    """Per group: row count, boundary bin and rows still needed inside it."""
+    """Per group: row count, boundary bin, rows still needed inside it and its size."""
     counts = d.groupBy(*g, "_hb").agg(F.count(F.lit(1)).alias("_c"), F.max("_k").alias("_k"))
     cum = F.coalesce(F.sum("_c").over(
         Window.partitionBy(*g).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.withColumn("_cb", cum)
     boundary = (F.col("_cb") < F.col("_k")) & (F.col("_k") <= F.col("_cb") + F.col("_c"))
     return counts.groupBy(*g).agg(
-        F.sum("_c").alias("_ng"), F.max("_k").alias("_kg"),
+        F.sum("_c").alias("_ng"),
         F.max(F.when(boundary, F.col("_hb"))).alias("_bstar"),
-        F.max(F.when(boundary, F.col("_k") - F.col("_cb"))).alias("_need"))
+        F.max(F.when(boundary, F.col("_k") - F.col("_cb"))).alias("_need"),
+        F.max(F.when(boundary, F.col("_c"))).alias("_ec"))
 
 
-def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (),
-               flag: str | None = None, max_groups: int = 100_000) -> DataFrame:
-    """Rows with the k smallest (u, tie) per group.
+_BOUND_COLS = ["_ng", "_bstar", "_need", "_ec"]
 
-    ``u`` must be a uniform 60-bit hash column; ``k`` an int or the name of a
-    column that is constant within each group. With ``flag`` every row is
-    returned and ``flag`` marks the kept ones.
 
-    One aggregation pass counts rows per (group, u-bin); the per-group
-    boundary table (one row per group, size-checked) is broadcast, or
-    inlined as literals for a single group; a second pass keeps the rows
-    below the boundary bin and ranks only the boundary bin's rows.
-    """
-    g = list(group_cols)
-    d = df.withColumn("_hb", F.shiftright(F.col(u), _BIN_SHIFT))
-    d = d.withColumn("_k", (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("bigint"))
+def _select(d: DataFrame, u: str, tie: str, g: list[str], shift: int, bits: int,
+            max_groups: int) -> DataFrame:
+    """Mark ``_sel`` on every row of ``d`` (which carries the per-group ``_k``):
+    bins = ``bits`` hash bits below ``shift``; bins under the boundary are kept,
+    the boundary bin is refined on the next bits while it is larger than
+    EDGE_LIMIT, then ranked by a window."""
+    mask = (1 << bits) - 1
+    d = d.withColumn("_hb", F.shiftright(F.col(u), shift).bitwiseAND(F.lit(mask)))
     bounds = _bin_bounds(d, g)
+    edge_max = None
     if g:
         small = small_table(bounds, max_groups)
+        if small is not None:
+            edge_max = small.agg(F.max("_ec")).first()[0]
         d = d.join(small if small is not None else bounds, g, "left")
     else:
         row = bounds.first()
-        vals = (row["_ng"], row["_bstar"], row["_need"]) if row is not None else (0, None, None)
-        d = d.select("*", *[F.lit(v).cast("bigint").alias(c) for v, c in zip(vals, ("_ng", "_bstar", "_need"))])
+        vals = [row[c] for c in _BOUND_COLS] if row is not None else [0, None, None, None]
+        edge_max = vals[3]
+        d = d.select("*", *[F.lit(v).cast("bigint").alias(c) for v, c in zip(vals, _BOUND_COLS)])
     take_all = F.col("_ng") <= F.col("_k")
     positive = F.col("_k") > 0
     inner = d.where(F.col("_bstar").isNull() | (F.col("_hb") != F.col("_bstar")))
     inner = inner.withColumn("_sel", F.coalesce(take_all | (positive & (F.col("_hb") < F.col("_bstar"))),
                                                 F.lit(False)))
     edge = d.where(F.col("_hb") == F.col("_bstar"))
-    rn = F.row_number().over(Window.partitionBy(*g).orderBy(F.col(u), F.col(tie)))
-    edge = edge.withColumn("_sel", F.coalesce(take_all | (positive & (rn <= F.col("_need"))), F.lit(False)))
-    both = inner.unionByName(edge)
-    drop = ["_hb", "_k", "_ng", "_kg", "_bstar", "_need"]
-    drop = [c for c in drop if c in both.columns]
+    if edge_max is not None and edge_max > EDGE_LIMIT and shift > 0:
+        nxt = min(HASH_BIN_BITS, shift)
+        refined = _select(edge.withColumn("_k", F.col("_need")).drop(*_BOUND_COLS, "_hb"), u, tie, g,
+                          shift - nxt, nxt, max_groups)
+        edge = refined.withColumn("_hb", F.lit(None).cast("long"))
+        for c in _BOUND_COLS:
+            edge = edge.withColumn(c, F.lit(None).cast("long"))
+    else:
+        rn = F.row_number().over(Window.partitionBy(*g).orderBy(F.col(u), F.col(tie)))
+        edge = edge.withColumn("_sel", F.coalesce(take_all | (positive & (rn <= F.col("_need"))), F.lit(False)))
+    return inner.unionByName(edge.select(*inner.columns))
+
+
+def _bits_for(max_group_rows: int | None) -> int:
+    if max_group_rows is None:
+        return HASH_BIN_BITS
+    want = math.ceil(math.log2(max(max_group_rows, 1) / TARGET_BIN_ROWS)) if max_group_rows > TARGET_BIN_ROWS else 0
+    return int(min(HASH_BIN_BITS, max(4, want)))
+
+
+def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (),
+               flag: str | None = None, max_groups: int = 100_000,
+               max_group_rows: int | None = None) -> DataFrame:
+    """Rows with the k smallest (u, tie) per group.
+
+    ``u`` must be a uniform 60-bit hash column; ``k`` an int or the name of a
+    column that is constant within each group. With ``flag`` every row is
+    returned and ``flag`` marks the kept ones.
+
+    One aggregation pass counts rows per (group, hash bin) - at most 2**16
+    bins, fewer when ``max_group_rows`` says the groups are small; the
+    per-group boundary table (one row per group, size-checked) is broadcast,
+    or inlined as literals for a single group; rows below the boundary bin
+    are kept, and the boundary bin is refined on further hash bits while it
+    holds more than EDGE_LIMIT rows, then ranked with a window. No window
+    ever sees more than 2**16 bin counts or EDGE_LIMIT rows of one group.
+    """
+    g = list(group_cols)
+    bits = _bits_for(max_group_rows)
+    d = df.withColumn("_k", (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("bigint"))
+    both = _select(d, u, tie, g, U_BITS - bits, bits, max_groups)
+    drop = [c for c in ["_hb", "_k", *_BOUND_COLS] if c in both.columns]
     if flag:
         return both.withColumnRenamed("_sel", flag).drop(*drop)
     return both.where("_sel").drop(*drop, "_sel")
@@ -225,17 +265,17 @@ def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (
 
 def row_at_hash_rank(df: DataFrame, u: str, tie: str, rank: int) -> DataFrame:
     """The single row at 0-based position ``rank`` in (u, tie) order (empty if
-    out of range): one counting pass, then only the boundary bin is ranked."""
+    out of range): the rank+1 smallest rows via ``hash_top_k``, then their last."""
     rank = int(rank)
+    if rank < 0:
+        return df.limit(0)
     if rank == 0:
         return df.orderBy(F.col(u), F.col(tie)).limit(1)
-    d = df.withColumn("_hb", F.shiftright(F.col(u), _BIN_SHIFT)).withColumn("_k", F.lit(rank + 1).cast("bigint"))
-    row = _bin_bounds(d, []).first()
-    if row is None or row["_bstar"] is None:
+    if df.count() <= rank:
         return df.limit(0)
-    edge = df.where(F.shiftright(F.col(u), _BIN_SHIFT) == F.lit(row["_bstar"]))
-    rn = F.row_number().over(Window.orderBy(F.col(u), F.col(tie)))
-    return edge.withColumn("_rn", rn).where(F.col("_rn") == F.lit(row["_need"])).drop("_rn")
+    top = hash_top_k(df, u, tie, rank + 1)
+    # the wanted row is the last kept one; a limit-1 top-k keeps one row per task
+    return top.orderBy(F.col(u).desc(), F.col(tie).desc()).limit(1)
 
 
 def consecutive_index(df: DataFrame, order_cols: Sequence, index_col: str = "row_index",

@@ -61,13 +61,14 @@ def balanced_cap(df: DataFrame, cap: int, key: str = KEY_COLUMN, seed: int = CAP
     quotas = small_table(quotas) or quotas
     taken = quotas.agg(F.sum("take")).first()[0] or 0
     need = max(int(cap) - int(taken), 0)
+    biggest = quotas.agg(F.max("n_s")).first()[0]
     d = _with_quota(df, quotas).withColumn("_u", hash_u(key, seed))
-    flagged = hash_top_k(d, "_u", key, "quota", ["_src"], flag="_chosen")
+    flagged = hash_top_k(d, "_u", key, "quota", ["_src"], flag="_chosen", max_group_rows=biggest)
     chosen = flagged.where("_chosen").select(*cols)
     if need == 0:
         return chosen
     rest = flagged.where(~F.col("_chosen")).select(*cols).withColumn("_u2", hash_u(key, fill_seed))
-    fill = hash_top_k(rest, "_u2", key, need).select(*cols)
+    fill = hash_top_k(rest, "_u2", key, need, max_group_rows=int(biggest or 0) * int(quotas.count())).select(*cols)
     return chosen.unionByName(fill)
 
 
@@ -93,7 +94,7 @@ def proportional_cap(df: DataFrame, cap: int, key: str = KEY_COLUMN, seed: int =
     quotas = proportional_quotas(counts, cap)
     quotas = small_table(quotas) or quotas
     d = _with_quota(df, quotas).withColumn("_u", hash_u(key, seed))
-    return hash_top_k(d, "_u", key, "quota", ["_src"]).select(*df.columns)
+    return hash_top_k(d, "_u", key, "quota", ["_src"], max_group_rows=int(s["n"] or 0)).select(*df.columns)
 
 
 def cap_policy(df: DataFrame, cap: int | None = DEFAULT_CAP, proportional: bool = False,
