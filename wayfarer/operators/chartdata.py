@@ -49,12 +49,13 @@ def histogram(df: DataFrame, column: str, rule: BinsRule, n_rule_rows: DataFrame
     count. A constant column gets the range [v - 0.5, v + 0.5].
     """
     vals = _values(df, column)
-    stats = vals.agg(F.min("_x").alias("mn"), F.max("_x").alias("mx"), F.count(F.lit(1)).alias("n"))
-    mn, mx, n = (stats.select(c).scalar() for c in ("mn", "mx", "n"))
-    n_for_rule = n if n_rule_rows is None else n_rule_rows.agg(F.count(F.lit(1))).scalar()
-    nb = rule(n_for_rule)
-    lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
-    hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
+    st = vals.agg(F.min("_x").alias("mn"), F.max("_x").alias("mx"), F.count(F.lit(1)).alias("n")).first()
+    if not st["n"]:
+        return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
+    n_rule = st["n"] if n_rule_rows is None else n_rule_rows.count()
+    nb = F.lit(df.sparkSession.range(1).select(rule(F.lit(n_rule)).alias("b")).first()["b"])
+    lo_v, hi_v = (st["mn"] - 0.5, st["mx"] + 0.5) if st["mn"] == st["mx"] else (st["mn"], st["mx"])
+    lo, hi = F.lit(float(lo_v)), F.lit(float(hi_v))
     step = (hi - lo) / nb
     norm = nb / (hi - lo)
 
@@ -69,7 +70,7 @@ def histogram(df: DataFrame, column: str, rule: BinsRule, n_rule_rows: DataFrame
     binned = binned.withColumn("_i", F.when(x < edge(i), i - 1).when((x >= edge(i + 1)) & (i != nb - 1), i + 1)
                                 .otherwise(i))
     counts = binned.groupBy(F.col("_i").cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    all_bins = stats.where(F.col("n") > 0).select(F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
+    all_bins = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), nb - 1)).alias("bin"))
     out = all_bins.join(counts, "bin", "left")
     b = F.col("bin")
     return out.select(b, edge(b).alias("bin_lo"), edge(b + 1).alias("bin_hi"),
@@ -88,10 +89,11 @@ def log_histogram(df: DataFrame, column: str = "price", edges: int = LOG_EDGES)
     bin k holds [e_k, e_k+1), the last bin also its right edge; values
     outside the edges are not counted."""
     vals = _values(df, column)
-    stats = vals.agg(F.min("_x").alias("mn"), F.max("_x").alias("mx"))
-    mn, mx = stats.select("mn").scalar(), stats.select("mx").scalar()
-    a = F.log10(F.greatest(mn, F.lit(1e-6)))
-    b = F.log10(mx)
+    st = vals.agg(F.min("_x").alias("mn"), F.max("_x").alias("mx")).first()
+    if st["mx"] is None:
+        return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
+    a = F.log10(F.greatest(F.lit(float(st["mn"])), F.lit(1e-6)))
+    b = F.log10(F.lit(float(st["mx"])))
     nb = edges - 1
     step = (b - a) / nb
 
@@ -107,7 +109,7 @@ def log_histogram(df: DataFrame, column: str = "price", edges: int = LOG_EDGES)
                                 .otherwise(i))
     inside = binned.where((x >= edge(F.lit(0))) & (x <= edge(F.lit(nb))) & (F.col("_i") >= 0))
     counts = inside.groupBy(F.col("_i").cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    all_bins = stats.where(F.col("mx").isNotNull()).select(F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
+    all_bins = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("bin"))
     out = all_bins.join(counts, "bin", "left")
     bcol = F.col("bin")
     return out.select(bcol, edge(bcol).alias("bin_lo"), edge(bcol + 1).alias("bin_hi"),
