@@ -78,21 +78,23 @@ def apply_defaults(df: DataFrame) -> DataFrame:
 
 
 def impute_rating(df: DataFrame, key: str = KEY_COLUMN, seed: int = IMPUTE_SEED,
-                  column: str = "rating") -> DataFrame:
+                  column: str = "rating", with_flag: bool = False):
     """Fill missing ratings by drawing, with replacement, from the observed ones.
 
     Draw for a row: ordinal d = hash_u(key, seed) mod n_obs into the sorted
     observed ratings, i.e. every observed rating is equally likely. The sorted
-    list is never materialised: ``ranked_values`` gives each distinct rating
-    its ordinal interval [below, below + cnt) and an equi-join on an ordinal
-    bucket (plus a range filter) finds the interval holding d. With no
-    observed rating the draw is uniform on [3, 5).
+    list is never materialised: each distinct rating gets its ordinal
+    interval [lo, hi) - from one collected histogram when the number of
+    distinct ratings is small (checked), else from ``ranked_values`` - and an
+    equi-join on an ordinal bucket plus a range filter finds the interval
+    holding d. With no observed rating the draw is uniform on [3, 5).
+
+    Every row goes through one left join (observed rows carry a NULL bucket
+    and match nothing), so the result is a single projection over ``df``.
+    With ``with_flag`` also returns whether the interval table was broadcast.
     """
     c = F.col(column)
     observed = df.where(c.isNotNull())
-    # distinct observed ratings with their ordinal intervals [lo, hi); ratings
-    # are a small value domain, so after a size check the intervals are built
-    # from one collected histogram; otherwise ranked_values does it distributed
     hist = observed.groupBy(c.alias("_draw")).agg(F.count(F.lit(1)).alias("cnt"))
     small = hist.orderBy("_draw").limit(MAX_LOCAL_VALUES + 1).collect()
     if len(small) <= MAX_LOCAL_VALUES:
@@ -111,18 +113,18 @@ def impute_rating(df: DataFrame, key: str = KEY_COLUMN, seed: int = IMPUTE_SEED,
     width = max(-(-n_obs // max(n_vals, 1)), 1)   # ordinal bucket width: ~one interval per bucket
     intervals = ranked.select("_draw", "_lo", "_hi", F.explode(F.sequence(
         F.floor(F.col("_lo") / F.lit(width)), F.floor((F.col("_hi") - 1) / F.lit(width)))).alias("_ob"))
-    # one row per distinct rating (plus bucket spill-over): broadcast when the
-    # checked size allows, else a shuffle join on the bucket
-    intervals = small_table(intervals, 1_000_000) or intervals
+    # about one row per distinct rating: broadcast after the size check, else a
+    # shuffle join on the bucket
+    broadcastable = small_table(intervals, 1_000_000)
+    intervals = broadcastable if broadcastable is not None else intervals
     u = hash_u(key, seed)
-    missing = df.where(c.isNull()).withColumn("_d", F.pmod(u, F.lit(n_obs)) if n_obs > 0 else F.lit(None).cast("bigint"))
-    missing = missing.withColumn("_ob", F.floor(F.col("_d") / F.lit(width)))
-    filled = (missing.join(intervals, "_ob", "left")
+    draw_d = F.when(c.isNull(), F.pmod(u, F.lit(n_obs))) if n_obs > 0 else F.lit(None).cast("bigint")
+    d = df.withColumn("_d", draw_d).withColumn("_ob", F.floor(F.col("_d") / F.lit(width)))
+    joined = (d.join(intervals, "_ob", "left")
               .where(F.col("_lo").isNull() | ((F.col("_d") >= F.col("_lo")) & (F.col("_d") < F.col("_hi")))))
-    fallback = F.lit(3.0) + F.lit(2.0) * (u / F.lit(U_RANGE))
-    filled = filled.withColumn(column, F.coalesce(F.col("_draw"), fallback))
-    filled = filled.select(*df.columns)
-    return observed.unionByName(filled)
+    fallback = F.when(c.isNull(), F.lit(3.0) + F.lit(2.0) * (u / F.lit(U_RANGE)))
+    out = joined.withColumn(column, F.coalesce(c, F.col("_draw"), fallback)).select(*df.columns)
+    return (out, broadcastable is not None) if with_flag else out
 
 
 def null_na_text(df: DataFrame, columns: Sequence[str] = STRING_COLUMNS) -> DataFrame:
@@ -133,10 +135,11 @@ def null_na_text(df: DataFrame, columns: Sequence[str] = STRING_COLUMNS) -> Data
 def clean_listings(df: DataFrame, impute: bool = True, materialize_stage: bool = True) -> DataFrame:
     """The full clean stage; adds ``listing_key`` (md5 of the dedup key).
 
-    The deduplicated, filtered table is materialised once before imputation,
-    because the imputation reads it several times (observed-rating ranks,
-    counts, rows to fill); recomputing the upstream joins and the dedup
-    shuffle for each would multiply the stage's cost.
+    The deduplicated, filtered table is written once (shared checkpoint
+    folder); the imputation and the NA-text rule are then a projection plus a
+    broadcast join over it, so consumers read that single table with column
+    pruning and filter pushdown. Only when the rating interval table is too
+    large to broadcast is the imputed result written as well.
     """
     work = normalize_headers(df)
     work = complete_columns(work).select(*LISTING_COLUMNS)
@@ -146,13 +149,16 @@ def clean_listings(df: DataFrame, impute: bool = True, materialize_stage: bool =
     work = valid_rows(work)
     work = work.withColumn(KEY_COLUMN, listing_key())
     work = apply_defaults(work)
+    if materialize_stage:
+        # read several times (rating histogram, the fill) and by every
+        # downstream operator: written once
+        work = materialize(work, "clean_base")
+    lazy_ok = True
     if impute:
-        if materialize_stage:
-            work = materialize(work, "clean_base")
-        work = impute_rating(work)
+        work, lazy_ok = impute_rating(work, with_flag=True)
     work = null_na_text(work).select(*LISTING_COLUMNS, KEY_COLUMN)
-    if materialize_stage:
-        # the clean table feeds every downstream operator: written once
+    if materialize_stage and not lazy_ok:
+        # the fill needed a shuffle join: write the result once as well
         work = materialize(work, "clean")
     return work
 
