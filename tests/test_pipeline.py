@@ -48,3 +48,19 @@ def test_run_pipeline(spark, tmpdir_path):
                  "rating_distribution", "avg_price_top_locations", "cluster_tier_counts", "rating_by_type_box"):
         assert spark.read.option("header", True).csv(out[name]).count() > 0, name
     assert spark.read.json(out["price_vs_rating"]).count() == 1
+
+
+def test_resolve_stage_input(spark, tmpdir_path):
+    import pytest
+
+    from wayfarer.plans.pipeline import RECOMMENDER_INPUTS, resolve_stage_input
+
+    out = os.path.join(tmpdir_path, "stages")
+    with pytest.raises(FileNotFoundError):
+        resolve_stage_input(spark, out)
+    spark.createDataFrame([("a", 1.0)], "name string, price double").write.parquet(os.path.join(out, "clean_data"))
+    assert resolve_stage_input(spark, out).columns == ["name", "price"]
+    spark.createDataFrame([("a", 1.0, 2)], "name string, price double, cluster int").write.parquet(
+        os.path.join(out, "results"))
+    assert "cluster" in resolve_stage_input(spark, out, RECOMMENDER_INPUTS).columns
+    assert "cluster" not in resolve_stage_input(spark, out).columns

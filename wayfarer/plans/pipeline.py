@@ -90,3 +90,20 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     _save(R.batch_recommend(feats, cfg.seeds), cfg, "recommendations_demo", "csv")
     _save(CD.box_stats(analytics_projection(enriched)), cfg, "rating_by_type_box", "csv")
     return dict(cfg.outputs)
+
+
+ANALYTICS_INPUTS = ("enriched_listings", "clean_data")
+RECOMMENDER_INPUTS = ("results", "clean_data")
+
+
+def resolve_stage_input(spark: SparkSession, out_dir: str, prefer: Sequence[str] = ANALYTICS_INPUTS) -> DataFrame:
+    """The first stage table that exists under ``out_dir`` (enriched listings
+    if present, else the clean table; the recommender prefers the clustered
+    results). Raises FileNotFoundError when none exists."""
+    for name in prefer:
+        path = os.path.join(out_dir, name)
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - missing path: try the next stage
+            continue
+    raise FileNotFoundError(f"none of {list(prefer)} under {out_dir}; run the pipeline first")
