@@ -4,10 +4,10 @@ None of these puts a whole group into one task:
 
 * ``ranked_values`` computes, for every distinct (group, value), how many rows
   of the group hold a smaller value. Values are first collapsed to
-  (value, count) with a map-side-combined aggregate, then split into value
-  bins (on a signed log scale, so long tails still spread out); bin totals are
-  prefix-summed per group over at most ``bins`` rows, and the running sum
-  inside a bin only sees that bin's distinct values.
+  (value, count) with a map-side-combined aggregate, range-partitioned on
+  (group, value) (balanced even for a hot group), written once, and ranked
+  with running sums inside each range partition plus a prefix over the
+  per-partition block totals.
 * ``exact_quantiles`` reads the rank positions of linear interpolation off that
   table with a filter and a tiny aggregate; no join, no collect.
 * ``hash_top_k`` keeps the k rows with the smallest (u, tie) per group, where
@@ -31,51 +31,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfarer.functions.keys import U_BITS
-from wayfarer.session import small_table
+from wayfarer.session import materialize, small_table
 
 HASH_BIN_BITS = 16
 
 
-def _signed_log(c: Column) -> Column:
-    return F.signum(c) * F.log1p(F.abs(c))
-
-
 def ranked_values(df: DataFrame, value: str, group_cols: Sequence[str] = (),
-                  bins: int = 1024) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """(group..., value, cnt, below, n) for each distinct non-null value.
 
     ``below`` = rows of the group with a strictly smaller value, ``n`` = rows
     of the group with a non-null value.
+
+    Distinct (group, value) pairs are range-partitioned on (group, value) -
+    the sampled range bounds split even a group holding a third of all values
+    across many balanced partitions - and the layout (with each row's
+    partition id) is written once, so it is stable under task retries. A
+    running sum inside each (partition, group) block, plus the prefix of the
+    block totals per group (at most one row per partition and group), gives
+    every value's rank. No window sees more than one range partition.
     """
     g = list(group_cols)
+    spark = df.sparkSession
+    n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     w = (df.select(*g, F.col(value).alias("_v"))
          .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-         .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-         .withColumn("_s", _signed_log(F.col("_v"))))
-    stats = w.groupBy(*g).agg(F.min("_s").alias("_lo"), F.max("_s").alias("_hi"),
-                              F.sum("_cnt").alias("_n"))
-    if g:
-        w = w.join(stats, g)
-    else:
-        row = stats.first()   # one row: the global range and count
-        vals = (row["_lo"], row["_hi"], row["_n"]) if row is not None else (None, None, 0)
-        w = w.select("*", F.lit(vals[0]).cast("double").alias("_lo"), F.lit(vals[1]).cast("double").alias("_hi"),
-                     F.lit(vals[2]).cast("bigint").alias("_n"))
-    span = F.col("_hi") - F.col("_lo")
-    w = w.withColumn(
-        "_bin",
-        F.when(span <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col("_s") - F.col("_lo")) / span * bins).cast("int"), F.lit(bins - 1))))
+         .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_cnt")))
+    keys = [F.col(c) for c in g] + [F.col("_v")]
+    laid = w.repartitionByRange(n_part, *keys).withColumn("_pid", F.spark_partition_id())
+    laid = materialize(laid, "ranked")
     before = Window.unboundedPreceding
-    totals = w.groupBy(*g, "_bin").agg(F.sum("_cnt").alias("_bcnt"))
-    totals = totals.withColumn(
-        "_off",
-        F.coalesce(F.sum("_bcnt").over(Window.partitionBy(*g).orderBy("_bin").rowsBetween(before, -1)),
-                   F.lit(0)))
-    local = F.coalesce(
-        F.sum("_cnt").over(Window.partitionBy(*g, "_bin").orderBy("_v").rowsBetween(before, -1)), F.lit(0))
-    w = w.withColumn("_local", local)
-    out = w.join(totals.select(*g, "_bin", "_off"), g + ["_bin"])
+    laid = laid.withColumn("_local", F.coalesce(F.sum("_cnt").over(
+        Window.partitionBy("_pid", *g).orderBy("_v").rowsBetween(before, -1)), F.lit(0)))
+    blocks = laid.groupBy("_pid", *g).agg(F.sum("_cnt").alias("_bc"))
+    blocks = blocks.select(
+        "_pid", *g,
+        F.coalesce(F.sum("_bc").over(Window.partitionBy(*g).orderBy("_pid").rowsBetween(before, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_bc").over(Window.partitionBy(*g)).alias("_n"))
+    small = small_table(blocks, 1_000_000)
+    out = laid.join(small if small is not None else blocks, ["_pid", *g])
     return out.select(*g, F.col("_v").alias(value), F.col("_cnt").alias("cnt"),
                       (F.col("_off") + F.col("_local")).alias("below"), F.col("_n").alias("n"))
 
