@@ -11,13 +11,14 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfarer.functions.keys import U_RANGE, hash_u, listing_key
 from wayfarer.functions.numeric import to_double
 from wayfarer.functions.text import null_if_na_token, strip
 from wayfarer.operators.mapping import complete_columns, normalize_headers
 from wayfarer.operators.ranking import ranked_values
-from wayfarer.session import materialize, small_table
+from wayfarer.session import local_table, materialize, small_table
 from wayfarer.schema import DEFAULT_TYPE, KEY_COLUMN, LISTING_COLUMNS, NUMERIC_COLUMNS, STRING_COLUMNS
 
 DEDUP_KEY = ["name", "location", "price", "source"]
@@ -103,7 +104,9 @@ def impute_rating(df: DataFrame, key: str = KEY_COLUMN, seed: int = IMPUTE_SEED,
             rows.append((r["_draw"], lo_acc, lo_acc + r["cnt"]))
             lo_acc += r["cnt"]
         n_obs, n_vals = lo_acc, len(rows)
-        ranked = df.sparkSession.createDataFrame(rows, "_draw double, _lo long, _hi long")
+        ranked = local_table(df.sparkSession, rows, T.StructType([
+            T.StructField("_draw", T.DoubleType()), T.StructField("_lo", T.LongType()),
+            T.StructField("_hi", T.LongType())]))
     else:
         rv = materialize(ranked_values(observed, column), "rating_ranks")
         ranked = rv.select(F.col(column).alias("_draw"), F.col("below").alias("_lo"),

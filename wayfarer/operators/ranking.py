@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfarer.functions.keys import U_BITS
-from wayfarer.session import materialize, small_table
+from wayfarer.session import local_table, materialize, small_table
 
 HASH_BIN_BITS = 16
 
@@ -129,7 +129,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols:
             vals = _interpolate([float(p[0]) for p in pairs], [p[1] for p in pairs], qs)
             out.append((*key, *vals))
         fields = [df.schema[c] for c in g] + [T.StructField(n, T.DoubleType()) for n in names]
-        return df.sparkSession.createDataFrame(out, T.StructType(fields))
+        return local_table(df.sparkSession, out, T.StructType(fields))
     return _exact_quantiles_distributed(df, value, qs, g, names)
 
 

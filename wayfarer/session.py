@@ -102,7 +102,35 @@ def small_table(df, max_rows: int = 100_000):
     rows = df.limit(max_rows + 1).collect()
     if len(rows) > max_rows:
         return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(local_table(df.sparkSession, rows, df.schema))
+
+
+LITERAL_ROWS = 2_000
+
+
+def local_table(spark: SparkSession, rows, schema):
+    """A DataFrame over already collected rows. Up to LITERAL_ROWS rows it is
+    a JVM-side literal table (no Python worker is started to scan it); larger
+    ones go through ``createDataFrame``."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    if isinstance(schema, str):
+        return spark.createDataFrame(rows, schema)
+    rows = list(rows)
+    if not rows or len(rows) > LITERAL_ROWS:
+        return spark.createDataFrame(rows, schema)
+    fields = schema.fields
+
+    def lit(v, f):
+        if v is None:
+            return F.lit(None).cast(f.dataType)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            return F.lit(float(v)).cast(f.dataType)
+        return F.lit(v).cast(f.dataType)
+
+    structs = [F.struct(*[lit(r[i], f).alias(f.name) for i, f in enumerate(fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def spread_if_narrow(df, *cols):
