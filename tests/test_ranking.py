@@ -100,3 +100,13 @@ def test_hash_top_k_refines_large_boundary_bins(spark, monkeypatch):
         assert got == set(pdf.sort_values(["u", "key"]).head(333)["key"])
     got_g = RK.hash_top_k(d.withColumn("k", F.lit(25)), "u", "key", "k", ["g"], max_group_rows=500).toPandas()
     assert set(got_g["key"]) == set(pdf.sort_values(["u", "key"]).groupby("g").head(25)["key"])
+
+
+def test_row_at_hash_rank_multilevel(spark, monkeypatch):
+    import wayfarer.operators.ranking as RK
+    monkeypatch.setattr(RK, "EDGE_LIMIT", 3)
+    d = spark.range(2000).withColumn("key", F.col("id").cast("string")).withColumn("u", hash_u("key", 6))
+    order = d.toPandas().sort_values(["u", "key"])["key"].tolist()
+    for r in (1, 999, 1999):
+        assert RK.row_at_hash_rank(d, "u", "key", r).first().key == order[r]
+    assert RK.row_at_hash_rank(d, "u", "key", 2000).count() == 0

@@ -260,17 +260,30 @@ def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (
 
 def row_at_hash_rank(df: DataFrame, u: str, tie: str, rank: int) -> DataFrame:
     """The single row at 0-based position ``rank`` in (u, tie) order (empty if
-    out of range): the rank+1 smallest rows via ``hash_top_k``, then their last."""
+    out of range), by radix selection on the hash: a counting pass over 16
+    hash bits finds the bin holding the rank; while that bin holds more than
+    EDGE_LIMIT rows the next 16 bits are counted inside it; finally only the
+    rows of the last bin are ranked."""
     rank = int(rank)
     if rank < 0:
         return df.limit(0)
     if rank == 0:
         return df.orderBy(F.col(u), F.col(tie)).limit(1)
-    if df.count() <= rank:
-        return df.limit(0)
-    top = hash_top_k(df, u, tie, rank + 1)
-    # the wanted row is the last kept one; a limit-1 top-k keeps one row per task
-    return top.orderBy(F.col(u).desc(), F.col(tie).desc()).limit(1)
+    shift, need, cond = U_BITS, rank + 1, F.lit(True)
+    while shift > 0:
+        bits = min(HASH_BIN_BITS, shift)
+        shift -= bits
+        hb = F.shiftright(F.col(u), shift).bitwiseAND(F.lit((1 << bits) - 1))
+        b = _bin_bounds(df.where(cond).withColumn("_hb", hb).withColumn("_k", F.lit(need).cast("bigint")),
+                        []).first()
+        if b is None or b["_bstar"] is None:
+            return df.limit(0)
+        cond = cond & (hb == F.lit(b["_bstar"]))
+        need = b["_need"]
+        if b["_ec"] <= EDGE_LIMIT:
+            break
+    rn = F.row_number().over(Window.orderBy(F.col(u), F.col(tie)))
+    return df.where(cond).withColumn("_rn", rn).where(F.col("_rn") == F.lit(need)).drop("_rn")
 
 
 def consecutive_index(df: DataFrame, order_cols: Sequence, index_col: str = "row_index",

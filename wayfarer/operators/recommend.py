@@ -31,6 +31,7 @@ from wayfarer.operators.analytics import cost_per_day, defaulted_duration
 from wayfarer.operators.filters import preference_filter
 from wayfarer.operators.ranking import exact_quantiles, row_at_hash_rank
 from wayfarer.schema import KEY_COLUMN
+from wayfarer.session import materialize
 
 NUMERIC = ["price", "duration", "rating", "cost_per_day"]
 Z = [f"z_{c}" for c in NUMERIC]
@@ -143,7 +144,9 @@ def row_at(feats: DataFrame, index) -> DataFrame:
 def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k: int = 5) -> DataFrame:
     """Top-k similar listings for each seed position (default: first, middle
     and last row of the table's row order); one TakeOrderedAndProject per
-    seed, unioned. Row count, first and last rows come from one aggregate."""
+    seed, unioned. Row count, first and last rows come from one aggregate.
+    The feature table is scanned about six times, so it is written once."""
+    feats = materialize(feats, "features")
     fo = with_row_order(feats)
     order = F.struct(F.col("_order_u"), F.col(KEY_COLUMN))
     row = F.struct(*[F.col(c) for c in QUERY_COLUMNS])
@@ -181,7 +184,7 @@ def recommend_preferences(df: DataFrame, max_price: float | None = None, min_rat
     the survivors, 0.5 at exactly half, else 0. A zero ideal scores 0; with a
     single survivor the score is NULL."""
     prep = prepare_numeric(df)
-    work = preference_filter(prep, max_price, min_rating, preferred_locations, types)
+    work = materialize(preference_filter(prep, max_price, min_rating, preferred_locations, types), "survivors")
     feats = features(work)
     n = work.count()
     if n == 0:
