@@ -27,5 +27,39 @@ def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "vec_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op10_ann_search)}
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id at 4 words and Jaccard 0.85."""
+    from wayfarer.llm.ngram_join import ngram_components
+
+    docs = _table(spark, sf_dir, "documents")
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").alias("id"), "text")
+    return ngram_components(rows, k=4, percent=85).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; groups of equal text stay together, bytes are balanced."""
+    from wayfarer.llm.sharding import sharded
+
+    return sharded(_table(spark, sf_dir, "documents"), shards=16).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, source weights 1, 2, 3 repeating."""
+    from wayfarer.llm.mixing import mixed
+
+    return mixed(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    from wayfarer.llm.packing import packed
+
+    return packed(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op5_ngram_join, op6_sharding, op7_mixing, op9_packing,
+                                   op10_ann_search)}
 ORACLE: dict[str, str] = {}
