@@ -27,6 +27,17 @@ def op10_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "vec_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; learnt from rows outside fold 0 of 5."""
+    from wayfarer.llm.common import fold_of
+    from wayfarer.llm.quality import fit_quality, score_quality
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    weights = fit_quality(docs, labels.where(fold_of("doc_id", 5) != 0))
+    return score_quality(docs, weights).withColumnRenamed("id", "doc_id").select(
+        "doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id at 4 words and Jaccard 0.85."""
     from wayfarer.llm.ngram_join import ngram_components
@@ -52,6 +63,17 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learnt from rows outside fold 1 of 3."""
+    from wayfarer.llm.common import fold_of
+    from wayfarer.llm.langid import fit_language, identify_language
+
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_language(docs.where(fold_of("doc_id", 3) != 1))
+    return identify_language(docs, model).withColumnRenamed("id", "doc_id").select(
+        "doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
     from wayfarer.llm.packing import packed
@@ -60,6 +82,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op5_ngram_join, op6_sharding, op7_mixing, op9_packing,
-                                   op10_ann_search)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op5_ngram_join, op6_sharding, op7_mixing,
+                                   op8_language_id, op9_packing, op10_ann_search)}
 ORACLE: dict[str, str] = {}
