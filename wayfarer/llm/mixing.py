@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import WORD_PATTERN, running_total, stored
+from wayfarer.llm.common import WORD_PATTERN, running_total, stored, with_row_id
 
 
 def targets(sources: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3) -> DataFrame:
@@ -51,6 +51,14 @@ def targets(sources: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3) ->
                     .otherwise(F.least(F.col("limit").cast("double"), F.col("level") * F.col("weight"))).alias("target"))
 
 
+def _sized(docs: DataFrame, row_id, doc_id, text, source):
+    """The columns that ``mixed_rows`` needs: row_id, doc_id, source, size (words), shuffle (hash of id and text)."""
+    words = F.regexp_count(text, F.lit(WORD_PATTERN))
+    shuffle = F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(text, F.lit("")), F.lit("shuffle"))
+    return docs.select(row_id.alias("row_id"), doc_id.alias("doc_id"), source.alias("source"),
+                       F.coalesce(words, F.lit(0)).cast("long").alias("size"), shuffle.alias("shuffle"))
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           weights: tuple = (1, 2, 3), passes: int = 3, budget: int | None = None) -> DataFrame:
     """(row_id, doc_id, source, size, source_size, target, times, taken): ``times`` a document stands in the mix.
@@ -59,15 +67,26 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     weights share the size of all sources, so a smaller budget cuts every
     source alike.
     """
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("doc_id"),
-                       F.col(source_col).cast("string").alias("source"),
-                       F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
-                       F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(text, F.lit("")),
-                                  F.lit("shuffle")).alias("shuffle"))
+    rows = _sized(docs, F.monotonically_increasing_id(), F.col(id_col), F.col(text_col).cast("string"),
+                  F.col(source_col).cast("string"))
     return mixed_rows(stored(rows, "op7-rows"), weights, passes, budget)
 
 
+def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             weights: tuple = (1, 2, 3), passes: int = 3, budget: int | None = None) -> DataFrame:
+    """The mix itself: rows of ``docs``, all columns, as often as they stand in it.
+
+    Documents without words take no room and stay, once each.
+    """
+    kept = with_row_id(docs, "op7-docs")
+    row = F.col("row")
+    rows = _sized(kept, F.col("row_id"), row[id_col], row[text_col].cast("string"), row[source_col].cast("string"))
+    plan = mixed_rows(stored(rows, "op7-rows"), weights, passes, budget)
+    times = plan.select("row_id", F.when(F.col("size") == 0, 1).otherwise(F.col("times")).alias("times")).where("times > 0")
+    return (kept.join(times, "row_id")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("turn")).select("row.*"))
+
+
 def mixed_rows(rows: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3, budget: int | None = None) -> DataFrame:
     """``mixed`` for a stored table (row_id, doc_id, source, size, shuffle)."""
     by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))

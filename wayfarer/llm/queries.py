@@ -38,6 +38,19 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold_of("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-bigram and single-word log10 probability of every document; learnt from rows outside fold 1 of 5."""
+    from wayfarer.llm.class_lm import fit_class_model, score_class_model
+    from wayfarer.llm.common import fold_of
+
+    docs = _table(spark, sf_dir, "documents")
+    model, counts = fit_class_model(docs.where(fold_of("doc_id", 5) != 1).select("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").alias("id"), "text")
+    return score_class_model(rows, model, counts).withColumnRenamed("id", "doc_id").select(
+        "doc_id", (fold_of("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "perplexity")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id at 4 words and Jaccard 0.85."""
     from wayfarer.llm.ngram_join import ngram_components
@@ -82,6 +95,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op5_ngram_join, op6_sharding, op7_mixing,
-                                   op8_language_id, op9_packing, op10_ann_search)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_class_lm, op5_ngram_join, op6_sharding,
+                                   op7_mixing, op8_language_id, op9_packing, op10_ann_search)}
 ORACLE: dict[str, str] = {}
