@@ -97,4 +97,62 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_class_lm, op5_ngram_join, op6_sharding,
                                    op7_mixing, op8_language_id, op9_packing, op10_ann_search)}
-ORACLE: dict[str, str] = {}
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 "
+           "AND len(list_filter(embedding, lambda x: x <> 0)) > 0")
+
+ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE {_USABLE}),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+          WHERE len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.95),
+reach AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.r),
+low AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id),
+deg AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM low LEFT JOIN deg USING (vec_id)""",
+    "op5_ngram_join": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] AS g
+       FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 2)) AS i FROM w WHERE len(ws) >= 4)
+       UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 3),
+n AS (SELECT doc_id, count(*) AS c FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT p.a, p.b FROM pairs p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b
+          WHERE 100 * p.c >= 85 * (x.c + y.c - p.c)),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT reach.doc_id, coalesce(min(n.c), 0) AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id""",
+    "op7_mixing": f"""
+WITH d AS (SELECT doc_id, source, coalesce(len({_WORDS.format('text')}), 0) AS size,
+                  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+p AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM s),
+w AS (SELECT *, CAST(place % 3 + 1 AS DOUBLE) AS weight, source_size * 3 AS lim,
+             CAST(sum(source_size) OVER () AS BIGINT) AS total FROM p),
+o AS (SELECT *, row_number() OVER (ORDER BY lim / weight, place) AS k,
+             CAST(coalesce(sum(lim) OVER (ORDER BY lim / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS gone,
+             sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY lim / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest
+      FROM w),
+r AS (SELECT *, (total - gone) / rest AS rate FROM o),
+lev AS (SELECT arg_min(rate, k) FILTER (WHERE NOT (lim <= rate * weight)) AS level FROM r),
+t AS (SELECT source, source_size, place, total,
+             CASE WHEN level IS NULL THEN CAST(lim AS DOUBLE) ELSE least(CAST(lim AS DOUBLE), level * weight) END AS target
+      FROM r, lev),
+q AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.place, t.total, d.h,
+             sum(d.size) OVER (PARTITION BY t.place ORDER BY d.h, d.doc_id) AS fin
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+turns AS (SELECT *, unnest(range(CAST(1 + least(2, floor(target / source_size)) AS BIGINT))) AS pass
+          FROM q WHERE size > 0 AND target > 0),
+z AS (SELECT doc_id, size, total,
+             sum(size) OVER (ORDER BY (fin + pass * source_size) / target, place, h, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM turns),
+taken AS (SELECT doc_id, CAST(sum(size) AS BIGINT) AS taken FROM z WHERE upto <= total GROUP BY doc_id)
+SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(taken.taken, 0) AS taken FROM q LEFT JOIN taken USING (doc_id)""",
+    "op10_ann_search": f"""
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE {_USABLE} AND vec_id IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 AND len(q.x) = len(c.x)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+}
