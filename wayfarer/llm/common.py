@@ -48,6 +48,42 @@ def fold_of(column: str, folds: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % folds
 
 
+#: Texts that a Python worker gets at a time.
+BATCH_ROWS = 512
+
+
+def map_texts(df: DataFrame, work, schema) -> DataFrame:
+    """``df.mapInArrow`` with few rows in a batch, as a row may hold a very long text.
+
+    The setting is the session's, so later queries of the session get small batches too.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark = df.sparkSession
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(work, schema)
+
+
+class Blobs:
+    """Items of a binary column as arrays, without copying them."""
+
+    def __init__(self, column: pa.Array | pa.ChunkedArray, kind: str):
+        column = column.cast(pa.large_binary())
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        if isinstance(column, pa.ChunkedArray):
+            column = pa.concat_arrays(column.chunks)
+        _, offsets, data = column.buffers()
+        self.at = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+        self.data, self.kind = data if data is not None else b"", np.dtype(kind)
+
+    def __len__(self) -> int:
+        return len(self.at) - 1
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        start, size = int(self.at[i]), int(self.at[i + 1] - self.at[i])
+        return np.frombuffer(self.data, dtype=self.kind, count=size // self.kind.itemsize, offset=start)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list:
     """The UTF-8 bytes of a text column (None where null)."""
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()

@@ -33,15 +33,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import mix64, stored, text_bytes, words_of
+from wayfarer.llm.common import Blobs, map_texts, mix64, stored, text_bytes, words_of
 from wayfarer.llm.components import connected_components
 
 #: Bands per factor of the threshold: more bands compare fewer pairs of unfit sizes.
 BANDS = 4
 #: Bytes of shingle arrays, and documents, of a tile.
-TILE_BYTES, TILE_ROWS = 48 << 20, 16_384
+TILE_BYTES, TILE_ROWS = 16 << 20, 8_192
 #: Neighbouring bands are joined up to so many documents.
 THIN_ROWS = 2_048
+#: Node numbers that are broadcast at most.
+FEW_NODES = 1_000_000
 
 
 def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
@@ -82,8 +84,8 @@ def shingle_table(rows: DataFrame, k: int) -> DataFrame:
                 names=["row_id", "id", "n", "key", "bits", "hashes"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("row_id", "id", "text").mapInArrow(
-        make, f"row_id long, id {kind}, n long, key binary, bits binary, hashes binary")
+    return map_texts(rows.select("row_id", "id", "text"), make,
+                     f"row_id long, id {kind}, n long, key binary, bits binary, hashes binary")
 
 
 def _edges(percent: int, longest: int) -> list[int]:
@@ -139,15 +141,11 @@ def _tiles(nodes: DataFrame, percent: int) -> DataFrame:
                     F.when(F.col("tile") == F.col("other"), 0).when(F.col("tile") < F.col("other"), 1).otherwise(2).alias("side")))
 
 
-def _folded(bits: list[bytes], width: int) -> np.ndarray:
+def _folded(bits: Blobs, width: int) -> np.ndarray:
     """Bitmaps as rows of 64-bit words, wider ones folded (halves united) to ``width`` bytes."""
     out = np.zeros((len(bits), width // 8), dtype=np.uint64)
-    by = {}
-    for i, b in enumerate(bits):
-        by.setdefault(len(b), []).append(i)
-    for size, at in by.items():
-        m = np.frombuffer(b"".join([bits[i] for i in at]), dtype="<u8").reshape(len(at), size // width, width // 8)
-        out[at] = np.bitwise_or.reduce(m, axis=1)
+    for i in range(len(bits)):
+        out[i] = np.bitwise_or.reduce(bits[i].reshape(-1, width // 8), axis=0)
     return out
 
 
@@ -155,12 +153,12 @@ def _candidates(table: pa.Table, percent: int):
     """Rows of ``table`` in pairs (i, j, differing bits) that the bitmaps do not rule out; yields blocks of rows i."""
     side = np.asarray(table["side"])
     n = np.asarray(table["n"], dtype=np.int64)
-    raw = table["bits"].to_pylist()
+    raw = Blobs(table["bits"], "<u8")
     left, right = np.flatnonzero(side < 2), np.flatnonzero(side != 1)
     if not len(left) or not len(right):
         return
     right = right[np.argsort(n[right], kind="stable")]
-    width = min(len(raw[i]) for i in range(len(raw)))
+    width = int(np.diff(raw.at).min())
     words = _folded(raw, width)
     a, b = words[left], np.ascontiguousarray(words[right].T)
     nb = n[right]
@@ -204,7 +202,7 @@ def jaccard_links(nodes: DataFrame, arrays: DataFrame, percent: int) -> DataFram
         return table.filter(pa.array(hit))
 
     def linked(table: pa.Table) -> pa.Table:
-        raw, n = table["hashes"].to_pylist(), np.asarray(table["n"], dtype=np.int64)
+        raw, n = Blobs(table["hashes"], "<u8"), np.asarray(table["n"], dtype=np.int64)
         node = np.asarray(table["node"], dtype=np.int64)
         group, out = np.arange(len(n)), []  # of each row: the number of its tree
         for i, j, d in _candidates(table, percent):
@@ -213,10 +211,10 @@ def jaccard_links(nodes: DataFrame, arrays: DataFrame, percent: int) -> DataFram
             starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
             for s, e in zip(starts, np.r_[starts[1:], len(i)]):
                 x = int(i[s])
-                mine, rest = np.frombuffer(raw[x], dtype="<u8"), j[s:e]
+                mine, rest = raw[x], j[s:e]
                 while len(rest := rest[group[rest] != group[x]]):
                     y, rest = int(rest[0]), rest[1:]
-                    both = len(np.intersect1d(mine, np.frombuffer(raw[y], dtype="<u8"), assume_unique=True))
+                    both = len(np.intersect1d(mine, raw[y], assume_unique=True))
                     if 100 * both >= percent * (n[x] + n[y] - both):
                         group[group == group[y]] = group[x]
                         out.append((int(node[x]), int(node[y])))
@@ -224,6 +222,10 @@ def jaccard_links(nodes: DataFrame, arrays: DataFrame, percent: int) -> DataFram
 
     shape = "node long, n long, bits binary, tile_pair long, side int"
     some = stored(tiles.groupBy("tile_pair").applyInArrow(involved, shape), "op5-candidates")
+    # where the involved are few, their numbers go to the arrays and only those are sent; else all are
+    ids = some.select("node").distinct()
+    if ids.count() <= FEW_NODES:
+        arrays = arrays.join(F.broadcast(ids), "node", "left_semi")
     full = some.join(arrays, "node")
     return full.groupBy("tile_pair").applyInArrow(linked, "a long, b long")
 
