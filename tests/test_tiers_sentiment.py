@@ -1,7 +1,6 @@
 """Tier assignment, K-means invariants and lexicon scoring."""
 
 import math
-import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -38,39 +37,58 @@ def test_kmeans_too_few_rows(spark):
     assert len(out) == 2 and all(r.cluster is None for r in out)
 
 
-LEX = {"good": 1.9, "bad": -2.5, "great": 3.1}
-
-
-def py_scores(text):
-    if text is None or text.strip() == "" or text.strip().lower() == "nan":
-        return (0.0, 0.0, 0.0, 1.0)
-    toks = re.findall("[a-z]+", text.lower())
-    if not toks:
-        return (0.0, 0.0, 0.0, 1.0)
-    vals = []
-    for i, t in enumerate(toks):
-        v = LEX.get(t, 0.0)
-        if v and any(p in X.NEGATIONS for p in toks[max(0, i - 3):i]):
-            v *= X.NEGATION_SCALAR
-        vals.append(v)
-    s = sum(vals)
-    ps = sum(v + 1 for v in vals if v > 0)
-    ns = sum(v - 1 for v in vals if v < 0)
-    nu = sum(1 for v in vals if v == 0)
-    tot = ps + abs(ns) + nu
-    return (s / math.sqrt(s * s + 15), abs(ps / tot), abs(ns / tot), abs(nu / tot))
-
-
-def test_sentiment_against_python(spark):
-    texts = ["Good stay, great view!", "not good at all", "It was never really bad", "", None, "nan", "!!!",
-             "bad bad bad", "I don't think it was good", "good"]
-    df = spark.createDataFrame(list(enumerate(texts)), "k long, review_text string")
-    lex = X.lexicon_frame(spark, LEX.items())
-    got = {r.k: r for r in X.sentiment(df, lex, "k", digits=None).collect()}
-    for k, t in enumerate(texts):
-        c, p, n, u = py_scores(t)
-        r = got[k]
-        assert np.allclose([r.sentiment_compound, r.sentiment_pos, r.sentiment_neg, r.sentiment_neu], [c, p, n, u])
+LEX = {"good": 1.9, "bad": -2.5, "great": 3.1, "kind": 2.4}
+
+# (text, summed valence after punctuation, pos, neg, neu) worked out by hand from the rules
+HAND = [
+    ("good", 1.9, 2.9, 0.0, 0),
+    ("GOOD", 1.9, 2.9, 0.0, 0),                                      # all capitals: no contrast
+    ("a GOOD stay", 1.9 + 0.733, 3.633, 0.0, 2),
+    ("very good", 1.9 + 0.293, 3.193, 0.0, 1),
+    ("really nice and good", 1.9 + 0.293 * 0.9, 1.9 + 0.2637 + 1, 0.0, 3),
+    ("slightly good", 1.9 - 0.293, 2.607, 0.0, 1),
+    ("extremely bad", -2.5 - 0.293, 0.0, -3.793, 1),
+    ("isn't good", 1.9 * -0.74, 0.0, -1.406 - 1, 1),
+    ("wasn’t good", 1.9 * -0.74, 0.0, -2.406, 1),
+    ("don't think it is good", 1.9, 2.9, 0.0, 4),                     # four tokens away
+    ("don't think it good", 1.9 * -0.74, 0.0, -2.406, 3),
+    ("not very good", (1.9 + 0.293) * -0.74, 0.0, -2.193 * 0.74 - 1, 2),
+    ("never so good", (1.9 + 0.293) * 1.25, 2.193 * 1.25 + 1, 0.0, 2),
+    ("without doubt good", 1.9, 2.9, 0.0, 2),
+    ("least good", 1.9 * -0.74, 0.0, -2.406, 1),
+    ("at least good", 1.9, 2.9, 0.0, 2),
+    ("good!!!", 1.9 + 3 * 0.292, 2.9 + 0.876, 0.0, 0),
+    ("good!!!!!!", 1.9 + 4 * 0.292, 2.9 + 1.168, 0.0, 0),
+    ("bad??", -2.5 - 0.36, 0.0, -3.5 - 0.36, 0),
+    ("good?", 1.9, 2.9, 0.0, 0),
+    ("good ????", 1.9 + 0.96, 2.9 + 0.96, 0.0, 0),
+    ("good but bad", 0.5 * 1.9 + 1.5 * -2.5, 1.95, -4.75, 1),
+    ("kind of good", 1.9, 2.9, 0.0, 2),
+    ("so kind", 2.4 + 0.293, 3.693, 0.0, 1),
+    ("très good été", 1.9, 2.9, 0.0, 2),                              # accented words are whole tokens
+    ("good bad", 1.9 - 2.5, 2.9, -3.5, 0),
+    ("NOT good", 1.9 * -0.74, 0.0, -2.406, 1),
+]
+
+
+def test_sentiment_by_hand(spark):
+    import pytest
+
+    df = spark.createDataFrame([(k, t[0]) for k, t in enumerate(HAND)], "k long, review_text string")
+    got = {r.k: r for r in X.sentiment(df, X.lexicon_frame(spark, LEX.items()), "k", digits=None).collect()}
+    for k, (text, s, p, n, u) in enumerate(HAND):
+        r, total = got[k], p + abs(n) + u
+        want = (s / math.sqrt(s * s + 15), p / total, abs(n) / total, u / total)
+        assert (r.sentiment_compound, r.sentiment_pos, r.sentiment_neg, r.sentiment_neu) == pytest.approx(want), text
+    score = {t[0]: got[k].sentiment_compound for k, t in enumerate(HAND)}
+    assert score["isn't good"] < 0 < score["good"] < score["very good"] < score["good!!!!!!"]
+
+
+def test_sentiment_of_nothing(spark):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "nan"), (4, "!!!"), (5, "  "), (6, "just words")], "k long, review_text string")
+    got = X.sentiment(df, X.lexicon_frame(spark, LEX.items()), "k").collect()
+    assert len(got) == 6
+    assert {(r.sentiment_compound, r.sentiment_pos, r.sentiment_neg, r.sentiment_neu) for r in got} == {(0.0, 0.0, 0.0, 1.0)}
 
 
 def test_sentiment_without_lexicon_passes_through(spark):

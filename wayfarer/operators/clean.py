@@ -9,21 +9,20 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfarer.functions.keys import U_RANGE, hash_u, listing_key
 from wayfarer.functions.numeric import to_double
 from wayfarer.functions.text import null_if_na_token, strip
 from wayfarer.operators.mapping import complete_columns, normalize_headers
 from wayfarer.operators.ranking import ranked_values
-from wayfarer.session import local_table, materialize, small_table
+from wayfarer.session import materialize, small_table, store
 from wayfarer.schema import DEFAULT_TYPE, KEY_COLUMN, LISTING_COLUMNS, NUMERIC_COLUMNS, STRING_COLUMNS
 
 DEDUP_KEY = ["name", "location", "price", "source"]
 IMPUTE_SEED = 42
-MAX_LOCAL_VALUES = 100_000   # distinct ratings handled as one collected histogram
+IDLE_BUCKETS = 65_536        # join buckets for rows that need no draw
 
 
 def normalize_strings(df: DataFrame) -> DataFrame:
@@ -84,35 +83,23 @@ def impute_rating(df: DataFrame, key: str = KEY_COLUMN, seed: int = IMPUTE_SEED,
 
     Draw for a row: ordinal d = hash_u(key, seed) mod n_obs into the sorted
     observed ratings, i.e. every observed rating is equally likely. The sorted
-    list is never materialised: each distinct rating gets its ordinal
-    interval [lo, hi) - from one collected histogram when the number of
-    distinct ratings is small (checked), else from ``ranked_values`` - and an
-    equi-join on an ordinal bucket plus a range filter finds the interval
-    holding d. With no observed rating the draw is uniform on [3, 5).
-
-    Every row goes through one left join (observed rows carry a NULL bucket
-    and match nothing), so the result is a single projection over ``df``.
-    With ``with_flag`` also returns whether the interval table was broadcast.
+    list is never materialised: each distinct rating gets its ordinal interval
+    [lo, hi) from ``ranked_values``, and an equi-join on an ordinal bucket plus
+    a range filter finds the interval holding d. With no observed rating the
+    draw is uniform on [3, 5).
+
+    Every row goes through one left join (observed rows carry negative buckets,
+    spread by key, that match nothing and crowd no task), so the result is a
+    single projection over ``df``. With ``with_flag`` also returns whether the
+    interval table was broadcast.
     """
     c = F.col(column)
     observed = df.where(c.isNotNull())
-    hist = observed.groupBy(c.alias("_draw")).agg(F.count(F.lit(1)).alias("cnt"))
-    small = hist.orderBy("_draw").limit(MAX_LOCAL_VALUES + 1).collect()
-    if len(small) <= MAX_LOCAL_VALUES:
-        rows, lo_acc = [], 0
-        for r in small:
-            rows.append((r["_draw"], lo_acc, lo_acc + r["cnt"]))
-            lo_acc += r["cnt"]
-        n_obs, n_vals = lo_acc, len(rows)
-        ranked = local_table(df.sparkSession, rows, T.StructType([
-            T.StructField("_draw", T.DoubleType()), T.StructField("_lo", T.LongType()),
-            T.StructField("_hi", T.LongType())]))
-    else:
-        rv = materialize(ranked_values(observed, column), "rating_ranks")
-        ranked = rv.select(F.col(column).alias("_draw"), F.col("below").alias("_lo"),
-                           (F.col("below") + F.col("cnt")).alias("_hi"))
-        tot = rv.agg(F.sum("cnt").alias("n_obs"), F.count(F.lit(1)).alias("n_vals")).first()
-        n_obs, n_vals = int(tot["n_obs"] or 0), int(tot["n_vals"] or 0)
+    rv = store(ranked_values(observed, column), "rating_ranks")
+    ranked = rv.select(F.col(column).alias("_draw"), F.col("below").alias("_lo"),
+                       (F.col("below") + F.col("cnt")).alias("_hi"))
+    tot = rv.agg(F.sum("cnt").alias("n_obs"), F.count(F.lit(1)).alias("n_vals")).first()
+    n_obs, n_vals = int(tot["n_obs"] or 0), int(tot["n_vals"] or 0)
     width = max(-(-n_obs // max(n_vals, 1)), 1)   # ordinal bucket width: ~one interval per bucket
     intervals = ranked.select("_draw", "_lo", "_hi", F.explode(F.sequence(
         F.floor(F.col("_lo") / F.lit(width)), F.floor((F.col("_hi") - 1) / F.lit(width)))).alias("_ob"))
@@ -122,7 +109,8 @@ def impute_rating(df: DataFrame, key: str = KEY_COLUMN, seed: int = IMPUTE_SEED,
     intervals = broadcastable if broadcastable is not None else intervals
     u = hash_u(key, seed)
     draw_d = F.when(c.isNull(), F.pmod(u, F.lit(n_obs))) if n_obs > 0 else F.lit(None).cast("bigint")
-    d = df.withColumn("_d", draw_d).withColumn("_ob", F.floor(F.col("_d") / F.lit(width)))
+    idle = -1 - F.pmod(F.hash(F.col(key)), F.lit(IDLE_BUCKETS)).cast("bigint")
+    d = df.withColumn("_d", draw_d).withColumn("_ob", F.coalesce(F.floor(F.col("_d") / F.lit(width)), idle))
     joined = (d.join(intervals, "_ob", "left")
               .where(F.col("_lo").isNull() | ((F.col("_d") >= F.col("_lo")) & (F.col("_d") < F.col("_hi")))))
     fallback = F.when(c.isNull(), F.lit(3.0) + F.lit(2.0) * (u / F.lit(U_RANGE)))
@@ -164,14 +152,3 @@ def clean_listings(df: DataFrame, impute: bool = True, materialize_stage: bool =
         # the fill needed a shuffle join: write the result once as well
         work = materialize(work, "clean")
     return work
-
-
-def with_key(df: DataFrame) -> DataFrame:
-    """Attach ``listing_key`` if absent."""
-    if KEY_COLUMN in df.columns:
-        return df
-    return df.withColumn(KEY_COLUMN, listing_key())
-
-
-def key_col() -> Column:
-    return F.col(KEY_COLUMN)

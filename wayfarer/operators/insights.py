@@ -127,12 +127,7 @@ def best_rated(df: DataFrame, n: int = 25) -> DataFrame:
     return df.orderBy(*order).limit(n).select(*cols)
 
 
-def preview(df: DataFrame, n: int = 1000, max_rows: int = 15_000) -> DataFrame:
-    """The first n rows in key order (n clipped to the preview / export maximum)."""
-    n = max(0, min(int(n), max_rows))
+def preview(df: DataFrame, n: int = 1000) -> DataFrame:
+    """The first n rows in key order."""
+    n = max(0, int(n))
     return df.orderBy(*_tie(df)).limit(n)
-
-
-def full_distinct(df: DataFrame) -> DataFrame:
-    """Whole-row distinct (an aggregate with map-side combine)."""
-    return df.dropDuplicates()

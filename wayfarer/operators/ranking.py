@@ -22,16 +22,14 @@ None of these puts a whole group into one task:
 
 from __future__ import annotations
 
-import bisect
 import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wayfarer.functions.keys import U_BITS
-from wayfarer.session import local_table, materialize, small_table
+from wayfarer.session import small_table, store
 
 HASH_BIN_BITS = 16
 
@@ -59,7 +57,7 @@ def ranked_values(df: DataFrame, value: str, group_cols: Sequence[str] = (),
          .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_cnt")))
     keys = [F.col(c) for c in g] + [F.col("_v")]
     laid = w.repartitionByRange(n_part, *keys).withColumn("_pid", F.spark_partition_id())
-    laid = materialize(laid, "ranked")
+    laid = store(laid, "ranked")
     before = Window.unboundedPreceding
     laid = laid.withColumn("_local", F.coalesce(F.sum("_cnt").over(
         Window.partitionBy("_pid", *g).orderBy("_v").rowsBetween(before, -1)), F.lit(0)))
@@ -75,67 +73,23 @@ def ranked_values(df: DataFrame, value: str, group_cols: Sequence[str] = (),
                       (F.col("_off") + F.col("_local")).alias("below"), F.col("_n").alias("n"))
 
 
-MAX_LOCAL_HISTOGRAM = 200_000   # (group, value) pairs handled as one collected histogram
-
-
-def _interpolate(values: list, counts: list, qs: Sequence[float]) -> list:
-    """Linear-interpolation quantiles from sorted distinct values and counts."""
-    cum, acc = [], 0
-    for c in counts:
-        acc += c
-        cum.append(acc)
-    n = acc
-
-    def at(rank: int):
-        return values[bisect.bisect_right(cum, rank)]
-
-    out = []
-    for q in qs:
-        pos = (n - 1) * float(q)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        frac = pos - lo
-        lv = at(lo)
-        out.append(lv if frac == 0 else lv + (at(hi) - lv) * frac)
-    return out
-
-
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
-                    names: Sequence[str] | None = None, max_local: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles per group (pandas / numpy default).
 
     q-th quantile = v[lo] + (v[hi] - v[lo]) * (pos - lo) with pos = (n-1)q,
     lo/hi its floor/ceil, v[] the sorted values. Groups without values are
-    absent; the caller left-joins if needed.
-
-    Values are first collapsed to (group, value, count) by a map-side
-    combined aggregate. When that histogram has at most ``max_local`` rows
-    (checked), it is collected and the positions are read off it; otherwise
-    the ranks come from the distributed ``ranked_values``.
+    absent; the caller left-joins if needed. The ranks come from
+    ``ranked_values`` at every size.
     """
-    g = list(group_cols)
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
-    limit = MAX_LOCAL_HISTOGRAM if max_local is None else max_local
-    v = F.col(value)
-    hist = (df.select(*g, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-            .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_cnt")))
-    rows = hist.limit(limit + 1).collect() if limit > 0 else [None]
-    if len(rows) <= limit:
-        groups: dict = {}
-        for r in rows:
-            groups.setdefault(tuple(r[c] for c in g), []).append((r["_v"], r["_cnt"]))
-        out = []
-        for key, pairs in groups.items():
-            pairs.sort(key=lambda p: p[0])
-            vals = _interpolate([float(p[0]) for p in pairs], [p[1] for p in pairs], qs)
-            out.append((*key, *vals))
-        fields = [df.schema[c] for c in g] + [T.StructField(n, T.DoubleType()) for n in names]
-        return local_table(df.sparkSession, out, T.StructType(fields))
-    return _exact_quantiles_distributed(df, value, qs, g, names)
-
-
-def _exact_quantiles_distributed(df: DataFrame, value: str, qs: Sequence[float], g: list,
-                                 names: list) -> DataFrame:
-    r = ranked_values(df, value, g)
+    return quantiles_of_ranks(ranked_values(df, value, group_cols), value, qs, group_cols, names)
+
+
+def quantiles_of_ranks(r: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str],
+                       names: Sequence[str]) -> DataFrame:
+    """Quantiles per group read off a ``ranked_values`` table."""
+    g = list(group_cols)
     n1 = F.col("n") - 1
     hit_cols, aggs = [], []
     for i, q in enumerate(qs):
@@ -159,11 +113,6 @@ def _exact_quantiles_distributed(df: DataFrame, value: str, qs: Sequence[float],
     return picked.select(*g, *outs)
 
 
-def exact_quantile_scalar(df: DataFrame, value: str, q: float) -> Column:
-    """A global exact quantile as a scalar-subquery column (NULL when no values)."""
-    return exact_quantiles(df, value, [q], names=["_q"]).select("_q").scalar()
-
-
 EDGE_LIMIT = 2_000_000        # rows ranked directly inside one boundary bin
 TARGET_BIN_ROWS = 1024        # rows per bin aimed at when the group size is known
 
@@ -296,7 +245,6 @@ def consecutive_index(df: DataFrame, order_cols: Sequence, index_col: str = "row
     partition.
     """
     spark = df.sparkSession
-    from wayfarer.session import materialize
     cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     mid = F.monotonically_increasing_id()
@@ -304,7 +252,7 @@ def consecutive_index(df: DataFrame, order_cols: Sequence, index_col: str = "row
             .withColumn("_mid", mid))
     laid = laid.select("*", F.shiftright("_mid", 33).alias("_pid"),
                        F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos")).drop("_mid")
-    laid = materialize(laid, "ordered")
+    laid = store(laid, "ordered")
     sizes = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
     sizes = sizes.withColumn("_off", F.coalesce(F.sum("_size").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

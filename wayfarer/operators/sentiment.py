@@ -1,38 +1,64 @@
 """Lexicon-based review sentiment as a Spark job.
 
-Whole review texts are tokenised on the executors (``[a-z]+`` over the
-lower-cased text); tokens are exploded with their position and a flag for
-"a negation word among the three previous tokens" (shifted copies of the
-token array zipped with it: no window, no per-element lambda); token
-valences come from a lexicon table joined by token; per-review sums are pre-aggregated map-side (a review's tokens never
-leave their partition before the combine) and joined back by key.
-
-Scores follow the published valence-aware formulas: compound =
-s / sqrt(s^2 + 15) with s the sum of valences (negated ones scaled by
--0.74); pos / neg / neu are the shares of (v + 1), |v - 1| and neutral
-tokens. A review without text or without tokens scores (0, 0, 1, 0).
+Whole review texts are tokenised on the executors: runs of letters of any
+script, with apostrophes inside them (``isn't`` is one token; the apostrophe is
+dropped before any lookup). Tokens are exploded with their neighbours (shifted
+copies of the token array, zipped: no window, no per-element lambda), and only
+tokens of the lexicon go on; the sums of a review are combined before the
+shuffle and joined back by key.
+
+Scores follow the published valence-aware rules:
+
+* a token in capitals, in a text that is not all capitals, weighs 0.733 more;
+* degree words among the three tokens before move the valence by 0.293 (0.95
+  and 0.9 of it from two and three tokens away), a lexicon word in that place
+  takes no part;
+* a negation among the three tokens before multiplies by -0.74 ("never so" and
+  "never this" by 1.25, "without doubt" leaves it), so does "least" right
+  before, but for "at least" and "very least"; "kind" before "of" is neutral;
+* what precedes the first "but" counts half, what follows it one and a half;
+* up to four "!" add 0.292 each, two or three "?" 0.18 each, more 0.96, away
+  from zero.
+
+compound = s / sqrt(s^2 + 15) with s the sum of valences; pos / neg / neu are the
+shares of (v + 1), |v - 1| and neutral tokens. A review without text or without
+tokens scores (0, 0, 1, 0).
 """
 
 from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfarer.schema import SENTIMENT_COLUMNS
-from wayfarer.session import spread_if_narrow
+from wayfarer.session import small_table, spread_if_narrow
 
-# Negation words (apostrophe-free forms, as produced by the tokeniser).
+# --- Fixed values (must equal the published rules), without apostrophes --------
 NEGATIONS = [
-    "aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "dont",
-    "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neither", "neednt", "never",
-    "none", "nope", "nor", "not", "nothing", "nowhere", "oughtnt", "shant", "shouldnt",
-    "uhuh", "wasnt", "werent", "without", "wont", "wouldnt", "rarely", "seldom", "despite",
+    "aint", "arent", "cannot", "cant", "couldnt", "darent", "despite", "didnt", "doesnt", "dont",
+    "hadnt", "hasnt", "havent", "isnt", "mightnt", "mustnt", "neednt", "neither", "never",
+    "none", "nope", "nor", "not", "nothing", "nowhere", "oughtnt", "rarely", "seldom", "shant", "shouldnt",
+    "uhuh", "wasnt", "werent", "without", "wont", "wouldnt",
 ]
-NEGATION_SCALAR = -0.74
+INTENSIFIERS = [
+    "absolutely", "amazingly", "awfully", "completely", "considerable", "considerably", "decidedly", "deeply",
+    "enormous", "enormously", "entirely", "especially", "exceptional", "exceptionally", "extreme", "extremely",
+    "fabulously", "fully", "greatly", "hella", "highly", "hugely", "incredible", "incredibly", "intensely",
+    "major", "majorly", "more", "most", "particularly", "purely", "quite", "really", "remarkably", "so",
+    "substantially", "thoroughly", "total", "totally", "tremendous", "tremendously", "uber", "unbelievably",
+    "unusually", "utter", "utterly", "very",
+]
+DIMINISHERS = [
+    "almost", "barely", "hardly", "kinda", "kindof", "less", "little", "marginal", "marginally", "occasional",
+    "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof",
+]
+DEGREE, CAPITALS, NEGATION_SCALAR = 0.293, 0.733, -0.74
+DISTANCE = (1.0, 0.95, 0.9)
 ALPHA = 15.0
-TOKEN_PATTERN = "[a-z]+"
+# -------------------------------------------------------------------------------
+TOKEN_PATTERN = r"\p{L}+(?:['’]\p{L}+)*"
 MAX_BROADCAST_LEXICON = 2_000_000
 
 
@@ -46,40 +72,95 @@ def _shifted(tokens, k: int):
     return F.slice(F.concat(pad, tokens), 1, F.size(tokens))
 
 
-def token_scores(df: DataFrame, lexicon: DataFrame, key: str, text: str = "review_text",
-                 negation: bool = True) -> DataFrame:
-    """key, s, pos_sum, neg_sum, neu_count for every review that has tokens.
+def _plain(word: Column) -> Column:
+    return F.lower(F.translate(word, "'’", ""))
+
+
+def _is_capitals(word: Column) -> Column:
+    return (word == F.upper(word)) & (word != F.lower(word))
+
 
-    Each token travels with its three predecessors (shifted copies of the
-    token array, zipped), so the negation test is a hash-set membership on
-    the exploded row: no window, no per-element lambda.
+def _valence(raw: Column, word: Column, mixed: Column, before: list[Column], plain: list[Column], known: list[Column],
+             after: Column, negation: bool) -> Column:
+    """The valence of a lexicon token from its neighbours (``before``: as written, ``plain``: as looked up,
+    ``known``: whether the lexicon has it).
+
+    The three tokens before are folded in one after another, so that the plan
+    names each of them once.
     """
+    toward = lambda v, x: F.when(v > 0, x).otherwise(-x)
+    start = F.when(mixed & _is_capitals(word), raw + toward(raw, F.lit(CAPITALS))).otherwise(raw)
+    emphatic = ("so", "this")
+    steps = []
+    for d in range(3):
+        w = plain[d]
+        degree = F.when(w.isin(INTENSIFIERS), F.lit(DEGREE)).when(w.isin(DIMINISHERS), F.lit(-DEGREE))
+        loud = F.when(mixed & _is_capitals(before[d]), F.lit(CAPITALS)).otherwise(0.0)
+        factor = F.lit(1.0)
+        if negation:
+            factor = F.when(w.isin(NEGATIONS), F.lit(NEGATION_SCALAR)).otherwise(F.lit(1.0))
+            if d:
+                near = plain[0].isin(*emphatic) if d == 1 else plain[0].isin(*emphatic) | plain[1].isin(*emphatic)
+                doubt = plain[0] == "doubt" if d == 1 else (plain[0] == "doubt") | (plain[1] == "doubt")
+                factor = (F.when((w == "never") & near, F.lit(1.25)).when((w == "without") & doubt, F.lit(1.0))
+                          .otherwise(factor))
+        counts = (w != "") & ~known[d]
+        steps.append(F.struct(F.when(counts, F.coalesce((degree + loud) * DISTANCE[d], F.lit(0.0))).otherwise(0.0).alias("push"),
+                              F.when(counts, factor).otherwise(1.0).alias("factor")))
+    if negation:
+        least = (plain[0] == "least") & ~known[0] & ~plain[1].isin("at", "very")
+        steps.append(F.struct(F.lit(0.0).alias("push"), F.when(least, F.lit(NEGATION_SCALAR)).otherwise(1.0).alias("factor")))
+    v = F.aggregate(F.array(*steps), start, lambda v, s: (v + toward(v, s["push"])) * s["factor"])
+    return F.when((_plain(word) == "kind") & (_plain(after) == "of"), F.lit(0.0)).otherwise(v)
+
+
+def token_scores(df: DataFrame, lexicon: DataFrame, key: str, text: str = "review_text",
+                 negation: bool = True) -> DataFrame:
+    """key, s, pos_sum, neg_sum, neu_count for every review that has tokens."""
     txt = F.col(text).cast("string")
     blank = txt.isNull() | (F.btrim(txt) == "") | (F.lower(F.btrim(txt)) == "nan")
+    marks = F.least(F.lit(4), F.length(txt) - F.length(F.replace(txt, F.lit("!"), F.lit("")))) * F.lit(0.292)
+    asks = F.length(txt) - F.length(F.replace(txt, F.lit("?"), F.lit("")))
+    asking = F.when(asks > 3, F.lit(0.96)).when(asks > 1, asks * F.lit(0.18)).otherwise(0.0)
     tok = spread_if_narrow(df.select(key, text), key).select(
-        key, F.when(~blank, F.regexp_extract_all(F.lower(txt), F.lit(TOKEN_PATTERN), 0)).alias("_t"))
+        key, F.when(~blank, F.regexp_extract_all(txt, F.lit(TOKEN_PATTERN), 0)).alias("_t"), (marks + asking).alias("_punct"))
     tok = tok.where(F.size("_t") > 0)
     t = F.col("_t")
-    if negation:
-        zipped = F.arrays_zip(t.alias("t"), _shifted(t, 1).alias("p1"), _shifted(t, 2).alias("p2"),
-                              _shifted(t, 3).alias("p3"))
-        exploded = tok.select(key, F.explode(zipped).alias("_z"))
-        negated = (F.col("_z.p1").isin(NEGATIONS) | F.col("_z.p2").isin(NEGATIONS)
-                   | F.col("_z.p3").isin(NEGATIONS))
-        exploded = exploded.select(key, F.col("_z.t").alias("token"), negated.alias("_neg"))
-    else:
-        exploded = tok.select(key, F.explode(t).alias("token"), F.lit(False).alias("_neg"))
-    n_lex = lexicon.count()
-    lex = F.broadcast(lexicon) if n_lex <= MAX_BROADCAST_LEXICON else lexicon
-    j = exploded.join(lex, "token", "left")
-    v = F.coalesce(F.col("valence"), F.lit(0.0))
-    v = F.when(F.col("_neg") & (v != 0), v * NEGATION_SCALAR).otherwise(v)
-    j = j.withColumn("_v", v)
-    return j.groupBy(key).agg(
-        F.sum("_v").alias("s"),
-        F.sum(F.when(F.col("_v") > 0, F.col("_v") + 1.0).otherwise(0.0)).alias("pos_sum"),
-        F.sum(F.when(F.col("_v") < 0, F.col("_v") - 1.0).otherwise(0.0)).alias("neg_sum"),
-        F.count(F.when(F.col("_v") == 0, 1)).alias("neu_count"))
+    capitals = F.size(F.filter(t, _is_capitals))
+    but = F.array_position(F.transform(t, F.lower), F.lit("but"))
+    after = F.slice(F.concat(t, F.array(F.lit(""))), 2, F.size(t))
+    zipped = F.arrays_zip(t.alias("t"), _shifted(t, 1).alias("p1"), _shifted(t, 2).alias("p2"),
+                          _shifted(t, 3).alias("p3"), after.alias("n1"))
+    # what holds for the whole review is computed below the explode, once
+    tok = tok.select(key, "_punct", F.size("_t").alias("_size"), ((capitals > 0) & (capitals < F.size("_t"))).alias("_mixed"),
+                     but.alias("_but"), zipped.alias("_all"))
+    tok = tok.select(key, "_punct", "_size", "_mixed", "_but", F.posexplode("_all").alias("_pos", "_z"))
+    own = F.col("_z.t")
+    small = small_table(lexicon.select("token", "valence"), MAX_BROADCAST_LEXICON)
+    lex = small if small is not None else lexicon.select("token", "valence")
+    hit = (tok.withColumn("token", _plain(own)).join(lex, "token", "left"))
+    # only lexicon tokens need to know whether their neighbours are in it; one row of any other stays for the counts
+    first = F.col("_pos") == 0
+    hit = hit.where(F.col("valence").isNotNull() | first)
+    for d in (1, 2, 3):
+        names = lex.select(F.col("token").alias(f"_k{d}"))
+        hit = hit.withColumn(f"_w{d}", _plain(F.col(f"_z.p{d}"))).join(
+            names, F.col(f"_w{d}") == F.col(f"_k{d}"), "left")
+    v = _valence(F.col("valence"), own, F.col("_mixed"), [F.col(f"_z.p{d}") for d in (1, 2, 3)],
+                 [F.col(f"_w{d}") for d in (1, 2, 3)], [F.col(f"_k{d}").isNotNull() for d in (1, 2, 3)], F.col("_z.n1"), negation)
+    at = F.col("_pos") + 1
+    v = v * F.when((F.col("_but") > 0) & (at < F.col("_but")), 0.5).when((F.col("_but") > 0) & (at > F.col("_but")), 1.5).otherwise(1.0)
+    hit = hit.withColumn("_v", F.coalesce(v, F.lit(0.0)))
+    sums = hit.groupBy(key).agg(
+        F.sum("_v").alias("_s"),
+        F.sum(F.when(F.col("_v") > 0, F.col("_v") + 1.0).otherwise(0.0)).alias("_p"),
+        F.sum(F.when(F.col("_v") < 0, F.col("_v") - 1.0).otherwise(0.0)).alias("_n"),
+        (F.max("_size") - F.count(F.when(F.col("_v") != 0, 1))).alias("neu_count"), F.max("_punct").alias("_e"))
+    e = F.col("_e")
+    return sums.select(
+        key, F.when(F.col("_s") > 0, F.col("_s") + e).when(F.col("_s") < 0, F.col("_s") - e).otherwise(F.col("_s")).alias("s"),
+        F.when(F.col("_p") > F.abs("_n"), F.col("_p") + e).otherwise(F.col("_p")).alias("pos_sum"),
+        F.when(F.col("_p") < F.abs("_n"), F.col("_n") - e).otherwise(F.col("_n")).alias("neg_sum"), "neu_count")
 
 
 def sentiment(df: DataFrame, lexicon: DataFrame | None, key: str, text: str = "review_text",

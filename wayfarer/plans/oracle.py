@@ -155,7 +155,6 @@ ORACLE["preview"] = with_clean("SELECT * FROM clean ORDER BY listing_key LIMIT 1
 # ---- sampling and caps ---------------------------------------------------------
 
 from wayfarer.plans.sqlparts import hash_u, listing_key  # noqa: E402,F401
-from wayfarer.operators.sentiment import NEGATIONS, NEGATION_SCALAR  # noqa: E402
 from wayfarer.operators.chartdata import LOG_EDGES  # noqa: E402
 
 LIST_COLS = "name, type, location, price, duration, rating, source, review_text, listing_key"
@@ -398,20 +397,70 @@ ORACLE["preference_filter"] = with_clean(
 # ---- sentiment -----------------------------------------------------------------
 
 _LEX = ", ".join(f"('{t}', {v})" for t, v in Q.LEXICON)
-_NEG = in_list(NEGATIONS)
+# the twin's own lists, written out from the published rules
+_NEG = """('aint', 'arent', 'cannot', 'cant', 'couldnt', 'darent', 'didnt', 'doesnt', 'dont', 'hadnt', 'hasnt', 'havent', 'isnt',
+'mightnt', 'mustnt', 'neither', 'neednt', 'never', 'none', 'nope', 'nor', 'not', 'nothing', 'nowhere', 'oughtnt', 'shant',
+'shouldnt', 'uhuh', 'wasnt', 'werent', 'without', 'wont', 'wouldnt', 'rarely', 'seldom', 'despite')"""
+_MORE = """('absolutely', 'amazingly', 'awfully', 'completely', 'considerable', 'considerably', 'decidedly', 'deeply', 'enormous',
+'enormously', 'entirely', 'especially', 'exceptional', 'exceptionally', 'extreme', 'extremely', 'fabulously', 'fully', 'greatly',
+'hella', 'highly', 'hugely', 'incredible', 'incredibly', 'intensely', 'major', 'majorly', 'more', 'most', 'particularly', 'purely',
+'quite', 'really', 'remarkably', 'so', 'substantially', 'thoroughly', 'total', 'totally', 'tremendous', 'tremendously', 'uber',
+'unbelievably', 'unusually', 'utter', 'utterly', 'very')"""
+_LESS = """('almost', 'barely', 'hardly', 'kinda', 'kindof', 'less', 'little', 'marginal', 'marginally', 'occasional', 'occasionally',
+'partly', 'scarce', 'scarcely', 'slight', 'slightly', 'somewhat', 'sorta', 'sortof')"""
+
+
+def _step(d: int, v: str) -> str:
+    """The valence after the token at distance d was taken into account."""
+    w, far = f"w{d}", (1.0, 0.95, 0.9)[d - 1]
+    degree = f"(CASE WHEN {w} IN {_MORE} THEN 0.293 WHEN {w} IN {_LESS} THEN -0.293 END)"
+    sign = f"(CASE WHEN {v} > 0 THEN 1.0 ELSE -1.0 END)"
+    loud = f"(CASE WHEN mixed AND p{d} = upper(p{d}) AND p{d} <> lower(p{d}) THEN 0.733 ELSE 0.0 END)"
+    near = "w1 IN ('so', 'this')" if d == 2 else "(w1 IN ('so', 'this') OR w2 IN ('so', 'this'))"
+    doubt = "w1 = 'doubt'" if d == 2 else "(w1 = 'doubt' OR w2 = 'doubt')"
+    odd = f"WHEN {w} = 'never' AND {near} THEN 1.25 WHEN {w} = 'without' AND {doubt} THEN 1.0" if d > 1 else ""
+    factor = f"(CASE {odd} WHEN {w} IN {_NEG} THEN -0.74 ELSE 1.0 END)"
+    return (f"(CASE WHEN {w} <> '' AND {w} NOT IN (SELECT token FROM lex) "
+            f"THEN ({v} + coalesce({sign} * ({degree} + {loud}) * {far}, 0.0)) * {factor} ELSE {v} END)")
+
+
+def _plain(word: str) -> str:
+    return f"lower(translate({word}, '''’', ''))"
+
+
 SENT = f"""docs AS (SELECT doc_id, text, lang FROM documents),
-tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS t FROM docs
+lex AS (SELECT token, CAST(valence AS DOUBLE) AS valence FROM (VALUES {_LEX}) l(token, valence)),
+tok AS (SELECT doc_id, regexp_extract_all(text, '\\p{{L}}+(?:[''’]\\p{{L}}+)*') AS t,
+               CAST(least(4, length(text) - length(replace(text, '!', ''))) AS DOUBLE) * 0.292
+               + CASE WHEN length(text) - length(replace(text, '?', '')) > 3 THEN 0.96
+                      WHEN length(text) - length(replace(text, '?', '')) > 1
+                      THEN CAST(length(text) - length(replace(text, '?', '')) AS DOUBLE) * 0.18 ELSE 0.0 END AS e FROM docs
         WHERE NOT (text IS NULL OR trim(text) = '' OR lower(trim(text)) = 'nan')),
-ex AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM tok),
-ng AS (SELECT *, coalesce(lag(token, 1) OVER w IN {_NEG}, FALSE) OR coalesce(lag(token, 2) OVER w IN {_NEG}, FALSE)
-                 OR coalesce(lag(token, 3) OVER w IN {_NEG}, FALSE) AS negated
-       FROM ex WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
-lex AS (SELECT * FROM (VALUES {_LEX}) l(token, valence)),
-vals AS (SELECT doc_id, CASE WHEN negated AND coalesce(valence, 0.0) <> 0 THEN valence * {NEGATION_SCALAR}
-                             ELSE coalesce(valence, 0.0) END AS v FROM ng LEFT JOIN lex USING (token)),
-agg AS (SELECT doc_id, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1.0 ELSE 0.0 END) AS ps,
-               sum(CASE WHEN v < 0 THEN v - 1.0 ELSE 0.0 END) AS ns, count(CASE WHEN v = 0 THEN 1 END) AS nu
-        FROM vals GROUP BY doc_id),
+ex AS (SELECT doc_id, e, len(t) AS size, unnest(t) AS word, generate_subscripts(t, 1) AS pos FROM tok),
+ctx AS (SELECT *, {_plain('word')} AS token,
+               coalesce(lag(word, 1) OVER w, '') AS p1, coalesce(lag(word, 2) OVER w, '') AS p2,
+               coalesce(lag(word, 3) OVER w, '') AS p3, coalesce(lead(word, 1) OVER w, '') AS n1,
+               count(CASE WHEN word = upper(word) AND word <> lower(word) THEN 1 END) OVER d BETWEEN 1 AND size - 1 AS mixed,
+               min(CASE WHEN lower(word) = 'but' THEN pos END) OVER d AS but
+        FROM ex WINDOW w AS (PARTITION BY doc_id ORDER BY pos), d AS (PARTITION BY doc_id)),
+l0 AS (SELECT ctx.*, {_plain('p1')} AS w1, {_plain('p2')} AS w2, {_plain('p3')} AS w3,
+              CASE WHEN mixed AND word = upper(word) AND word <> lower(word)
+                   THEN valence + CASE WHEN valence > 0 THEN 0.733 ELSE -0.733 END ELSE valence END AS v0
+       FROM ctx JOIN lex USING (token)),
+l1 AS (SELECT *, {_step(1, 'v0')} AS v1 FROM l0),
+l2 AS (SELECT *, {_step(2, 'v1')} AS v2 FROM l1),
+l3 AS (SELECT *, {_step(3, 'v2')} AS v3 FROM l2),
+l4 AS (SELECT doc_id, CASE WHEN token = 'kind' AND lower(n1) = 'of' THEN 0.0
+                           WHEN w1 = 'least' AND w2 NOT IN ('at', 'very') AND w1 NOT IN (SELECT token FROM lex) THEN v3 * -0.74
+                           ELSE v3 END * CASE WHEN pos < but THEN 0.5 WHEN pos > but THEN 1.5 ELSE 1.0 END AS v FROM l3),
+sums AS (SELECT doc_id, sum(v) AS s, sum(CASE WHEN v > 0 THEN v + 1.0 ELSE 0.0 END) AS p,
+                sum(CASE WHEN v < 0 THEN v - 1.0 ELSE 0.0 END) AS n, count(CASE WHEN v <> 0 THEN 1 END) AS hits
+         FROM l4 GROUP BY doc_id),
+agg AS (SELECT tok.doc_id, len(t) - coalesce(hits, 0) AS nu,
+               CASE WHEN s > 0 THEN s + e WHEN s < 0 THEN s - e ELSE coalesce(s, 0.0) END AS s,
+               CASE WHEN p > abs(n) THEN p + e ELSE coalesce(p, 0.0) END AS ps,
+               CASE WHEN p < abs(n) THEN n - e ELSE coalesce(n, 0.0) END AS ns
+        FROM tok LEFT JOIN sums USING (doc_id) WHERE len(t) > 0),
 sc AS (SELECT d.doc_id, d.lang,
               coalesce(s / sqrt(s * s + 15.0), 0.0) AS c,
               coalesce(abs(ps / (ps + abs(ns) + nu)), 0.0) AS p,

@@ -12,6 +12,7 @@ import os
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.operators import chartdata as CD
@@ -24,6 +25,7 @@ from wayfarer.operators import tiers as T
 from wayfarer.operators.analytics import analytics_projection
 from wayfarer.operators.mapping import union_frames
 from wayfarer.schema import SourceSpec
+from wayfarer.session import scratch_scope
 from wayfarer.sources import booking_demand as BD
 from wayfarer.sources import csv as CSV
 from wayfarer.sources import feeds as FD
@@ -37,7 +39,7 @@ class PipelineConfig:
     booking_demand_path: str | None = None
     booking_demand_max_rows: int | None = None
     extra_raw: Sequence[DataFrame] = ()
-    cap: int | None = S.DEFAULT_CAP
+    cap: int | None = None        # rows kept at most; None keeps all
     proportional: bool = False
     lexicon: DataFrame | None = None
     seeds: Sequence[int] | None = None
@@ -52,7 +54,13 @@ def _save(df: DataFrame, cfg: PipelineConfig, name: str, fmt: str = "parquet") -
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Run every stage; returns {output name: path}."""
+    """Run every stage; returns {output name: path}. Tables written on the way
+    are removed at the end."""
+    with scratch_scope(spark):
+        return _run_stages(spark, cfg)
+
+
+def _run_stages(spark: SparkSession, cfg: PipelineConfig) -> dict:
     raw_parts = []
     if cfg.specs or cfg.external_folder:
         raw_parts.append(FD.external_import(spark, cfg.specs, cfg.external_folder))
@@ -104,6 +112,7 @@ def resolve_stage_input(spark: SparkSession, out_dir: str, prefer: Sequence[str]
         path = os.path.join(out_dir, name)
         try:
             return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - missing path: try the next stage
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise FileNotFoundError(f"none of {list(prefer)} under {out_dir}; run the pipeline first")

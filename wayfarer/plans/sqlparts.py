@@ -6,8 +6,14 @@ twins state the same semantics independently of the DataFrame code.
 
 from __future__ import annotations
 
-from wayfarer.functions.parse import DURATION_NUMBER, PRICE_NUMBER
-from wayfarer.schema import NA_TOKENS, PY_WHITESPACE
+# The twins' own constants: they share none with the engine that they check.
+# --- Fixed values ---------------------------------------------------------------
+NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+             "NULL", "NaN", "None", "n/a", "nan", "null"]
+WHITESPACE = [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+PRICE_NUMBER = r"[0-9]+(?:[.][0-9]+)?"
+DURATION_NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
+# --------------------------------------------------------------------------------
 
 U_RANGE_SQL = "1152921504606846976.0"  # 2**60
 
@@ -16,7 +22,7 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-WHITESPACE_SQL = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+WHITESPACE_SQL = " || ".join(f"chr({ch})" for ch in WHITESPACE)
 
 
 def strip(x: str) -> str:

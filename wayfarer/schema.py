@@ -22,7 +22,6 @@ LISTING_SCHEMA = T.StructType([
 ])
 
 SENTIMENT_COLUMNS = ["sentiment_compound", "sentiment_pos", "sentiment_neg", "sentiment_neu"]
-ENRICHED_SCHEMA = T.StructType(LISTING_SCHEMA.fields + [T.StructField(c, T.DoubleType()) for c in SENTIMENT_COLUMNS])
 
 KEY_COLUMN = "listing_key"
 
@@ -50,6 +49,16 @@ HEADER_ALIASES = {
 }
 TIER_LABELS = ["budget", "mid-range", "premium"]
 UNCLASSIFIED = "unclassified"
+# Preset feed specs (booking-style and attraction-style exports).
+BOOKING_MAPPING = {
+    "name": "hotel_name", "location": "city", "price": "price_per_night", "duration": "nights",
+    "rating": "rating", "type": "property_type", "review_text": "review_snippet",
+}
+ATTRACTION_MAPPING = {
+    "name": "title", "location": "destination", "price": "total_price", "duration": "days",
+    "rating": "review_rating", "type": "attraction_type", "review_text": "review_excerpt",
+}
+BOOKING_NAME, ATTRACTION_NAME = "booking:export_sample", "tripadvisor:export_sample"
 # -----------------------------------------------------------------------------
 
 
@@ -63,20 +72,9 @@ class SourceSpec:
     default_type: str = DEFAULT_TYPE
 
 
-# Preset feed specs (booking-style and attraction-style exports).
-BOOKING_MAPPING = {
-    "name": "hotel_name", "location": "city", "price": "price_per_night", "duration": "nights",
-    "rating": "rating", "type": "property_type", "review_text": "review_snippet",
-}
-ATTRACTION_MAPPING = {
-    "name": "title", "location": "destination", "price": "total_price", "duration": "days",
-    "rating": "review_rating", "type": "attraction_type", "review_text": "review_excerpt",
-}
-
-
-def booking_spec(path: str, name: str = "booking:export_sample") -> SourceSpec:
+def booking_spec(path: str, name: str = BOOKING_NAME) -> SourceSpec:
     return SourceSpec(name=name, path=path, mapping=dict(BOOKING_MAPPING), default_type="hotel")
 
 
-def attraction_spec(path: str, name: str = "tripadvisor:export_sample") -> SourceSpec:
+def attraction_spec(path: str, name: str = ATTRACTION_NAME) -> SourceSpec:
     return SourceSpec(name=name, path=path, mapping=dict(ATTRACTION_MAPPING), default_type="offer")

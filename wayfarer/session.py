@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +72,41 @@ def has_checkpoint_dir(spark: SparkSession) -> bool:
     return bool(spark.conf.get("spark.checkpoint.dir", None))
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the intermediate tables written inside the block when it ends.
+
+    For jobs that write their results elsewhere: nothing returned from the
+    block may still read one of those tables.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            target = jvm.org.apache.hadoop.fs.Path(p)
+            target.getFileSystem(conf).delete(target, True)
+
+
+def store(df, name: str = "stage"):
+    """Write ``df`` once to the shared folder and read it back; raises where no
+    shared folder is configured. For tables whose rows depend on how they were
+    partitioned (ranks, row numbers): a recomputation could change them."""
+    spark = df.sparkSession
+    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if _scopes:
+        _scopes[-1].append(path)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def materialize(df, name: str = "stage"):
     """Cut the lineage of a DataFrame that feeds several consumers.
 
@@ -78,59 +114,28 @@ def materialize(df, name: str = "stage"):
     as a Parquet table and read back: the write survives executor loss, and
     every consumer gets column pruning and filter pushdown on the stored
     columns instead of recomputing joins and shuffles. Without a shared
-    folder, fall back to ``persist(MEMORY_AND_DISK)`` (lost blocks are
-    recomputed from lineage).
+    folder, fall back to ``persist(MEMORY_AND_DISK)``: lost blocks are
+    recomputed from lineage, to the same rows, as nothing that depends on the
+    partitioning comes this way (``store`` is for that).
     """
     from pyspark import StorageLevel
 
-    spark = df.sparkSession
-    if has_checkpoint_dir(spark):
-        path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    if has_checkpoint_dir(df.sparkSession):
+        return store(df, name)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def small_table(df, max_rows: int = 100_000):
-    """Collect a table that is small by construction after checking its size.
-
-    Returns a local DataFrame wrapped in ``broadcast`` when it has at most
-    ``max_rows`` rows, else ``None`` (callers then keep a shuffle join).
-    """
+    """A table that should be small, written once and marked for broadcast
+    after counting it; ``None`` where it has more than ``max_rows`` rows
+    (callers then keep a shuffle join). Its rows never pass through the driver
+    program."""
     from pyspark.sql import functions as F
 
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    table = materialize(df, "small")
+    if table.limit(max_rows + 1).count() > max_rows:
         return None
-    return F.broadcast(local_table(df.sparkSession, rows, df.schema))
-
-
-LITERAL_ROWS = 2_000
-
-
-def local_table(spark: SparkSession, rows, schema):
-    """A DataFrame over already collected rows. Up to LITERAL_ROWS rows it is
-    a JVM-side literal table (no Python worker is started to scan it); larger
-    ones go through ``createDataFrame``."""
-    from pyspark.sql import functions as F
-    from pyspark.sql import types as T
-
-    if isinstance(schema, str):
-        return spark.createDataFrame(rows, schema)
-    rows = list(rows)
-    if not rows or len(rows) > LITERAL_ROWS:
-        return spark.createDataFrame(rows, schema)
-    fields = schema.fields
-
-    def lit(v, f):
-        if v is None:
-            return F.lit(None).cast(f.dataType)
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            return F.lit(float(v)).cast(f.dataType)
-        return F.lit(v).cast(f.dataType)
-
-    structs = [F.struct(*[lit(r[i], f).alias(f.name) for i, f in enumerate(fields)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return F.broadcast(table)
 
 
 def spread_if_narrow(df, *cols):
