@@ -86,3 +86,30 @@ def test_batch_recommend_seeds(spark):
     assert sorted(out["seed_index"].unique().tolist()) == [0, n // 2, n - 1]
     assert (out.groupby("seed_index").size() == 3).all()
     assert (out["listing_key"] != out["query_key"]).all()
+
+
+def test_batch_edge_cases(spark):
+    rows = [(f"n{i}", "t", "x", float(10 + i), 1.0, 4.0, "s", None, f"k{i}") for i in range(6)]
+    schema = ("name string, type string, location string, price double, duration double, rating double, source string, "
+              "review_text string, listing_key string")
+    feats = R.features(R.prepare_numeric(spark.createDataFrame(rows, schema)))
+    full = R.batch_recommend(feats, [0, 2, 5, 99, -1], 2)
+    got = full.collect()
+    assert sorted({r.seed_index for r in got}) == [0, 2, 5] and len(got) == 6
+    for s in (0, 2, 5):
+        want = R.similar_listings(feats, R.row_at(feats, s).drop("_order_u"), 2).collect()
+        assert [(r.listing_key, round(r.similarity, 9)) for r in want] == [
+            (r.listing_key, round(r.similarity, 9)) for r in sorted((g for g in got if g.seed_index == s),
+                                                                    key=lambda g: (-g.similarity, g.listing_key))]
+    none = R.batch_recommend(feats, [77], 2)
+    assert none.columns == full.columns and none.count() == 0
+    one = R.batch_recommend(R.features(R.prepare_numeric(spark.createDataFrame(rows[:1], schema))), None, 2)
+    assert one.columns == full.columns and one.count() == 0
+
+
+def test_type_filter_comes_before_the_fill(spark):
+    ratings = [("x", None), ("x", 5.0), ("x", 5.0)] + [("y", 1.0)] * 4
+    rows = [(f"n{i}", t, "l", 10.0 + i, 1.0, r, "s", None, f"k{i}") for i, (t, r) in enumerate(ratings)]
+    df = spark.createDataFrame(rows, "name string, type string, location string, price double, duration double, rating double, "
+                                     "source string, review_text string, listing_key string")
+    assert R.recommend_preferences(df, min_rating=4.0, types=["X"]).count() == 3

@@ -29,6 +29,27 @@ def test_kmeans_invariants(spark):
     assert len(out) == 300 and set(out["cluster_label"]) == {"budget", "mid-range", "premium"}
     means = out.groupby("cluster_label")["price"].mean()
     assert means["budget"] < means["mid-range"] < means["premium"]
+    xy = out[["price", "cost_per_day"]].to_numpy()
+    centre = out.groupby("cluster")[["price", "cost_per_day"]].mean()
+    far = ((xy[:, None, :] - centre.to_numpy()[None]) ** 2).sum(axis=2)
+    assert (centre.index.to_numpy()[far.argmin(axis=1)] == out["cluster"]).all()      # nearest their own centre
+    one = T.kmeans_tiers(df, k=3, restarts=1).toPandas()
+    cost = lambda t: t.groupby("cluster")["price"].var(ddof=0).mul(t.groupby("cluster").size()).sum()
+    assert cost(out) <= cost(one) + 1e-6
+
+
+def test_lloyd_steps(spark):
+    rng = np.random.default_rng(9)
+    pts = rng.uniform(0, 100, (200, 2))
+    df = spark.createDataFrame([(float(p), float(d) / 20 + 0.5) for p, d in pts], "price double, duration double")
+    start = [(90.0, 10.0), (10.0, 10.0), (1e9, 1e9)]
+    got = T.lloyd_tiers(df, start, 2).toPandas()
+    xy = got[["price", "cost_per_day"]].to_numpy()
+    cen = np.array(start)
+    for _ in range(2):
+        own = ((xy[:, None, :] - cen[None]) ** 2).sum(axis=2).argmin(axis=1)
+        cen = np.array([xy[own == i].mean(axis=0) if (own == i).any() else cen[i] for i in range(3)])
+    assert (((xy[:, None, :] - cen[None]) ** 2).sum(axis=2).argmin(axis=1) == got["cluster"]).all()
 
 
 def test_kmeans_too_few_rows(spark):

@@ -69,7 +69,9 @@ def map_to_listing_schema(df: DataFrame, mapping: Mapping[str, str], source_name
     name = text("name")
     location = text("location")
     tcol, _ = src("type")
-    tval = F.coalesce(tcol.cast("string"), F.lit(default_type)) if tcol is not None else F.lit(default_type)
+    # an NA token in the cell is a missing type, which takes the default
+    tval = (F.coalesce(null_if_na_token(tcol.cast("string")), F.lit(default_type)) if tcol is not None
+            else F.lit(default_type))
     typ = null_if_na_token(F.lower(strip(tval)))
     rcol, _ = src("review_text")
     review = null_if_na_token(clean_review(rcol)) if rcol is not None else F.lit(None).cast("string")

@@ -22,14 +22,14 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfarer.functions.keys import hash_u
+from wayfarer.functions.keys import U_BITS, hash_u
 from wayfarer.functions.numeric import to_double
 from wayfarer.operators.analytics import cost_per_day, defaulted_duration
 from wayfarer.operators.filters import preference_filter
-from wayfarer.operators.ranking import exact_quantiles, row_at_hash_rank
+from wayfarer.operators.ranking import HASH_BIN_BITS, exact_quantiles, row_at_hash_rank
 from wayfarer.schema import KEY_COLUMN
 from wayfarer.session import materialize
 
@@ -141,38 +141,57 @@ def row_at(feats: DataFrame, index) -> DataFrame:
     return row_at_hash_rank(with_row_order(feats), "_order_u", KEY_COLUMN, index)
 
 
+def rows_at(feats: DataFrame, positions: Sequence[int]) -> list:
+    """(position, query columns) of the rows at 0-based positions of the table's
+    row order, for many positions in two passes: hash bins are counted, then
+    only the bins that hold a wanted row are ranked inside."""
+    fo = with_row_order(feats)
+    bin_ = F.shiftright("_order_u", U_BITS - HASH_BIN_BITS)
+    sizes = fo.groupBy(bin_.alias("b")).agg(F.count(F.lit(1)).alias("c")).orderBy("b").collect()   # 2**16 rows at most
+    wanted, start, left = {}, 0, sorted(set(positions))
+    for r in sizes:
+        while left and left[0] < start + r["c"]:
+            wanted.setdefault(r["b"], []).append((left[0] - start + 1, left[0]))
+            left = left[1:]
+        start += r["c"]
+    if not wanted:
+        return []
+    rn = F.row_number().over(Window.partitionBy("_b").orderBy("_order_u", KEY_COLUMN))
+    inside = fo.withColumn("_b", bin_).where(F.col("_b").isin(list(wanted))).withColumn("_rn", rn)
+    pick = F.create_map(*[x for b, ps in wanted.items() for x in (
+        F.lit(b), F.create_map(*[y for k, p in ps for y in (F.lit(k), F.lit(p))]))])
+    at = inside.withColumn("_at", pick[F.col("_b")][F.col("_rn")]).where("_at is not null")
+    return [(r["_at"], {c: r[c] for c in QUERY_COLUMNS}) for r in at.select("_at", *QUERY_COLUMNS).collect()]
+
+
 def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k: int = 5) -> DataFrame:
     """Top-k similar listings for each seed position (default: first, middle
-    and last row of the table's row order); one TakeOrderedAndProject per
-    seed, unioned. Row count, first and last rows come from one aggregate.
-    The feature table is scanned about six times, so it is written once."""
-    feats = materialize(feats, "features")
-    fo = with_row_order(feats)
-    order = F.struct(F.col("_order_u"), F.col(KEY_COLUMN))
-    row = F.struct(*[F.col(c) for c in QUERY_COLUMNS])
-    ends = fo.agg(F.count(F.lit(1)).alias("n"), F.min_by(row, order).alias("first"),
-                  F.max_by(row, order).alias("last")).first()
-    n = int(ends["n"])
-    if n < 2:
-        return feats.limit(0)
+    and last row of the table's row order); positions out of range give nothing.
+
+    All seeds are answered in one scan: their vectors are one array literal,
+    exploded against each row, and the best ``top_k`` of a seed are kept in
+    every task before the shuffle (the rank limit is pushed below it).
+    """
+    n = feats.count()
     if seeds is None:
         seeds = sorted({0, n - 1} | ({n // 2} if n > 2 else set()))
-    parts = []
-    for s in seeds:
-        if s >= n:
-            continue
-        if s == 0:
-            q = ends["first"]
-        elif s == n - 1:
-            q = ends["last"]
-        else:
-            q = row_at_hash_rank(fo, "_order_u", KEY_COLUMN, s).select(*QUERY_COLUMNS).first()
-        rec = similar_listings(feats, q, min(top_k, n - 1))
-        parts.append(rec.withColumn("seed_index", F.lit(int(s))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    found = rows_at(feats, [int(s) for s in seeds if 0 <= s < n]) if n >= 2 else []
+    text = ("location_bucket", "type_key", KEY_COLUMN, "name")
+    one = lambda at, q: F.struct(
+        F.lit(at).cast("int").alias("seed_index"),
+        *[F.lit(q[c]).cast("string" if c in text else "double").alias(c) for c in QUERY_COLUMNS])
+    empty = dict.fromkeys(QUERY_COLUMNS)
+    queries = F.array(*[one(at, q) for at, q in found]) if found else F.slice(F.array(one(0, empty)), 1, 0)
+    pairs = feats.withColumn("_q", F.explode(queries))
+    pairs = pairs.where(F.col(KEY_COLUMN) != F.col(f"_q.{KEY_COLUMN}"))
+    dot = sum((F.col(z) * F.col(f"_q.{z}") for z in Z[1:]), F.col(Z[0]) * F.col(f"_q.{Z[0]}"))
+    dot = (dot + F.when(F.col("location_bucket") == F.col("_q.location_bucket"), 1.0).otherwise(0.0)
+           + F.when(F.col("type_key") == F.col("_q.type_key"), 1.0).otherwise(0.0))
+    pairs = pairs.withColumn("similarity", dot / (F.col("norm") * F.col("_q.norm")))
+    first = Window.partitionBy("_q.seed_index").orderBy(F.col("similarity").desc(), F.col(KEY_COLUMN).asc())
+    top = pairs.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= top_k)
+    return top.select(F.col("_q.name").alias("query_name"), *_result_columns(feats), "similarity",
+                      F.col(f"_q.{KEY_COLUMN}").alias("query_key"), F.col("_q.seed_index").alias("seed_index"))
 
 
 def recommend_preferences(df: DataFrame, max_price: float | None = None, min_rating: float | None = None,
@@ -182,9 +201,10 @@ def recommend_preferences(df: DataFrame, max_price: float | None = None, min_rat
     and rank them by cosine similarity to the per-dimension median listing
     ("ideal"). One-hot medians are 1 for a category held by more than half of
     the survivors, 0.5 at exactly half, else 0. A zero ideal scores 0; with a
-    single survivor the score is NULL."""
-    prep = prepare_numeric(df)
-    work = materialize(preference_filter(prep, max_price, min_rating, preferred_locations, types), "survivors")
+    single survivor the score is NULL. The type filter comes before missing
+    ratings are filled, so the fill is the median of the chosen types."""
+    prep = prepare_numeric(preference_filter(df, types=types))
+    work = materialize(preference_filter(prep, max_price, min_rating, preferred_locations), "survivors")
     feats = features(work)
     n = work.count()
     if n == 0:

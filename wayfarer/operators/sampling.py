@@ -84,12 +84,13 @@ def proportional_quotas(counts: DataFrame, cap: int) -> DataFrame:
 
 def proportional_cap(df: DataFrame, cap: int, key: str = KEY_COLUMN, seed: int = CAP_SEED) -> DataFrame:
     """Exactly ``cap`` rows stratified by source; when strata are infeasible
-    (<= 1 source, a source with one row, cap or remainder below the number
+    (<= 1 source besides missing ones, a source with one row, cap or remainder below the number
     of sources) falls back to ``uniform_cap``."""
     counts = source_counts(df)
-    s = counts.agg(F.sum("n_s").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n_s").alias("m")).first()
+    s = counts.agg(F.sum("n_s").alias("n"), F.count(F.lit(1)).alias("k"), F.min("n_s").alias("m"),
+                   F.count(F.when(F.col("_src") != "nan", 1)).alias("named")).first()
     n, k, m = int(s["n"] or 0), int(s["k"] or 0), int(s["m"] or 0)
-    if k <= 1 or m < 2 or cap < k or n - cap < k:
+    if s["named"] <= 1 or m < 2 or cap < k or n - cap < k:
         return uniform_cap(df, cap, key, seed)
     quotas = proportional_quotas(counts, cap)
     quotas = small_table(quotas) or quotas

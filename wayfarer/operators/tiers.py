@@ -26,13 +26,6 @@ def model_rows(df: DataFrame) -> DataFrame:
     return out.where(F.col("price").isNotNull() & F.col("cost_per_day").isNotNull())
 
 
-def tier_label_map(center_prices: Sequence[float]) -> dict[int, str]:
-    """Cluster id -> tier name by ascending centre price (extras unclassified)."""
-    order = sorted(range(len(center_prices)), key=lambda i: (center_prices[i], i))
-    return {cid: (TIER_LABELS[rank] if rank < len(TIER_LABELS) else UNCLASSIFIED)
-            for rank, cid in enumerate(order)}
-
-
 def _label_column(cluster: Column, centers_price: Sequence[Column]) -> Column:
     """Tier label from centre prices given as (possibly scalar-subquery) columns."""
     k = len(centers_price)
@@ -84,33 +77,39 @@ def quantile_centers(df: DataFrame, qs: Sequence[float] = (0.2, 0.5, 0.8),
 
 
 def kmeans_tiers(df: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42,
-                 max_iter: int = 20) -> DataFrame:
+                 max_iter: int = 300) -> DataFrame:
     """Fit K-means ``restarts`` times (seeds seed..seed+restarts-1), keep the
     lowest training cost, label clusters by centre price. Fewer than k usable
-    rows: the rows come back without clusters."""
+    rows: the rows come back without clusters.
+
+    Only the two features are kept in memory while fitting, and are released
+    afterwards; every row then goes to its nearest centre in a projection."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
     rows = model_rows(df)
-    n = rows.count()
-    if n < k:
-        return rows.withColumn("cluster", F.lit(None).cast("int")).withColumn(
-            "cluster_label", F.lit(None).cast("string"))
-    feats = VectorAssembler(inputCols=["price", "cost_per_day"], outputCol="_features").transform(rows)
-    # the restarts scan the features repeatedly; keep them cached meanwhile
-    # (the returned plan still reads them, so they stay cached for the caller)
+    feats = VectorAssembler(inputCols=["price", "cost_per_day"], outputCol="_features").transform(
+        rows.select("price", "cost_per_day")).select("_features")
     feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for r in range(restarts):
-        model = KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="_features",
-                       predictionCol="cluster").fit(feats)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    model = best[1]
-    centers = [tuple(float(v) for v in c) for c in model.clusterCenters()]
-    labels = tier_label_map([c[0] for c in centers])
-    out = model.transform(feats).drop("_features")
-    mapping = F.create_map(*[x for cid, lab in sorted(labels.items()) for x in (F.lit(cid), F.lit(lab))])
-    out = out.withColumn("cluster", F.col("cluster").cast("int"))
-    return out.withColumn("cluster_label", F.coalesce(mapping[F.col("cluster")], F.lit(UNCLASSIFIED)))
+    try:
+        if feats.count() < k:
+            return rows.withColumn("cluster", F.lit(None).cast("int")).withColumn(
+                "cluster_label", F.lit(None).cast("string"))
+        fits = [KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="_features").fit(feats) for r in range(restarts)]
+        best = min(fits, key=lambda m: m.summary.trainingCost)
+        return assign_centers(rows, [tuple(float(v) for v in c) for c in best.clusterCenters()])
+    finally:
+        feats.unpersist()
+
+
+def lloyd_tiers(df: DataFrame, centers: Sequence[tuple], steps: int) -> DataFrame:
+    """``steps`` rounds of Lloyd's iteration from given centres: rows go to the
+    nearest centre, centres to the mean of their rows (one without rows stays).
+    Each round is one aggregate with a row per centre."""
+    rows = model_rows(df)
+    for _ in range(steps):
+        means = (assign_centers(rows, centers).groupBy("cluster")
+                 .agg(F.avg("price").alias("x"), F.avg("cost_per_day").alias("y")).collect())
+        by = {r["cluster"]: (r["x"], r["y"]) for r in means}
+        centers = [by.get(i, c) for i, c in enumerate(centers)]
+    return assign_centers(rows, centers)

@@ -306,6 +306,21 @@ asg AS (SELECT *, {_LABEL} AS cluster_label FROM asg0)"""
 ORACLE["assign_centers"] = with_clean(
     f"SELECT listing_key, price, {rnd('cost_per_day')} AS cost_per_day, CAST(cluster AS INTEGER) AS cluster, "
     "cluster_label FROM asg", TIERS)
+_CLUSTER = f"CASE WHEN {_D[2]} < least({_D[0]}, {_D[1]}) THEN 2 WHEN {_D[1]} < {_D[0]} THEN 1 ELSE 0 END AS cluster"
+_MEANS = ", ".join(f"coalesce(avg({v}) FILTER (WHERE cluster = {i}), max(p{a}{i})) AS p{a}{i}"
+                   for i in range(3) for a, v in (("x", "price"), ("y", "cost_per_day")))
+_STEPS = ", ".join(f"a{t} AS (SELECT m.*, c{t}.*, {_CLUSTER} FROM m, c{t}), c{t + 1} AS (SELECT {_MEANS} FROM a{t})"
+                   for t in range(3))
+ORACLE["kmeans_fixed_start"] = with_clean(
+    "SELECT listing_key, price, CAST(cluster AS INTEGER) AS cluster, cluster_label FROM asg",
+    f"""m AS (SELECT * FROM (SELECT *, {cost_default()} AS cost_per_day FROM clean)
+      WHERE price IS NOT NULL AND cost_per_day IS NOT NULL),
+c0 AS (SELECT {_CENTERS} FROM m), {_STEPS},
+asg0 AS (SELECT m.*, c3.*, {_CLUSTER} FROM m, c3),
+asg AS (SELECT *, {_LABEL} AS cluster_label FROM asg0)""")
+ORACLE["kmeans_check"] = with_clean(f"""
+SELECT count(*) AS "rows", FALSE AS misplaced, TRUE AS labels_ordered, CAST(3 AS INTEGER) AS clusters
+FROM (SELECT *, {cost_default()} AS cost_per_day FROM clean) WHERE price IS NOT NULL AND cost_per_day IS NOT NULL""")
 ORACLE["tier_counts"] = with_clean('SELECT cluster_label, count(*) AS "count" FROM asg GROUP BY cluster_label', TIERS)
 
 # ---- recommendations -----------------------------------------------------------
@@ -358,6 +373,14 @@ SELECT query_name, name, type, location, price, duration, rating, source, review
   FROM f, (SELECT * FROM o WHERE idx IN (0, n // 2, n - 1)) q WHERE f.listing_key <> q.listing_key)
 WHERE r <= 5""", ORDERED)
 
+ORACLE["batch_recommend_many"] = with_clean(f"""
+SELECT seed_index, query_key, listing_key, {rnd('sim')} AS similarity FROM (
+  SELECT CAST(q.idx AS INTEGER) AS seed_index, q.listing_key AS query_key, f.listing_key, {_sim('q')} AS sim,
+         row_number() OVER (PARTITION BY q.idx ORDER BY {_sim('q')} DESC, f.listing_key) AS r
+  FROM f, (SELECT o.* FROM o WHERE idx IN (SELECT i * n // 200 FROM range(200) t(i), (SELECT max(n) AS n FROM o))) q
+  WHERE f.listing_key <> q.listing_key)
+WHERE r <= 3""", ORDERED)
+
 _P = Q.PREFS
 _PREF_LOCS = sorted({str(x).strip().lower() for x in _P["preferred_locations"] if str(x).strip()})
 WORK = (f"work AS (SELECT * FROM prep WHERE price <= {float(_P['max_price'])} AND rating >= {float(_P['min_rating'])} "

@@ -379,6 +379,29 @@ def q_kmeans_tiers(spark, sf_dir):
                                                                "cluster_label")
 
 
+@register("kmeans_fixed_start")
+def q_kmeans_fixed_start(spark, sf_dir):
+    """Three Lloyd rounds from the quantile centres."""
+    rows = T.model_rows(clean_fixture(spark, sf_dir))
+    out = T.lloyd_tiers(rows, T.quantile_centers(rows, CENTER_QS), 3)
+    return out.select(KEY_COLUMN, "price", "cluster", "cluster_label")
+
+
+@register("kmeans_check")
+def q_kmeans_check(spark, sf_dir):
+    """What must hold of the fit: rows by label, rows nearer to another cluster's mean (none, up to where the
+    fit stopped moving), labels in the order of their prices."""
+    out = T.kmeans_tiers(clean_fixture(spark, sf_dir))
+    means = out.groupBy("cluster", "cluster_label").agg(F.avg("price").alias("x"), F.avg("cost_per_day").alias("y"))
+    rank = {"budget": 0, "mid-range": 1, "premium": 2}
+    found = sorted(means.collect(), key=lambda r: r["cluster"])
+    near = T.assign_centers(out.withColumnRenamed("cluster", "_own").drop("cluster_label"), [(r["x"], r["y"]) for r in found])
+    prices = [r["x"] for r in sorted(found, key=lambda r: rank[r["cluster_label"]])]
+    return near.agg(F.count(F.lit(1)).alias("rows"),
+                    (F.count(F.when(F.col("_own") != F.col("cluster"), 1)) * 1000 > F.count(F.lit(1))).alias("misplaced"),
+                    F.lit(prices == sorted(prices)).alias("labels_ordered"), F.lit(len(prices)).alias("clusters"))
+
+
 # ---- recommendations -----------------------------------------------------------
 
 def _feats(spark, sf_dir):
@@ -405,6 +428,15 @@ def q_batch_recommend(spark, sf_dir):
     return out.withColumn("similarity", r6(F.col("similarity"))).withColumn("cost_per_day", r6(F.col("cost_per_day")))
 
 
+@register("batch_recommend_many")
+def q_batch_recommend_many(spark, sf_dir):
+    """200 seeds spread over the table, and two beyond its end."""
+    f = _feats(spark, sf_dir)
+    n = f.count()
+    out = R.batch_recommend(f, [i * n // 200 for i in range(200)] + [n, n + 7], 3)
+    return out.select("seed_index", "query_key", KEY_COLUMN, r6(F.col("similarity")).alias("similarity"))
+
+
 @register("recommend_preferences")
 def q_recommend_preferences(spark, sf_dir):
     out = R.recommend_preferences(clean_fixture(spark, sf_dir), top_k=8, **PREFS)

@@ -162,22 +162,24 @@ STAR = """lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey
 
 FEEDS = f"""
 fbase AS (
-  SELECT l_linenumber % 3 AS _feed, concat(p_name, ' ', p_brand) AS _name, n_name AS _loc, p_type AS _type,
+  SELECT concat(p_name, ' ', p_brand) AS _name, n_name AS _loc,
+         CASE l_linenumber WHEN 2 THEN 'NA' WHEN 3 THEN 'None' WHEN 4 THEN 'NULL' WHEN 5 THEN 'nan' WHEN 6 THEN 'N/A'
+              WHEN 7 THEN NULL ELSE p_type END AS _type,
          l_extendedprice AS _price, l_quantity AS _dur,
          CASE WHEN l_returnflag = 'R' THEN NULL ELSE 3.0 + l_discount * 20.0 END AS _rating,
          o_orderpriority AS _review
   FROM {STAR}),
 feed_a AS (SELECT _name AS hotel_name, _loc AS city, _type AS property_type, _price AS price_per_night,
-                  _dur AS nights, _rating AS rating, _review AS review_snippet FROM fbase WHERE _feed = 0),
+                  _dur AS nights, _rating AS rating, _review AS review_snippet FROM fbase),
 feed_b AS (SELECT _name AS title, _loc AS destination, _type AS attraction_type, _price AS total_price,
-                  _dur AS days, _rating AS review_rating, _review AS review_excerpt FROM fbase WHERE _feed = 1),
+                  _dur AS days, _rating AS review_rating, _review AS review_excerpt FROM fbase),
 feed_c AS (SELECT _name AS Hotel_Name, _price AS Price, _rating AS Rating, _loc AS Location, _review AS Review
-           FROM fbase WHERE _feed = 2)"""
+           FROM fbase)"""
 
 
 def mapped(src: str, name: str, typ: str | None, loc: str, price: str, dur: str | None, rating: str,
            rev: str, label: str, default_type: str) -> str:
-    tval = f"coalesce(CAST({typ} AS VARCHAR), {q(default_type)})" if typ else q(default_type)
+    tval = f"coalesce({na(f'CAST({typ} AS VARCHAR)')}, {q(default_type)})" if typ else q(default_type)
     d = f"round_even({num_first(dur)}, 2)" if dur else "CAST(NULL AS DOUBLE)"
     return (f"SELECT {na(strip(name))} AS name, {na(f'lower({strip(tval)})')} AS type, {na(strip(loc))} AS location, "
             f"{num_first(price)} AS price, {d} AS duration, {nan_null(f'CAST({rating} AS DOUBLE)')} AS rating, "

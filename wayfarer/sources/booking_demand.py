@@ -35,9 +35,9 @@ def transform_booking_demand(df: DataFrame, order_cols: Sequence | None = None,
     order = list(order_cols) if order_cols else [F.col(c).asc_nulls_last() for c in work.columns]
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     types = {f.name: f.dataType for f in work.schema.fields}
-    numbered = consecutive_index(work, order, "_row")
     if max_rows is not None and max_rows > 0:
-        numbered = numbered.where(F.col("_row") <= int(max_rows))
+        work = work.orderBy(*order).limit(int(max_rows))   # only the head is numbered
+    numbered = consecutive_index(work, order, "_row")
 
     def num(c: str) -> Column:
         return F.coalesce(to_double(c, types[c]), F.lit(0.0))

@@ -75,28 +75,30 @@ def text_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Three feed shapes (booking / attraction / external CSV) split by line number."""
+    """Three feed shapes (booking / attraction / external CSV), each over the whole
+    of ``lineitem``; some types are texts that mean a missing value."""
     j = _lineitem_star(spark, sf_dir)
+    ln = F.col("l_linenumber")
     base = j.select(
-        (F.col("l_linenumber") % 3).alias("_feed"),
         F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand")).alias("_name"),
         F.col("n_name").alias("_loc"),
-        F.col("p_type").alias("_type"),
+        F.when(ln == 2, "NA").when(ln == 3, "None").when(ln == 4, "NULL").when(ln == 5, "nan").when(ln == 6, "N/A")
+         .when(ln == 7, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("_type"),
         F.col("l_extendedprice").alias("_price"),
         F.col("l_quantity").alias("_dur"),
         F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
          .otherwise(3.0 + F.col("l_discount") * 20.0).alias("_rating"),
         F.col("o_orderpriority").alias("_review"),
     )
-    feed_a = base.where(F.col("_feed") == 0).select(
+    feed_a = base.select(
         F.col("_name").alias("hotel_name"), F.col("_loc").alias("city"), F.col("_type").alias("property_type"),
         F.col("_price").alias("price_per_night"), F.col("_dur").alias("nights"), F.col("_rating").alias("rating"),
         F.col("_review").alias("review_snippet"))
-    feed_b = base.where(F.col("_feed") == 1).select(
+    feed_b = base.select(
         F.col("_name").alias("title"), F.col("_loc").alias("destination"), F.col("_type").alias("attraction_type"),
         F.col("_price").alias("total_price"), F.col("_dur").alias("days"), F.col("_rating").alias("review_rating"),
         F.col("_review").alias("review_excerpt"))
-    feed_c = base.where(F.col("_feed") == 2).select(
+    feed_c = base.select(
         F.col("_name").alias("Hotel_Name"), F.col("_price").alias("Price"), F.col("_rating").alias("Rating"),
         F.col("_loc").alias("Location"), F.col("_review").alias("Review"))
     return {"feed_a": feed_a, "feed_b": feed_b, "feed_c": feed_c}
