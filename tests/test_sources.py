@@ -119,3 +119,38 @@ def test_streaming_folder_ingest(spark, tmpdir_path):
     out = spark.read.parquet(sink)
     assert out.count() == 3
     assert out.where(F.col("name") == "New Place").first().source == "external:second"
+
+
+def test_folder_with_odd_names_and_encodings(spark, tmpdir_path):
+    folder = os.path.join(tmpdir_path, "my feeds")
+    os.makedirs(folder)
+    _write(os.path.join(folder, "plain.csv"), "name,price\nCafé A,10\nB,20\n")
+    with open(os.path.join(folder, "latin one.csv"), "wb") as f:
+        f.write("name,price\nCafé L,30\n".encode("latin-1"))
+    with open(os.path.join(folder, "empty.csv"), "wb"):
+        pass
+    for given in (folder, os.path.join(folder, "*.csv")):
+        rows = CSV.read_csv_text(spark, [os.path.join(folder, "plain.csv"), os.path.join(folder, "latin one.csv")]).collect()
+        assert sorted((r.name, r.price) for r in rows) == [("B", "20"), ("Café A", "10"), ("Café L", "30")]
+        got = CSV.read_listing_files(spark, given).collect()
+        assert sorted((r.name, r.price) for r in got) == [("B", 20.0), ("Café A", 10.0), ("Café L", 30.0)]
+    out = FD.external_import(spark, folder=folder).collect()
+    assert sorted((r.name, r.source) for r in out) == [
+        ("B", "external:plain"), ("Café A", "external:plain"), ("Café L", "external:latin one")]
+    assert FD.external_import(spark, folder=os.path.join(tmpdir_path, "nowhere")).count() == 0
+
+
+def test_listing_files_are_read_by_name(spark, tmpdir_path):
+    _write(os.path.join(tmpdir_path, "raw_a.csv"), "price,name,location,extra\n20,Inn,Rome,x\n")
+    _write(os.path.join(tmpdir_path, "raw_b.csv"), ",".join(LISTING_COLUMNS) + "\nHut,cabin,Oslo,5,1,4.5,s,good\n")
+    got = {r.name: r for r in CSV.read_listing_files(spark, os.path.join(tmpdir_path, "raw_*.csv")).collect()}
+    assert got["Inn"].price == 20.0 and got["Inn"].location == "Rome" and got["Inn"].type is None
+    assert got["Hut"].rating == 4.5 and got["Hut"].type == "cabin" and list(got["Hut"].asDict()) == LISTING_COLUMNS
+
+
+def test_na_type_cells_take_the_default(spark):
+    from wayfarer.operators.mapping import map_to_listing_schema
+
+    df = spark.createDataFrame([(t,) for t in ("NA", "None", "NULL", "nan", "N/A", None, " Villa ")], "t string")
+    got = [r.type for r in map_to_listing_schema(df, {"type": "t"}, "s", "hotel").collect()]
+    assert got == ["hotel"] * 6 + ["villa"]

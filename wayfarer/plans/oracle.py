@@ -75,6 +75,14 @@ ORACLE["external_distinct"] = f"WITH {FEEDS}\nSELECT DISTINCT * FROM ({MAP_A}\nU
 ORACLE["union_sources"] = (f"WITH {FEEDS}\n{MAP_A}\nUNION ALL\nSELECT title AS name, NULL AS type, NULL AS location, "
                            "total_price AS price, NULL AS duration, NULL AS rating, NULL AS source, "
                            "NULL AS review_text FROM feed_b")
+# the sink writes text without the blanks around it
+ORACLE["csv_round_trip"] = f"""WITH raw AS ({RAW_LISTINGS})
+SELECT trim(name) AS name, nullif(trim(type), '') AS type, 'é' || location AS location, price, duration, rating, trim(source) AS source,
+       CAST(NULL AS VARCHAR) AS review_text FROM raw"""
+ORACLE["result_sinks"] = with_clean(f"""
+SELECT sink, location, listings, avg_price, avg_rating FROM
+  (SELECT location, count(name) AS listings, {rnd('avg(price)')} AS avg_price, {rnd('avg(rating)')} AS avg_rating
+   FROM clean WHERE location IS NOT NULL GROUP BY location), (SELECT unnest(['parquet', 'csv', 'json']) AS sink)""")
 ORACLE["booking_demand"] = booking_demand()
 ORACLE["booking_demand_head"] = booking_demand(20000)
 

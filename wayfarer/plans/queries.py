@@ -9,6 +9,7 @@ twins compare exactly.
 from __future__ import annotations
 
 import os
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,9 @@ from wayfarer.operators import filters as FL
 from wayfarer.operators import insights as I
 from wayfarer.operators.mapping import complete_columns, map_to_listing_schema, union_frames
 from wayfarer.schema import KEY_COLUMN, LISTING_COLUMNS, SourceSpec, ATTRACTION_MAPPING, BOOKING_MAPPING
+from wayfarer.session import scratch_table_path
 from wayfarer.sources import booking_demand as BD
+from wayfarer.sources import csv as CSV
 from wayfarer.sources import feeds as FD
 from wayfarer.sources import fixtures as FX
 
@@ -171,6 +174,33 @@ def q_booking_demand_head(spark, sf_dir):
     return BD.transform_booking_demand(FX.booking_demand_raw(spark, sf_dir), max_rows=20000)
 
 
+@register("csv_round_trip")
+def q_csv_round_trip(spark, sf_dir):
+    """Raw listings written by the fixed-column sink, one half with the columns in another order and in Latin-1,
+    and read back by column name."""
+    raw = FX.raw_listings(spark, sf_dir).withColumn("location", F.concat(F.lit("é"), F.col("location")))
+    folder = scratch_table_path(spark, f"round-trip-{uuid.uuid4().hex}")
+    half = F.pmod(F.xxhash64("name", "price", "duration", "rating"), F.lit(2))
+    CSV.write_listings(raw.where(half == 0), f"{folder}/utf8", "csv")
+    swapped = raw.where(half == 1).select(*reversed(LISTING_COLUMNS))
+    swapped.write.option("header", "true").option("encoding", "ISO-8859-1").csv(f"{folder}/latin1")
+    return CSV.read_listing_files(spark, f"{folder}/*/*.csv")
+
+
+@register("result_sinks")
+def q_result_sinks(spark, sf_dir):
+    """A result table through each of the three result sinks."""
+    table = I.popular_destinations(clean_fixture(spark, sf_dir), digits=D)
+    folder = scratch_table_path(spark, f"sinks-{uuid.uuid4().hex}")
+    parts = []
+    for fmt in ("parquet", "csv", "json"):
+        CSV.write_table(table, f"{folder}/{fmt}", fmt)
+        r = spark.read.schema(table.schema)
+        back = r.option("header", "true").csv(f"{folder}/csv") if fmt == "csv" else r.format(fmt).load(f"{folder}/{fmt}")
+        parts.append(back.select(F.lit(fmt).alias("sink"), *table.columns))
+    return union_frames(parts)
+
+
 # ---- projections ---------------------------------------------------------------
 
 @register("cost_per_day")

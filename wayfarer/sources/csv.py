@@ -1,70 +1,141 @@
 """CSV scans and sinks.
 
 Feeds are read with every column as text (no ``inferSchema`` second pass);
-typing happens in the mapping projection. A file that is not valid UTF-8 is
-re-read as Latin-1: validity is tested line by line on the executors with
-``is_valid_utf8`` over the raw bytes, and only the names of failing files
-reach the driver.
+typing happens in the mapping projection. Folders and patterns are first
+expanded to the files in them; the files that are not valid UTF-8 are found in
+one job over all of them (line by line on the executors, only names reach the
+driver) and read as Latin-1, the others as UTF-8, so no row is read twice.
 """
 
 from __future__ import annotations
 
-from typing import Sequence
+import re
+from typing import Mapping, Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfarer.operators.mapping import complete_columns
-from wayfarer.schema import LISTING_COLUMNS, LISTING_SCHEMA
+from wayfarer.functions.numeric import to_double
+from wayfarer.operators.mapping import complete_columns, empty_listings, union_frames
+from wayfarer.schema import LISTING_COLUMNS, LISTING_SCHEMA, NUMERIC_COLUMNS
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+FILE_COLUMN = "_source_file"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, asked of the path's own file system."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def expand(spark: SparkSession, paths: Sequence[str] | str) -> list[str]:
+    """The files behind paths, folders and patterns (any Hadoop file system), as full paths; content is not read."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in [paths] if isinstance(paths, str) else paths:
+        target = jvm.org.apache.hadoop.fs.Path(p)
+        fs = target.getFileSystem(conf)
+        try:
+            found = [fs.getFileStatus(target)] if fs.exists(target) else list(fs.globStatus(target) or [])
+        except Exception as e:  # noqa: BLE001 - a pattern that the file system cannot read has no files
+            raise FileNotFoundError(f"{p}: {e}") from e
+        for status in found:
+            inner = [status] if status.isFile() else [f for f in fs.listStatus(status.getPath()) if f.isFile()]
+            out += [f.getPath().toString() for f in inner if not re.match(r"[._]", f.getPath().getName())]
+    return sorted(set(out))
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
     """File paths directly inside ``folder`` (any Hadoop file system), content not read."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-               .load(folder).select("path"))
-    return sorted(r.path for r in listing.collect())
+    return expand(spark, folder)
 
 
-def invalid_utf8_files(spark: SparkSession, paths: Sequence[str] | str) -> set[str]:
-    lines = spark.read.text(paths).select(F.col("value"), F.col("_metadata.file_path").alias("f"))
-    bad = lines.where(~F.is_valid_utf8(F.col("value"))).select("f").distinct()
-    return {r.f for r in bad.collect()}
+def _same(path: str) -> str:
+    """One spelling of a path: one slash after the scheme."""
+    return re.sub(r"^([a-z0-9+.-]+):/+", r"\1:/", path)
 
 
-FILE_COLUMN = "_source_file"
+def _literal(path: str) -> str:
+    """A path in which no character stands for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def invalid_utf8_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Those of the given files that hold a line that is not valid UTF-8, found in one job."""
+    if not paths:
+        return set()
+    lines = spark.read.text([_literal(p) for p in paths]).select(F.col("value"), F.col("_metadata.file_path").alias("f"))
+    bad = {_same(unquote(r.f)) for r in lines.where(~F.is_valid_utf8(F.col("value"))).select("f").distinct().collect()}
+    return {p for p in paths if _same(p) in bad}
+
+
+def scan_csv(spark: SparkSession, files: Sequence[str], encoding: str | None = None, with_file_name: bool = False,
+             multi_line: bool = True) -> DataFrame:
+    """All-text scan of files that share a header. Without ``multi_line`` (no field holds a line break) a large
+    file is split over many tasks; with it a file is one task."""
+    r = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
+    if encoding:
+        r = r.option("encoding", encoding)
+    df = r.csv([_literal(f) for f in files])
+    # the scan gives names percent-encoded; a plus stands for itself there
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return df.withColumn(FILE_COLUMN, name) if with_file_name else df
 
 
 def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, detect_encoding: bool = True,
-                  with_file_name: bool = False) -> DataFrame:
+                  with_file_name: bool = False, multi_line: bool = True) -> DataFrame:
     """All-text CSV scan with a header; Latin-1 for files that are not UTF-8.
     ``with_file_name`` adds the file name of every row as ``_source_file``."""
-    paths_list = [paths] if isinstance(paths, str) else list(paths)
-
-    def scan(ps, encoding=None):
-        r = spark.read.options(**CSV_OPTIONS)
-        if encoding:
-            r = r.option("encoding", encoding)
-        df = r.csv(ps)
-        return df.withColumn(FILE_COLUMN, F.col("_metadata.file_name")) if with_file_name else df
-
-    if not detect_encoding:
-        return scan(paths_list)
-    bad = invalid_utf8_files(spark, paths_list)
-    if not bad:
-        return scan(paths_list)
-    good = [p for p in paths_list if not any(b == p or b.endswith(p.split("://")[-1]) for b in bad)]
-    latin = scan(sorted(bad), "ISO-8859-1")
-    if not good:
-        return latin
-    return scan(good).unionByName(latin, allowMissingColumns=True)
+    files = expand(spark, paths)
+    if not files:
+        raise FileNotFoundError(f"no file at {paths}")
+    bad = invalid_utf8_files(spark, files) if detect_encoding else set()
+    parts = [([f for f in files if f not in bad], None), ([f for f in files if f in bad], "ISO-8859-1")]
+    frames = [scan_csv(spark, fs, enc, with_file_name, multi_line) for fs, enc in parts if fs]
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1], allowMissingColumns=True)
+
+
+def read_by_header(spark: SparkSession, files: Sequence[str], with_file_name: bool = False,
+                   multi_line: bool = True, on_error=None) -> list[tuple[list[str], DataFrame]]:
+    """(header, frame) for each header and encoding among the files.
+
+    Encodings are found in one job; a header costs one look at the head of its
+    file. A file without a readable header is left out and told to
+    ``on_error(file, error)``.
+    """
+    bad = invalid_utf8_files(spark, files)
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        enc = "ISO-8859-1" if f in bad else None
+        try:
+            header = tuple(scan_csv(spark, [f], enc, multi_line=multi_line).columns)
+        except AnalysisException as e:
+            if on_error:
+                on_error(f, e)
+            continue
+        if header:
+            groups.setdefault((header, enc), []).append(f)
+    return [(list(h), scan_csv(spark, fs, enc, with_file_name, multi_line)) for (h, enc), fs in groups.items()]
 
 
 def read_listing_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """Load ``raw_*.csv``-style listing files with the fixed schema; empty
-    files simply contribute no rows."""
-    return (spark.read.options(**CSV_OPTIONS).schema(LISTING_SCHEMA).csv(pattern))
+    """Load ``raw_*.csv``-style listing files by column name, in any order:
+    missing columns are NULL, others are left out, Latin-1 files are read as
+    such, files without a header contribute no rows."""
+    frames = []
+    for header, df in read_by_header(spark, expand(spark, pattern)):
+        known: Mapping[str, str] = {c.strip().lower(): c for c in reversed(header)}
+        cols = []
+        for f in LISTING_SCHEMA.fields:
+            c = F.col(f"`{known[f.name]}`") if f.name in known else F.lit(None).cast("string")
+            cols.append((to_double(c) if f.name in NUMERIC_COLUMNS and f.name in known else c.cast(f.dataType)).alias(f.name))
+        frames.append(df.select(*cols))
+    return union_frames(frames, spark) if frames else empty_listings(spark)
 
 
 def write_listings(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

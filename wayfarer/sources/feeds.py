@@ -8,7 +8,6 @@ source; the union is one plan over all of them.
 from __future__ import annotations
 
 import logging
-import os
 from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wayfarer.operators.mapping import map_to_listing_schema, union_frames
 from wayfarer.schema import DEFAULT_TYPE, HEADER_ALIASES, SourceSpec
-from wayfarer.sources.csv import FILE_COLUMN, list_files, read_csv_text
+from wayfarer.sources.csv import FILE_COLUMN, list_files, path_exists, read_by_header, read_csv_text
 
 log = logging.getLogger(__name__)
 
@@ -67,18 +66,10 @@ def load_folder(spark: SparkSession, folder: str) -> DataFrame:
     ``external:<file stem>``. Files sharing a header are read in one scan and
     labelled per row from the file name in the scan's metadata column."""
     files = [f for f in list_files(spark, folder) if f.lower().endswith(".csv")]
-    by_header: dict[tuple, list[str]] = {}
-    for f in files:
-        try:
-            header = tuple(read_csv_text(spark, f).columns)
-        except Exception as exc:  # noqa: BLE001
-            log.warning("skipping %s: %s", f, exc)
-            continue
-        by_header.setdefault(header, []).append(f)
     frames = []
-    for header, paths in by_header.items():
-        raw = read_csv_text(spark, paths, with_file_name=True)
-        frames.append(map_to_listing_schema(raw, alias_mapping(list(header)), "", DEFAULT_TYPE,
+    for header, raw in read_by_header(spark, files, with_file_name=True,
+                                      on_error=lambda f, e: log.warning("skipping %s: %s", f, e)):
+        frames.append(map_to_listing_schema(raw, alias_mapping(header), "", DEFAULT_TYPE,
                                             source_col=file_label(F.col(FILE_COLUMN))))
     return union_frames(frames, spark)
 
@@ -92,7 +83,7 @@ def external_import(spark: SparkSession, specs: Sequence[SourceSpec] = (), folde
                     frames: Iterable[DataFrame] = ()) -> DataFrame:
     """Spec sources plus folder files (plus given frames), whole-row distinct."""
     parts = [import_sources(spark, specs)] if specs else []
-    if folder and (os.path.isdir(folder) or "://" in folder):
+    if folder and path_exists(spark, folder):
         parts.append(load_folder(spark, folder))
     parts.extend(frames)
     return union_frames(parts, spark).dropDuplicates()
