@@ -8,6 +8,7 @@ COLUMNS = {
     "op1_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op2_quality": ["doc_id", "held_out", "score", "predicted"],
     "op3_class_lm": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op4_warc_derivatives": ["page_id", "warc_type", "record_id", "refers_to", "target_uri"],
     "op5_ngram_join": ["doc_id", "n_shingles", "component_id"],
     "op6_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
     "op7_mixing": ["doc_id", "size", "source_size", "target", "taken"],
@@ -20,7 +21,7 @@ COLUMNS = {
 def test_corpus_queries(spark):
     qs = E.queries()
     assert set(COLUMNS) <= set(qs) and "pipeline" in qs
-    for name in ("op6_sharding", "op9_packing", "op8_language_id"):
+    for name in ("op4_warc_derivatives", "op6_sharding", "op9_packing", "op8_language_id"):
         df = qs[name](spark, E.SMOKE_DIR)
         assert df.columns[:len(COLUMNS[name])] == COLUMNS[name] and df.count() >= 200
 

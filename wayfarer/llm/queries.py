@@ -51,6 +51,13 @@ def op3_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "perplexity")
 
 
+def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata and the conversion record of every page's response."""
+    from wayfarer.llm.warc import derivatives, responses_of_pages
+
+    return derivatives(responses_of_pages(_table(spark, sf_dir, "pages"))).withColumnRenamed("id", "page_id")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id at 4 words and Jaccard 0.85."""
     from wayfarer.llm.ngram_join import ngram_components
@@ -95,8 +102,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_class_lm, op5_ngram_join, op6_sharding,
-                                   op7_mixing, op8_language_id, op9_packing, op10_ann_search)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_class_lm, op4_warc_derivatives, op5_ngram_join,
+                                   op6_sharding, op7_mixing, op8_language_id, op9_packing, op10_ann_search)}
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 "
