@@ -79,13 +79,13 @@ _scopes: list[list[str]] = []
 def scratch_scope(spark: SparkSession):
     """Remove the intermediate tables written inside the block when it ends.
 
-    For jobs that write their results elsewhere: nothing returned from the
-    block may still read one of those tables.
+    Nothing that outlives the block may still read one of those tables, but for
+    those that ``keep`` has taken out of it.
     """
     paths: list[str] = []
     _scopes.append(paths)
     try:
-        yield
+        yield paths
     finally:
         _scopes.remove(paths)
         jvm = spark.sparkContext._jvm
@@ -95,6 +95,15 @@ def scratch_scope(spark: SparkSession):
             target.getFileSystem(conf).delete(target, True)
 
 
+def keep(df, paths: list[str]):
+    """Let a stored table outlive the scope whose ``paths`` these are (it then belongs to the scope around it)."""
+    paths.remove(df.scratch_path)
+    around = [s for s in _scopes if s is not paths]
+    if around:
+        around[-1].append(df.scratch_path)
+    return df
+
+
 def store(df, name: str = "stage"):
     """Write ``df`` once to the shared folder and read it back; raises where no
     shared folder is configured. For tables whose rows depend on how they were
@@ -104,7 +113,9 @@ def store(df, name: str = "stage"):
     if _scopes:
         _scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
 def materialize(df, name: str = "stage"):
