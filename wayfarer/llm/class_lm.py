@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import stored, text_bytes, words_of
+from wayfarer.llm.common import map_texts, stored, text_bytes, words_of
 
 #: Words that exchange clustering moves; words with a class of their own neighbours; words held in each task.
 CORE, WIDE, DICTIONARY = 1_024, 16_384, 131_072
@@ -97,7 +97,7 @@ def count_words(rows: DataFrame) -> DataFrame:
         if seen:
             yield out()
 
-    return rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return map_texts(rows.select("text"), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
@@ -232,7 +232,7 @@ def _neighbour_counts(rows: DataFrame, words: list[bytes], group: np.ndarray, ro
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())],
                                                  names=["block", "values"])
 
-    return _summed(rows.select("text").mapInArrow(count, "block int, values binary"),
+    return _summed(map_texts(rows.select("text"), count, "block int, values binary"),
                    np.zeros((row_count, width), dtype=np.int64))
 
 
@@ -329,8 +329,8 @@ def score_class_model(rows: DataFrame, model: ClassModel, counts: DataFrame) ->
 
     rows = rows.select("row_id", "id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    part = stored(rows.mapInArrow(score, f"row_id long, id {kind}, n long, known long, trans double, emit double, base double, "
-                                         "words array<binary>, times array<int>"), "op3-scores")
+    part = stored(map_texts(rows, score, f"row_id long, id {kind}, n long, known long, trans double, emit double, "
+                                         "base double, words array<binary>, times array<int>"), "op3-scores")
     rare = part.select("row_id", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "row_id", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     ends = counts.where(F.length("word") == 0).agg(F.sum("n")).first()[0] or 0

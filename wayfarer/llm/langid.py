@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wayfarer.llm.common import map_texts
+
 #: Places of the hashed n-grams, and the longest n-gram.
 DIM, LONGEST = 1 << 15, 3
 #: Rows of each language that the fit reads at most, about, how many of them are landmarks, and languages at most (by rows).
@@ -112,7 +114,7 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         m = ridge_matrix(bits, np.asarray(table["k"]), len(languages), landmarks, ridge)
         return pa.table({"matrix": pa.array([m.tobytes()], pa.binary())})
 
-    found = (few.select("hash", "k", "text").mapInArrow(extract, "hash long, k int, bits binary")
+    found = (map_texts(few.select("hash", "k", "text"), extract, "hash long, k int, bits binary")
              .groupBy(F.lit(0).alias("all")).applyInArrow(fit, "matrix binary").collect())
     if not found:
         return LanguageModel([], np.zeros((DIM, 0), dtype=np.float32))
@@ -145,7 +147,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
                                              names=["id", "lang_pred", "score"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(tell, f"id {kind}, lang_pred string, score double")
+    return map_texts(rows, tell, f"id {kind}, lang_pred string, score double")
 
 
 def keep_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", languages: list[str] | None = None) -> DataFrame:
@@ -157,4 +159,4 @@ def keep_language(docs: DataFrame, model: LanguageModel, text_col: str = "text",
             names, _ = _predict(b.column(text_col).to_pylist(), shared.value)
             yield b.filter(pa.array([n != UNDETERMINED and (languages is None or n in languages) for n in names], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_texts(docs, keep, docs.schema)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import stored, text_bytes
+from wayfarer.llm.common import map_texts, stored, text_bytes
 
 #: Token ids kept by word in a task; the table starts again when it is full.
 CACHE_WORDS = 1 << 19
@@ -124,12 +124,10 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, wi
                  pa.array([part] * len(at), pa.int32()), pa.array(number, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "ids", "part", "number"])
 
-        for b in batches:
-            for i in range(0, b.num_rows, 512):
-                yield table(b.slice(i, 512))
+        yield from map(table, batches)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return stored(rows.mapInArrow(make, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
+    return stored(map_texts(rows, make, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, "
                                         "ids array<int>, part int, number long"), "op9-pieces")
 
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import text_bytes
+from wayfarer.llm.common import map_texts, text_bytes
 
 #: Hashed features; the model has one more weight, the bias.
 BITS = 18
@@ -100,8 +100,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
 
     # the sampled labels are bounded by the parameter, so the texts meet them where they are read
     sampled = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "id")
-    found = (sampled.select(F.xxhash64("id").alias("hash"), "label", "text")
-             .mapInArrow(extract, "hash long, label int, at binary, value binary")
+    found = (map_texts(sampled.select(F.xxhash64("id").alias("hash"), "label", "text"), extract,
+                       "hash long, label int, at binary, value binary")
              .groupBy(F.lit(0).alias("all")).applyInArrow(fit, "weights binary").collect())
     return np.frombuffer(found[0]["weights"], dtype=np.float32).copy() if found else np.zeros((1 << bits) + 1, dtype=np.float32)
 
@@ -127,7 +127,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(s, pa.float64())], names=["id", "score"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(score, f"id {kind}, score double")
+    return map_texts(rows, score, f"id {kind}, score double")
 
 
 def keep_quality(docs: DataFrame, weights: np.ndarray, text_col: str = "text", least: float = 0.3, bits: int = BITS) -> DataFrame:
@@ -139,4 +139,4 @@ def keep_quality(docs: DataFrame, weights: np.ndarray, text_col: str = "text", l
             s = _scores(text_bytes(b.column(text_col)), shared.value, bits)
             yield b.filter(pa.array(s >= least))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_texts(docs, keep, docs.schema)
