@@ -6,24 +6,17 @@ input, whatever they are called, never reach it.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.session import checkpoint_dir, scratch_table_path
+from wayfarer.session import store
 
 #: A word: a run of bytes other than space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def ensure_shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the session (``spark.checkpoint.dir``); raises if there is none."""
-    return checkpoint_dir(spark)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -31,16 +24,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     values that a recomputation could change (row numbers, partition numbers)
     are fixed from here on.
     """
-    spark = df.sparkSession
-    ensure_shared_folder(spark)
-    path = scratch_table_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return store(df, name)
 
 
-def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """Columns (row_id, row): every input row as one struct under a fixed, unique number."""
-    return stored(df.select(F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row")), name)
+#: Row numbers (with a small count each) that are broadcast at most.
+FEW_ROWS = 1_000_000
+
+
+def with_row_id(df: DataFrame, name: str, scanned: bool) -> DataFrame:
+    """Columns (row_id, row): every input row as one struct under a fixed, unique number.
+
+    ``scanned`` says that ``df`` is read straight from files: a scan numbers its
+    rows alike every time. Any other frame is written first.
+    """
+    out = df.select(F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row"))
+    return out if scanned else stored(out, name)
 
 
 def fold_of(column: str, folds: int):

@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every document gets a place in its source by a hash of its id and text, and as
+Every document gets a place in its source by a hash of its id, and as
 virtual finish time the source's words up to its end divided by the source's
 target. A source whose target is larger than itself is queued several times
 over, pass after pass. The queue of all sources is range-sorted by finish time
@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import WORD_PATTERN, running_total, stored, with_row_id
+from wayfarer.llm.common import FEW_ROWS, WORD_PATTERN, running_total, stored, with_row_id
+from wayfarer.session import keep, scratch_scope
 
 
 def targets(sources: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3) -> DataFrame:
@@ -52,9 +53,9 @@ def targets(sources: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3) ->
 
 
 def _sized(docs: DataFrame, row_id, doc_id, text, source):
-    """The columns that ``mixed_rows`` needs: row_id, doc_id, source, size (words), shuffle (hash of id and text)."""
+    """The columns that ``mixed_rows`` needs: row_id, doc_id, source, size (words), shuffle (60 bits of the id's md5)."""
     words = F.regexp_count(text, F.lit(WORD_PATTERN))
-    shuffle = F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.coalesce(text, F.lit("")), F.lit("shuffle"))
+    shuffle = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
     return docs.select(row_id.alias("row_id"), doc_id.alias("doc_id"), source.alias("source"),
                        F.coalesce(words, F.lit(0)).cast("long").alias("size"), shuffle.alias("shuffle"))
 
@@ -73,16 +74,21 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-             weights: tuple = (1, 2, 3), passes: int = 3, budget: int | None = None) -> DataFrame:
+             weights: tuple = (1, 2, 3), passes: int = 3, budget: int | None = None, scanned: bool = False) -> DataFrame:
     """The mix itself: rows of ``docs``, all columns, as often as they stand in it.
 
-    Documents without words take no room and stay, once each.
+    Documents without words take no room and stay, once each. ``scanned``:
+    ``docs`` is read straight from files.
     """
-    kept = with_row_id(docs, "op7-docs")
+    kept = with_row_id(docs, "op7-docs", scanned)
     row = F.col("row")
     rows = _sized(kept, F.col("row_id"), row[id_col], row[text_col].cast("string"), row[source_col].cast("string"))
-    plan = mixed_rows(stored(rows, "op7-rows"), weights, passes, budget)
-    times = plan.select("row_id", F.when(F.col("size") == 0, 1).otherwise(F.col("times")).alias("times")).where("times > 0")
+    with scratch_scope(docs.sparkSession) as scope:
+        plan = mixed_rows(stored(rows, "op7-rows"), weights, passes, budget)
+        times = plan.select("row_id", F.when(F.col("size") == 0, 1).otherwise(F.col("times")).alias("times"))
+        times = keep(stored(times.where("times > 0"), "op7-times"), scope)
+    if times.count() <= FEW_ROWS:
+        times = F.broadcast(times)
     return (kept.join(times, "row_id")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("turn")).select("row.*"))
 

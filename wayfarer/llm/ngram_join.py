@@ -33,8 +33,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.llm.common import Blobs, map_texts, mix64, stored, text_bytes, words_of
+from wayfarer.llm.common import FEW_ROWS, Blobs, map_texts, mix64, stored, text_bytes, with_row_id, words_of
 from wayfarer.llm.components import connected_components
+from wayfarer.session import keep, scratch_scope
 
 #: Bands per factor of the threshold: more bands compare fewer pairs of unfit sizes.
 BANDS = 4
@@ -42,8 +43,6 @@ BANDS = 4
 TILE_BYTES, TILE_ROWS = 16 << 20, 8_192
 #: Neighbouring bands are joined up to so many documents.
 THIN_ROWS = 2_048
-#: Node numbers that are broadcast at most.
-FEW_NODES = 1_000_000
 
 
 def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
@@ -224,7 +223,7 @@ def jaccard_links(nodes: DataFrame, arrays: DataFrame, percent: int) -> DataFram
     some = stored(tiles.groupBy("tile_pair").applyInArrow(involved, shape), "op5-candidates")
     # where the involved are few, their numbers go to the arrays and only those are sent; else all are
     ids = some.select("node").distinct()
-    if ids.count() <= FEW_NODES:
+    if ids.count() <= FEW_ROWS:
         arrays = arrays.join(F.broadcast(ids), "node", "left_semi")
     full = some.join(arrays, "node")
     return full.groupBy("tile_pair").applyInArrow(linked, "a long, b long")
@@ -251,15 +250,18 @@ def ngram_components(rows: DataFrame, k: int = 4, percent: int = 85) -> DataFram
                     F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def one_of_each_group(docs: DataFrame, id_col: str, text_col: str, k: int = 5, percent: int = 80) -> DataFrame:
+def one_of_each_group(docs: DataFrame, id_col: str, text_col: str, k: int = 5, percent: int = 80,
+                      scanned: bool = False) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest id stays (null ids last,
-    then the first row). Rows without any shingle all stay."""
-    from wayfarer.llm.common import with_row_id
-
-    kept = with_row_id(docs, "op5-rows")
+    then the first row). Rows without any shingle all stay. ``scanned``: ``docs`` is read straight from files."""
+    kept = with_row_id(docs, "op5-rows", scanned)
     rows = kept.select("row_id", F.col("row")[id_col].alias("id"), F.col("row")[text_col].alias("text"))
-    groups = ngram_components(rows, k, percent)
-    first = groups.where("component is not null").groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("x"), "id", "row_id"))["row_id"].alias("row_id"))
-    stay = first.select("row_id").unionByName(groups.where("component is null").select("row_id"))
-    return kept.join(stay, "row_id", "left_semi").select("row.*")
+    with scratch_scope(docs.sparkSession) as scope:
+        groups = ngram_components(rows, k, percent).where("component is not null")
+        first = groups.groupBy("component").agg(
+            F.min(F.struct(F.col("id").isNull().alias("x"), "id", "row_id"))["row_id"].alias("first"))
+        go = groups.join(first, "component").where("row_id <> first").select("row_id")
+        go = keep(stored(go, "op5-copies"), scope)
+    if go.count() <= FEW_ROWS:
+        go = F.broadcast(go)
+    return kept.join(go, "row_id", "left_anti").select("row.*")
