@@ -32,12 +32,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by Jaccard 0.8 or more of five-word shingles."""
-    return one_of_each_group(docs, "doc_id", "text", k=5, percent=80)
+    return one_of_each_group(docs, "doc_id", "text", k=5, percent=80, scanned=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources, weighted 1, 2, 3 repeating, takes them."""
-    return repeated(docs)
+    return repeated(docs, scanned=True)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
