@@ -12,8 +12,9 @@ None of these puts a whole group into one task:
   table with a filter and a tiny aggregate; no join, no collect.
 * ``hash_top_k`` keeps the k rows with the smallest (u, tie) per group, where
   u is a uniform 60-bit hash. Rows are counted per (group, u-bin) (2**16
-  bins), the boundary bin is found by a prefix sum over the bin counts, and
-  only the boundary bin's rows are ranked with a window.
+  bins), the boundary bin is found by a prefix sum over the bin counts, only
+  the boundary bin's rows are ranked with a window, and the k-th (u, tie) of
+  each group is the filter of one selecting scan.
 * ``consecutive_index`` numbers rows 1..n in a total order: range-partitioned
   sort, in-partition positions from ``monotonically_increasing_id``, the
   layout frozen by writing it to the shared checkpoint folder, then
@@ -131,46 +132,47 @@ def _bin_bounds(d: DataFrame, g: list[str]) -> DataFrame:
         F.max(F.when(boundary, F.col("_c"))).alias("_ec"))
 
 
-_BOUND_COLS = ["_ng", "_bstar", "_need", "_ec"]
+def _thresholds(d: DataFrame, u: str, tie: str, g: list[str], shift: int, bits: int,
+                max_groups: int) -> DataFrame:
+    """Per group: ``_ng`` rows, ``_k`` wanted and the k-th smallest (u, tie) as ``_tu``, ``_tt``.
 
+    ``d`` carries the per-group ``_k``. Bins are ``bits`` hash bits below
+    ``shift``; the boundary bin is refined on the next bits while one holds
+    more than EDGE_LIMIT rows, then its rows alone are ranked by a window.
+    """
+    d = d.withColumn("_hb", F.shiftright(F.col(u), shift).bitwiseAND(F.lit((1 << bits) - 1)))
+    on = g or ["_one"]
+    d = d if g else d.withColumn("_one", F.lit(1))
+    bounds = store(_bin_bounds(d, on), "bounds")
+    small = small_table(bounds, max_groups)
+    edge = d.join(small if small is not None else bounds, on).where(F.col("_hb") == F.col("_bstar"))
+    edge = edge.select(*on, u, tie, F.col("_need").alias("_k"))
+    most = bounds.agg(F.max("_ec")).first()[0]
+    if most is not None and most > EDGE_LIMIT and shift > 0:
+        nxt = min(HASH_BIN_BITS, shift)
+        at = _thresholds(edge, u, tie, on, shift - nxt, nxt, max_groups).select(*on, "_tu", "_tt")
+    else:
+        rn = F.row_number().over(Window.partitionBy(*on).orderBy(F.col(u), F.col(tie)))
+        at = (edge.withColumn("_rn", rn).where(F.col("_rn") == F.col("_k"))
+              .select(*on, F.col(u).alias("_tu"), F.col(tie).alias("_tt")))
+    return bounds.select(*on, "_ng").join(at, on, "left")
 
-def _select(d: DataFrame, u: str, tie: str, g: list[str], shift: int, bits: int,
-            max_groups: int) -> DataFrame:
-    """Mark ``_sel`` on every row of ``d`` (which carries the per-group ``_k``):
-    bins = ``bits`` hash bits below ``shift``; bins under the boundary are kept,
-    the boundary bin is refined on the next bits while it is larger than
-    EDGE_LIMIT, then ranked by a window."""
-    mask = (1 << bits) - 1
-    d = d.withColumn("_hb", F.shiftright(F.col(u), shift).bitwiseAND(F.lit(mask)))
-    bounds = _bin_bounds(d, g)
-    edge_max = None
+
+def _select(d: DataFrame, u: str, tie: str, g: list[str], bits: int, max_groups: int) -> DataFrame:
+    """Mark ``_sel`` on every row of ``d`` (which carries the per-group ``_k``): the rows up to their group's
+    threshold. The thresholds are one row per group; the rows are then read once more, in one scan."""
+    t = _thresholds(d, u, tie, g, U_BITS - bits, bits, max_groups)
     if g:
-        small = small_table(bounds, max_groups)
-        if small is not None:
-            edge_max = small.agg(F.max("_ec")).first()[0]
-        d = d.join(small if small is not None else bounds, g, "left")
-    else:
-        row = bounds.first()
-        vals = [row[c] for c in _BOUND_COLS] if row is not None else [0, None, None, None]
-        edge_max = vals[3]
-        d = d.select("*", *[F.lit(v).cast("bigint").alias(c) for v, c in zip(vals, _BOUND_COLS)])
-    take_all = F.col("_ng") <= F.col("_k")
-    positive = F.col("_k") > 0
-    inner = d.where(F.col("_bstar").isNull() | (F.col("_hb") != F.col("_bstar")))
-    inner = inner.withColumn("_sel", F.coalesce(take_all | (positive & (F.col("_hb") < F.col("_bstar"))),
-                                                F.lit(False)))
-    edge = d.where(F.col("_hb") == F.col("_bstar"))
-    if edge_max is not None and edge_max > EDGE_LIMIT and shift > 0:
-        nxt = min(HASH_BIN_BITS, shift)
-        refined = _select(edge.withColumn("_k", F.col("_need")).drop(*_BOUND_COLS, "_hb"), u, tie, g,
-                          shift - nxt, nxt, max_groups)
-        edge = refined.withColumn("_hb", F.lit(None).cast("long"))
-        for c in _BOUND_COLS:
-            edge = edge.withColumn(c, F.lit(None).cast("long"))
+        small = small_table(t, max_groups)
+        d = d.join(small if small is not None else t, g, "left")
     else:
-        rn = F.row_number().over(Window.partitionBy(*g).orderBy(F.col(u), F.col(tie)))
-        edge = edge.withColumn("_sel", F.coalesce(take_all | (positive & (rn <= F.col("_need"))), F.lit(False)))
-    return inner.unionByName(edge.select(*inner.columns))
+        row = t.first()
+        tie_type = d.schema[tie].dataType
+        vals = [(row[c] if row is not None else None) for c in ("_ng", "_tu", "_tt")]
+        d = d.select("*", F.lit(vals[0]).cast("bigint").alias("_ng"), F.lit(vals[1]).cast("bigint").alias("_tu"),
+                     F.lit(vals[2]).cast(tie_type).alias("_tt"))
+    upto = (F.col(u) < F.col("_tu")) | ((F.col(u) == F.col("_tu")) & (F.col(tie) <= F.col("_tt")))
+    return d.withColumn("_sel", F.coalesce((F.col("_ng") <= F.col("_k")) | ((F.col("_k") > 0) & upto), F.lit(False)))
 
 
 def _bits_for(max_group_rows: int | None) -> int:
@@ -190,21 +192,20 @@ def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (
     returned and ``flag`` marks the kept ones.
 
     One aggregation pass counts rows per (group, hash bin) - at most 2**16
-    bins, fewer when ``max_group_rows`` says the groups are small; the
-    per-group boundary table (one row per group, size-checked) is broadcast,
-    or inlined as literals for a single group; rows below the boundary bin
-    are kept, and the boundary bin is refined on further hash bits while it
-    holds more than EDGE_LIMIT rows, then ranked with a window. No window
-    ever sees more than 2**16 bin counts or EDGE_LIMIT rows of one group.
+    bins, fewer when ``max_group_rows`` says the groups are small; a second
+    pass ranks the rows of the boundary bins (refined on further hash bits
+    while one holds more than EDGE_LIMIT rows) and gives each group the exact
+    (u, tie) of its k-th row; the result is one scan with that bound as a
+    filter. No window ever sees more than 2**16 bin counts or EDGE_LIMIT rows
+    of one group.
     """
     g = list(group_cols)
     bits = _bits_for(max_group_rows)
     d = df.withColumn("_k", (F.col(k) if isinstance(k, str) else F.lit(int(k))).cast("bigint"))
-    both = _select(d, u, tie, g, U_BITS - bits, bits, max_groups)
-    drop = [c for c in ["_hb", "_k", *_BOUND_COLS] if c in both.columns]
+    both = _select(d, u, tie, g, bits, max_groups).drop("_k", "_ng", "_tu", "_tt")
     if flag:
-        return both.withColumnRenamed("_sel", flag).drop(*drop)
-    return both.where("_sel").drop(*drop, "_sel")
+        return both.withColumnRenamed("_sel", flag)
+    return both.where("_sel").drop("_sel")
 
 
 def row_at_hash_rank(df: DataFrame, u: str, tie: str, rank: int) -> DataFrame:

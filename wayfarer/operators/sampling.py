@@ -64,12 +64,16 @@ def balanced_cap(df: DataFrame, cap: int, key: str = KEY_COLUMN, seed: int = CAP
     biggest = quotas.agg(F.max("n_s")).first()[0]
     d = _with_quota(df, quotas).withColumn("_u", hash_u(key, seed))
     flagged = hash_top_k(d, "_u", key, "quota", ["_src"], flag="_chosen", max_group_rows=biggest)
-    chosen = flagged.where("_chosen").select(*cols)
     if need == 0:
-        return chosen
-    rest = flagged.where(~F.col("_chosen")).select(*cols).withColumn("_u2", hash_u(key, fill_seed))
-    fill = hash_top_k(rest, "_u2", key, need, max_group_rows=int(biggest or 0) * int(quotas.count())).select(*cols)
-    return chosen.unionByName(fill)
+        return flagged.where("_chosen").select(*cols)
+    # the fill: the chosen rows count as taken whatever their second draw, so they get none
+    rest = flagged.withColumn("_u2", F.when(~F.col("_chosen"), hash_u(key, fill_seed)))
+    first = hash_top_k(rest.where("_u2 is not null"), "_u2", key, need, max_group_rows=int(counts.agg(F.sum("n_s")).first()[0]))
+    last = first.agg(F.max(F.struct("_u2", key)).alias("m")).first()["m"]
+    if last is None:
+        return flagged.where("_chosen").select(*cols)
+    fill = (F.col("_u2") < F.lit(last["_u2"])) | ((F.col("_u2") == F.lit(last["_u2"])) & (F.col(key) <= F.lit(last[key])))
+    return rest.where(F.col("_chosen") | F.coalesce(fill, F.lit(False))).select(*cols)
 
 
 def proportional_quotas(counts: DataFrame, cap: int) -> DataFrame:
