@@ -45,7 +45,9 @@ def test_run_pipeline(spark, tmpdir_path):
     recs = spark.read.option("header", True).csv(out["recommendations_demo"])
     assert recs.count() == 15
     for name in ("popular_destinations", "best_rated_places", "analysis_summary", "price_distribution",
-                 "rating_distribution", "avg_price_top_locations", "cluster_tier_counts", "rating_by_type_box"):
+                 "rating_distribution", "avg_price_top_locations", "cluster_tier_counts", "rating_by_type_box",
+                 "dashboard_top_locations", "dashboard_source_share", "dashboard_cost_per_day", "dashboard_ratings",
+                 "dashboard_scatter", "dashboard_sentiment"):
         assert spark.read.option("header", True).csv(out[name]).count() > 0, name
     assert spark.read.json(out["price_vs_rating"]).count() == 1
 

@@ -32,8 +32,3 @@ def hash_u(key, seed) -> Column:
     s = seed if isinstance(seed, Column) else F.lit(str(seed))
     digest = F.md5(F.concat(k.cast("string"), F.lit(":"), s.cast("string")))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
-
-
-def hash_unit(key, seed) -> Column:
-    """Uniform double in [0, 1) from ``hash_u``."""
-    return hash_u(key, seed) / F.lit(U_RANGE)

@@ -78,13 +78,6 @@ def histogram(df: DataFrame, column: str, rule: BinsRule, n_rule_rows: DataFrame
                       F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
 
 
-def use_log_bins(df: DataFrame, column: str = "price") -> Column:
-    """The static price chart's switch: max > 0 and max / max(min, 1e-9) > 50."""
-    s = _values(df, column).agg(F.min("_x").alias("mn"), F.max("_x").alias("mx"))
-    mn, mx = s.select("mn").scalar(), s.select("mx").scalar()
-    return (mx > 0) & (mx / F.greatest(mn, F.lit(1e-9)) > 50)
-
-
 def log_histogram(df: DataFrame, column: str = "price", edges: int = LOG_EDGES) -> DataFrame:
     """Histogram over ``edges`` log-spaced edges from max(min, 1e-6) to max:
     bin k holds [e_k, e_k+1), the last bin also its right edge; values

@@ -256,6 +256,8 @@ ORACLE["cost_per_day_histogram"] = _clean_hist(_vals("cost_per_day", "a"), _bins
 ORACLE["price_histogram"] = _clean_hist(
     _vals("price", f"(SELECT * FROM a WHERE {_explorer_where()})"), _bins_rule(15, 45, 0.5), ANALYTICS)
 
+ORACLE["price_histogram_static"] = _clean_hist(_vals("price", "clean"), _bins_rule(15, 50, 0.5))
+
 _NB = LOG_EDGES - 1
 _LOG_EDGE = "pow(10.0, CASE WHEN {k} = " + str(_NB) + " THEN lb ELSE {k} * ((lb - la) / " + str(_NB) + ") + la END)"
 ORACLE["price_histogram_log"] = with_clean(f"""
@@ -509,3 +511,12 @@ ORACLE["sentiment_by_language"] = (
     "FROM sc4 WHERE lang IS NOT NULL GROUP BY lang")
 _sc, _sb = _hist("v AS (SELECT c AS x FROM sc4 WHERE c IS NOT NULL AND NOT isnan(c))", "32")
 ORACLE["sentiment_histogram"] = f"WITH {SENT4},\n{_sc}\n{_sb}"
+_sc, _sb = _hist("v AS (SELECT c AS x FROM sc4 WHERE c IS NOT NULL AND NOT isnan(c))", "30")
+ORACLE["sentiment_histogram_dashboard"] = f"WITH {SENT4},\n{_sc}\n{_sb}"
+ORACLE["sentiment_passthrough"] = ("SELECT doc_id, 'doc ' || doc_id AS name, lang AS location, source, text AS review_text "
+                                   "FROM documents")
+_E = Q.EXPLORER
+ORACLE["explorer_filter_missing"] = NORM + f"""SELECT * FROM norm
+WHERE (price BETWEEN {_E['price_range'][0]} AND {_E['price_range'][1]} OR price IS NULL)
+  AND (rating BETWEEN {_E['rating_range'][0]} AND {_E['rating_range'][1]} OR rating IS NULL)
+  AND coalesce(source, 'nan') IN {in_list(_E['sources'])}"""

@@ -31,6 +31,9 @@ from wayfarer.sources import csv as CSV
 from wayfarer.sources import feeds as FD
 
 
+DASHBOARD_POINTS = 20_000     # of the scatter sample
+
+
 @dataclass
 class PipelineConfig:
     out_dir: str
@@ -96,7 +99,16 @@ def _run_stages(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
     feats = R.features(R.prepare_numeric(results))
     _save(R.batch_recommend(feats, cfg.seeds), cfg, "recommendations_demo", "csv")
-    _save(CD.box_stats(analytics_projection(enriched)), cfg, "rating_by_type_box", "csv")
+    shown = analytics_projection(enriched)
+    _save(CD.box_stats(shown), cfg, "rating_by_type_box", "csv")
+    # the dashboard's tables
+    _save(I.top_locations(enriched, 18, count_names=True), cfg, "dashboard_top_locations", "csv")
+    _save(I.source_share(shown), cfg, "dashboard_source_share", "csv")
+    _save(CD.histogram(shown, "cost_per_day", CD.COST_BINS), cfg, "dashboard_cost_per_day", "csv")
+    _save(CD.histogram(enriched, "rating", CD.RATING_BINS_DASHBOARD, n_rule_rows=enriched), cfg, "dashboard_ratings", "csv")
+    _save(S.scatter_sample(results, DASHBOARD_POINTS, "cluster_label"), cfg, "dashboard_scatter", "csv")
+    if cfg.lexicon is not None:
+        _save(CD.histogram(enriched, "sentiment_compound", CD.SENTIMENT_BINS_DASHBOARD), cfg, "dashboard_sentiment", "csv")
     return dict(cfg.outputs)
 
 

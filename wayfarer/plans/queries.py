@@ -234,6 +234,13 @@ def q_explorer_filter(spark, sf_dir):
     return explorer_rows(spark, sf_dir).withColumn("cost_per_day", r6(F.col("cost_per_day")))
 
 
+@register("explorer_filter_missing")
+def q_explorer_filter_missing(spark, sf_dir):
+    """Ranges that also let rows without a price or a rating through."""
+    return FL.explorer_filter(normalized_raw(spark, sf_dir), EXPLORER["price_range"], EXPLORER["rating_range"],
+                              sources=EXPLORER["sources"], include_missing_price=True, include_missing_rating=True)
+
+
 @register("filter_domain")
 def q_filter_domain(spark, sf_dir):
     return FL.filter_domain(AN.analytics_projection(clean_fixture(spark, sf_dir)))
@@ -362,6 +369,12 @@ def q_price_histogram(spark, sf_dir):
     return _hist6(CD.histogram(explorer_rows(spark, sf_dir), "price", CD.EXPLORER_PRICE_BINS))
 
 
+@register("price_histogram_static")
+def q_price_histogram_static(spark, sf_dir):
+    """The static chart's linear price bins."""
+    return _hist6(CD.histogram(clean_fixture(spark, sf_dir), "price", CD.PRICE_BINS))
+
+
 @register("rating_histogram")
 def q_rating_histogram(spark, sf_dir):
     return _hist6(CD.histogram(clean_fixture(spark, sf_dir), "rating", CD.RATING_BINS))
@@ -504,3 +517,14 @@ def q_sentiment_by_language(spark, sf_dir):
 @register("sentiment_histogram")
 def q_sentiment_histogram(spark, sf_dir):
     return _hist6(CD.histogram(_scored(spark, sf_dir, digits=(4, 3)), "sentiment_compound", CD.SENTIMENT_BINS))
+
+
+@register("sentiment_histogram_dashboard")
+def q_sentiment_histogram_dashboard(spark, sf_dir):
+    return _hist6(CD.histogram(_scored(spark, sf_dir, digits=(4, 3)), "sentiment_compound", CD.SENTIMENT_BINS_DASHBOARD))
+
+
+@register("sentiment_passthrough")
+def q_sentiment_passthrough(spark, sf_dir):
+    """Without a lexicon the rows pass through."""
+    return X.sentiment(FX.reviews(spark, sf_dir), None, "doc_id").select("doc_id", "name", "location", "source", "review_text")
