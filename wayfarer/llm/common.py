@@ -109,9 +109,9 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str, per_ta
     """Add ``before`` (long): the sum of ``value`` over all rows that come earlier in ``order``.
 
     One range sort over the cluster, written once; the totals of the sorted
-    partitions (one short row each) give every partition its start, and a
-    window inside each partition does the rest. No task holds more than a
-    partition, and ``order`` should end in a unique column so that partitions
+    partitions (one short row each) are added up in order and give every
+    partition its start, and a window inside each partition does the rest. No
+    task holds more than a partition or one row of each, and ``order`` should end in a unique column so that partitions
     can be cut anywhere.
     """
     from pyspark.sql import Window
@@ -120,16 +120,10 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str, per_ta
     rows = df.count()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task), 1)
     cut = stored(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), name)
-    starts, total = {}, 0
-    for r in cut.groupBy("_part").agg(F.sum(value).alias("s")).orderBy("_part").collect():
-        starts[r["_part"]] = total
-        total += int(r["s"] or 0)
-    pairs = [F.struct(F.lit(k).alias("_part"), F.lit(v).cast("long").alias("_start")) for k, v in starts.items()]
-    if not pairs:
-        return cut.withColumn("before", F.lit(0).cast("long")).drop("_part")
-    lookup = spark.range(1).select(F.inline(F.array(*pairs)))
+    sums = cut.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    starts = sums.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_start"))
     w = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = F.sum(F.col(value)).over(w) - F.col(value)
-    return (cut.join(F.broadcast(lookup), "_part")
-            .withColumn("before", (F.col("_start") + inside).cast("long"))
-            .drop("_part", "_start"))
+    return (cut.withColumn("_inside", inside).join(starts, "_part")
+            .withColumn("before", (F.col("_start") + F.col("_inside")).cast("long"))
+            .drop("_part", "_start", "_inside"))

@@ -66,5 +66,5 @@ def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
     starts = at.groupBy("shard", "bucket").agg(F.count("*").alias("c"))
     starts = starts.withColumn("start", F.sum("c").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("c")).drop("c")
     inside = Window.partitionBy("shard", "bucket").orderBy("doc_id", "group")
-    return (at.withColumn("k", F.row_number().over(inside) - 1).join(F.broadcast(starts), ["shard", "bucket"])
+    return (at.withColumn("k", F.row_number().over(inside) - 1).join(starts, ["shard", "bucket"])
             .select("doc_id", "size", "text_crc32", "group", "shard", (F.col("start") + F.col("k")).cast("long").alias("slot")))
