@@ -91,10 +91,10 @@ def test_hot_duplicate_key(spark):
     assert out.where(F.col("name") == "Hot").count() == 1
 
 
-def test_impute_distributed_branch_matches_local(spark, monkeypatch):
+def test_impute_by_shuffle_join_matches_broadcast(spark, monkeypatch):
     rows = [(f"n{i}", "x", "L", str(10 + i), "1", (str(1 + (i % 7) / 10) if i % 3 else None), "s", None)
             for i in range(300)]
-    local = C.clean_listings(_df(spark, rows)).orderBy("listing_key").collect()
-    monkeypatch.setattr(C, "MAX_LOCAL_VALUES", 2)
-    dist = C.clean_listings(_df(spark, rows)).orderBy("listing_key").collect()
-    assert local == dist
+    small = C.clean_listings(_df(spark, rows)).orderBy("listing_key").collect()
+    monkeypatch.setattr(C, "small_table", lambda df, max_rows=0: None)
+    spread = C.clean_listings(_df(spark, rows)).orderBy("listing_key").collect()
+    assert small == spread
