@@ -141,34 +141,49 @@ def _thresholds(d: DataFrame, u: str, tie: str, g: list[str], shift: int, bits:
     more than EDGE_LIMIT rows, then its rows alone are ranked by a window.
     """
     d = d.withColumn("_hb", F.shiftright(F.col(u), shift).bitwiseAND(F.lit((1 << bits) - 1)))
-    on = g or ["_one"]
-    d = d if g else d.withColumn("_one", F.lit(1))
-    bounds = store(_bin_bounds(d, on), "bounds")
+    bounds = store(_bin_bounds(d, g), "bounds")
     small = small_table(bounds, max_groups)
-    edge = d.join(small if small is not None else bounds, on).where(F.col("_hb") == F.col("_bstar"))
-    edge = edge.select(*on, u, tie, F.col("_need").alias("_k"))
+    edge = d.join(small if small is not None else bounds, g).where(F.col("_hb") == F.col("_bstar"))
+    edge = edge.select(*g, u, tie, F.col("_need").alias("_k"))
     most = bounds.agg(F.max("_ec")).first()[0]
     if most is not None and most > EDGE_LIMIT and shift > 0:
         nxt = min(HASH_BIN_BITS, shift)
-        at = _thresholds(edge, u, tie, on, shift - nxt, nxt, max_groups).select(*on, "_tu", "_tt")
+        at = _thresholds(edge, u, tie, g, shift - nxt, nxt, max_groups).select(*g, "_tu", "_tt")
     else:
-        rn = F.row_number().over(Window.partitionBy(*on).orderBy(F.col(u), F.col(tie)))
+        rn = F.row_number().over(Window.partitionBy(*g).orderBy(F.col(u), F.col(tie)))
         at = (edge.withColumn("_rn", rn).where(F.col("_rn") == F.col("_k"))
-              .select(*on, F.col(u).alias("_tu"), F.col(tie).alias("_tt")))
-    return bounds.select(*on, "_ng").join(at, on, "left")
+              .select(*g, F.col(u).alias("_tu"), F.col(tie).alias("_tt")))
+    return bounds.select(*g, "_ng").join(at, g, "left")
+
+
+def _threshold(d: DataFrame, u: str, tie: str, bits: int) -> tuple:
+    """(_ng, _tu, _tt) of ``d`` as one group: each round looks at one row of bounds."""
+    shift, size = U_BITS - bits, None
+    while True:
+        hb = F.shiftright(F.col(u), shift).bitwiseAND(F.lit((1 << bits) - 1))
+        b = _bin_bounds(d.withColumn("_hb", hb), []).first()
+        size = size if size is not None else b["_ng"]
+        if b["_bstar"] is None:
+            return size, None, None
+        d = d.where(hb == F.lit(b["_bstar"])).withColumn("_k", F.lit(b["_need"]))
+        if b["_ec"] <= EDGE_LIMIT or shift == 0:
+            rn = F.row_number().over(Window.orderBy(F.col(u), F.col(tie)))
+            r = d.withColumn("_rn", rn).where(F.col("_rn") == F.lit(b["_need"])).select(u, tie).first()
+            return size, r[0], r[1]
+        bits = min(HASH_BIN_BITS, shift)
+        shift -= bits
 
 
 def _select(d: DataFrame, u: str, tie: str, g: list[str], bits: int, max_groups: int) -> DataFrame:
     """Mark ``_sel`` on every row of ``d`` (which carries the per-group ``_k``): the rows up to their group's
     threshold. The thresholds are one row per group; the rows are then read once more, in one scan."""
-    t = _thresholds(d, u, tie, g, U_BITS - bits, bits, max_groups)
     if g:
+        t = _thresholds(d, u, tie, g, U_BITS - bits, bits, max_groups)
         small = small_table(t, max_groups)
         d = d.join(small if small is not None else t, g, "left")
     else:
-        row = t.first()
+        vals = _threshold(d, u, tie, bits)
         tie_type = d.schema[tie].dataType
-        vals = [(row[c] if row is not None else None) for c in ("_ng", "_tu", "_tt")]
         d = d.select("*", F.lit(vals[0]).cast("bigint").alias("_ng"), F.lit(vals[1]).cast("bigint").alias("_tu"),
                      F.lit(vals[2]).cast(tie_type).alias("_tt"))
     upto = (F.col(u) < F.col("_tu")) | ((F.col(u) == F.col("_tu")) & (F.col(tie) <= F.col("_tt")))
