@@ -102,6 +102,53 @@ def test_one_of_each_group(spark):
     assert one_of_each_group(frame(spark, []), "doc_id", "text").count() == 0
 
 
+def scan(spark, folder, rows, files=12):
+    """The rows read from several files of unequal size."""
+    for k in range(files):
+        part = rows[k * len(rows) // files:(k + 1) * len(rows) // files][:None if k % 3 else 4]
+        frame(spark, part).coalesce(1).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def splits(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+
+@pytest.mark.parametrize("step", ["rows", "near_duplicates", "mix"])
+def test_rows_of_a_scan_keep_their_numbers_when_splits_move(spark, monkeypatch, tmpdir_path, step):
+    from wayfarer.llm import mixing, ngram_join
+    from wayfarer.llm.common import with_row_id
+
+    df = scan(spark, f"{tmpdir_path}/docs", corpus())
+    small, large = "3000", "100m"
+    module = {"near_duplicates": ngram_join, "mix": mixing}.get(step)
+
+    def run():
+        if step == "near_duplicates":
+            return ngram_join.one_of_each_group(df, "doc_id", "text", 5, 80, scanned=True)
+        return mixing.repeated(df, scanned=True)
+
+    before = {k: spark.conf.get(f"spark.sql.files.{k}") for k in ("maxPartitionBytes", "openCostInBytes")}
+    try:
+        splits(spark, large)
+        if not module:
+            kept = with_row_id(df, "test-rows", True)
+            one = {r.row_id: r.row for r in kept.select("*").collect()}
+            splits(spark, small)
+            two = {r.row_id: r.row for r in kept.select("*").collect()}
+            assert len(one) == df.count() and one == two
+            return
+        want = Counter(tuple(r) for r in run().collect())
+        # the splits of the second scan are others than those of the first, as after the loss of an executor
+        splits(spark, large)
+        monkeypatch.setattr(module, "keep", lambda t, scope, f=module.keep: (splits(spark, small), f(t, scope))[1])
+        assert Counter(tuple(r) for r in run().collect()) == want
+    finally:
+        for k, v in before.items():
+            spark.conf.set(f"spark.sql.files.{k}", v)
+
+
 # -- sharding -------------------------------------------------------------------
 
 def test_sharding(spark):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfarer.session import store
@@ -31,14 +31,28 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 FEW_ROWS = 1_000_000
 
 
+#: Rows that a file may hold at most, for their numbers to follow those of the file before.
+FILE_ROWS = 1 << 40
+
+
 def with_row_id(df: DataFrame, name: str, scanned: bool) -> DataFrame:
     """Columns (row_id, row): every input row as one struct under a fixed, unique number.
 
-    ``scanned`` says that ``df`` is read straight from files: a scan numbers its
-    rows alike every time. Any other frame is written first.
+    ``scanned`` says that ``df`` is read straight from files: a row's number is
+    then made of its file's number, written once, and its own place in the file.
+    Both hold however later scans cut the files into splits, which follows the
+    cores alive. Any other frame is written first.
     """
-    out = df.select(F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row"))
-    return out if scanned else stored(out, name)
+    if not scanned:
+        return stored(df.select(F.monotonically_increasing_id().alias("row_id"), F.struct("*").alias("row")), name)
+    meta = df.metadataColumn("_metadata")
+    placed = df.select(F.struct("*").alias("row"), meta["file_path"].alias("file"), meta["row_index"].alias("place"))
+    files = stored(placed.select("file").distinct()
+                   .select("file", (F.row_number().over(Window.orderBy("file")) - 1).cast("long").alias("number")),
+                   f"{name}-files")
+    # one short row a file, of which the driver holds the list already
+    return (placed.join(F.broadcast(files), "file")
+            .select((F.col("number") * F.lit(FILE_ROWS) + F.col("place")).alias("row_id"), "row"))
 
 
 def fold_of(column: str, folds: int):
@@ -114,8 +128,6 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str, per_ta
     task holds more than a partition or one row of each, and ``order`` should end in a unique column so that partitions
     can be cut anywhere.
     """
-    from pyspark.sql import Window
-
     spark = df.sparkSession
     rows = df.count()
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task), 1)
