@@ -10,6 +10,7 @@ splits where one node holds much of it.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,22 +53,14 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b", max_round
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
 
 
-class Forest:
-    """Union-find over the integers 0..n-1, for the links that one task has found."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        up = self.up
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        if x == y:
-            return False
-        self.up[max(x, y)] = min(x, y)
-        return True
+def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the trees of places a[i] and b[i]; ``label`` gives every place the smallest of its tree, before and after."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := label[label], label):
+            label[:] = up
