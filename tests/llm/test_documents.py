@@ -316,6 +316,26 @@ def test_class_model(spark):
     assert (sum(rest) + 0.5) / model.rest_total == pytest.approx(1)
 
 
+def test_neighbour_counts_of_many_tasks(spark, monkeypatch):
+    from wayfarer.llm import class_lm
+
+    sent = []
+    monkeypatch.setattr(class_lm, "_summed", lambda df, out, f=class_lm._summed: (sent.append(df), f(df, out))[1])
+    monkeypatch.setattr(class_lm, "CELLS", 7)
+    texts = [t for _, t, _, _ in corpus()]
+    known = [f"w{i}".encode() for i in range(30)]
+    one = np.arange(32)
+    got = class_lm._neighbour_counts(frame(spark, corpus()).repartition(40), known, one, 32, 32, one, False)
+    want = np.zeros((32, 32), dtype=np.int64)
+    number = {w.decode(): i for i, w in enumerate(known)}
+    for t in texts:
+        ids = [31, *(number.get(w, 30) for w in words(t)), 31]
+        np.add.at(want, (ids[:-1], ids[1:]), 1)
+    assert np.array_equal(got, want)
+    # what a task hands on is single counts, added up without a group in memory
+    assert sent[0].dtypes == [("cell", "int"), ("n", "bigint")]
+
+
 def test_class_model_of_nothing(spark):
     from wayfarer.llm.class_lm import fit_class_model, score_class_model
 

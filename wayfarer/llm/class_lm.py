@@ -44,8 +44,8 @@ CORE, WIDE, DICTIONARY = 1_024, 16_384, 131_072
 CLASSES, SWEEPS, PRIOR = 64, 12, 50.0
 #: Distinct words that a task counts before it hands them on.
 COUNTER_WORDS = 1_000_000
-#: Rows of a table of neighbour counts that travel together.
-BLOCK = 256
+#: Neighbour counts that a task hands on at a time.
+CELLS = 1 << 16
 
 END = b""
 
@@ -174,15 +174,13 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) ->
 
 
 def _summed(df: DataFrame, out: np.ndarray) -> np.ndarray:
-    """``out`` filled with the sums of (block int, values binary): BLOCK of its rows each, added up on the cluster."""
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(v, dtype="<i8") for v in table["values"].to_pylist())
-        return pa.table({"block": table["block"].slice(0, 1).cast(pa.int32()), "values": pa.array([total.tobytes()], pa.binary())})
-
-    table = df.groupBy("block").applyInArrow(add, "block int, values binary").toArrow()
-    for k, v in zip(table["block"].to_pylist(), table["values"].to_pylist()):
-        part = out[k * BLOCK:(k + 1) * BLOCK]
-        part[:] = np.frombuffer(v, dtype="<i8").reshape(part.shape)
+    """``out`` filled with the sums of (cell int, n long) by its flat cells.
+
+    Counts of one cell are added pair by pair before and after the shuffle, so
+    no task holds more of them, however many tasks have counted.
+    """
+    table = df.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out.ravel()[np.asarray(table["cell"])] = np.asarray(table["n"])
     return out
 
 
@@ -226,14 +224,13 @@ def _neighbour_counts(rows: DataFrame, words: list[bytes], group: np.ndarray, ro
                     kept, length = [np.array([end], dtype=np.int32)], 0
         if length:
             add(kept)
-        for k in range(-(-row_count // BLOCK)):
-            part = total[k * BLOCK:(k + 1) * BLOCK]
-            if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())],
-                                                 names=["block", "values"])
-
-    return _summed(map_texts(rows.select("text"), count, "block int, values binary"),
-                   np.zeros((row_count, width), dtype=np.int64))
+        flat = total.ravel()
+        cells = np.flatnonzero(flat)
+        for k in range(0, len(cells), CELLS):
+            part = cells[k:k + CELLS]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(flat[part], pa.int64())], names=["cell", "n"])
+
+    return _summed(map_texts(rows.select("text"), count, "cell int, n long"), np.zeros((row_count, width), dtype=np.int64))
 
 
 def fit_class_model(rows: DataFrame, core: int = CORE, wide: int = WIDE, dictionary: int = DICTIONARY,
