@@ -1,7 +1,7 @@
 """Corpus pipeline: stages from ``wayfarer.llm``, each written as Parquet and read again by the next.
 
-Language identification drops documents whose language cannot be told, the
-quality classifier drops what it scores below its threshold, the n-gram join
+Language identification drops documents without letters or in no learnt
+language, the quality classifier drops what it scores below its threshold, the n-gram join
 keeps one document of each near-duplicate group, mixing draws the sources to
 their target weights, and packing lays the mix out in windows. Every stage but
 the last returns the columns of its input.
@@ -20,7 +20,7 @@ from wayfarer.llm.quality import fit_quality, keep_quality
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the string-kernel classifier can tell."""
+    """Documents that the string-kernel classifier finds in a learnt language."""
     return keep_language(docs, fit_language(docs))
 
 

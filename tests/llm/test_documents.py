@@ -412,6 +412,31 @@ def test_language(spark):
     assert {r.lang_pred for r in identify_language(df, empty).collect()} == {"und"}
 
 
+def test_language_drops_what_is_in_no_learnt_language(spark):
+    import __spark_entry__ as E
+    from wayfarer.llm.langid import KNOWN, LEAST, _LETTER, fit_language, identify_language, keep_language, presence_rows
+
+    clean = spark.read.parquet(f"{E.SMOKE_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(1)
+    junk = ["".join(rng.choice(list("bcdfghjklmnpqrstvwxz"), 200)), "<div><td class='x'></td></div><br/>" * 20,
+            "日本語のテキストです。これは学習されていない" * 3, '{"a": [1,2,{"b": null}]}' * 10]
+    odd = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate([*junk, None, "", "12 ?!"])], clean.schema)
+    docs = clean.unionByName(odd)
+    model = fit_language(docs)
+    kept = {r.doc_id for r in keep_language(docs, model).collect()}
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    lettered = {i for i, t in rows.items() if t and _LETTER.search(t)}
+    assert kept == {i for i in lettered if i >= 0}
+    # the same by brute force from every text's score and n-grams
+    score = {r.id: r.score for r in identify_language(docs, model).collect()}
+    known = set(np.flatnonzero(model.matrix.any(axis=1)))
+    grams = {i: set(np.flatnonzero(presence_rows([rows[i]])[0])) for i in lettered}
+    assert kept == {i for i in lettered if score[i] >= LEAST or len(grams[i] & known) >= KNOWN * len(grams[i])}
+    # with nothing learnt, all that have letters stay
+    nothing = fit_language(docs.where("lang is null"))
+    assert {r.doc_id for r in keep_language(docs, nothing).collect()} == lettered
+
+
 def test_kernel_matrix_is_the_kernel_regression():
     from wayfarer.llm import langid
 

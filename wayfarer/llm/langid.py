@@ -33,6 +33,9 @@ DIM, LONGEST = 1 << 15, 3
 SAMPLE, LANDMARKS, LANGUAGES = 1_024, 64, 256
 #: Weight of the ridge.
 RIDGE = 0.1
+#: A text is in no learnt language if its best score is below ``LEAST`` and less than ``KNOWN`` of its n-grams stand in
+#: any landmark. A score of 0.5 is what a text without a known n-gram gets.
+LEAST, KNOWN = 0.55, 0.6
 
 _LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
@@ -150,13 +153,30 @@ def identify_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     return map_texts(rows, tell, f"id {kind}, lang_pred string, score double")
 
 
+def _told(texts: list, model: LanguageModel, known: np.ndarray, languages: list[str] | None) -> list[bool]:
+    """Which texts are in a learnt language; with none learnt, and none asked for, which have a letter."""
+    if not model.languages and languages is None:
+        return [t is not None and _LETTER.search(t) is not None for t in texts]
+    names, scores = _predict(texts, model)
+    out = [n != UNDETERMINED and (languages is None or n in languages) for n in names]
+    for i in np.flatnonzero(scores < LEAST):
+        if out[i]:
+            p = presence_rows([texts[i]])[0] > 0
+            out[i] = bool((p & known).sum() >= KNOWN * p.sum())
+    return out
+
+
 def keep_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", languages: list[str] | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is determined (and one of ``languages`` if given)."""
+    """The rows of ``docs``, all columns, that are in a learnt language (and one of ``languages`` if given).
+
+    A text with letters is dropped only where the classifier finds no language (``LEAST``, ``KNOWN``); a model that has
+    learnt nothing drops none with letters.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches):
+        known = (shared.value.matrix != 0).any(axis=1)
         for b in batches:
-            names, _ = _predict(b.column(text_col).to_pylist(), shared.value)
-            yield b.filter(pa.array([n != UNDETERMINED and (languages is None or n in languages) for n in names], pa.bool_()))
+            yield b.filter(pa.array(_told(b.column(text_col).to_pylist(), shared.value, known, languages), pa.bool_()))
 
     return map_texts(docs, keep, docs.schema)
