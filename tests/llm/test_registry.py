@@ -21,9 +21,13 @@ COLUMNS = {
 def test_corpus_queries(spark):
     qs = E.queries()
     assert set(COLUMNS) <= set(qs) and "pipeline" in qs
-    for name in ("op4_warc_derivatives", "op6_sharding", "op9_packing", "op8_language_id"):
+    documents = spark.read.parquet(f"{E.SMOKE_DIR}/documents.parquet").count()
+    pages = spark.read.parquet(f"{E.SMOKE_DIR}/pages.parquet").count()
+    for name, rows in (("op4_warc_derivatives", 2 * pages), ("op6_sharding", documents), ("op8_language_id", documents)):
         df = qs[name](spark, E.SMOKE_DIR)
-        assert df.columns[:len(COLUMNS[name])] == COLUMNS[name] and df.count() >= 200
+        assert df.columns[:len(COLUMNS[name])] == COLUMNS[name] and df.count() == rows
+    df = qs["op9_packing"](spark, E.SMOKE_DIR)
+    assert df.columns[:len(COLUMNS["op9_packing"])] == COLUMNS["op9_packing"] and df.count() >= documents
 
 
 def test_components(spark):

@@ -102,8 +102,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances between the sources of a language, and each source's 200 most excessive terms."""
+    from wayfarer.llm.divergence import source_divergence
+
+    return source_divergence(_table(spark, sf_dir, "documents"), least_docs=3, top=200)
+
+
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_class_lm, op4_warc_derivatives, op5_ngram_join,
-                                   op6_sharding, op7_mixing, op8_language_id, op9_packing, op10_ann_search)}
+                                   op6_sharding, op7_mixing, op8_language_id, op9_packing, op10_ann_search, op13_source_divergence)}
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 "
@@ -162,4 +169,25 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS sco
       FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 AND len(q.x) = len(c.x)),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op13_source_divergence": r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS k,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT lang, source, k, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS c FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 3),
+tot AS (SELECT lang, sum(c)::HUGEINT AS n, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+gn AS (SELECT grp.lang, grp.source, coalesce(sum(c), 0)::HUGEINT AS n FROM grp LEFT JOIN cnt USING (lang, source) GROUP BY ALL),
+p AS (SELECT gn.lang, gn.source, kept.term, coalesce(cnt.c, 0) AS c,
+             1 + (1000000000::HUGEINT * (coalesce(cnt.c, 0) + 1)) // (gn.n + tot.v) AS p,
+             1 + (1000000000::HUGEINT * (kept.c + 1)) // (tot.n + tot.v) AS ql
+      FROM gn JOIN kept USING (lang) JOIN tot USING (lang) LEFT JOIN cnt ON cnt.lang = gn.lang AND cnt.source = gn.source AND cnt.term = kept.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item,
+                 coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // y.p) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+                           WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+          FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source),
+o AS (SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value FROM pairs
+      UNION ALL SELECT lang, source, 'term', term, CAST(((p - ql) * (p - ql)) // ql AS BIGINT) FROM p WHERE c > 0 AND p > ql),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 200""",
 }
