@@ -102,6 +102,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language by how much more often than its parts foretell each occurs."""
+    from wayfarer.llm.collocation import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, percent=100, top=2000)
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances between the sources of a language, and each source's 200 most excessive terms."""
     from wayfarer.llm.divergence import source_divergence
@@ -110,7 +117,8 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_class_lm, op4_warc_derivatives, op5_ngram_join,
-                                   op6_sharding, op7_mixing, op8_language_id, op9_packing, op10_ann_search, op13_source_divergence)}
+                                   op6_sharding, op7_mixing, op8_language_id, op9_packing, op10_ann_search, op12_collocations,
+                                   op13_source_divergence)}
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _USABLE = ("embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 "
@@ -190,4 +198,22 @@ o AS (SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value
       UNION ALL SELECT lang, source, 'term', term, CAST(((p - ql) * (p - ql)) // ql AS BIGINT) FROM p WHERE c > 0 AND p > ql),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
 SELECT * FROM r WHERE part = 'pair' OR rank <= 200""",
+    "op12_collocations": rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM d),
+tot AS (SELECT lang, CAST(sum(len(ws)) AS HUGEINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, m, count(*) AS a
+      FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, range(1, 6) AS x(m) WHERE len(ws) >= m)
+      GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT * FROM g WHERE m >= 2),
+s AS (SELECT c.lang, c.phrase, c.a, c.m, string_split(c.phrase, ' ') AS ws FROM c),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(ws[1:k], ' ') AS p1, array_to_string(ws[k + 1:m], ' ') AS p2
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM s)),
+sc AS (SELECT cuts.*, x.a AS l, y.a AS r, tot.n, CAST((1000::HUGEINT * cuts.a * tot.n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+       FROM cuts JOIN g x ON x.lang = cuts.lang AND x.phrase = p1 JOIN g y ON y.lang = cuts.lang AND y.phrase = p2 JOIN tot ON tot.lang = cuts.lang),
+b AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.a >= b.a AND c.phrase <> b.phrase
+                                           AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' '))),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM r WHERE rank <= 2000""",
 }
