@@ -102,6 +102,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes that 50-byte strings of documents with smaller ids cover."""
+    from wayfarer.llm.suffix_dedup import repeated_spans
+
+    out = repeated_spans(_table(spark, sf_dir, "documents"), "doc_id", "text", length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 phrases of every language by how much more often than its parts foretell each occurs."""
     from wayfarer.llm.collocation import collocations
@@ -117,7 +127,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_class_lm, op4_warc_derivatives, op5_ngram_join,
-                                   op6_sharding, op7_mixing, op8_language_id, op9_packing, op10_ann_search, op12_collocations,
+                                   op6_sharding, op7_mixing, op8_language_id, op9_packing, op10_ann_search, op11_suffix_dedup, op12_collocations,
                                    op13_source_divergence)}
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -198,6 +208,20 @@ o AS (SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value
       UNION ALL SELECT lang, source, 'term', term, CAST(((p - ql) * (p - ql)) // ql AS BIGINT) FROM p WHERE c > 0 AND p > ql),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
 SELECT * FROM r WHERE part = 'pair' OR rank <= 200""",
+    "op11_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, i, h[2 * i + 1:2 * i + 100] AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+low AS (SELECT s, min(doc_id) AS m FROM g GROUP BY s),
+hit AS (SELECT g.doc_id, g.i FROM g JOIN low USING (s) WHERE low.m < g.doc_id),
+runs AS (SELECT doc_id, i, sum(CASE WHEN i <= prev + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+         FROM (SELECT *, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -100) AS prev FROM hit)),
+spans AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM runs GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM spans),
+pieces AS (SELECT doc_id, string_agg(h[2 * since + 1:2 * a], '' ORDER BY a) AS kept FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+tot AS (SELECT doc_id, sum(b - a) AS gone, count(*) AS n, max(b) AS last FROM spans GROUP BY doc_id)
+SELECT d.doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN h ELSE kept || h[2 * last + 1:] END)) AS kept_sha256
+FROM d LEFT JOIN tot USING (doc_id) LEFT JOIN pieces USING (doc_id)""",
     "op12_collocations": rf"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
 w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM d),
