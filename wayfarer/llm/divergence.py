@@ -31,7 +31,7 @@ from wayfarer.session import small_table
 #: Parts that a share of 1 has.
 SCALE = 1_000_000_000
 #: (group, term) cells that a task adds up before it hands them on.
-CELLS = 200_000
+CELLS = 100_000
 #: Sources in a tile, terms and rows in a block of the comparison of sources.
 TILE, BLOCK_TERMS, BLOCK_ROWS = 128, 4096, 200_000
 
@@ -80,14 +80,17 @@ def term_counts(docs: DataFrame, lang: str = "lang", source: str = "source", tex
     clean = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(a)
                           for c, a in ((lang, "lang"), (source, "source"), (text, "text"))])
     cells = map_texts(clean, _counted, "lang string, source string, term string, n long, docs long")
+    # tasks have added their cells up already; all of a term's sources meet, so that its totals need no further shuffle
+    cells = cells.repartition("lang", "term")
     return cells.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def _share(count: Column, total: Column, terms: Column) -> Column:
     """1 + floor(SCALE * (count + 1) / (total + terms)); null where there are no terms."""
     wide = "decimal(20,0)"
-    top = F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast(wide)
-    return F.when(terms > 0, F.call_function("div", top, (total + terms).cast(wide)) + 1)
+    exact = F.call_function("div", F.lit(SCALE).cast("decimal(10,0)") * (count + 1).cast(wide), (total + terms).cast(wide))
+    short = F.call_function("div", F.lit(SCALE) * (count + 1), total + terms)  # in 64 bits where the product fits
+    return F.when(terms > 0, F.when(count < (1 << 63) // SCALE - 1, short).otherwise(exact) + 1)
 
 
 def _distance(p: Column, q: Column) -> Column:
@@ -161,16 +164,17 @@ def source_divergence(docs: DataFrame, lang: str = "lang", source: str = "source
     language over all kept terms; part ``term``: the ``top`` terms in which the
     group exceeds its language most. Ranks go by value descending, then item.
     """
-    counts = stored(term_counts(docs, lang, source, text), "term-counts")
-    terms = (counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-             .where(F.col("docs") >= least_docs).drop("docs"))
-    kept = stored(counts.drop("docs").join(terms, ["lang", "term"]), "kept-terms")
-    # N and V of a language: a term's rows carry its total once per source, so it is taken from the narrow side
-    whole = stored(terms.groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("terms")), "term-totals")
+    counts = term_counts(docs, lang, source, text)
+    term = Window.partitionBy("lang", "term")
+    kept = (counts.withColumns({"lang_n": F.sum("n").over(term), "docs": F.sum("docs").over(term),
+                                "first": F.row_number().over(term.orderBy("source")) == 1})
+            .where(F.col("docs") >= least_docs).drop("docs"))
+    kept = stored(kept, "kept-terms")
+    sums = stored(kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count_if("first").alias("terms")), "term-totals")
+    whole = sums.groupBy("lang").agg(F.sum("total").alias("lang_total"), F.sum("terms").alias("terms"))
     names = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
                         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source")).distinct()
-    sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = (names.join(sums, ["lang", "source"], "left").join(whole, "lang", "left")
+    groups = (names.join(sums.drop("terms"), ["lang", "source"], "left").join(whole, "lang", "left")
               .na.fill(0, ["total", "terms", "lang_total"])
               .withColumn("place", (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("int"))
               .withColumn("base", _share(F.lit(0), F.col("total"), F.col("terms"))))
