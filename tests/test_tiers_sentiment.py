@@ -84,7 +84,8 @@ HAND = [
     ("good?", 1.9, 2.9, 0.0, 0),
     ("good ????", 1.9 + 0.96, 2.9 + 0.96, 0.0, 0),
     ("good but bad", 0.5 * 1.9 + 1.5 * -2.5, 1.95, -4.75, 1),
-    ("kind of good", 1.9, 2.9, 0.0, 2),
+    ("kind of good", 1.9 - 0.293, 2.607, 0.0, 2),                     # a degree phrase
+    ("kind and good", 2.4 + 1.9, 6.3, 0.0, 1),
     ("so kind", 2.4 + 0.293, 3.693, 0.0, 1),
     ("très good été", 1.9, 2.9, 0.0, 2),                              # accented words are whole tokens
     ("good bad", 1.9 - 2.5, 2.9, -3.5, 0),
@@ -105,6 +106,56 @@ def test_sentiment_by_hand(spark):
     assert score["isn't good"] < 0 < score["good"] < score["very good"] < score["good!!!!!!"]
 
 
+PHRASE_LEX = LEX | {"kiss of death": -1.5, "bus stop": 0.0, "to die for": 3.0, "of death or": 1.0, "die": -2.9, "Not Bad": 1.1, ":)": 2.0, ":D": 2.3,
+                    ":'(": -2.2, "<3": 1.9}
+
+# phrases, degree phrases and emoticons, worked out by hand
+HAND_PHRASES = [
+    ("the kiss of death", -1.5, 0.0, -2.5, 3),                        # the phrase is one scoring unit
+    ("to die for", 3.0, 4.0, 0.0, 2),                                 # what lies inside takes no part
+    ("die for", -2.9, 0.0, -3.9, 1),
+    ("very to die for", 3.293, 4.293, 0.0, 3),                        # rules hold for phrases
+    ("not a kiss of death", 1.11, 2.11, 0.0, 4),
+    ("great bus stop", 3.1, 4.1, 0.0, 2),                             # a phrase without valence is neutral
+    ("kiss of death or good", -1.5 + 1.9, 2.9, -2.5, 3),              # equal lengths: the first match stands
+    ("not bad", 1.1, 2.1, 0.0, 1),                                    # a phrase with a negation in it
+    ("not so bad", -2.793 * -0.74, 2.793 * 0.74 + 1, 0.0, 2),
+    ("sort of good", 1.607, 2.607, 0.0, 2),
+    ("sort of very good", 1.9 + 0.293 - 0.293 * 0.95, 1.9 + 0.293 * 0.05 + 1, 0.0, 3),  # it counts from its last word
+    ("just enough good", 1.607, 2.607, 0.0, 2),
+    ("good of kind", 1.9 + 2.4, 6.3, 0.0, 1),
+    ("good :) :)", 1.9 + 4.0, 2.9 + 6.0, 0.0, 0),
+    ("good:) :-)", 1.9, 2.9, 0.0, 0),                                 # only between blanks, and only known ones
+    ("very :D", 2.3 + 0.733 + 0.293, 4.326, 0.0, 1),                  # its letter is a capital
+    ("bad :'( <3", -2.5 - 2.2 + 1.9, 2.9, -6.7, 0),
+]
+
+
+def test_sentiment_phrases_by_hand(spark):
+    import pytest
+
+    df = spark.createDataFrame([(k, t[0]) for k, t in enumerate(HAND_PHRASES)], "k long, review_text string")
+    got = {r.k: r for r in X.sentiment(df, X.lexicon_frame(spark, PHRASE_LEX.items()), "k", digits=None).collect()}
+    for k, (text, s, p, n, u) in enumerate(HAND_PHRASES):
+        r, total = got[k], p + abs(n) + u
+        want = (s / math.sqrt(s * s + 15), p / total, abs(n) / total, u / total)
+        assert (r.sentiment_compound, r.sentiment_pos, r.sentiment_neg, r.sentiment_neu) == pytest.approx(want), text
+
+
+def test_sentiment_tokenises_once(spark):
+    df = spark.createDataFrame([(1, "a good stay")], "k long, review_text string")
+    plan = X.token_scores(df, X.lexicon_frame(spark, LEX.items()), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
+def test_too_many_emoticons(spark):
+    import pytest
+
+    odd = spark.range(X.MAX_EMOTICONS + 1).selectExpr("concat(':', id) as token", "1.0D as valence")
+    with pytest.raises(ValueError):
+        X.token_scores(spark.createDataFrame([(1, "x")], "k long, review_text string"), odd, "k")
+
+
 def test_sentiment_of_nothing(spark):
     df = spark.createDataFrame([(1, ""), (2, None), (3, "nan"), (4, "!!!"), (5, "  "), (6, "just words")], "k long, review_text string")
     got = X.sentiment(df, X.lexicon_frame(spark, LEX.items()), "k").collect()

@@ -502,6 +502,64 @@ sc AS (SELECT d.doc_id, d.lang,
        FROM docs d LEFT JOIN agg a USING (doc_id))"""
 ORACLE["sentiment"] = (f"WITH {SENT}\nSELECT doc_id, {rnd('c')} AS sentiment_compound, {rnd('p')} AS sentiment_pos, "
                        f"{rnd('ng_')} AS sentiment_neg, {rnd('u')} AS sentiment_neu FROM sc")
+
+
+def _with_phrases() -> str:
+    """The scores with phrases and the emoticon "|": matches by n-gram, the longer of overlapping ones, units by their ends."""
+    def step(d: int, v: str) -> str:
+        w, far = f"w{d}", (1.0, 0.95, 0.9)[d - 1]
+        sign = f"(CASE WHEN {v} > 0 THEN 1.0 ELSE -1.0 END)"
+        loud = f"(CASE WHEN mixed AND p{d} = upper(p{d}) AND p{d} <> lower(p{d}) THEN 0.733 ELSE 0.0 END)"
+        near = "w1 IN ('so', 'this')" if d == 2 else "(w1 IN ('so', 'this') OR w2 IN ('so', 'this'))"
+        doubt = "w1 = 'doubt'" if d == 2 else "(w1 = 'doubt' OR w2 = 'doubt')"
+        odd = f"WHEN {w} = 'never' AND {near} THEN 1.25 WHEN {w} = 'without' AND {doubt} THEN 1.0" if d > 1 else ""
+        factor = f"(CASE {odd} WHEN {w} IN {_NEG} THEN -0.74 ELSE 1.0 END)"
+        return f"(CASE WHEN u{d} AND k{d} IS NULL THEN ({v} + coalesce({sign} * (g{d} + {loud}) * {far}, 0.0)) * {factor} ELSE {v} END)"
+
+    words = ", ".join(f"('{t}', {v})" for t, v in Q.LEXICON + [x for x in Q.PHRASES if " " not in x[0]])
+    grams = ", ".join([f"('{t}', {t.count(' ') + 1}, {v}, NULL)" for t, v in Q.PHRASES if " " in t]
+                      + [f"('{t}', 2, NULL, -0.293)" for t in ("kind of", "sort of", "just enough")])
+    before = "\n".join(f"LEFT JOIN unit b{d} ON b{d}.doc_id = u.doc_id AND b{d}.endp = u.pos - {d}" for d in (1, 2, 3))
+    cols = ", ".join(f"b{d}.doc_id IS NOT NULL AS u{d}, coalesce(b{d}.plain, '') AS w{d}, coalesce(b{d}.word, '') AS p{d}, b{d}.deg AS g{d}, "
+                     f"b{d}.val AS k{d}" for d in (1, 2, 3))
+    head, tail = SENT[:SENT.index("\nex AS (") + 1], SENT[SENT.index("sums AS ("):]
+    # blanks doubled, so that neighbouring emoticons have one each
+    head = head.replace("regexp_extract_all(text, '", "regexp_extract_all(' ' || regexp_replace(text, '([ \\t\\n\\r\\f\\x0B])', '\\1\\1', 'g') || ' ', "
+                        "'[ \\t\\n\\r\\f\\x0B]\\|[ \\t\\n\\r\\f\\x0B]|")
+    head = head[:head.index("lex AS (")] + f"lex AS (SELECT token, CAST(valence AS DOUBLE) AS valence FROM (VALUES {words}) l(token, valence)),\n" \
+        + head[head.index("tok AS ("):]
+    return head + f"""ex AS (SELECT doc_id, e, len(t) AS size, trim(unnest(t), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS word,
+              generate_subscripts(t, 1) AS pos FROM tok),
+ph AS (SELECT gram, m, CAST(v AS DOUBLE) AS v, CAST(g AS DOUBLE) AS g FROM (VALUES {grams}) x(gram, m, v, g)),
+ctx AS (SELECT *, CASE WHEN word = '|' THEN word ELSE {_plain('word')} END AS token,
+               count(CASE WHEN word = upper(word) AND word <> lower(word) THEN 1 END) OVER d BETWEEN 1 AND size - 1 AS mixed,
+               min(CASE WHEN lower(word) = 'but' THEN pos END) OVER d AS but FROM ex WINDOW d AS (PARTITION BY doc_id)),
+lead2 AS (SELECT *, lead(token, 1) OVER w AS t1, lead(token, 2) OVER w AS t2 FROM ctx WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+cand AS (SELECT doc_id, pos, m, v, g FROM lead2 JOIN ph ON m = 2 AND gram = token || ' ' || t1
+         UNION ALL SELECT doc_id, pos, m, v, g FROM lead2 JOIN ph ON m = 3 AND gram = token || ' ' || t1 || ' ' || t2),
+beaten AS (SELECT DISTINCT c.doc_id, c.pos, c.m FROM cand c JOIN cand o ON o.doc_id = c.doc_id AND o.pos < c.pos + c.m AND c.pos < o.pos + o.m
+           AND (o.m > c.m OR (o.m = c.m AND o.pos < c.pos))),
+kept AS (SELECT * FROM cand ANTI JOIN beaten USING (doc_id, pos, m)),
+gone AS (SELECT doc_id, unnest(range(pos + 1, pos + m)) AS pos FROM kept),
+unit AS (SELECT c.doc_id, c.pos, c.mixed, c.but, c.word, coalesce(k.m, 1) + c.pos - 1 AS endp, CASE WHEN k.m IS NULL THEN token ELSE '' END AS plain,
+                CASE WHEN k.m IS NULL THEN lex.valence ELSE k.v END AS val,
+                CASE WHEN k.m IS NOT NULL THEN k.g WHEN token IN {_MORE} THEN 0.293 WHEN token IN {_LESS} THEN -0.293 END AS deg
+         FROM ctx c ANTI JOIN gone USING (doc_id, pos) LEFT JOIN kept k ON k.doc_id = c.doc_id AND k.pos = c.pos LEFT JOIN lex USING (token)),
+l0 AS (SELECT u.doc_id, u.pos, u.mixed, u.but, {cols},
+              u.val + CASE WHEN u.mixed AND u.word = upper(u.word) AND u.word <> lower(u.word) THEN CASE WHEN u.val > 0 THEN 0.733 ELSE -0.733 END ELSE 0.0 END AS v0
+       FROM unit u
+{before}
+       WHERE u.val IS NOT NULL),
+l1 AS (SELECT *, {step(1, 'v0')} AS v1 FROM l0),
+l2 AS (SELECT *, {step(2, 'v1')} AS v2 FROM l1),
+l3 AS (SELECT *, {step(3, 'v2')} AS v3 FROM l2),
+l4 AS (SELECT doc_id, CASE WHEN w1 = 'least' AND k1 IS NULL AND w2 NOT IN ('at', 'very') THEN v3 * -0.74 ELSE v3 END
+                      * CASE WHEN pos < but THEN 0.5 WHEN pos > but THEN 1.5 ELSE 1.0 END AS v FROM l3),
+""" + tail
+
+
+ORACLE["sentiment_phrases"] = (f"WITH {_with_phrases()}\nSELECT doc_id, {rnd('c')} AS sentiment_compound, {rnd('p')} AS sentiment_pos, "
+                               f"{rnd('ng_')} AS sentiment_neg, {rnd('u')} AS sentiment_neu FROM sc")
 SENT4 = SENT + """,
 sc4 AS (SELECT doc_id, lang, coalesce(round_even(c, 4), 0.0) AS c, round_even(p, 3) AS p, round_even(ng_, 3) AS ng_,
                round_even(u, 3) AS u FROM sc)"""

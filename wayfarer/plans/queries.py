@@ -319,6 +319,8 @@ CENTER_QS = (0.2, 0.5, 0.8)
 LEXICON = [("the", 0.5), ("and", 1.2), ("that", -0.8), ("for", 0.3), ("was", -1.1),
            ("good", 1.9), ("great", 3.1), ("bad", -2.5), ("poor", -2.1), ("excellent", 2.7),
            ("terrible", -2.5), ("love", 3.2), ("hate", -2.7), ("nice", 1.8), ("awful", -2.0)]
+# phrases (two overlap, one lies inside another) and an emoticon on top of the words
+PHRASES = [("of the", 1.3), ("the and", -0.7), ("in the and", 2.2), ("de la", 1.1), ("und die", -1.4), ("to be", 0.0), ("|", -0.4)]
 
 
 @register("balanced_cap")
@@ -508,6 +510,13 @@ def q_sentiment(spark, sf_dir):
                                                                  "sentiment_neg", "sentiment_neu")])
 
 
+@register("sentiment_phrases")
+def q_sentiment_phrases(spark, sf_dir):
+    s = X.sentiment(FX.reviews(spark, sf_dir), X.lexicon_frame(spark, LEXICON + PHRASES), "doc_id", digits=None)
+    return s.select("doc_id", *[r6(F.col(c)).alias(c) for c in ("sentiment_compound", "sentiment_pos",
+                                                                 "sentiment_neg", "sentiment_neu")])
+
+
 @register("sentiment_by_language")
 def q_sentiment_by_language(spark, sf_dir):
     r = X.sentiment_rollup(_scored(spark, sf_dir, digits=(4, 3)), "location")
