@@ -87,3 +87,34 @@ def test_exact_quantiles_of_a_hot_group(spark):
     assert set(got) == set(rows.groups)
     for k, v in rows:
         assert np.allclose(got[k], np.quantile(v, qs))
+
+
+def test_exact_quantiles_over_all_magnitudes(spark, monkeypatch):
+    """Negative, tiny, huge and infinite values; bins of a few rows are cut again and again."""
+    import wayfarer.operators.ranking as R
+
+    rng = np.random.default_rng(11)
+    v = np.concatenate([rng.normal(0, 1, 400) * 10.0 ** rng.integers(-300, 300, 400), 7 + rng.random(900) * 1e-9, np.full(50, 7.0),
+                        [0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf, np.inf], -np.round(rng.random(300), 1)])
+    rng.shuffle(v)
+    df = spark.createDataFrame([(("a", "b", "hot", "hot")[i % 4], float(x)) for i, x in enumerate(v)], "g string, v double")
+    qs = [0.01, 0.1, 0.33, 0.5, 0.75, 0.9]
+    for limit in (R.EDGE_LIMIT, 20):
+        monkeypatch.setattr(R, "EDGE_LIMIT", limit)
+        got = {r["g"]: r for r in exact_quantiles(df, "v", qs, ["g"]).collect()}
+        for g in ("a", "b", "hot"):
+            part = np.sort([x for i, x in enumerate(v) if ("a", "b", "hot", "hot")[i % 4] == g])
+            for q in qs:
+                pos = (len(part) - 1) * q
+                lo, hi = part[int(np.floor(pos))], part[int(np.ceil(pos))]
+                want = lo if pos == np.floor(pos) else lo + (hi - lo) * (pos - np.floor(pos))
+                assert got[g][f"q{int(round(q * 100))}"] == want
+        assert exact_quantiles(df.where("g = 'hot'"), "v", [0.5], names=["m"]).count() == 1
+        assert exact_quantiles(df.where("v > 1 and v < 1"), "v", [0.5], ["g"]).count() == 0
+
+
+def test_exact_quantiles_sort_nothing(spark):
+    """No range sort and no sort of rows: only bins, and the values of the wanted bins, are put in order."""
+    df = _skewed(spark)
+    plan = exact_quantiles(df, "v", [0.25, 0.5], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "BroadcastHashJoin" in plan

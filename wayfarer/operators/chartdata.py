@@ -13,8 +13,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfarer.operators.ranking import quantiles_of_ranks, ranked_values
-from wayfarer.session import small_table, store
+from wayfarer.operators.ranking import exact_quantiles
+from wayfarer.session import small_table
 
 BinsRule = Callable[[Column], Column]
 
@@ -124,22 +124,21 @@ def box_stats(df: DataFrame, value: str = "rating", group: str = "type", whisker
     """Per group: n, q1, median, q3 (linear interpolation), whisker ends (most
     extreme values within ``whisker`` x IQR of the quartiles) and outliers.
 
-    All of it follows from the ranked (group, value, count) table, so rows are
-    read once and a group held by most rows is a group of its distinct values.
+    The quartiles are selected for all groups together; the rest is one more
+    map-side-combined aggregate against them.
     """
-    sub = df.where(F.col(group).isNotNull())
-    ranks = store(ranked_values(sub, value, [group]), "box")
-    q = quantiles_of_ranks(ranks, value, [0.25, 0.5, 0.75], [group], ["q1", "median", "q3"])
+    sub = df.where(F.col(group).isNotNull()).select(group, value)
+    q = exact_quantiles(sub, value, [0.25, 0.5, 0.75], [group], ["q1", "median", "q3"])
     small = small_table(q)
-    j = ranks.join(small if small is not None else q, group)
+    v = F.col(value)
+    j = sub.where(v.isNotNull() & ~F.isnan(v)).join(small if small is not None else q, group)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - whisker * iqr, F.col("q3") + whisker * iqr
-    v = F.col(value)
     return j.groupBy(group, "q1", "median", "q3").agg(
-        F.sum("cnt").alias("n"),
+        F.count(F.lit(1)).alias("n"),
         F.min(F.when(v >= lo_f, v)).alias("whisker_lo"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_hi"),
-        F.coalesce(F.sum(F.when((v < lo_f) | (v > hi_f), F.col("cnt"))), F.lit(0)).alias("n_outliers"),
+        F.count_if((v < lo_f) | (v > hi_f)).alias("n_outliers"),
         F.min(v).alias("min"), F.max(v).alias("max"))
 
 

@@ -8,8 +8,11 @@ None of these puts a whole group into one task:
   (group, value) (balanced even for a hot group), written once, and ranked
   with running sums inside each range partition plus a prefix over the
   per-partition block totals.
-* ``exact_quantiles`` reads the rank positions of linear interpolation off that
-  table with a filter and a tiny aggregate; no join, no collect.
+* ``exact_quantiles`` finds the rank positions of linear interpolation of all
+  groups together by radix selection: a map-side-combined count over bins that
+  keep the order of the values, a running sum over the bin counts, and then only
+  the rows of the bins that hold a wanted rank. Nothing is sorted or written but
+  those bins (a few rows per group).
 * ``hash_top_k`` keeps the k rows with the smallest (u, tie) per group, where
   u is a uniform 60-bit hash. Rows are counted per (group, u-bin) (2**16
   bins), the boundary bin is found by a prefix sum over the bin counts, only
@@ -24,13 +27,14 @@ None of these puts a whole group into one task:
 from __future__ import annotations
 
 import math
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfarer.functions.keys import U_BITS
-from wayfarer.session import small_table, store
+from wayfarer.session import materialize, small_table, store
 
 HASH_BIN_BITS = 16
 
@@ -74,22 +78,86 @@ def ranked_values(df: DataFrame, value: str, group_cols: Sequence[str] = (),
                       (F.col("_off") + F.col("_local")).alias("below"), F.col("_n").alias("n"))
 
 
+#: Bins of an octave in the first round of a selection, and of a bin's own range in later ones.
+OCTAVE_BINS, RANGE_BINS = 256, 65_536
+
+
+def _order_bin(v: Column) -> Column:
+    """An integer that never falls as the double ``v`` rises: its octave in OCTAVE_BINS parts.
+
+    Every step is monotone in floating point, so values of a lower bin are
+    smaller than those of a higher one; how evenly bins fill affects speed only.
+    """
+    beyond = 600_000   # past every finite double's bin
+    part = lambda x: F.when(x == float("inf"), F.lit(beyond)).otherwise(
+        F.floor(F.log2(x) * OCTAVE_BINS).cast("bigint") + beyond // 2)
+    return F.when(v > 0, part(v)).when(v < 0, -part(-v)).otherwise(0).cast("bigint")
+
+
+def _wanted_bins(d: DataFrame, qs: Sequence[float], g: list[str], path: list[str]) -> DataFrame:
+    """The bins of ``d`` that hold a wanted rank, with the rows ``below`` them in their group and the group's ``n``."""
+    bins = d.groupBy(*g, *path, "_b").agg(F.count(F.lit(1)).alias("cnt"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"),
+                                          *([F.max("_off").alias("_off"), F.max("n").alias("n")] if path else []))
+    w = Window.partitionBy(*g, *path)
+    below = F.coalesce(F.sum("cnt").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = bins.withColumn("below", below + F.col("_off") if path else below)
+    if not path:
+        bins = bins.withColumn("n", F.sum("cnt").over(w))
+    hit = F.lit(False)
+    for q in qs:
+        pos = (F.col("n") - 1) * F.lit(float(q))
+        for rank in (F.floor(pos), F.ceil(pos)):
+            hit = hit | ((F.col("below") <= rank) & (rank < F.col("below") + F.col("cnt")))
+    return bins.where(hit).drop("_off")
+
+
+def selected_ranks(df: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = ()) -> DataFrame:
+    """The rows of ``ranked_values`` that the quantiles ``qs`` can need: (group..., value, cnt, below, n).
+
+    Each round counts the rows per bin and keeps the bins with a wanted rank; a
+    bin of more than EDGE_LIMIT rows is cut again in RANGE_BINS parts of its own
+    range, until the rows of the wanted bins can be told apart by value. Where
+    every wanted bin holds one value (ratings), the first count is the answer.
+    """
+    g, path, found = list(group_cols), [], []
+    d = df.select(*g, F.col(value).alias("_v"))
+    x = F.col("_v").cast("double")
+    d = d.where(F.col("_v").isNotNull() & ~F.isnan(x)).withColumn("_b", _order_bin(x + 0.0))
+    while True:
+        wanted = materialize(_wanted_bins(d, qs, g, path), "wanted-bins")
+        mixed = F.col("_mn") < F.col("_mx")
+        s = wanted.agg(F.count(F.lit(1)).alias("rows"), F.max(F.when(mixed, F.col("cnt"))).alias("most")).first()
+        found.append(wanted.where(~mixed).select(*g, F.col("_mn").alias(value), "cnt", "below", "n"))
+        if s["most"] is None:
+            return reduce(DataFrame.unionByName, found)
+        few = wanted.where(mixed).select(*g, *path, "_b", "_mn", "_mx", F.col("below").alias("_off"), "n")
+        inside = d.select(*g, *path, "_b", "_v").join(F.broadcast(few) if s["rows"] <= 1_000_000 else few, [*g, *path, "_b"])
+        if s["most"] <= EDGE_LIMIT:
+            break
+        spot = F.floor((x - F.col("_mn").cast("double")) / (F.col("_mx").cast("double") - F.col("_mn").cast("double")) * RANGE_BINS)
+        path = [*path, f"_p{len(path)}"]
+        d = inside.withColumnRenamed("_b", path[-1]).withColumn("_b", spot.cast("bigint")).drop("_mn", "_mx")
+    w = Window.partitionBy(*g, *path, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    values = inside.groupBy(*g, *path, "_b", "_v").agg(F.count(F.lit(1)).alias("cnt"), F.max("_off").alias("_off"), F.max("n").alias("n"))
+    told = values.select(*g, F.col("_v").alias(value), "cnt", (F.col("_off") + F.coalesce(F.sum("cnt").over(w), F.lit(0))).alias("below"), "n")
+    return reduce(DataFrame.unionByName, found, told)
+
+
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str] = (),
                     names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles per group (pandas / numpy default).
 
     q-th quantile = v[lo] + (v[hi] - v[lo]) * (pos - lo) with pos = (n-1)q,
     lo/hi its floor/ceil, v[] the sorted values. Groups without values are
-    absent; the caller left-joins if needed. The ranks come from
-    ``ranked_values`` at every size.
+    absent; the caller left-joins if needed.
     """
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
-    return quantiles_of_ranks(ranked_values(df, value, group_cols), value, qs, group_cols, names)
+    return quantiles_of_ranks(selected_ranks(df, value, qs, group_cols), value, qs, group_cols, names)
 
 
 def quantiles_of_ranks(r: DataFrame, value: str, qs: Sequence[float], group_cols: Sequence[str],
                        names: Sequence[str]) -> DataFrame:
-    """Quantiles per group read off a ``ranked_values`` table."""
+    """Quantiles per group read off a table of ranked values."""
     g = list(group_cols)
     n1 = F.col("n") - 1
     hit_cols, aggs = [], []
