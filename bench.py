@@ -23,7 +23,7 @@ HEADLINE = [
     "clean_pipeline", "popular_destinations", "type_summary", "price_rating_stats", "kpis",
     "top_locations", "balanced_cap", "proportional_cap", "rating_box_by_type", "price_histogram_log",
     "assign_centers", "features", "batch_recommend", "recommend_preferences", "sentiment",
-    "booking_demand", "import_sources", "dedup_listings",
+    "booking_demand", "import_sources", "dedup_listings", "kmeans_tiers",
 ]
 
 

@@ -52,6 +52,32 @@ def test_lloyd_steps(spark):
     assert (((xy[:, None, :] - cen[None]) ** 2).sum(axis=2).argmin(axis=1) == got["cluster"]).all()
 
 
+def test_kmeans_costs_no_more_than_ten_single_fits(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(8)
+    pts = np.round(np.vstack([rng.normal(c, s, (150, 2)) for c, s in (((10, 5), 4), ((30, 9), 9), ((200, 90), 30), ((25, 30), 5))]), 0)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "price double, cost_per_day double")
+    for k in (2, 3, 5):
+        centers, cost = T.kmeans_centers(df, k=k)
+        own = ((pts[:, None, :] - np.array(centers)[None]) ** 2).sum(axis=2)
+        assert len(centers) == k and abs(own.min(axis=1).sum() - cost) <= 1e-3 * cost
+        feats = VectorAssembler(inputCols=["price", "cost_per_day"], outputCol="f").transform(df)
+        others = [KMeans(k=k, seed=42 + r, maxIter=300, featuresCol="f").fit(feats).summary.trainingCost for r in range(10)]
+        assert cost <= min(others) * (1 + 1e-6)
+    a, b = (sorted(T.kmeans_centers(d, k=3)[0]) for d in (df, df.repartition(7)))
+    assert np.allclose(a, b)
+
+
+def test_kmeans_odd_points(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0, 1.0)] * 40 + [(9.0, 2.0)] * 3 + [(inf, 1.0), (2.0, -inf)], "price double, cost_per_day double")
+    centers, cost = T.kmeans_centers(df, k=3)
+    assert sorted(centers) == [(1.0, 1.0), (9.0, 2.0)] and cost == 0.0
+    assert T.kmeans_centers(df.limit(0)) == ([], 0.0)
+
+
 def test_kmeans_too_few_rows(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 1.0)], "price double, duration double")
     out = T.kmeans_tiers(df, k=3, restarts=1).collect()

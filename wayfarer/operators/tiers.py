@@ -1,7 +1,10 @@
 """Price tiers: K-means over (price, cost_per_day), tier names by centre price.
 
-``kmeans_tiers`` fits Spark ML's distributed K-means several times (one seed
-per restart) and keeps the fit with the lowest within-cluster cost.
+``kmeans_tiers`` runs all restarts of K-means together: rows of one point become
+one weighted point, seeds are drawn by squared distance with an exponential race
+on a hash (so a rerun draws the same), and each Lloyd step is one aggregate with
+a row per restart and centre. The restart with the lowest within-cluster cost is
+kept.
 ``assign_centers`` is the deterministic half: given centres, every row goes
 to the nearest one (ties to the lower index) in a single projection.
 """
@@ -10,13 +13,13 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayfarer.operators.analytics import cost_per_day
 from wayfarer.operators.ranking import exact_quantiles
 from wayfarer.schema import TIER_LABELS, UNCLASSIFIED
+from wayfarer.session import materialize
 
 
 def model_rows(df: DataFrame) -> DataFrame:
@@ -76,30 +79,99 @@ def quantile_centers(df: DataFrame, qs: Sequence[float] = (0.2, 0.5, 0.8),
     return [(float(rows[features[0]][n]), float(rows[features[1]][n])) for n in names]
 
 
-def kmeans_tiers(df: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42,
-                 max_iter: int = 300) -> DataFrame:
-    """Fit K-means ``restarts`` times (seeds seed..seed+restarts-1), keep the
-    lowest training cost, label clusters by centre price. Fewer than k usable
-    rows: the rows come back without clusters.
+def _squared(centers: Sequence[tuple]) -> list[str]:
+    return [f"((x - {x!r}D) * (x - {x!r}D) + (y - {y!r}D) * (y - {y!r}D))" for x, y in centers]
+
+
+def _least(terms: Sequence[str]) -> str:
+    return terms[0] if len(terms) == 1 else f"least({', '.join(terms)})"
+
+
+def _seeded(points: DataFrame, k: int, restarts: int, seed: int) -> list[list[tuple[float, float]]]:
+    """For every restart up to k different points, each drawn with weight n times its squared distance to those before:
+    the first arrival of exponential clocks with those rates. One aggregate a draw, for all restarts."""
+    centers: list[list[tuple[float, float]]] = [[] for _ in range(restarts)]
+    for step in range(k):
+        firsts = []
+        for r, cs in enumerate(centers):
+            clock = f"-ln((shiftrightunsigned(xxhash64(x, y, {seed + r}L, {step}), 11) + 0.5D) / 9007199254740992D)"
+            rate = f"(n * {_least(_squared(cs))})" if cs else "n"
+            firsts.append(F.expr(f"min(CASE WHEN {rate} > 0 THEN struct({clock} / {rate} AS at, x, y) END)").alias(f"r{r}"))
+        row = points.agg(*firsts).first()
+        for r, cs in enumerate(centers):
+            if row[r] is not None:
+                cs.append((row[r]["x"], row[r]["y"]))
+    return centers
+
+
+def _moved(points: DataFrame, centers: dict[int, list[tuple]]) -> dict[int, tuple[list[tuple], float]]:
+    """One Lloyd step of several restarts: new centres (one without points stays) and the cost of the old ones."""
+    nearest = []
+    for r, cs in centers.items():
+        d = _squared(cs)
+        own = f"array_position(array({', '.join(d)}), {_least(d)}) - 1" if len(d) > 3 else "CASE " + " ".join(
+            f"WHEN {' AND '.join(f'{d[i]} <= {d[j]}' for j in range(len(d)) if j != i) or 'true'} THEN {i}L" for i in range(len(d))) + " END"
+        nearest.append(f"struct({r} AS r, {own} AS c, {_least(d)} AS d)")
+    sums = (points.select("x", "y", "n", F.expr(f"inline(array({', '.join(nearest)}))"))
+            .groupBy("r", "c").agg(F.sum(F.col("n") * F.col("x")).alias("x"), F.sum(F.col("n") * F.col("y")).alias("y"),
+                                   F.sum("n").alias("n"), F.sum(F.col("n") * F.col("d")).alias("cost"))).collect()
+    out = {r: (list(cs), 0.0) for r, cs in centers.items()}
+    for s in sums:
+        cs, cost = out[s["r"]]
+        cs[s["c"]] = (s["x"] / s["n"], s["y"] / s["n"])
+        out[s["r"]] = cs, cost + s["cost"]
+    return out
+
+
+def _shift(a: Sequence[tuple], b: Sequence[tuple]) -> float:
+    return sum((x - u) ** 2 + (y - v) ** 2 for (x, y), (u, v) in zip(a, b))
+
+
+def kmeans_centers(df: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42, max_iter: int = 300,
+                   tol: float = 1e-4, features=("price", "cost_per_day")) -> tuple[list[tuple[float, float]], float]:
+    """Centres of the cheapest of ``restarts`` K-means fits over the finite points of ``df``, and their cost.
+
+    A restart rests when its centres move less than ``tol`` times the spread of
+    the points; the cheapest one then goes on until they move less than ``tol``.
+    With fewer different points than k there are fewer centres.
+    """
+    x, y = (F.col(c).cast("double") for c in features)
+    finite = F.abs(x) + F.abs(y) < float("inf")
+    points = materialize(df.where(finite).groupBy(x.alias("x"), y.alias("y")).agg(F.count(F.lit(1)).alias("n")), "points")
+    w = lambda c: F.sum(F.col("n") * c) / F.sum("n")
+    m = points.agg((w(F.col("x") * F.col("x")) - w(F.col("x")) * w(F.col("x"))
+                    + w(F.col("y") * F.col("y")) - w(F.col("y")) * w(F.col("y"))).alias("spread")).first()["spread"]
+    if m is None:
+        return [], 0.0
+    fits = {r: (cs, float("inf")) for r, cs in enumerate(_seeded(points, k, restarts, seed))}
+    active, near = set(fits), tol * max(m, 0.0) / 2
+    for _ in range(max_iter):
+        if not active:
+            break
+        for r, (cs, cost) in _moved(points, {r: fits[r][0] for r in sorted(active)}).items():
+            if _shift(cs, fits[r][0]) <= near:
+                active.discard(r)
+            fits[r] = cs, cost
+    best = min(fits, key=lambda r: (fits[r][1], r))
+    centers, cost = fits[best]
+    for _ in range(max_iter):
+        moved, cost = _moved(points, {best: centers})[best]
+        shift, centers = _shift(moved, centers), moved
+        if shift <= tol * tol:
+            break
+    return centers, cost
 
-    Only the two features are kept in memory while fitting, and are released
-    afterwards; every row then goes to its nearest centre in a projection."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
 
+def kmeans_tiers(df: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42,
+                 max_iter: int = 300) -> DataFrame:
+    """Fit K-means ``restarts`` times, keep the lowest training cost, label
+    clusters by centre price. Fewer than k usable rows: the rows come back
+    without clusters. Every row goes to its nearest centre in a projection."""
     rows = model_rows(df)
-    feats = VectorAssembler(inputCols=["price", "cost_per_day"], outputCol="_features").transform(
-        rows.select("price", "cost_per_day")).select("_features")
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if feats.count() < k:
-            return rows.withColumn("cluster", F.lit(None).cast("int")).withColumn(
-                "cluster_label", F.lit(None).cast("string"))
-        fits = [KMeans(k=k, seed=seed + r, maxIter=max_iter, featuresCol="_features").fit(feats) for r in range(restarts)]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-        return assign_centers(rows, [tuple(float(v) for v in c) for c in best.clusterCenters()])
-    finally:
-        feats.unpersist()
+    centers = kmeans_centers(rows, k, restarts, seed, max_iter)[0] if rows.limit(k).count() >= k else []
+    if not centers:
+        return rows.withColumn("cluster", F.lit(None).cast("int")).withColumn("cluster_label", F.lit(None).cast("string"))
+    return assign_centers(rows, centers)
 
 
 def lloyd_tiers(df: DataFrame, centers: Sequence[tuple], steps: int) -> DataFrame:
