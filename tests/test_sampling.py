@@ -62,3 +62,37 @@ def test_scatter_sample(spark):
     df = _listings(spark, {"a": 100}).withColumn("rating", F.when(F.col("price") < 10, None).otherwise(4.0))
     out = S.scatter_sample(df.withColumn("type", F.lit("t")), 50)
     assert out.count() == 50 and out.where(F.col("rating").isNull()).count() == 0
+
+
+def test_caps_agree_with_the_path_for_many_sources(spark, monkeypatch):
+    df = _listings(spark, {"a": 500, "b": 400, "c": 30, "d": 1, "é": 77}).withColumn(
+        "source", F.when(F.col("source") != "d", F.col("source")))
+    keys = lambda d: sorted(r.listing_key for r in d.collect())
+    for cap in (7, 301, 900, 1007, 5000):
+        a, b = keys(S.balanced_cap(df, cap)), keys(S.proportional_cap(df.where("source is not null"), cap))
+        assert len(a) == min(cap, 1008) and len(b) == min(cap, 1007)
+        with monkeypatch.context() as m:
+            m.setattr(S, "MAX_SOURCES", 2)
+            assert keys(S.balanced_cap(df, cap)) == a and keys(S.proportional_cap(df.where("source is not null"), cap)) == b
+
+
+def test_caps_of_repeated_keys(spark):
+    """A third of the rows share one key, so their draws are no uniform sample: the counts show it and the general path serves."""
+    df = _listings(spark, {"a": 300, "b": 300}).withColumn(
+        "listing_key", F.when(F.col("price") % 3 == 0, F.lit("same")).otherwise(F.col("listing_key")))
+    for cap in (50, 150, 420):
+        assert S.uniform_cap(df, cap).count() >= cap and S.balanced_cap(df, cap).count() >= cap
+
+
+def test_thresholds_are_exact(spark):
+    from wayfarer.functions.keys import hash_u
+    from wayfarer.operators.ranking import hash_thresholds
+
+    df = _listings(spark, {"a": 3000, "b": 40}).withColumn("u", hash_u("listing_key", 5))
+    rows = df.select("source", "u", "listing_key").collect()
+    order = {s: sorted((r.u, r.listing_key) for r in rows if r.source == s) for s in "ab"}
+    for ka, kb in ((1, 39), (1500, 20), (2999, 1)):
+        got = hash_thresholds(df, "u", "listing_key", {"a": (3000, ka), "b": (40, kb)}, "source")
+        assert got == {"a": order["a"][ka - 1], "b": order["b"][kb - 1]}
+    assert hash_thresholds(df, "u", "listing_key", {}) == {}
+    assert hash_thresholds(df.withColumn("u", F.lit(0).cast("long")), "u", "listing_key", {None: (3040, 2000)}) is None

@@ -291,6 +291,50 @@ def hash_top_k(df: DataFrame, u: str, tie: str, k, group_cols: Sequence[str] = (
     return both.where("_sel").drop("_sel")
 
 
+#: Standard deviations around the expected place of a threshold within which rows are ranked.
+MARGIN = 8
+
+
+def hash_thresholds(d: DataFrame, u: str, tie: str, wanted: dict, group: str | None = None) -> dict | None:
+    """{group: (u, tie) of its k-th smallest row} for ``wanted`` {group: (rows n, k)} with 0 < k < n.
+
+    ``u`` is a uniform hash, so a group's k-th smallest is near k / n of its
+    range: one pass counts the rows before and inside a narrow band around that
+    place, which proves that the k-th is in it, and the second ranks the band's
+    rows (some 16 sqrt(k)). Returns None where the counts do not prove it (a
+    hash that is not uniform, as of repeated keys); ``hash_top_k`` serves then.
+    """
+    if not wanted:
+        return {}
+    spark = d.sparkSession
+    bands = []
+    for name, (n, k) in wanted.items():
+        p = k / n
+        half = MARGIN * math.sqrt(p * (1 - p) / n) + 2 * MARGIN / n
+        bands.append((name, int(max(0.0, p - half) * (1 << U_BITS)), int(min(1.0, p + half) * (1 << U_BITS)), int(k)))
+    if group is None:
+        _, lo, hi, k = bands[0]
+        near = d.select(F.lit(None).cast("string").alias("_g"), F.col(u).alias("_u"), F.col(tie).alias("_t"), F.lit(lo).alias("_lo"),
+                        F.lit(hi).alias("_hi"), F.lit(k).cast("bigint").alias("_k"))
+    else:
+        table = spark.createDataFrame(bands, "_g string, _lo bigint, _hi bigint, _k bigint")
+        near = d.select(F.col(group).alias("_g"), F.col(u).alias("_u"), F.col(tie).alias("_t")).join(F.broadcast(table), "_g")
+    near = near.where(F.col("_u") < F.col("_hi"))
+    before = F.col("_u") < F.col("_lo")
+    seen = {r["_g"]: (r["b"], r["i"]) for r in near.groupBy("_g").agg(F.count_if(before).alias("b"), F.count_if(~before).alias("i")).collect()}
+    if any(name not in seen or not seen[name][0] < k <= sum(seen[name]) for name, _, _, k in bands) or max(
+            i for _, i in seen.values()) > EDGE_LIMIT:
+        return None
+    inside = near.where(~before).select("_g", "_u", "_t", "_k")
+    past = F.col("_k") - F.lit(seen[None][0]) if group is None else None
+    if group is not None:
+        left = spark.createDataFrame([(name, k - seen[name][0]) for name, _, _, k in bands], "_g string, _left bigint")
+        inside, past = inside.join(F.broadcast(left), "_g"), F.col("_left")
+    rank = F.row_number().over(Window.partitionBy("_g").orderBy("_u", "_t"))
+    rows = inside.withColumn("_past", past).withColumn("_rn", rank).where(F.col("_rn") == F.col("_past")).collect()
+    return {r["_g"]: (r["_u"], r["_t"]) for r in rows}
+
+
 def row_at_hash_rank(df: DataFrame, u: str, tie: str, rank: int) -> DataFrame:
     """The single row at 0-based position ``rank`` in (u, tie) order (empty if
     out of range), by radix selection on the hash: a counting pass over 16
