@@ -14,7 +14,9 @@ range sort, written once, with the sorted partitions' totals added up; a source
 that holds a third of all rows is spread over as many partitions as its rows
 need. Nulls: a null text has no words and is never taken; a null source is a
 source of its own, last in order; a null id hashes like an empty one. Repeated
-rows are documents of their own.
+ids come in the order of their texts' hashes, so a rerun mixes the same however
+the rows are partitioned; rows alike in id and text are interchangeable, and
+each is a document of its own.
 """
 
 from __future__ import annotations
@@ -53,11 +55,11 @@ def targets(sources: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3) ->
 
 
 def _sized(docs: DataFrame, row_id, doc_id, text, source):
-    """The columns that ``mixed_rows`` needs: row_id, doc_id, source, size (words), shuffle (60 bits of the id's md5)."""
+    """The columns that ``mixed_rows`` needs: row_id, doc_id, source, size (words), shuffle (60 bits of the id's md5), tie (of the text)."""
     words = F.regexp_count(text, F.lit(WORD_PATTERN))
     shuffle = F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
     return docs.select(row_id.alias("row_id"), doc_id.alias("doc_id"), source.alias("source"),
-                       F.coalesce(words, F.lit(0)).cast("long").alias("size"), shuffle.alias("shuffle"))
+                       F.coalesce(words, F.lit(0)).cast("long").alias("size"), shuffle.alias("shuffle"), F.xxhash64(text).alias("tie"))
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -94,13 +96,13 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mixed_rows(rows: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3, budget: int | None = None) -> DataFrame:
-    """``mixed`` for a stored table (row_id, doc_id, source, size, shuffle)."""
+    """``mixed`` for a stored table (row_id, doc_id, source, size, shuffle, tie)."""
     by_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = stored(targets(by_source, weights, passes), "op7-targets")
     # the sources are few rows against the documents; the engine broadcasts them below its own limit
     known = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(
-        "row_id", "doc_id", rows["source"], "size", "shuffle", "source_size", "place", "target")
-    queued = running_total(known, ["place", "shuffle", "row_id"], "size", "op7-sources")
+        "row_id", "doc_id", rows["source"], "size", "shuffle", "tie", "source_size", "place", "target")
+    queued = running_total(known, ["place", "shuffle", "doc_id", "tie", "size", "row_id"], "size", "op7-sources")
     first = (plan.withColumn("first", F.sum("source_size").over(Window.partitionBy().orderBy("place")) - F.col("source_size"))
              .select("place", "first"))
     inside = queued.join(first, "place").withColumn("end", F.col("before") - F.col("first") + F.col("size")).drop("before")
