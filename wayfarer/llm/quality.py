@@ -20,7 +20,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfarer.llm.common import map_texts, text_bytes
@@ -98,8 +98,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
         w = ftrl(rows, np.asarray(table["label"], dtype=np.float64), bits, epochs)
         return pa.table({"weights": pa.array([w.tobytes()], pa.binary())})
 
-    # the sampled labels are bounded by the parameter, so the texts meet them where they are read
-    sampled = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known), "id")
+    # the sampled labels are bounded by the parameter, so the texts meet them where they are read; of rows with one id
+    # the text with the smallest hash is learnt from, once for each of its labels
+    sampled = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(known.distinct()), "id")
+    first = F.row_number().over(Window.partitionBy("id", "label").orderBy(F.xxhash64("text"), "text"))
+    sampled = sampled.withColumn("first", first).where(F.col("first") == 1)
     found = (map_texts(sampled.select(F.xxhash64("id").alias("hash"), "label", "text"), extract,
                        "hash long, label int, at binary, value binary")
              .groupBy(F.lit(0).alias("all")).applyInArrow(fit, "weights binary").collect())
