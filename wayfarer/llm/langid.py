@@ -12,16 +12,18 @@ texts is scored by one product of its presence matrix with it.
 
 Null texts and texts without any letter are ``und`` with score 0. Rows with a
 null language are not learnt from; with none left to learn from every text is
-``und``. Repeated rows count as often as they occur.
+``und``. Every language is learnt, however many there are: they share a fixed
+number of sampled rows and of landmarks. Rows alike in id, text and language are
+learnt from once.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +31,16 @@ from wayfarer.llm.common import map_texts
 
 #: Places of the hashed n-grams, and the longest n-gram.
 DIM, LONGEST = 1 << 15, 3
-#: Rows of each language that the fit reads at most, about, how many of them are landmarks, and languages at most (by rows).
-SAMPLE, LANDMARKS, LANGUAGES = 1_024, 64, 256
+#: Rows of each language that the fit reads at most, about, and how many of them are landmarks; and what all languages share.
+SAMPLE, LANDMARKS = 1_024, 64
+ALL_ROWS, ALL_LANDMARKS = 32_768, 2_048
 #: Weight of the ridge.
 RIDGE = 0.1
 #: A text is in no learnt language if its best score is below ``LEAST`` and less than ``KNOWN`` of its n-grams stand in
 #: any landmark. A score of 0.5 is what a text without a known n-gram gets.
 LEAST, KNOWN = 0.55, 0.6
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 UNDETERMINED = "und"
 
 
@@ -75,14 +78,21 @@ def _normed(p: np.ndarray) -> np.ndarray:
 def ridge_matrix(bits: np.ndarray, language: np.ndarray, count: int, landmarks: int, ridge: float) -> np.ndarray:
     """The folded matrix (places, languages) from packed presence rows and their language numbers."""
     rows = lambda i: _normed(np.unpackbits(bits[i], axis=1, bitorder="little").astype(np.float32))
-    chosen = np.concatenate([np.flatnonzero(language == k)[:landmarks] for k in range(count)])
+    rank = np.empty(len(language), np.int64)  # a row's place among its language's rows
+    by = np.argsort(language, kind="stable")
+    rank[by] = np.arange(len(by)) - np.searchsorted(language[by], language[by])
+    chosen = np.lexsort((language, rank))
+    chosen = np.sort(chosen[rank[chosen] < landmarks][:max(ALL_LANDMARKS, 1)])
     marks = rows(chosen)
     value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = value > 1e-6 * value.max()
     half = vector[:, good] / np.sqrt(value[good])
-    z = np.concatenate([rows(slice(i, i + 256)) @ marks.T for i in range(0, len(bits), 256)]).astype(np.float64) @ half
-    y = np.where(language[:, None] == np.arange(count), 1.0, -1.0)
-    w = np.linalg.solve(z.T @ z + ridge * np.eye(z.shape[1]), z.T @ y)
+    zz, zy = ridge * np.eye(half.shape[1]), np.zeros((half.shape[1], count))
+    for i in range(0, len(bits), 256):
+        z = (rows(slice(i, i + 256)) @ marks.T).astype(np.float64) @ half
+        zz += z.T @ z
+        zy += z.T @ np.where(language[i:i + 256, None] == np.arange(count), 1.0, -1.0)
+    w = np.linalg.solve(zz, zy)
     return (marks.T.astype(np.float64) @ (half @ w)).astype(np.float32)
 
 
@@ -92,15 +102,15 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = (docs.select(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("hash"),
                         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
             .where("text is not null and lang is not null"))
-    sizes = {r["lang"]: r["n"] for r in (rows.groupBy("lang").agg(F.count("*").alias("n"))
-                                         .orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.zeros((DIM, 0), dtype=np.float32))
     number = F.create_map(*[x for k, v in enumerate(languages) for x in (F.lit(v), F.lit(k))])
-    share = F.array(*[F.lit(int((1 << 30) * min(1.0, sample / sizes[v]))) for v in languages])
-    few = (rows.withColumn("k", number[F.col("lang")]).where("k is not null")
-           .where(F.pmod("hash", F.lit(1 << 30)) < F.element_at(share, F.col("k") + 1)))
+    sample = max(1, min(sample, ALL_ROWS // len(languages)))
+    share = F.array(*[F.lit(max(1, int((1 << 30) * min(1.0, sample / sizes[v])))) for v in languages])
+    few = (rows.withColumn("k", number[F.col("lang")])
+           .where(F.pmod("hash", F.lit(1 << 30)) < F.element_at(share, F.col("k") + 1)).select("hash", "k", "text").distinct())
 
     def extract(batches):
         for b in batches:
@@ -117,7 +127,7 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         m = ridge_matrix(bits, np.asarray(table["k"]), len(languages), landmarks, ridge)
         return pa.table({"matrix": pa.array([m.tobytes()], pa.binary())})
 
-    found = (map_texts(few.select("hash", "k", "text"), extract, "hash long, k int, bits binary")
+    found = (map_texts(few, extract, "hash long, k int, bits binary")
              .groupBy(F.lit(0).alias("all")).applyInArrow(fit, "matrix binary").collect())
     if not found:
         return LanguageModel([], np.zeros((DIM, 0), dtype=np.float32))
