@@ -102,7 +102,7 @@ def mixed_rows(rows: DataFrame, weights: tuple = (1, 2, 3), passes: int = 3, bud
     # the sources are few rows against the documents; the engine broadcasts them below its own limit
     known = rows.join(plan, rows["source"].eqNullSafe(plan["source"])).select(
         "row_id", "doc_id", rows["source"], "size", "shuffle", "tie", "source_size", "place", "target")
-    queued = running_total(known, ["place", "shuffle", "doc_id", "tie", "size", "row_id"], "size", "op7-sources")
+    queued = running_total(known, ["place", "shuffle", "tie", "row_id"], "size", "op7-sources")
     first = (plan.withColumn("first", F.sum("source_size").over(Window.partitionBy().orderBy("place")) - F.col("source_size"))
              .select("place", "first"))
     inside = queued.join(first, "place").withColumn("end", F.col("before") - F.col("first") + F.col("size")).drop("before")
