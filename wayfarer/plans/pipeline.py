@@ -1,9 +1,8 @@
 """The batch pipeline: feeds -> raw tables -> clean -> cap -> enrich -> analytics.
 
 Every stage is a DataFrame function; stage tables that feed several
-consumers are written once to the output folder (Parquet, partitioned by
-source where readers filter on it) and re-read, so each analytic scans only
-the columns it needs.
+consumers are written once to the output folder (Parquet) and re-read, so each
+analytic scans only the columns it needs.
 """
 
 from __future__ import annotations
