@@ -8,6 +8,7 @@ Every bin is returned, empty ones with count 0.
 
 from __future__ import annotations
 
+import math
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -16,16 +17,16 @@ from pyspark.sql import functions as F
 from wayfarer.operators.ranking import exact_quantiles
 from wayfarer.session import small_table
 
-BinsRule = Callable[[Column], Column]
+BinsRule = Callable[[int], int]
 
 
 def bins_between(lo: int, hi: int, root: float = 0.5) -> BinsRule:
     """n -> min(hi, max(lo, int(n ** root)))."""
-    return lambda n: F.least(F.lit(hi), F.greatest(F.lit(lo), F.floor(F.pow(n.cast("double"), F.lit(root))))).cast("int")
+    return lambda n: min(hi, max(lo, math.floor(float(n) ** root)))
 
 
 def fixed_bins(k: int) -> BinsRule:
-    return lambda n: F.lit(int(k))
+    return lambda n: int(k)
 
 
 PRICE_BINS = bins_between(15, 50)           # static price histogram (linear case)
@@ -54,7 +55,7 @@ def histogram(df: DataFrame, column: str, rule: BinsRule, n_rule_rows: DataFrame
     if not st["n"]:
         return df.sparkSession.createDataFrame([], "bin int, bin_lo double, bin_hi double, count bigint")
     n_rule = st["n"] if n_rule_rows is None else n_rule_rows.count()
-    nb = F.lit(df.sparkSession.range(1).select(rule(F.lit(n_rule)).alias("b")).first()["b"])
+    nb = F.lit(rule(n_rule))
     lo_v, hi_v = (st["mn"] - 0.5, st["mx"] + 0.5) if st["mn"] == st["mx"] else (st["mn"], st["mx"])
     lo, hi = F.lit(float(lo_v)), F.lit(float(hi_v))
     step = (hi - lo) / nb
