@@ -107,6 +107,32 @@ def test_batch_edge_cases(spark):
     assert one.columns == full.columns and one.count() == 0
 
 
+def test_many_seeds_by_blocks(spark):
+    n = 6000
+    df = _listings(spark, n, 15).withColumn("price", F.round(F.col("price") + F.rand(3) * 100, 2))
+    df = df.withColumn("listing_key", listing_key())
+    feats = R.materialize(R.features(R.prepare_numeric(df)))
+    seeds = list(range(0, n, 120)) + [n + 5]
+    order = lambda d: sorted((r.seed_index, r.query_key, r.listing_key, round(r.similarity, 12)) for r in d.collect())
+    got, want = R.batch_recommend(feats, seeds, 4), R.batch_recommend(feats, seeds, 4, few_seeds=1000)
+    assert got.columns == want.columns and order(got) == order(want) and got.count() == 4 * 50
+    blocked = R._with_blocks(feats)
+    found = R.rows_at(feats, seeds[:-1])
+    asked = R.candidate_blocks(blocked, R._seed_array(found), 4)
+    assert asked.agg(F.sum("_rows")).first()[0] < n * 50 / 10
+
+
+def test_many_seeds_of_equal_and_few_rows(spark):
+    rows = [(f"n{i}", None if i % 4 == 0 else "t", None, 10.0 + (i >= 30), 1.0, 4.0, "s", None, f"k{i:03d}") for i in range(40)]
+    schema = ("name string, type string, location string, price double, duration double, rating double, source string, "
+              "review_text string, listing_key string")
+    for part in (rows, rows[:3]):
+        feats = R.features(R.prepare_numeric(spark.createDataFrame(part, schema)))
+        seeds = list(range(len(part)))
+        by = lambda d: sorted((r.seed_index, r.listing_key, round(r.similarity, 12)) for r in d.collect())
+        assert by(R.batch_recommend(feats, seeds, 5, few_seeds=0)) == by(R.batch_recommend(feats, seeds, 5))
+
+
 def test_type_filter_comes_before_the_fill(spark):
     ratings = [("x", None), ("x", 5.0), ("x", 5.0)] + [("y", 1.0)] * 4
     rows = [(f"n{i}", t, "l", 10.0 + i, 1.0, r, "s", None, f"k{i}") for i, (t, r) in enumerate(ratings)]

@@ -19,6 +19,7 @@ listing table, no pairs.
 
 from __future__ import annotations
 
+import json
 import math
 from typing import Sequence
 
@@ -31,11 +32,16 @@ from wayfarer.operators.analytics import cost_per_day, defaulted_duration
 from wayfarer.operators.filters import preference_filter
 from wayfarer.operators.ranking import HASH_BIN_BITS, exact_quantiles, row_at_hash_rank
 from wayfarer.schema import KEY_COLUMN
-from wayfarer.session import materialize
+from wayfarer.session import materialize, small_table
 
 NUMERIC = ["price", "duration", "rating", "cost_per_day"]
 Z = [f"z_{c}" for c in NUMERIC]
 TOP_LOCATIONS = 15
+UNIT, HOT = [f"_u_{c}" for c in NUMERIC], "_u_hot"
+FEW_SEEDS = 32            # seeds of a batch that are held against every row
+BLOCK_CELLS = 4           # cells of a unit vector's part between 0 and 1
+ASKED_ROWS = 500_000      # (block, seed) rows that are broadcast
+ROUNDING = 1e-9           # of a squared distance of unit vectors
 ORDER_SEED = 43   # row order of the capped table (a seeded shuffle) = hash order
 
 
@@ -164,30 +170,117 @@ def rows_at(feats: DataFrame, positions: Sequence[int]) -> list:
     return [(r["_at"], {c: r[c] for c in QUERY_COLUMNS}) for r in at.select("_at", *QUERY_COLUMNS).collect()]
 
 
-def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k: int = 5) -> DataFrame:
+def _with_blocks(feats: DataFrame) -> DataFrame:
+    """Adds the listing's unit vector (its z parts and the value of its hot entries) and the block it lies in: a cell
+    of the unit vector, the location bucket and the type."""
+    unit = feats.withColumns({u: F.col(z) / F.col("norm") for u, z in zip(UNIT, Z)} | {HOT: F.lit(1.0) / F.col("norm")})
+    cells = [F.floor(F.col(u) * F.lit(BLOCK_CELLS)) for u in UNIT]
+    return unit.withColumn("_block", F.xxhash64(*cells, "location_bucket", "type_key"))
+
+
+def _seed_array(found: list) -> Column:
+    """The seeds as one array literal of structs (seed_index, query columns, unit vector)."""
+    text = ("location_bucket", "type_key", KEY_COLUMN, "name")
+    fields = ["seed_index int", *[f"{c} {'string' if c in text else 'double'}" for c in QUERY_COLUMNS],
+              *[f"{u} double" for u in [*UNIT, HOT]]]
+    rows = []
+    for at, q in found:
+        known = q["norm"] is not None
+        unit = {u: q[z] / q["norm"] if known and q[z] is not None else None for u, z in zip(UNIT, Z)}
+        rows.append({"seed_index": at, **q, **unit, HOT: 1.0 / q["norm"] if known else None})
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{', '.join(f.replace(' ', ': ') for f in fields)}>>")
+
+
+def _similar(q: str = "_q") -> Column:
+    """Cosine of a listing and the seed in struct column ``q``."""
+    dot = sum((F.col(z) * F.col(f"{q}.{z}") for z in Z[1:]), F.col(Z[0]) * F.col(f"{q}.{Z[0]}"))
+    dot = (dot + F.when(F.col("location_bucket") == F.col(f"{q}.location_bucket"), 1.0).otherwise(0.0)
+           + F.when(F.col("type_key") == F.col(f"{q}.type_key"), 1.0).otherwise(0.0))
+    return dot / (F.col("norm") * F.col(f"{q}.norm"))
+
+
+def _block_distances(stats: DataFrame, queries: Column) -> DataFrame:
+    """(_q, _block, _rows, _near, _far) of every seed and block: bounds of the squared distance between the seed's unit
+    vector and those of the block, from the least and greatest value of each part. Cosine is 1 less half of it."""
+    def gaps(name: str):
+        lo, hi, x = F.col(f"_lo{name}"), F.col(f"_hi{name}"), F.col(f"_q.{name}")
+        near = F.greatest(lo - x, x - hi, F.lit(0.0))
+        far = F.greatest(x - lo, hi - x)
+        return near * near, far * far
+
+    x, lo, hi = F.col(f"_q.{HOT}"), F.col(f"_lo{HOT}"), F.col(f"_hi{HOT}")
+    hot_near, hot_far = gaps(HOT)
+    near, far = F.lit(0.0), F.lit(0.0)
+    for u in UNIT:
+        n, f = gaps(u)
+        near, far = near + n, far + f
+    for c in ("location_bucket", "type_key"):
+        same = F.col(c) == F.col(f"_q.{c}")
+        near = near + F.when(same, hot_near).otherwise(x * x + lo * lo)
+        far = far + F.when(same, hot_far).otherwise(x * x + hi * hi)
+    return (stats.withColumn("_q", F.explode(queries))
+            .select("_q", "_block", "_rows", near.alias("_near"), far.alias("_far")))
+
+
+def candidate_blocks(blocked: DataFrame, queries: Column, top_k: int) -> DataFrame:
+    """(_block, _q, _rows): the blocks that can hold one of a seed's ``top_k`` most similar listings.
+
+    Some block has more than ``top_k`` rows within its far bound, so its best ``top_k`` rows, scored exactly, give
+    each seed a similarity that its result cannot fall below; blocks whose near bound says less are left out. With no
+    block of that size, or an undefined distance, blocks are kept.
+    """
+    ends = [x for u in [*UNIT, HOT] for x in (F.min(u).alias(f"_lo{u}"), F.max(u).alias(f"_hi{u}"))]
+    stats = materialize(blocked.groupBy("_block", "location_bucket", "type_key")
+                        .agg(F.count(F.lit(1)).alias("_rows"), *ends), "blocks")
+    every = _block_distances(stats, queries)
+    seed = F.col("_q.seed_index")
+    closest = (every.where(F.col("_rows") > top_k).groupBy(seed.alias("_seed"))
+               .agg(F.min_by(F.struct("_q", "_block"), "_far").alias("_b")).select("_seed", "_b._q", "_b._block"))
+    scored = _seeds_to_rows(blocked, closest).select("_q.seed_index", _similar().alias("_s"))
+    first = Window.partitionBy("seed_index").orderBy(F.col("_s").desc())
+    least = (scored.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= top_k)
+             .groupBy("seed_index").agg(F.min("_s").alias("_least"), F.count("_s").alias("_n"))
+             .where(F.col("_n") == top_k))
+    limits = materialize(least.select(F.col("seed_index").alias("_seed"),
+                                      (F.lit(2.0) * (F.lit(1.0) - F.col("_least")) + F.lit(ROUNDING)).alias("_limit")),
+                         "limits")                     # a row for each seed
+    kept = every.withColumn("_seed", seed).join(F.broadcast(limits), "_seed", "left")
+    return (kept.where(F.coalesce(F.col("_near") <= F.col("_limit"), F.lit(True)))
+            .select("_block", "_q", "_rows"))
+
+
+def _seeds_to_rows(blocked: DataFrame, asked: DataFrame) -> DataFrame:
+    """Listings beside the seeds that ask their block, the seed itself left out: (listing columns, _q)."""
+    asked = asked.select("_block", "_q").dropDuplicates(["_block", "_q"])
+    few = small_table(asked, ASKED_ROWS)
+    pairs = blocked.join(few if few is not None else asked, "_block")
+    return pairs.where(F.col(KEY_COLUMN) != F.col(f"_q.{KEY_COLUMN}"))
+
+
+def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k: int = 5,
+                    few_seeds: int = FEW_SEEDS) -> DataFrame:
     """Top-k similar listings for each seed position (default: first, middle
     and last row of the table's row order); positions out of range give nothing.
 
-    All seeds are answered in one scan: their vectors are one array literal,
-    exploded against each row, and the best ``top_k`` of a seed are kept in
-    every task before the shuffle (the rank limit is pushed below it).
+    Up to ``few_seeds`` seeds are one array literal exploded against each row in
+    one scan. More are first held against blocks of listings with nearly equal
+    unit vectors, and only against the rows of blocks that can reach the seed's
+    result (``candidate_blocks``): exact, without rows x seeds similarities.
+    Either way the best ``top_k`` of a seed are kept in every task before the
+    shuffle (the rank limit is pushed below it).
     """
     n = feats.count()
     if seeds is None:
         seeds = sorted({0, n - 1} | ({n // 2} if n > 2 else set()))
     found = rows_at(feats, [int(s) for s in seeds if 0 <= s < n]) if n >= 2 else []
-    text = ("location_bucket", "type_key", KEY_COLUMN, "name")
-    one = lambda at, q: F.struct(
-        F.lit(at).cast("int").alias("seed_index"),
-        *[F.lit(q[c]).cast("string" if c in text else "double").alias(c) for c in QUERY_COLUMNS])
-    empty = dict.fromkeys(QUERY_COLUMNS)
-    queries = F.array(*[one(at, q) for at, q in found]) if found else F.slice(F.array(one(0, empty)), 1, 0)
-    pairs = feats.withColumn("_q", F.explode(queries))
-    pairs = pairs.where(F.col(KEY_COLUMN) != F.col(f"_q.{KEY_COLUMN}"))
-    dot = sum((F.col(z) * F.col(f"_q.{z}") for z in Z[1:]), F.col(Z[0]) * F.col(f"_q.{Z[0]}"))
-    dot = (dot + F.when(F.col("location_bucket") == F.col("_q.location_bucket"), 1.0).otherwise(0.0)
-           + F.when(F.col("type_key") == F.col("_q.type_key"), 1.0).otherwise(0.0))
-    pairs = pairs.withColumn("similarity", dot / (F.col("norm") * F.col("_q.norm")))
+    queries = _seed_array(found)
+    if len(found) > few_seeds:
+        blocked = _with_blocks(feats)
+        pairs = _seeds_to_rows(blocked, candidate_blocks(blocked, queries, top_k))
+    else:
+        pairs = feats.withColumn("_q", F.explode(queries))
+        pairs = pairs.where(F.col(KEY_COLUMN) != F.col(f"_q.{KEY_COLUMN}"))
+    pairs = pairs.withColumn("similarity", _similar())
     first = Window.partitionBy("_q.seed_index").orderBy(F.col("similarity").desc(), F.col(KEY_COLUMN).asc())
     top = pairs.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= top_k)
     return top.select(F.col("_q.name").alias("query_name"), *_result_columns(feats), "similarity",
