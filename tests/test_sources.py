@@ -154,3 +154,62 @@ def test_na_type_cells_take_the_default(spark):
     df = spark.createDataFrame([(t,) for t in ("NA", "None", "NULL", "nan", "N/A", None, " Villa ")], "t string")
     got = [r.type for r in map_to_listing_schema(df, {"type": "t"}, "s", "hotel").collect()]
     assert got == ["hotel"] * 6 + ["villa"]
+
+
+def test_stage_layout_skips_row_groups(spark, tmpdir_path):
+    import pyarrow.parquet as pq
+
+    from wayfarer.operators.filters import explorer_filter
+
+    n = 40_000
+    df = spark.range(n, numPartitions=8).select(
+        F.md5(F.col("id").cast("string")).alias("listing_key"), F.lit("x").alias("name"), F.lit("t").alias("type"),
+        F.when(F.col("id") % 11 > 0, F.concat(F.lit("L"), F.col("id") % 500)).alias("location"),
+        F.when(F.col("id") % 3 > 0, F.lit("big")).when(F.col("id") % 17 > 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("source"),
+        F.when(F.col("id") % 19 > 0, F.pmod(F.hash("id"), F.lit(3000)).cast("double")).alias("price"),
+        F.when(F.col("id") % 23 > 0, F.pmod(F.xxhash64("id"), F.lit(51)) / 10).alias("rating"))
+    path = os.path.join(tmpdir_path, "stage")
+    # small ranges, so that there is something to skip
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        CSV.write_stage(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    back = spark.read.parquet(path)
+    assert back.columns == df.columns and back.exceptAll(df).count() == 0 and back.count() == n
+    files = [os.path.join(path, f) for f in os.listdir(path) if f.endswith(".parquet")]
+    assert len(files) == 8
+
+    def kept(column, low, high):
+        hit = 0
+        for f in files:
+            meta = pq.ParquetFile(f).metadata
+            i = meta.schema.names.index(column)
+            stats = [meta.row_group(g).column(i).statistics for g in range(meta.num_row_groups)]
+            hit += any(s.has_min_max and s.min <= high and s.max >= low for s in stats)
+        return hit
+
+    assert kept("source", "s1", "s1") <= 4 and kept("price", 0.0, 20.0) <= 5
+    got = explorer_filter(back, (5.0, 900.0), (1.0, 4.0), ["L5", "nan"], ["big", "nan"], ["T"])
+    want = [r for r in df.collect() if r.price is not None and 5 <= r.price <= 900 and r.rating is not None and 1 <= r.rating <= 4
+            and r.location in ("L5", None) and r.source in ("big", None)]
+    assert got.count() == len(want) > 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [")[1].split("\n")[0]
+    assert "price" in pushed and "rating" in pushed and "location" in pushed and "source" in pushed
+
+
+def test_import_report(spark, tmpdir_path):
+    good, bad, empty = (os.path.join(tmpdir_path, f) for f in ("good.csv", "bad.csv", "empty.csv"))
+    _write(good, BOOKING)
+    _write(bad, BOOKING + "Short,Rome\nCaf\xe9,Rome,hotel,n/a,1,4,fine,more,still more\n,Rome,hotel,5,1,4,fine\n", "latin-1")
+    _write(empty, "")
+    specs = [SourceSpec(n, p, booking_spec(good).mapping, "hotel")
+             for n, p in (("good", good), ("bad", bad), ("empty", empty), ("gone", os.path.join(tmpdir_path, "none.csv")))]
+    got = {r.source: (r.state, r.n_rows, r.n_malformed, r.n_without_name, r.n_without_price)
+           for r in FD.import_report(spark, specs).collect()}
+    assert got == {"good": ("read", 2, 0, 0, 0), "bad": ("read", 5, 2, 1, 2), "empty": ("no header", 0, 0, 0, 0),
+                   "gone": ("missing", 0, 0, 0, 0)}
+    assert FD.import_report(spark, []).count() == 0
+    assert FD.import_sources(spark, [specs[0], specs[3]]).count() == 2

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Iterable, Mapping
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,8 +44,9 @@ def complete_columns(df: DataFrame, columns: Iterable[str] = LISTING_COLUMNS,
 
 
 def map_to_listing_schema(df: DataFrame, mapping: Mapping[str, str], source_name: str,
-                          default_type: str = DEFAULT_TYPE, source_col: Column | None = None) -> DataFrame:
-    """Project any feed onto the listing schema in a single ``select``.
+                          default_type: str = DEFAULT_TYPE, source_col: Column | None = None,
+                          keep: Sequence[str] = ()) -> DataFrame:
+    """Project any feed onto the listing schema in a single ``select`` (and the columns to ``keep`` behind it).
 
     Unmapped / absent targets are NULL; ``source`` is the label (or the
     per-row ``source_col`` expression, e.g. built from the file name); ``type`` is
@@ -85,7 +86,7 @@ def map_to_listing_schema(df: DataFrame, mapping: Mapping[str, str], source_name
         name.alias("name"), typ.alias("type"), location.alias("location"),
         price.cast("double").alias("price"), duration.cast("double").alias("duration"),
         rating.cast("double").alias("rating"), (source_col if source_col is not None else F.lit(source_name)).alias("source"),
-        review.alias("review_text"),
+        review.alias("review_text"), *keep,
     )
 
 

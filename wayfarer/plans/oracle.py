@@ -109,6 +109,23 @@ ORACLE["format_price"] = with_clean(f"SELECT listing_key, price, {_fmt('price',
 ORACLE["explorer_filter"] = with_clean(
     f"SELECT * EXCLUDE (cost_per_day), {rnd('cost_per_day')} AS cost_per_day FROM a WHERE {_explorer_where()}",
     ANALYTICS)
+ORACLE["explorer_stage"] = with_clean(f"""
+SELECT c.listing_key, c.name, c.location, c.source, c.price, c.rating FROM clean c JOIN a USING (listing_key)
+WHERE {_explorer_where().replace("price B", "a.price B").replace("rating B", "a.rating B").replace("location IN", "a.location IN")
+       .replace("source IN", "a.source IN").replace("lower(type)", "lower(a.type)")}""", ANALYTICS)
+ORACLE["stage_inputs"] = with_clean("""
+SELECT "case", stage, source, count(*) AS n, min(rating) AS least
+FROM clean JOIN (VALUES ('first', 'analytics', 0.0, 9.0), ('first', 'recommender', 0.0, 9.0),
+                        ('second', 'analytics', 4.0, 9.0), ('second', 'recommender', 0.0, 2.0)) v("case", stage, low, below)
+  ON rating >= low AND rating < below
+GROUP BY ALL""")
+ORACLE["import_report"] = """
+SELECT 'booking' AS source, 'read' AS state, count(*) AS n_rows,
+       count(*) FILTER (p_partkey % 89 = 0 OR p_partkey % 97 = 0) AS n_malformed,
+       count(*) FILTER (p_partkey % 13 = 0) AS n_without_name,
+       count(*) FILTER (p_partkey % 7 = 0) AS n_without_price FROM part
+UNION ALL SELECT 'gone', 'missing', 0, 0, 0, 0
+UNION ALL SELECT 'wrong', 'read', count(*), 0, count(*), count(*) FILTER (p_partkey % 5 = 0) FROM part"""
 ORACLE["filter_domain"] = with_clean(f"""
 SELECT 'price' AS dimension, CAST(NULL AS VARCHAR) AS value, coalesce(pmin, 0.0) AS lo,
        CASE WHEN pmin IS NULL THEN 1.0 WHEN pmin >= pmax THEN pmin + 1.0 ELSE pmax END AS hi FROM s

@@ -2,7 +2,8 @@
 
 Every stage is a DataFrame function; stage tables that feed several
 consumers are written once to the output folder (Parquet) and re-read, so each
-analytic scans only the columns it needs.
+analytic scans only the columns it needs. The clean and the enriched table are
+laid out by source, price and rating, so that an explorer's filters skip row groups.
 """
 
 from __future__ import annotations
@@ -55,6 +56,13 @@ def _save(df: DataFrame, cfg: PipelineConfig, name: str, fmt: str = "parquet") -
     return path
 
 
+def _save_stage(df: DataFrame, cfg: PipelineConfig, name: str) -> str:
+    path = os.path.join(cfg.out_dir, name)
+    CSV.write_stage(df, path)
+    cfg.outputs[name] = path
+    return path
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> dict:
     """Run every stage; returns {output name: path}. Tables written on the way
     are removed at the end."""
@@ -74,13 +82,13 @@ def _run_stages(spark: SparkSession, cfg: PipelineConfig) -> dict:
 
     clean = C.clean_listings(raw)
     capped = S.cap_policy(clean, cfg.cap, cfg.proportional)
-    _save(capped, cfg, "clean_data")
+    _save_stage(capped, cfg, "clean_data")
     base = spark.read.parquet(cfg.outputs["clean_data"])
 
     enriched = base
     if cfg.lexicon is not None:
         enriched = X.sentiment(base, cfg.lexicon, "listing_key")
-        _save(enriched, cfg, "enriched_listings")
+        _save_stage(enriched, cfg, "enriched_listings")
         enriched = spark.read.parquet(cfg.outputs["enriched_listings"])
 
     _save(I.popular_destinations(enriched), cfg, "popular_destinations", "csv")

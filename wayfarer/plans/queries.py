@@ -23,6 +23,7 @@ from wayfarer.operators import clean as C
 from wayfarer.operators import filters as FL
 from wayfarer.operators import insights as I
 from wayfarer.operators.mapping import complete_columns, map_to_listing_schema, union_frames
+from wayfarer.plans import pipeline as PL
 from wayfarer.schema import KEY_COLUMN, LISTING_COLUMNS, SourceSpec, ATTRACTION_MAPPING, BOOKING_MAPPING
 from wayfarer.session import scratch_table_path
 from wayfarer.sources import booking_demand as BD
@@ -143,6 +144,30 @@ def q_import_sources(spark, sf_dir):
     return FD.import_frames([(f["feed_a"], BOOKING), (f["feed_b"], ATTRACTION)])
 
 
+@register("import_report")
+def q_import_report(spark, sf_dir):
+    """What became of three feeds: one with short and long records and missing cells, one whose file is gone, and one
+    whose header lacks the mapped name."""
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    k = F.col("p_partkey")
+    cell = lambda gone, text: F.when(k % gone == 0, F.lit("")).otherwise(text)
+    full = F.concat_ws(",", cell(13, F.concat(F.lit("Stay "), k)), F.lit("Rome"), F.lit("hotel"), cell(7, k.cast("string")),
+                       F.lit("2"), F.lit("4.5"), F.lit("fine"))
+    line = F.when(k % 97 == 0, F.concat(full, F.lit(",more"))).when(k % 89 == 0, F.regexp_replace(full, ",fine$", "")).otherwise(full)
+    folder = scratch_table_path(spark, f"report-{uuid.uuid4().hex}")
+
+    def feed(name, value, header):
+        # one column that holds the whole record, so that its commas stay as they are
+        part.select(value.alias(header)).write.option("header", "true").option("sep", "\x01").option("quote", "\x02") \
+            .csv(f"{folder}/{name}")
+        return SourceSpec(name, f"{folder}/{name}", BOOKING_MAPPING, "hotel")
+
+    head = "hotel_name,city,property_type,price_per_night,nights,rating,review_snippet"
+    specs = [feed("booking", line, head), SourceSpec("gone", f"{folder}/gone", BOOKING_MAPPING, "hotel"),
+             feed("wrong", F.concat_ws(",", k.cast("string"), F.lit("Rome"), cell(5, F.lit("12"))), "label,city,price_per_night")]
+    return FD.import_report(spark, specs).drop("error")
+
+
 @register("header_alias_import")
 def q_header_alias_import(spark, sf_dir):
     return FD.header_alias_import(FX.feed_frames(spark, sf_dir)["feed_c"], "external:feed_c")
@@ -241,6 +266,37 @@ def q_explorer_filter_missing(spark, sf_dir):
                               sources=EXPLORER["sources"], include_missing_price=True, include_missing_rating=True)
 
 
+@register("explorer_stage")
+def q_explorer_stage(spark, sf_dir):
+    """The explorer's filters on the clean table as the pipeline lays it out."""
+    path = scratch_table_path(spark, f"explorer-{uuid.uuid4().hex}")
+    CSV.write_stage(clean_fixture(spark, sf_dir), path)
+    rows = FL.explorer_filter(spark.read.parquet(path), **EXPLORER)
+    return rows.select(KEY_COLUMN, "name", "location", "source", "price", "rating")
+
+
+@register("stage_inputs")
+def q_stage_inputs(spark, sf_dir):
+    """Rows by source of the table that the analytics, then the recommender, take: with only a clean table in the
+    folder, with an enriched one and clustered results beside it, and with none (no rows)."""
+    clean = clean_fixture(spark, sf_dir)
+    folder = scratch_table_path(spark, f"stages-{uuid.uuid4().hex}")
+    CSV.write_stage(clean, f"{folder}/first/clean_data")
+    CSV.write_stage(clean, f"{folder}/second/clean_data")
+    CSV.write_table(clean.where(F.col("rating") >= 4.0), f"{folder}/second/enriched_listings")
+    CSV.write_table(clean.where(F.col("rating") < 2.0), f"{folder}/second/results")
+    parts = []
+    for case in ("none", "first", "second"):
+        for stage, prefer in (("analytics", PL.ANALYTICS_INPUTS), ("recommender", PL.RECOMMENDER_INPUTS)):
+            try:
+                found = PL.resolve_stage_input(spark, f"{folder}/{case}", prefer)
+            except FileNotFoundError:
+                found = clean.limit(0)
+            parts.append(found.groupBy("source").agg(F.count("*").alias("n"), F.min("rating").alias("least"))
+                         .select(F.lit(case).alias("case"), F.lit(stage).alias("stage"), "source", "n", "least"))
+    return union_frames(parts)
+
+
 @register("filter_domain")
 def q_filter_domain(spark, sf_dir):
     return FL.filter_domain(AN.analytics_projection(clean_fixture(spark, sf_dir)))

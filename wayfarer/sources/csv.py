@@ -14,12 +14,13 @@ from typing import Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wayfarer.functions.numeric import to_double
 from wayfarer.operators.mapping import complete_columns, empty_listings, union_frames
-from wayfarer.schema import LISTING_COLUMNS, LISTING_SCHEMA, NUMERIC_COLUMNS
+from wayfarer.schema import KEY_COLUMN, LISTING_COLUMNS, LISTING_SCHEMA, NUMERIC_COLUMNS
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 FILE_COLUMN = "_source_file"
@@ -75,20 +76,25 @@ def invalid_utf8_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
 
 
 def scan_csv(spark: SparkSession, files: Sequence[str], encoding: str | None = None, with_file_name: bool = False,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool = True, corrupt_column: str | None = None) -> DataFrame:
     """All-text scan of files that share a header. Without ``multi_line`` (no field holds a line break) a large
-    file is split over many tasks; with it a file is one task."""
+    file is split over many tasks; with it a file is one task. ``corrupt_column`` adds a column with the whole record
+    where its fields are more or fewer than the header's (every field is parsed then)."""
     r = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower())
     if encoding:
         r = r.option("encoding", encoding)
     df = r.csv([_literal(f) for f in files])
+    if corrupt_column and df.columns:
+        schema = StructType([*df.schema.fields, StructField(corrupt_column, StringType())])
+        df = (r.option("columnNameOfCorruptRecord", corrupt_column).option("columnPruning", "false")
+              .schema(schema).csv([_literal(f) for f in files]))
     # the scan gives names percent-encoded; a plus stands for itself there
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     return df.withColumn(FILE_COLUMN, name) if with_file_name else df
 
 
 def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, detect_encoding: bool = True,
-                  with_file_name: bool = False, multi_line: bool = True) -> DataFrame:
+                  with_file_name: bool = False, multi_line: bool = True, corrupt_column: str | None = None) -> DataFrame:
     """All-text CSV scan with a header; Latin-1 for files that are not UTF-8.
     ``with_file_name`` adds the file name of every row as ``_source_file``."""
     files = expand(spark, paths)
@@ -96,7 +102,7 @@ def read_csv_text(spark: SparkSession, paths: Sequence[str] | str, detect_encodi
         raise FileNotFoundError(f"no file at {paths}")
     bad = invalid_utf8_files(spark, files) if detect_encoding else set()
     parts = [([f for f in files if f not in bad], None), ([f for f in files if f in bad], "ISO-8859-1")]
-    frames = [scan_csv(spark, fs, enc, with_file_name, multi_line) for fs, enc in parts if fs]
+    frames = [scan_csv(spark, fs, enc, with_file_name, multi_line, corrupt_column) for fs, enc in parts if fs]
     return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1], allowMissingColumns=True)
 
 
@@ -155,6 +161,32 @@ def write_listings(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
         w.parquet(path)
 
 
+def write_stage(df: DataFrame, path: str, mode: str = "overwrite", row_group_bytes: int = 32 << 20) -> None:
+    """Listing table laid out for the explorer's filters: files hold ranges of (source, price, rating), with a bloom
+    filter on location, so that a scan skips row groups by the statistics of those columns.
+
+    Price and rating are interleaved (``explore_key``), so either filter alone skips too. The ranges are cut by Spark's
+    sampled bounds: a source with a large share of all rows spreads over many files, small sources share one.
+    """
+    order = ["source", "_x", KEY_COLUMN] if KEY_COLUMN in df.columns else ["source", "_x"]
+    laid = df.withColumn("_x", explore_key()).repartitionByRange(*order).sortWithinPartitions(*order).drop("_x")
+    (laid.write.mode(mode).option("parquet.block.size", str(row_group_bytes))
+     .option("parquet.bloom.filter.enabled#location", "true").parquet(path))
+
+
+def explore_key(price: str = "price", rating: str = "rating", bits: int = 8) -> Column:
+    """Cells of price (by its logarithm, 16 a doubling) and rating (51 a point, 0 to 5) with their bits interleaved; a
+    missing value has cell 0. A rule of the row alone, so that later writes fit the same layout."""
+    top = (1 << bits) - 1
+    cell = lambda c: F.coalesce(F.least(F.greatest(F.floor(c), F.lit(0)), F.lit(top)), F.lit(0)).cast("long")
+    p, r = cell(F.log2(F.greatest(F.col(price), F.lit(0.0)) + 1.0) * 16), cell(F.col(rating) * (top // 5))
+    key = F.lit(0).cast("long")
+    for b in range(bits):
+        for part, place in ((p, 2 * b + 1), (r, 2 * b)):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(part, b).bitwiseAND(F.lit(1)), place))
+    return key
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Result sink for any table (CSV with header, JSON lines, or Parquet)."""
     w = df.write.mode(mode)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from typing import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,11 @@ from wayfarer.sources.csv import FILE_COLUMN, list_files, path_exists, read_by_h
 
 log = logging.getLogger(__name__)
 
+CORRUPT = "_malformed"
+REPORT_COUNTS = ["n_rows", "n_malformed", "n_without_name", "n_without_price"]
+#: No file at the path, or one whose header Spark cannot read; other errors (permissions, connections) are raised.
+UNREADABLE = (FileNotFoundError, AnalysisException)
+
 
 def import_frames(pairs: Iterable[tuple[DataFrame, SourceSpec]]) -> DataFrame:
     """Map already-loaded frames with their specs and union them."""
@@ -37,11 +43,42 @@ def import_sources(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFram
         try:
             raw = read_csv_text(spark, spec.path)
             frames.append(map_to_listing_schema(raw, spec.mapping, spec.name, spec.default_type))
-        except Exception as exc:  # noqa: BLE001 - one bad feed must not stop the others
+        except UNREADABLE as exc:    # one bad feed must not stop the others
             log.warning("import failed for %s: %s", spec.name, exc)
     return union_frames(frames, spark)
 
 
+def import_report(spark: SparkSession, specs: Sequence[SourceSpec]) -> DataFrame:
+    """One row per source: what an import of it reads and what it would lose.
+
+    Columns: source, state ('read', 'missing', 'no header'), error (text, else
+    NULL), n_rows, n_malformed (records with more or fewer fields than the
+    header, whose cells an import fills with NULL or leaves out),
+    n_without_name, n_without_price (rows that the clean stage will drop). Every
+    source is read once; only its counts are shuffled.
+    """
+    frames, lost = [], []
+    for spec in specs:
+        try:
+            raw = read_csv_text(spark, spec.path, corrupt_column=CORRUPT)
+        except UNREADABLE as exc:
+            lost.append((spec.name, "missing", str(exc).splitlines()[0]))
+            continue
+        if set(raw.columns) <= {CORRUPT}:
+            lost.append((spec.name, "no header", None))
+            continue
+        mapped = map_to_listing_schema(raw, spec.mapping, spec.name, spec.default_type, keep=[CORRUPT])
+        frames.append((spec.name, mapped.select("name", "price", CORRUPT)))
+    out = spark.createDataFrame(lost, "source string, state string, error string").select(
+        "*", *[F.lit(0).cast("long").alias(c) for c in REPORT_COUNTS])
+    for name, df in frames:
+        seen = F.col(CORRUPT).isNotNull(), F.coalesce(F.col("name"), F.lit("")) == "", F.col("price").isNull()
+        counted = df.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(n) for c, n in zip(seen, REPORT_COUNTS[1:])])
+        out = out.unionByName(counted.select(F.lit(name).alias("source"), F.lit("read").alias("state"),
+                                             F.lit(None).cast("string").alias("error"), *REPORT_COUNTS))
+    return out
+
+
 def alias_mapping(columns: Sequence[str], aliases: Mapping[str, Sequence[str]] = HEADER_ALIASES) -> dict:
     """Target -> first existing header among the aliases (case-insensitive)."""
     lower = {}
