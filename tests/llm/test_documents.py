@@ -283,7 +283,7 @@ def test_class_model(spark):
     rows = corpus()
     df = frame(spark, rows)
     learn = [r for r in rows if r[0] is None or r[0] % 5 != 1]
-    model, counts = fit_class_model(frame(spark, learn), core=40, wide=120, dictionary=200, classes=6)
+    model, counts = fit_class_model(frame(spark, learn), core=40, dictionary=200, classes=6)
     got = score_class_model(df.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").alias("id"), "text"),
                             model, counts).collect()
     c = Counter()
@@ -319,21 +319,54 @@ def test_class_model(spark):
 def test_neighbour_counts_of_many_tasks(spark, monkeypatch):
     from wayfarer.llm import class_lm
 
-    sent = []
-    monkeypatch.setattr(class_lm, "_summed", lambda df, out, f=class_lm._summed: (sent.append(df), f(df, out))[1])
-    monkeypatch.setattr(class_lm, "CELLS", 7)
+    monkeypatch.setattr(class_lm, "TOKENS", 50)
     texts = [t for _, t, _, _ in corpus()]
     known = [f"w{i}".encode() for i in range(30)]
-    one = np.arange(32)
-    got = class_lm._neighbour_counts(frame(spark, corpus()).repartition(40), known, one, 32, 32, one, False)
+    pairs = class_lm.count_neighbours(frame(spark, corpus()).repartition(40), known)
     want = np.zeros((32, 32), dtype=np.int64)
     number = {w.decode(): i for i, w in enumerate(known)}
     for t in texts:
         ids = [31, *(number.get(w, 30) for w in words(t)), 31]
         np.add.at(want, (ids[:-1], ids[1:]), 1)
+    got = np.zeros_like(want)
+    for r in pairs.collect():
+        got[r.a, r.b] += r.n
     assert np.array_equal(got, want)
-    # what a task hands on is single counts, added up without a group in memory
-    assert sent[0].dtypes == [("cell", "int"), ("n", "bigint")]
+    # classes of the words, and the class that fits each word of a range, against every class tried
+    label = np.array([i % 3 if i < 12 else 3 for i in range(31)] + [4], dtype=np.int32)
+    table = class_lm._class_table(pairs, label, 5)
+    one = np.eye(5)[label]
+    assert np.array_equal(table, one.T @ want @ one)
+    best = class_lm._best_classes(pairs, label, table, 3, 12, 30)
+    p = np.log((table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True))
+    q = np.log((table.T + 0.5) / (table.T + 0.5).sum(axis=1, keepdims=True))
+    for w in range(12, 30):
+        fit = [sum(want[w, x] * p[c, label[x]] + want[x, w] * q[c, label[x]] for x in range(32)) for c in range(3)]
+        assert fit[best[w - 12]] == pytest.approx(max(fit)) if want[w].any() else best[w - 12] == 3
+
+
+def test_words_beyond_the_core_find_their_classes(spark):
+    from wayfarer.llm.class_lm import fit_class_model
+
+    # three kinds of words that follow each other in turn; words of a kind differ in how often they occur
+    rng = np.random.default_rng(8)
+    kinds = [[f"{k}{i}" for i in range(40)] for k in "abc"]
+    share = 1 / np.arange(1, 41)
+    rows = [(i, " ".join(rng.choice(kinds[(i + j) % 3], p=share / share.sum()) for j in range(60)), "en", "s") for i in range(400)]
+    model, _ = fit_class_model(frame(spark, rows), core=12, classes=3)
+    by = {}
+    for w, c in zip(model.words, model.classes):
+        by.setdefault(w[:1], set()).add(int(c))
+    assert len(model.words) > 100 and all(len(x) == 1 for x in by.values()) and len(set.union(*by.values())) == 3
+
+
+def test_most_frequent_words(spark):
+    from wayfarer.llm.class_lm import most_frequent
+
+    table = [(f"w{i:02d}".encode(), 7) for i in range(50)] + [(b"top", 900), (b"", 5000), (b"once", 1)]
+    df = spark.createDataFrame(table, "word binary, n long")
+    assert most_frequent(df, 41)[0] == [b"top"] + [f"w{i:02d}".encode() for i in range(40)]
+    assert len(most_frequent(df, 100)[0]) == 51 and most_frequent(df.where("n = 7"), 3)[0] == [b"w00", b"w01", b"w02"]
 
 
 def test_class_model_of_nothing(spark):

@@ -1,14 +1,20 @@
 """Class-based bigram language model with exchange clustering.
 
-1. Word counts over all learning texts (counted inside each task first). 2. The
-most frequent words, ``CORE`` of them, are clustered by exchange: neighbour
-counts over all learning texts are added up on the cluster, and one task moves
-word after word to the class that raises the likelihood of the class bigrams
-most, until nothing moves. 3. The next words by frequency, up to ``WIDE``, each
-join the class whose neighbours fit their own best (one exchange step against
-the fixed core, on neighbour counts over all learning texts). All other words
-form one class, and the end of a text another. 4. Class transitions are counted
-over all learning texts.
+1. Word counts over all learning texts (counted inside each task first), and the
+counts of neighbours (word number, word number, n) over all of them, kept as a
+table. 2. The most frequent words, the core, are clustered by exchange: one task
+moves word after word to the class that raises the likelihood of the class
+bigrams most, until nothing moves. 3. Every other word of the dictionary is
+exchanged on the cluster, round after round: its neighbours are added up by
+class, sparse, and it moves to the class whose transitions give them the highest
+likelihood; all words of a round move against the same table, which is counted
+anew from the neighbours before the next, so that they see each other's classes.
+4. The class transitions are counted from the same table.
+
+Everything grows with the V distinct words: classes as the cube root of V, the
+core as ``CORE`` words a class, the dictionary as ``DICTIONARY`` times V to the
+power 0.6. Words beyond the dictionary and words that occur once form one class,
+which stands for words never seen as well; the end of a text is another.
 
 A token's probability is transition times emission. Transitions are smoothed
 towards the class frequencies; an emission is a word's share of its class, and
@@ -16,9 +22,9 @@ the class of all other words keeps half a count for each and for one that was
 never seen, so that the probabilities after any context add up to one.
 
 Words are those of WORD_PATTERN with A-Z lowered; every text ends with one end
-token, which counts as a token. Scoring holds only a bounded dictionary (the
-most frequent words, ``DICTIONARY`` at most) in each task; counts of all other
-words come from the full count table by a join, so no word is dropped.
+token, which counts as a token. Scoring holds only the dictionary in each task;
+counts of all other words come from the full count table by a join, so no word
+is dropped.
 
 A null text is empty: it is the end token alone. With nothing to learn from,
 counts are 0 and the formulas hold with them. Repeated rows count as often as
@@ -38,14 +44,14 @@ from pyspark.sql import functions as F
 
 from wayfarer.llm.common import map_texts, stored, text_bytes, words_of
 
-#: Words that exchange clustering moves; words with a class of their own neighbours; words held in each task.
-CORE, WIDE, DICTIONARY = 1_024, 16_384, 131_072
-#: Classes of words, sweeps of the exchange at most, and the weight of the class frequencies in a transition.
-CLASSES, SWEEPS, PRIOR = 64, 12, 50.0
-#: Distinct words that a task counts before it hands them on.
-COUNTER_WORDS = 1_000_000
-#: Neighbour counts that a task hands on at a time.
-CELLS = 1 << 16
+#: Words of the core for each class; classes at least; words held in each task over the distinct words to the power GROWTH.
+CORE, CLASSES, DICTIONARY, GROWTH = 8, 16, 16, 0.6
+#: Sweeps of the core's exchange at most, rounds of the exchange on the cluster at most, words of one of its groups.
+SWEEPS, ROUNDS, GROUP_WORDS = 12, 3, 1_024
+#: Weight of the class frequencies in a transition.
+PRIOR = 50.0
+#: Distinct words that a task counts before it hands them on; tokens whose neighbours it counts at a time.
+COUNTER_WORDS, TOKENS = 1_000_000, 2_000_000
 
 END = b""
 
@@ -59,7 +65,7 @@ class _Index(dict):
 
 @dataclass
 class ClassModel:
-    """``words`` by falling count; ``classes`` of the first of them (the others are in ``rest``)."""
+    """``words`` of the dictionary by falling count and their ``classes``; all other words are in ``rest``."""
 
     words: list[bytes]
     counts: np.ndarray
@@ -101,19 +107,24 @@ def count_words(rows: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
-    """Words by falling count (ties by word), at most ``most``: those above the count that lets so many through."""
-    words = counts.where(F.length("word") > 0)
+    """Words that occur more than once, by falling count (ties by word), at most ``most``.
+
+    Levels of counts are taken whole while they fit; of the next one the first by count and word fill up.
+    """
+    words = counts.where((F.length("word") > 0) & (F.col("n") > 1))
     level = F.floor(F.log2(F.col("n")) * 32)
     sizes = sorted(((r["level"], r["c"]) for r in words.groupBy(level.alias("level")).agg(F.count("*").alias("c")).collect()),
                    reverse=True)
-    total, low = 0, None
+    total, low, cut = 0, math.inf, None
     for k, c in sizes:
         if total + c > most:
+            cut = k
             break
         total, low = total + c, k
-    if low is None:
-        return [], np.zeros(0, dtype=np.int64)
-    table = words.where(level >= low).select("word", "n").toArrow()
+    taken = words.where(level >= low) if total else words.limit(0)
+    if cut is not None:
+        taken = taken.unionByName(words.where(level == cut).orderBy(F.col("n").desc(), "word").limit(most - total))
+    table = taken.select("word", "n").toArrow()
     w, n = table["word"].to_pylist(), np.asarray(table["n"], dtype=np.int64)
     by = sorted(range(len(w)), key=lambda i: (-n[i], w[i]))
     return [bytes(w[i]) for i in by], n[by]
@@ -173,116 +184,134 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) ->
     return label[:v].astype(np.int32)
 
 
-def _summed(df: DataFrame, out: np.ndarray) -> np.ndarray:
-    """``out`` filled with the sums of (cell int, n long) by its flat cells.
-
-    Counts of one cell are added pair by pair before and after the shuffle, so
-    no task holds more of them, however many tasks have counted.
-    """
-    table = df.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out.ravel()[np.asarray(table["cell"])] = np.asarray(table["n"])
-    return out
-
-
-def _neighbour_counts(rows: DataFrame, words: list[bytes], group: np.ndarray, row_count: int, col_count: int,
-                      row_of: np.ndarray, both_sides: bool) -> np.ndarray:
-    """Counts (row_count, col_count [x 2]) of tokens by ``row_of`` and the ``group`` of the token after (and before) them.
+def count_neighbours(rows: DataFrame, words: list[bytes]) -> DataFrame:
+    """(a int, b int, n long): how often token b follows token a in rows (text).
 
-    ``group`` and ``row_of`` number the words in the order given, then any other
-    word, then the end of a text; row -1 is left out. Texts begin after an end.
+    Tokens are numbered as in ``words``, then any other word, then the end of a
+    text; texts begin after an end. A task hands on the pairs of some tokens at
+    a time; they are added up before and after the shuffle.
     """
-    width = col_count * (2 if both_sides else 1)
-    shared = rows.sparkSession.sparkContext.broadcast((words, group, row_of))
+    shared = rows.sparkSession.sparkContext.broadcast(words)
 
     def count(batches):
-        words_, group_, row_ = shared.value
-        index = _Index((w, i) for i, w in enumerate(words_))
-        end = len(words_) + 1
-        total = np.zeros((row_count, width), dtype=np.int64)
+        index = _Index((w, i) for i, w in enumerate(shared.value))
+        end = len(index) + 1
 
-        def add(ids):
-            t = np.concatenate(ids)
+        def pairs(parts):
+            t = np.concatenate(parts).astype(np.int64)
             t[t < 0] = end - 1
-            for a, b, shift in ((t[:-1], t[1:], 0), (t[1:], t[:-1], col_count))[:2 if both_sides else 1]:
-                r = row_[a]
-                ok = r >= 0
-                # several texts are joined here: each starts with an end token and ends with one
-                flat = r[ok].astype(np.int64) * width + group_[b[ok]] + shift
-                total.ravel()[:] += np.bincount(flat, minlength=row_count * width)
+            # several texts are joined here: each starts after an end token and ends with one
+            code, n = np.unique(t[:-1] * (end + 1) + t[1:], return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(code // (end + 1), pa.int32()), pa.array(code % (end + 1), pa.int32()),
+                                               pa.array(n, pa.int64())], names=["a", "b", "n"])
 
         kept, length = [np.array([end], dtype=np.int32)], 0
-        for b in batches:
-            for t in text_bytes(b.column("text")):
+        for batch in batches:
+            for t in text_bytes(batch.column("text")):
                 w = words_of(t)
                 ids = np.empty(len(w) + 1, dtype=np.int32)
                 ids[:-1] = np.fromiter(map(index.__getitem__, w), dtype=np.int32, count=len(w))
                 ids[-1] = end
                 kept.append(ids)
                 length += len(ids)
-                if length > 2_000_000:
-                    add(kept)
+                if length > TOKENS:
+                    yield pairs(kept)
                     kept, length = [np.array([end], dtype=np.int32)], 0
         if length:
-            add(kept)
-        flat = total.ravel()
-        cells = np.flatnonzero(flat)
-        for k in range(0, len(cells), CELLS):
-            part = cells[k:k + CELLS]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(flat[part], pa.int64())], names=["cell", "n"])
+            yield pairs(kept)
+
+    counted = map_texts(rows.select("text"), count, "a int, b int, n long")
+    return counted.groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _by_class(pairs: DataFrame, label_of: np.ndarray) -> DataFrame:
+    """``pairs`` with the classes (la, lb) of their tokens; the labels hold a row for each word of the dictionary."""
+    out = pairs
+    for c in ("a", "b"):
+        labels = pa.table({c: pa.array(np.arange(len(label_of)), pa.int32()), f"l{c}": pa.array(label_of, pa.int32())})
+        out = out.join(F.broadcast(pairs.sparkSession.createDataFrame(labels)), c)
+    return out
+
+
+def _class_table(pairs: DataFrame, label_of: np.ndarray, size: int) -> np.ndarray:
+    """Counts (size, size) of neighbours by their classes."""
+    table = _by_class(pairs, label_of).groupBy("la", "lb").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros((size, size), dtype=np.float64)
+    out[np.asarray(table["la"]), np.asarray(table["lb"])] = np.asarray(table["n"])
+    return out
+
+
+def _best_classes(pairs: DataFrame, label_of: np.ndarray, table: np.ndarray, classes: int, first: int, last: int) -> np.ndarray:
+    """The class that each word from ``first`` up to ``last`` fits best, by its neighbours' classes.
 
-    return _summed(map_texts(rows.select("text"), count, "cell int, n long"), np.zeros((row_count, width), dtype=np.int64))
+    Neighbours are added up by (word, side and class) with partial sums, so a
+    group of words never holds more than a row for each of those.
+    """
+    size = classes + 2
+    log_next = np.log((table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True))[:classes].T
+    log_before = np.log((table.T + 0.5) / (table.T + 0.5).sum(axis=1, keepdims=True))[:classes].T
+    shared = pairs.sparkSession.sparkContext.broadcast(np.concatenate([log_next, log_before]))
+
+    def fit(group: pa.Table) -> pa.Table:
+        word, at = np.unique(np.asarray(group["word"]), return_inverse=True)
+        near = np.zeros((len(word), 2 * size))
+        near[at, np.asarray(group["cell"])] = np.asarray(group["n"])
+        return pa.table({"word": pa.array(word, pa.int32()), "label": pa.array((near @ shared.value).argmax(axis=1), pa.int32())})
+
+    sides = F.array(F.struct(F.col("a").alias("word"), F.col("lb").alias("cell")),
+                    F.struct(F.col("b").alias("word"), (F.col("la") + size).alias("cell")))
+    near = (_by_class(pairs, label_of).select(F.explode(sides).alias("s"), "n").select("s.word", "s.cell", "n")
+            .where((F.col("word") >= first) & (F.col("word") < last))
+            .groupBy("word", "cell").agg(F.sum("n").alias("n")))
+    groups = F.pmod("word", F.lit(-(-(last - first) // GROUP_WORDS)))
+    found = near.groupBy(groups.alias("g")).applyInArrow(fit, "word int, label int").toArrow()
+    out = label_of[first:last].copy()
+    out[np.asarray(found["word"]) - first] = np.asarray(found["label"])
+    return out
 
 
-def fit_class_model(rows: DataFrame, core: int = CORE, wide: int = WIDE, dictionary: int = DICTIONARY,
-                    classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[ClassModel, DataFrame]:
-    """The model and the full table of word counts, from rows (text)."""
+def fit_class_model(rows: DataFrame, core: int | None = None, dictionary: int | None = None, classes: int | None = None,
+                    sweeps: int = SWEEPS, rounds: int = ROUNDS) -> tuple[ClassModel, DataFrame]:
+    """The model and the full table of word counts, from rows (text). Sizes not given grow with the distinct words."""
     rows = rows.select(F.col("text").cast("string").alias("text"))
     counts = stored(count_words(rows), "op3-counts")
     r = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("distinct"),
                    F.sum(F.when(F.length("word") == 0, F.col("n"))).alias("ends")).first()
     tokens, distinct, ends = int(r["tokens"] or 0), int(r["distinct"]), int(r["ends"] or 0)
-    words, n = most_frequent(counts, dictionary)
-    core, wide = min(core, len(words)), min(wide, len(words))
-    # neighbours among the core words
-    one = np.arange(core + 2)
-    pairs = _neighbour_counts(rows, words[:core], one, core + 2, core + 2, one, False)
-    spark = rows.sparkSession
-
-    def cluster(table: pa.Table) -> pa.Table:
-        rows_ = np.zeros((core + 2, core + 2), dtype=np.int64)
-        for i, v in zip(table["row"].to_pylist(), table["values"].to_pylist()):
-            rows_[i] = np.frombuffer(v, dtype="<i8")
-        label = exchange_classes(rows_, classes, sweeps)
-        return pa.table({"labels": pa.array([label.tobytes()], pa.binary())})
-
-    # the table of the core's neighbours has (CORE + 2) squared numbers; one task clusters it
-    sent = spark.createDataFrame([(i, v.tobytes()) for i, v in enumerate(pairs)], "row int, values binary")
-    label = np.frombuffer(sent.groupBy(F.lit(0).alias("all")).applyInArrow(cluster, "labels binary").first()["labels"], dtype=np.int32)
-    rest, end = classes, classes + 1
-    label_of = np.concatenate([label, [rest, end]]).astype(np.int64)
-    if wide > core:
-        group = np.concatenate([label, np.full(wide - core, rest), [rest, end]]).astype(np.int64)
-        row_of = np.concatenate([np.full(core, -1), np.arange(wide - core), [-1, -1]])
-        near = _neighbour_counts(rows, words[:wide], group, wide - core, classes + 2, row_of, True).astype(np.float64)
-        table = np.zeros((classes + 2, classes + 2))
-        np.add.at(table, (label_of[:, None], label_of[None, :]), pairs)
-        p_next = np.log((table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True))
-        p_before = np.log((table.T + 0.5) / (table.T + 0.5).sum(axis=1, keepdims=True))
-        # how well what follows and precedes a word fits each class; the class of the rest is not told apart by it
-        fit = near[:, :classes + 2] @ p_next[:classes].T + near[:, classes + 2:] @ p_before[:classes].T
-        label = np.concatenate([label, fit.argmax(axis=1).astype(np.int32)])
-    label = label[:wide]
-    group = np.concatenate([label, [rest, end]]).astype(np.int64)
-    table = _neighbour_counts(rows, words[:wide], group, classes + 2, classes + 2, group, False).astype(np.float64)
-    size = table.sum(axis=0)
-    share = (size + 0.5) / (size + 0.5).sum()
+    classes = classes or max(CLASSES, round(distinct ** (1 / 3)))
+    words, n = most_frequent(counts, dictionary or math.ceil(DICTIONARY * distinct ** GROWTH))
+    core = min(core or CORE * classes, len(words))
+    rest, end, size = classes, classes + 1, classes + 2
+    pairs = stored(count_neighbours(rows, words), "op3-neighbours")
+
+    # neighbours among the core words: a table of the core squared, which one task clusters
+    def inside(c: str):
+        return F.when(F.col(c) < core, F.col(c)).when(F.col(c) <= len(words), F.lit(core)).otherwise(F.lit(core + 1)).alias(c)
+
+    def cluster(cells: pa.Table) -> pa.Table:
+        table = np.zeros((core + 2, core + 2), dtype=np.int64)
+        table[np.asarray(cells["a"]), np.asarray(cells["b"])] = np.asarray(cells["n"])
+        return pa.table({"labels": pa.array([exchange_classes(table, classes, sweeps).tobytes()], pa.binary())})
+
+    among = pairs.select(inside("a"), inside("b"), "n").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    clustered = among.groupBy(F.lit(0).alias("all")).applyInArrow(cluster, "labels binary").first()
+    label = np.frombuffer(clustered["labels"], dtype=np.int32) if clustered else np.zeros(0, dtype=np.int32)
+    label_of = np.concatenate([label, np.full(len(words) - core + 1, rest), [end]]).astype(np.int32)
+    table = _class_table(pairs, label_of, size)
+    for _ in range(rounds if len(words) > core else 0):
+        best = _best_classes(pairs, label_of, table, classes, core, len(words))
+        moved = int((best != label_of[core:len(words)]).sum())
+        label_of[core:len(words)] = best
+        table = _class_table(pairs, label_of, size)
+        if not moved:
+            break
+    share = (table.sum(axis=0) + 0.5) / (table.sum(axis=0) + 0.5).sum()
     transitions = np.log10((table + PRIOR * share[None, :]) / (table.sum(axis=1, keepdims=True) + PRIOR))
-    mass = np.bincount(label, weights=n[:wide], minlength=classes + 2)
-    rest_total = float(tokens - ends - n[:wide].sum() + 0.5 * (distinct - (1 if ends else 0) - wide + 1))
-    emissions = np.concatenate([np.log10(n[:wide] / np.maximum(mass[label], 1)),
-                                np.log10((n[wide:] + 0.5) / rest_total)]) if len(words) else np.zeros(0)
-    every = np.concatenate([label, np.full(len(words) - wide, rest)]).astype(np.int32)
-    return ClassModel(words, n, every, transitions, emissions, tokens, distinct, rest_total), counts
+    label = label_of[:len(words)]
+    mass = np.bincount(label, weights=n, minlength=size)
+    rest_total = float(tokens - ends - n.sum() + 0.5 * (distinct - (1 if ends else 0) - len(words) + 1))
+    emissions = np.log10(n / np.maximum(mass[label], 1)) if len(words) else np.zeros(0)
+    return ClassModel(words, n, label, transitions, emissions, tokens, distinct, rest_total), counts
 
 
 def score_class_model(rows: DataFrame, model: ClassModel, counts: DataFrame) -> DataFrame:
