@@ -147,7 +147,7 @@ def exchange_classes(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) ->
     table = onehot.T @ counts @ onehot
 
     def h(x):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0.0)
+        return x * np.log(np.maximum(x, 1.0))   # counts are whole numbers
 
     for _ in range(sweeps):
         moved = 0
