@@ -213,3 +213,36 @@ def test_import_report(spark, tmpdir_path):
                    "gone": ("missing", 0, 0, 0, 0)}
     assert FD.import_report(spark, []).count() == 0
     assert FD.import_sources(spark, [specs[0], specs[3]]).count() == 2
+
+
+def test_a_header_is_looked_at_once_however_many_files_have_it(spark, tmp_path):
+    from wayfarer.sources.csv import catalogue, expand, read_by_header
+
+    for i in range(500):
+        head = ("name,price", "price,name,city", '"na\nme",price')[0 if i < 400 else 1 if i < 499 else 2]
+        (tmp_path / f"f{i:03}.csv").write_bytes(f"{head}\nx{i},{i},c\n".encode() if 400 <= i < 499 else f"{head}\nx{i},{i}\n".encode())
+    (tmp_path / "latin +%20.csv").write_bytes("name,price\ncafé,1\n".encode("latin-1"))
+    (tmp_path / "empty.csv").write_bytes(b"")
+    (tmp_path / "blank.csv").write_bytes(b"\nname,price\ny,2\n")
+    (tmp_path / "head.csv").write_bytes(b"name,price\n")
+    files = expand(spark, str(tmp_path))
+    sc = spark.sparkContext
+    sc.setJobGroup("catalogue", "headers")
+    try:
+        listed = catalogue(spark, files)
+        assert len(sc.statusTracker().getJobIdsForGroup("catalogue")) <= 3     # listing of paths, map stage, result
+        found = read_by_header(spark, files, with_file_name=True)
+        jobs = len(sc.statusTracker().getJobIdsForGroup("catalogue"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert {f for f, _, _ in listed} == {f for f in files if not f.endswith("empty.csv")}
+    assert [f for f, bad, _ in listed if bad] == [f for f in files if "latin" in f]
+    assert jobs < 40                                                           # not one a file
+    by = {}
+    for header, df in found:
+        by.setdefault(tuple(header), set()).update(r[0] for r in df.select("_source_file").distinct().collect())
+    assert by[("name", "price")] == {f"f{i:03}.csv" for i in range(400)} | {"latin +%20.csv", "blank.csv"}
+    assert by[("price", "name", "city")] == {f"f{i:03}.csv" for i in range(400, 499)}
+    assert by[("na\nme", "price")] == {"f499.csv"}
+    latin = next(df for h, df in found if h == ["name", "price"] and df.where("_source_file like 'latin%'").count())
+    assert latin.select("name").first()[0] == "café"

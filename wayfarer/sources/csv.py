@@ -4,12 +4,15 @@ Feeds are read with every column as text (no ``inferSchema`` second pass);
 typing happens in the mapping projection. Folders and patterns are first
 expanded to the files in them; the files that are not valid UTF-8 are found in
 one job over all of them (line by line on the executors, only names reach the
-driver) and read as Latin-1, the others as UTF-8, so no row is read twice.
+driver) and read as Latin-1, the others as UTF-8, so no row is read twice. The
+same job says which files begin with the same line, so that a header is looked
+at once, however many files have it.
 """
 
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 from typing import Mapping, Sequence
 from urllib.parse import unquote
 
@@ -66,6 +69,32 @@ def _literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
+def catalogue(spark: SparkSession, paths: Sequence[str]) -> list[tuple[str, bool, int]]:
+    """(path, whether it is not valid UTF-8, a hash of its first line) of the given files that hold a line, in one job.
+
+    Equal hashes mean equal first lines, byte by byte. A first line that may
+    not be a whole header (blank, or a quoted field goes on after it) gets a
+    hash of its own file. The counts of a file are of fixed width: the first
+    line is the least (place in the file's first block, hash of the line).
+    """
+    if not paths:
+        return []
+    value, name = F.col("value"), F.col("f")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    whole = (F.length(F.trim(value)) > 0) & (quotes % 2 == 0)
+    line = F.when(whole, F.xxhash64(value.cast("binary"))).otherwise(F.xxhash64(name, F.lit("own")))
+    place = F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).cast("decimal(10,0)")          # row number in its partition
+    unsigned = line.cast("decimal(19,0)") + F.lit(Decimal(1 << 63))
+    first = F.when(F.col("start") == 0, (place * F.lit(Decimal(1 << 64)) + unsigned).cast("decimal(38,0)"))
+    lines = (spark.read.text([_literal(p) for p in paths])
+             .select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("at")))
+    found = (lines.select("f", first.alias("first"), (~F.is_valid_utf8(value)).alias("bad"))
+             .groupBy("f").agg(F.max("bad").alias("bad"), F.min("first").alias("first")).collect())
+    spelt = {_same(p): p for p in paths}
+    return sorted((spelt[_same(unquote(r.f))], bool(r.bad), int(r.first) % (1 << 64)) for r in found)
+
+
 def invalid_utf8_files(spark: SparkSession, paths: Sequence[str]) -> set[str]:
     """Those of the given files that hold a line that is not valid UTF-8, found in one job."""
     if not paths:
@@ -110,22 +139,23 @@ def read_by_header(spark: SparkSession, files: Sequence[str], with_file_name: bo
                    multi_line: bool = True, on_error=None) -> list[tuple[list[str], DataFrame]]:
     """(header, frame) for each header and encoding among the files.
 
-    Encodings are found in one job; a header costs one look at the head of its
-    file. A file without a readable header is left out and told to
-    ``on_error(file, error)``.
+    Encodings and equal first lines are found in one job (``catalogue``); each
+    first line costs one look at the head of one of its files. Files without a
+    readable header are left out and told to ``on_error(file, error)``.
     """
-    bad = invalid_utf8_files(spark, files)
+    alike: dict[tuple, list[str]] = {}
+    for f, bad, line in catalogue(spark, files):
+        alike.setdefault((line, "ISO-8859-1" if bad else None), []).append(f)
     groups: dict[tuple, list[str]] = {}
-    for f in files:
-        enc = "ISO-8859-1" if f in bad else None
+    for (_, enc), same in alike.items():
         try:
-            header = tuple(scan_csv(spark, [f], enc, multi_line=multi_line).columns)
+            header = tuple(scan_csv(spark, same[:1], enc, multi_line=multi_line).columns)
         except AnalysisException as e:
-            if on_error:
+            for f in same if on_error else ():
                 on_error(f, e)
             continue
         if header:
-            groups.setdefault((header, enc), []).append(f)
+            groups.setdefault((header, enc), []).extend(same)
     return [(list(h), scan_csv(spark, fs, enc, with_file_name, multi_line)) for (h, enc), fs in groups.items()]
 
 
