@@ -103,3 +103,59 @@ def test_files_round_trip(spark, tmpdir_path):
     for r in parse_warc(raw):
         assert r["version"] == "WARC/1.0" and r["warc-block-digest"] == sha(r["block"])
         assert "\r" not in r.get("warc-target-uri", "")
+
+
+def test_response_files_to_derivatives(spark, tmpdir_path):
+    from wayfarer.llm.warc import response_records, responses_of_warc
+
+    # line ends in a URI are encoded in a file, so that page stays out of the comparison
+    responses = responses_of_pages(frame(spark, [p for p in PAGES if p[0] != 4]))
+    want = derivatives(responses).drop("id").collect()
+    for compression, ending in ((None, "txt"), ("gzip", "txt.gz")):
+        write_warc(response_records(responses), f"{tmpdir_path}/r{ending}", compression)
+        read = responses_of_warc(spark, f"{tmpdir_path}/r{ending}/*.{ending}")
+        same = ["record_id", "target_uri", "date", "status", "headers", "payload", "payload_digest", "block_digest"]
+        rows = lambda df: sorted(map(repr, df.select(same).collect()))
+        assert rows(read) == rows(responses)
+        assert sorted(map(repr, derivatives(read).drop("id").collect())) == sorted(map(repr, want))
+
+
+def test_foreign_and_malformed_files(spark, tmpdir_path):
+    import gzip
+    import os
+    import zlib
+
+    from wayfarer.llm.warc import digest, responses_of_warc
+
+    def record(block, kind=b"response", length=None, extra=b""):
+        size = str(len(block) if length is None else length).encode()
+        return (b"WARC/1.0\r\nWARC-Type: " + kind + b"\r\nWARC-Date: 2020-01-02T03:04:05Z\r\n" + extra + b"Content-Length: " + size
+                + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    latin = b"HTTP/1.1 404 Not Found\r\nContent-Type: text/html; charset=iso-8859-1\r\nX-A: one\r\n  two\r\n\r\n<p>caf\xe9</p>"
+    chunked = b"HTTP/1.0 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\n<p>\r\n4;x=y\r\nabcd\r\n0\r\n\r\n"
+    packed = b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\n" + gzip.compress("<p>日本</p>".encode())
+    bare = b"HTTP/1.1 200 OK\r\nContent-Encoding: deflate\r\n\r\n" + zlib.compress(b"<p>z</p>")[2:-4]
+    parts = [record(b"info", b"warcinfo"), record(latin), record(chunked, length=5), record(chunked, extra=b"WARC-Payload-Digest: sha1:X\r\n"),
+             b"WARC/1.0\r\nWARC-Type: response\r\n\r\nno length\r\n\r\n", record(packed), record(bare), record(b"\xff\xfe", b"resource")]
+    os.makedirs(f"{tmpdir_path}/in")
+    names = {"plain.warc": b"".join(parts), "members.warc.gz": b"".join(map(gzip.compress, parts)),
+             "cut.warc.gz": b"".join(map(gzip.compress, parts))[:-9], "empty.warc": b""}
+    for name, raw in names.items():
+        open(f"{tmpdir_path}/in/{name}", "wb").write(raw)
+    for name, bad in (("plain.warc", 2), ("members.warc.gz", 2), ("cut.warc.gz", 3), ("empty.warc", 0)):
+        rows = read_warc(spark, f"{tmpdir_path}/in/{name}").collect()
+        good = [r for r in rows if not r.malformed]
+        assert len(rows) - len(good) >= bad and (bad == 3 or len(rows) - len(good) == bad)
+        responses = responses_of_warc(spark, f"{tmpdir_path}/in/{name}").collect()
+        if name == "empty.warc":
+            assert not rows and not responses
+            continue
+        assert [r.warc_type for r in good][:5] == ["warcinfo", "response", "response", "response", "response"]
+        assert [(r.status, r.payload) for r in responses] == [
+            ("404 Not Found", "<p>café</p>"), ("200 OK", "<p>abcd"), ("200 OK", "<p>日本</p>"), ("200 OK", "<p>z</p>")]
+        assert responses[0].headers[1]["value"] == "one two" and responses[0].block_digest == digest(latin)
+        assert responses[1].payload_digest == "sha1:X" and responses[0].payload_digest == digest(b"<p>caf\xe9</p>")
+        assert all(r.date == "2020-01-02T03:04:05Z" for r in responses) and len({r.record_id for r in responses}) == 4
+        text = [r.block for r in derivatives(responses_of_warc(spark, f"{tmpdir_path}/in/{name}")).where("warc_type = 'conversion'").collect()]
+        assert text == ["café", "abcd", "日本", "z"]

@@ -2,7 +2,7 @@
 
 A response is a row (record_id, target_uri, date, status, headers, payload,
 payload_digest, block_digest); ``responses_of_pages`` makes such rows of a page
-table, and ``read_warc`` of WARC files. Of each response, ``derivatives`` makes
+table, ``responses_of_warc`` of the response records of WARC files. Of each response, ``derivatives`` makes
 two records: a ``metadata`` record, whose JSON block holds the source record's
 WARC headers, its HTTP headers, digests and lengths, and the title, metas and
 links of its HTML; and a ``conversion`` record, whose block is the text that a
@@ -15,6 +15,13 @@ Null HTML is an empty payload and gives an empty text; a null URI leaves its
 header out; repeated rows give equal records, once for each row. Line ends and
 other control characters in header values are percent-encoded. Nothing is cut
 off, however long the page.
+
+Files may be gzip members. What cannot be read as a record (no length, a length
+that does not lead to the record's end, a damaged or cut member) becomes a row
+marked ``malformed`` with its bytes; reading goes on at the next record. Blocks
+and payloads that are not UTF-8 are read by their declared charset, else as
+Latin-1. Chunks and content codings of HTTP are undone in ``payload``; the
+payload digest stays that of the bytes as they were kept.
 """
 
 from __future__ import annotations
@@ -25,6 +32,7 @@ import html
 import json
 import re
 import uuid
+import zlib
 from urllib.parse import urljoin
 
 import pyarrow as pa
@@ -211,6 +219,62 @@ def derivatives(responses: DataFrame) -> DataFrame:
     return map_texts(rows, make, f"id {kind}, {RECORD}")
 
 
+# -- HTTP -------------------------------------------------------------------------
+
+def decoded(raw: bytes, charset: str | None = None) -> str:
+    """``raw`` in its declared charset, else UTF-8, else Latin-1: the first that fits."""
+    for name in (charset, "utf-8"):
+        try:
+            if name:
+                return raw.decode(name)
+        except (UnicodeDecodeError, LookupError, ValueError):
+            continue
+    return raw.decode("latin-1")
+
+
+def _unchunked(raw: bytes) -> bytes:
+    """The data of a chunked body; ``raw`` itself where its chunks do not fit."""
+    out, at = [], 0
+    while True:
+        end = raw.find(b"\r\n", at)
+        size = raw[at:max(end, at)].split(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size) or end + 2 + int(size, 16) > len(raw):
+            return raw
+        if not int(size, 16):
+            return b"".join(out)
+        out.append(raw[end + 2:end + 2 + int(size, 16)])
+        at = end + 2 + int(size, 16) + 2
+
+
+def http_response(block: bytes) -> tuple[str | None, list[tuple[str, str]], bytes, str]:
+    """(status, headers, payload bytes as kept, payload as text) of a response block.
+
+    A block without a status line is all payload, with status null.
+    """
+    if not block.startswith(b"HTTP/"):
+        return None, [], block, decoded(block)
+    head, gap, payload = block.partition(b"\r\n\r\n")
+    first, *lines = decoded(head).split("\r\n")
+    headers: list[tuple[str, str]] = []
+    for line in lines:
+        name, colon, value = line.partition(":")
+        if line[:1] in " \t" and headers:                      # a value that goes on
+            headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.strip()}")
+        elif colon:
+            headers.append((name.strip(), value.strip()))
+    of = {k.lower(): v for k, v in reversed(headers)}
+    body = _unchunked(payload) if "chunked" in of.get("transfer-encoding", "").lower() else payload
+    if of.get("content-encoding", "").lower() in ("gzip", "x-gzip", "deflate"):
+        for bits in (47, -15):
+            try:
+                body = zlib.decompressobj(bits).decompress(body)
+                break
+            except zlib.error:
+                continue
+    charset = re.search(r"charset\s*=\s*[\"']?([^\s;\"']+)", of.get("content-type", ""), re.I)
+    return first.partition(" ")[2], headers, payload, decoded(body, charset and charset[1])
+
+
 # -- files ------------------------------------------------------------------------
 
 def _header(name: str, value: Column) -> Column:
@@ -227,41 +291,120 @@ def write_warc(records: DataFrame, path: str, compression: str | None = None) ->
     text = F.concat(
         F.lit("WARC/1.0\r\n"), _header("WARC-Type", c("warc_type")), _header("WARC-Record-ID", c("record_id")),
         _header("WARC-Date", c("date")), _header("WARC-Target-URI", c("target_uri")), _header("WARC-Refers-To", c("refers_to")),
-        _header("WARC-Block-Digest", c("block_digest")), _header("X-Source-Payload-Digest", c("source_payload_digest")),
+        _header("WARC-Block-Digest", c("block_digest")),
+        F.when(c("warc_type") == "response", _header("WARC-Payload-Digest", c("source_payload_digest")))
+        .otherwise(_header("X-Source-Payload-Digest", c("source_payload_digest"))),
         _header("X-Linked-Record-ID", c("linked_record_id")), _header("Content-Type", c("content_type")),
         _header("Content-Length", c("content_length").cast("string")), F.lit("\r\n"), c("block"))
     w = records.select(text.alias("value")).write.option("lineSep", "\r\n\r\n")
     (w.option("compression", compression) if compression else w).text(path)
 
 
+def response_records(responses: DataFrame) -> DataFrame:
+    """(id, record columns): the response records themselves, as ``write_warc`` takes them."""
+    names = [c.split()[0] for c in RECORD.split(", ")]
+
+    def make(batches):
+        for b in batches:
+            records = []
+            for r in b.to_pylist():
+                block = http_block(r["status"], [(h["name"], h["value"]) for h in r["headers"] or []],
+                                   (r["payload"] or "").encode("utf-8", "surrogatepass"))
+                records.append({**r, "warc_type": "response", "content_type": "application/http; msgtype=response",
+                                "content_length": len(block), "block_digest": digest(block), "block": block.decode("utf-8"),
+                                "source_payload_digest": r["payload_digest"]})
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id")] + [pa.array([r.get(n) for r in records], pa.int64() if n == "content_length" else pa.string())
+                                    for n in names], names=["id", *names])
+
+    rows = responses.select("id", "record_id", "target_uri", "date", "status", "headers", "payload", "payload_digest")
+    return map_texts(rows, make, f"id {rows.schema['id'].dataType.simpleString()}, {RECORD}")
+
+
+def gunzip(raw: bytes) -> tuple[bytes, bool]:
+    """What the gzip members of ``raw`` hold up to the first damage, and whether all of it could be read."""
+    out, at = [], 0
+    while raw[at:at + 2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        while at < len(raw) and not member.eof:
+            part = raw[at:at + (1 << 16)]
+            try:
+                out.append(member.decompress(part))
+            except zlib.error:
+                return b"".join(out), False
+            at += len(part) - len(member.unused_data)
+        if not member.eof:
+            return b"".join(out), False
+    return b"".join(out), not raw[at:].strip(b"\0")
+
+
 def parse_warc(raw: bytes) -> list[dict]:
-    """Records of a WARC file: headers (lower-case names) and block, by their Content-Length."""
+    """Records of a WARC file: headers (lower-case names) and block, by their Content-Length; or ``malformed`` and its bytes."""
+    raw, whole = gunzip(raw) if raw[:2] == b"\x1f\x8b" else (raw, True)
     out, at = [], 0
     while at < len(raw):
-        end = raw.index(b"\r\n\r\n", at)
-        lines = raw[at:end].decode("utf-8", "surrogatepass").split("\r\n")
-        head = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
-        size = int(head["content-length"])
-        out.append({"version": lines[0], **head, "block": raw[end + 4:end + 4 + size]})
-        at = end + 4 + size + 4
-    return out
+        if raw[at:at + 2] == b"\r\n":                           # blank lines between records
+            at += 2
+            continue
+        end = raw.find(b"\r\n\r\n", at)
+        lines = raw[at:max(end, at)].decode("utf-8", "replace").split("\r\n")
+        head = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+        size = head.get("content-length", "")
+        stop = end + 4 + int(size) if re.fullmatch(r"[0-9]{1,15}", size) else -1
+        if lines[0].startswith("WARC/") and 0 <= stop <= len(raw) and raw[stop:stop + 4] in (b"\r\n\r\n", b""):
+            out.append({"version": lines[0], **head, "block": raw[end + 4:stop]})
+            at = stop + 4
+        else:
+            after = raw.find(b"\r\n\r\nWARC/", at)
+            stop = len(raw) if after < 0 else after + 4
+            out.append({"malformed": True, "block": raw[at:stop]})
+            at = stop
+    return out if whole else [*out, {"malformed": True, "block": b""}]
+
+
+def _parsed_files(spark: SparkSession, path: str, rows_of, schema: pa.Schema, ddl: str) -> DataFrame:
+    def make(batches):
+        for b in batches:
+            for content in b.column("content"):
+                records = parse_warc(content.as_py())
+                for i in range(0, len(records), 256):
+                    yield pa.RecordBatch.from_pylist([x for r in records[i:i + 256] for x in rows_of(r)], schema=schema)
+
+    return map_texts(spark.read.format("binaryFile").load(path).select("content"), make, ddl)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(warc_type, record_id, refers_to, target_uri, block_digest, content_type, block) of the records of WARC files.
+    """(warc_type, record_id, refers_to, target_uri, date, digests, content_type, linked_record_id, block, malformed) of the
+    records of WARC files, compressed or not.
 
     A file is read by one task, as only the lengths in it tell records apart;
     write files of a size that a task can hold.
     """
     names = {"warc_type": "warc-type", "record_id": "warc-record-id", "refers_to": "warc-refers-to",
-             "target_uri": "warc-target-uri", "block_digest": "warc-block-digest", "content_type": "content-type"}
-
-    def make(batches):
-        for b in batches:
-            for raw in b.column("content").to_pylist():
-                rows = [{**{k: r.get(v) for k, v in names.items()}, "block": r["block"].decode("utf-8", "surrogatepass")}
-                        for r in parse_warc(raw)]
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(k, pa.string()) for k in (*names, "block")]))
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return map_texts(files, make, ", ".join(f"{k} string" for k in (*names, "block")))
+             "target_uri": "warc-target-uri", "date": "warc-date", "block_digest": "warc-block-digest",
+             "payload_digest": "warc-payload-digest", "source_payload_digest": "x-source-payload-digest",
+             "linked_record_id": "x-linked-record-id", "content_type": "content-type"}
+
+    def rows_of(r: dict) -> list[dict]:
+        return [{**{k: r.get(v) for k, v in names.items()}, "block": decoded(r["block"]), "malformed": "malformed" in r}]
+
+    schema = pa.schema([*[(k, pa.string()) for k in (*names, "block")], ("malformed", pa.bool_())])
+    return _parsed_files(spark, path, rows_of, schema, ", ".join(f"{k} string" for k in (*names, "block")) + ", malformed boolean")
+
+
+def responses_of_warc(spark: SparkSession, path: str) -> DataFrame:
+    """(id, response columns) of the response records of WARC files, ``id`` being the record's id; digests that the record
+    does not name are made of its bytes. Other and malformed records are for ``read_warc``."""
+    def rows_of(r: dict) -> list[dict]:
+        if r.get("warc-type", "").lower() != "response":
+            return []
+        status, headers, kept, payload = http_response(r["block"])
+        own = r.get("warc-block-digest") or digest(r["block"])
+        name = r.get("warc-record-id") or record_id(f"{r.get('warc-target-uri')}:{own}", "response")
+        return [{"id": name, "record_id": name, "target_uri": r.get("warc-target-uri"), "date": r.get("warc-date"),
+                 "status": status, "headers": [{"name": k, "value": v} for k, v in headers], "payload": payload,
+                 "payload_digest": r.get("warc-payload-digest") or digest(kept), "block_digest": own}]
+
+    schema = pa.schema([(n, _HEADER if n == "headers" else pa.string()) for n in (
+        "id", "record_id", "target_uri", "date", "status", "headers", "payload", "payload_digest", "block_digest")])
+    return _parsed_files(spark, path, rows_of, schema, f"id string, {RESPONSE}")
