@@ -11,51 +11,65 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfarer.session import spread_if_narrow
+from wayfarer.session import materialize, spread_if_narrow
+
+
+#: Rows of a table that are broadcast at most: of two numbers each, and of texts.
+FEW_NUMBERS, FEW_TEXTS = 1_000_000, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _lineitem_star(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
-    li = spread_if_narrow(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag"), "l_orderkey")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+def _dimension(df: DataFrame, few: int) -> DataFrame:
+    """A table of one row per key, broadcast where it has at most ``few`` rows; of a larger one only the table itself is
+    held in hash maps by key range, so that the many rows beside it are shuffled but not sorted."""
+    return F.broadcast(df) if df.count() <= few else df.hint("shuffle_hash")
+
+
+def _lineitem_star(spark: SparkSession, sf_dir: str, line: dict, order: dict | None = None, with_part: bool = True) -> DataFrame:
+    """Columns ``line`` of ``lineitem`` and ``order`` of ``orders``, n_nationkey and n_name, and the texts of ``part``.
+
+    Both are expressions computed at the scan. The small tables come first and
+    the texts last, so that what is shuffled by order and by part are a row's
+    keys and its few numbers.
+    """
+    keys = ["l_orderkey", "l_suppkey", *(["l_partkey"] if with_part else [])]
+    j = spread_if_narrow(table(spark, sf_dir, "lineitem").select(*keys, *[c.alias(n) for n, c in line.items()]), "l_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", *[c.alias(n) for n, c in (order or {}).items()])
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = li
+    j = (j.join(_dimension(supplier, FEW_NUMBERS), F.col("l_suppkey") == F.col("s_suppkey")).drop("l_suppkey", "s_suppkey")
+         .join(_dimension(orders, FEW_TEXTS), F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey"))
     if with_part:
         part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-        j = j.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    j = (j.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-         .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
-    return j
+        j = j.join(_dimension(part, FEW_TEXTS), F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
+    return j.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).drop("s_nationkey")
 
 
 def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty listings: padded names, 'NaN' names, blank/NULL types, NULL and
     zero durations, missing ratings/prices/locations and one rare source."""
-    j = _lineitem_star(spark, sf_dir)
     ln = F.col("l_linenumber")
+    j = _lineitem_star(spark, sf_dir, {
+        "ln": ln,
+        "no_name": (ln == 6) & (F.col("l_quantity") <= 2),
+        "price": F.when(F.col("l_tax") >= 0.08, F.lit(None).cast("double"))
+                  .otherwise((F.floor(F.col("l_extendedprice") / 1000) * 1000).cast("double")),
+        "duration": F.when(ln == 2, F.lit(None).cast("double")).when(ln == 3, F.lit(0.0)).otherwise(F.col("l_quantity")),
+        "rating": F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double")).otherwise(3.0 + F.col("l_discount") * 20.0),
+    }, {"source": F.when(F.col("o_orderkey") % 500 == 0, F.lit("rare")).otherwise(F.concat(F.col("o_orderpriority"), F.lit(" ")))})
+    ln = F.col("ln")
     name = F.concat(F.when(ln == 1, F.lit("  ")).otherwise(F.lit("")),
-                    F.when((ln == 6) & (F.col("l_quantity") <= 2), F.lit("NaN"))
+                    F.when(F.col("no_name"), F.lit("NaN"))
                     .otherwise(F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"))))
     return j.select(
         name.alias("name"),
         F.when(ln == 4, F.lit(None).cast("string")).when(ln == 5, F.lit(""))
          .otherwise(F.concat(F.col("p_type"), F.lit(" "))).alias("type"),
         F.when(F.col("n_nationkey") == 24, F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("location"),
-        F.when(F.col("l_tax") >= 0.08, F.lit(None).cast("double"))
-         .otherwise((F.floor(F.col("l_extendedprice") / 1000) * 1000).cast("double")).alias("price"),
-        F.when(ln == 2, F.lit(None).cast("double")).when(ln == 3, F.lit(0.0))
-         .otherwise(F.col("l_quantity")).alias("duration"),
-        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
-         .otherwise(3.0 + F.col("l_discount") * 20.0).alias("rating"),
-        F.when(F.col("o_orderkey") % 500 == 0, F.lit("rare"))
-         .otherwise(F.concat(F.col("o_orderpriority"), F.lit(" "))).alias("source"),
+        "price", "duration", "rating", "source",
         F.lit(None).cast("string").alias("review_text"),
     )
 
@@ -74,22 +88,25 @@ def text_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def feed_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def feed_frames(spark: SparkSession, sf_dir: str, once: bool = False) -> dict[str, DataFrame]:
     """Three feed shapes (booking / attraction / external CSV), each over the whole
-    of ``lineitem``; some types are texts that mean a missing value."""
-    j = _lineitem_star(spark, sf_dir)
-    ln = F.col("l_linenumber")
+    of ``lineitem``; some types are texts that mean a missing value. ``once``: the joined rows are written once, for
+    queries that read several feeds."""
+    j = _lineitem_star(spark, sf_dir, {
+        "ln": F.col("l_linenumber"),
+        "_price": F.col("l_extendedprice"),
+        "_dur": F.col("l_quantity"),
+        "_rating": F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double")).otherwise(3.0 + F.col("l_discount") * 20.0),
+    }, {"_review": F.col("o_orderpriority")})
+    ln = F.col("ln")
     base = j.select(
         F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand")).alias("_name"),
         F.col("n_name").alias("_loc"),
         F.when(ln == 2, "NA").when(ln == 3, "None").when(ln == 4, "NULL").when(ln == 5, "nan").when(ln == 6, "N/A")
          .when(ln == 7, F.lit(None).cast("string")).otherwise(F.col("p_type")).alias("_type"),
-        F.col("l_extendedprice").alias("_price"),
-        F.col("l_quantity").alias("_dur"),
-        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double"))
-         .otherwise(3.0 + F.col("l_discount") * 20.0).alias("_rating"),
-        F.col("o_orderpriority").alias("_review"),
-    )
+        "_price", "_dur", "_rating", "_review")
+    if once:
+        base = materialize(base, "feeds")
     feed_a = base.select(
         F.col("_name").alias("hotel_name"), F.col("_loc").alias("city"), F.col("_type").alias("property_type"),
         F.col("_price").alias("price_per_night"), F.col("_dur").alias("nights"), F.col("_rating").alias("rating"),
@@ -106,16 +123,17 @@ def feed_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def booking_demand_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hotel-booking-demand shaped rows with messy headers, de-duplicated."""
-    j = _lineitem_star(spark, sf_dir, with_part=False)
+    j = _lineitem_star(spark, sf_dir, {
+        "ADR": F.when(F.col("l_tax") == 0, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice") / 1000),
+        "weekend": F.when(F.col("l_linenumber") % 4 == 0, F.lit(None).cast("int")).otherwise(F.col("l_linenumber") % 3),
+        "week": F.when(F.col("l_discount") == 0, F.lit(None).cast("double")).otherwise(F.col("l_quantity") % 7),
+    }, {"hotel": F.when(F.col("o_orderstatus") == "F", F.lit("City Hotel")).otherwise(F.lit("Resort Hotel"))}, with_part=False)
     return j.select(
-        F.when(F.col("o_orderstatus") == "F", F.lit("City Hotel")).otherwise(F.lit("Resort Hotel")).alias(" Hotel"),
+        F.col("hotel").alias(" Hotel"),
         F.col("n_name").alias("Country"),
-        F.when(F.col("l_tax") == 0, F.lit(None).cast("double"))
-         .otherwise(F.col("l_extendedprice") / 1000).alias("ADR"),
-        F.when(F.col("l_linenumber") % 4 == 0, F.lit(None).cast("int"))
-         .otherwise(F.col("l_linenumber") % 3).alias("Stays In Weekend Nights"),
-        F.when(F.col("l_discount") == 0, F.lit(None).cast("double"))
-         .otherwise(F.col("l_quantity") % 7).alias("stays_in_week_nights"),
+        "ADR",
+        F.col("weekend").alias("Stays In Weekend Nights"),
+        F.col("week").alias("stays_in_week_nights"),
         F.col("l_orderkey").alias("booking_ref"),
     ).distinct()
 
