@@ -175,7 +175,7 @@ def q_header_alias_import(spark, sf_dir):
 
 @register("external_distinct")
 def q_external_distinct(spark, sf_dir):
-    f = FX.feed_frames(spark, sf_dir)
+    f = FX.feed_frames(spark, sf_dir, once=True)
     specs = FD.import_frames([(f["feed_a"], BOOKING), (f["feed_b"], ATTRACTION)])
     folder = FD.header_alias_import(f["feed_c"], "external:feed_c")
     return union_frames([specs, folder]).dropDuplicates()
@@ -183,7 +183,7 @@ def q_external_distinct(spark, sf_dir):
 
 @register("union_sources")
 def q_union_sources(spark, sf_dir):
-    f = FX.feed_frames(spark, sf_dir)
+    f = FX.feed_frames(spark, sf_dir, once=True)
     mapped = map_to_listing_schema(f["feed_a"], BOOKING.mapping, BOOKING.name, BOOKING.default_type)
     partial = f["feed_b"].select(F.col("title").alias("name"), F.col("total_price").alias("price"))
     return complete_columns(union_frames([mapped, partial])).select(*LISTING_COLUMNS)
