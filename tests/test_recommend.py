@@ -139,3 +139,20 @@ def test_type_filter_comes_before_the_fill(spark):
     df = spark.createDataFrame(rows, "name string, type string, location string, price double, duration double, rating double, "
                                      "source string, review_text string, listing_key string")
     assert R.recommend_preferences(df, min_rating=4.0, types=["X"]).count() == 3
+
+
+def test_few_seeds_rank_only_rows_that_can_win(spark):
+    schema = "listing_key string, name string, type string, location string, price double, duration double, rating double, source string, review_text string"
+    rows = [(f"k{i}", f"n{i}", f"t{i % 5}", f"L{i % 9}", float(i * 37 % 1009), float(1 + i % 11), float(i % 7), "s", None) for i in range(6000)]
+    feats = R.features(R.prepare_numeric(spark.createDataFrame(rows + rows[:40], schema))).persist()
+    found = R.rows_at(feats, [0, 3000, 5999])
+    pairs = feats.withColumn("_q", F.explode(R._seed_array(found))).where("listing_key != _q.listing_key").withColumn("similarity", R._similar())
+    kept = R._likely(pairs, 5, 3)
+    assert kept.count() < pairs.count() / 4
+    ranked = lambda d: sorted(
+        (r.s, r.similarity, r.listing_key) for r in d.selectExpr("_q.seed_index as s", "similarity", "listing_key").collect())
+    best = [sorted(((x, -y, k) for x, y, k in ranked(pairs) if x == s), key=lambda t: (t[1], t[2]))[:5] for s in (0, 3000, 5999)]
+    got = R.batch_recommend(feats, None, 5).collect()
+    want = R.batch_recommend(feats, [0, 3020, 6039], 5).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 15
+    assert [sorted(((x, -y, k) for x, y, k in ranked(kept) if x == s), key=lambda t: (t[1], t[2]))[:5] for s in (0, 3000, 5999)] == best

@@ -41,6 +41,7 @@ UNIT, HOT = [f"_u_{c}" for c in NUMERIC], "_u_hot"
 FEW_SEEDS = 32            # seeds of a batch that are held against every row
 BLOCK_CELLS = 4           # cells of a unit vector's part between 0 and 1
 ASKED_ROWS = 500_000      # (block, seed) rows that are broadcast
+BOUND_SHARE = 64          # of so many rows one is ranked for a bound of a seed's result
 ROUNDING = 1e-9           # of a squared distance of unit vectors
 ORDER_SEED = 43   # row order of the capped table (a seeded shuffle) = hash order
 
@@ -257,6 +258,25 @@ def _seeds_to_rows(blocked: DataFrame, asked: DataFrame) -> DataFrame:
     return pairs.where(F.col(KEY_COLUMN) != F.col(f"_q.{KEY_COLUMN}"))
 
 
+def _likely(pairs: DataFrame, top_k: int, seeds: int) -> DataFrame:
+    """The ``pairs`` that can be among the ``top_k`` of their seed (all of them, and some more that tie).
+
+    The ``top_k``-th best similarity among any of the rows is one that the result
+    cannot fall below; it is sought in a BOUND_SHARE-th of them, drawn by the
+    key's hash, so that of all rows only those that reach it are sorted. A seed
+    with fewer than ``top_k`` similarities there keeps all its rows.
+    """
+    few = pairs.where(F.pmod(F.xxhash64(KEY_COLUMN), F.lit(BOUND_SHARE)) == 0)
+    few = few.select(F.col("_q.seed_index").alias("_seed"), F.col("similarity").alias("_s")).where(F.col("_s").isNotNull())
+    order = Window.partitionBy("_seed").orderBy(F.col("_s").desc())
+    found = (few.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == top_k)
+             .select("_seed", "_s").collect() if seeds and top_k > 0 else [])                # a row for each of few seeds
+    if not found:
+        return pairs
+    least = F.create_map(*[x for r in found for x in (F.lit(r["_seed"]), F.lit(r["_s"]))])[F.col("_q.seed_index")]
+    return pairs.where(least.isNull() | (F.col("similarity") >= least))
+
+
 def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k: int = 5,
                     few_seeds: int = FEW_SEEDS) -> DataFrame:
     """Top-k similar listings for each seed position (default: first, middle
@@ -266,8 +286,9 @@ def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k:
     one scan. More are first held against blocks of listings with nearly equal
     unit vectors, and only against the rows of blocks that can reach the seed's
     result (``candidate_blocks``): exact, without rows x seeds similarities.
-    Either way the best ``top_k`` of a seed are kept in every task before the
-    shuffle (the rank limit is pushed below it).
+    The scores of few seeds are bounded first (``_likely``), so that only rows
+    that can be among a seed's best ``top_k`` are ranked; of many, the rank limit
+    is pushed below the shuffle.
     """
     n = feats.count()
     if seeds is None:
@@ -281,6 +302,8 @@ def batch_recommend(feats: DataFrame, seeds: Sequence[int] | None = None, top_k:
         pairs = feats.withColumn("_q", F.explode(queries))
         pairs = pairs.where(F.col(KEY_COLUMN) != F.col(f"_q.{KEY_COLUMN}"))
     pairs = pairs.withColumn("similarity", _similar())
+    if len(found) <= few_seeds:
+        pairs = _likely(pairs, top_k, len(found))
     first = Window.partitionBy("_q.seed_index").orderBy(F.col("similarity").desc(), F.col(KEY_COLUMN).asc())
     top = pairs.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= top_k)
     return top.select(F.col("_q.name").alias("query_name"), *_result_columns(feats), "similarity",
