@@ -156,3 +156,18 @@ def test_few_seeds_rank_only_rows_that_can_win(spark):
     want = R.batch_recommend(feats, [0, 3020, 6039], 5).collect()
     assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 15
     assert [sorted(((x, -y, k) for x, y, k in ranked(kept) if x == s), key=lambda t: (t[1], t[2]))[:5] for s in (0, 3000, 5999)] == best
+
+
+def test_row_filter_is_short_and_drops_what_has_no_cost(spark):
+    inf, nan = float("inf"), float("nan")
+    prices, days = [None, nan, inf, -inf, 0.0, 1e308, 5.0], [None, nan, inf, 0.0, -0.0, 1e-10, -2.0]
+    df = spark.createDataFrame([(f"{i}-{j}", p, d, 3.0) for i, p in enumerate(prices) for j, d in enumerate(days)],
+                               "listing_key string, price double, duration double, rating double")
+    prep = R.prepare_numeric(df)
+    every = R.prepare_numeric(df.limit(0)).columns
+    ok = lambda p, d: p is not None and abs(p / (1.0 if d is None or d != d or d == 0 else d)) < inf
+    assert sorted(r.listing_key for r in prep.collect()) == sorted(
+        f"{i}-{j}" for i, p in enumerate(prices) for j, d in enumerate(days) if ok(p, d))
+    assert prep.columns == every and prep.where("cost_per_day is null or price is null").count() == 0
+    condition = next(x for x in prep._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x)
+    assert condition.count("CASE WHEN") < 12

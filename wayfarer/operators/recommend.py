@@ -59,7 +59,8 @@ def prepare_numeric(df: DataFrame) -> DataFrame:
     med = float(row["m"]) if row is not None and row["m"] is not None else 0.0
     out = out.withColumn("rating", F.coalesce(F.col("rating"), F.lit(med)))
     out = out.withColumn("cost_per_day", cost_per_day())
-    return out.where(F.col("price").isNotNull() & F.col("cost_per_day").isNotNull())
+    # a price and a finite cost; on ``cost_per_day`` itself the filter would be too long a method to be compiled
+    return out.where(F.abs(F.try_divide(F.col("price"), F.col("duration"))) < F.lit(float("inf")))
 
 
 def _loc_text() -> Column:
