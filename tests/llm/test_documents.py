@@ -484,3 +484,16 @@ def test_kernel_matrix_is_the_kernel_regression():
     plain = k @ np.linalg.solve(k + 0.1 * np.eye(6), target)
     folded = (p @ m) / np.sqrt(p.sum(axis=1, keepdims=True))
     assert np.allclose(plain, folded, atol=1e-3)
+
+
+def test_words_with_marks_need_no_pattern():
+    from wayfarer.llm.packing import WordTokens
+
+    words = WordTokens("word_bpe_49k.json")
+    chunks = ["Harbour", "réier.", "ÉTÉ,", "end?!", "a", "ªº...", "x)\""]
+    want = [words.tokenizer.encode(c, add_special_tokens=False).ids for c in chunks]
+    words.split = None                       # the general way is not asked
+    assert [np.frombuffer(words.ids(c.encode()), dtype="<u4").tolist() for c in chunks] == want
+    odd = WordTokens("word_bpe_49k.json")
+    for c in ["it's", "'ll", "a1.", "<|endoftext|>", "é́.", "ſt.", "日本.", "--", "x.y", "İ", "don't!", "ŵord,"]:
+        assert np.frombuffer(odd.ids(c.encode()), dtype="<u4").tolist() == odd.tokenizer.encode(c, add_special_tokens=False).ids

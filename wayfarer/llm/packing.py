@@ -31,6 +31,12 @@ from wayfarer.llm.common import map_texts, stored, text_bytes
 #: Token ids kept by word in a task; the table starts again when it is full.
 CACHE_WORDS = 1 << 19
 
+#: Marks that end a word as one pre-token (no apostrophe, which may start one, and nothing of a special token).
+MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
+#: The greatest first byte of a character up to U+00FF; the letters among those are in the plain range.
+LATIN = 0xC3
+
 
 # -- tokens ---------------------------------------------------------------------
 
@@ -64,6 +70,15 @@ class WordTokens(dict):
         self.parts: dict[str, bytes] = {}
 
     def __missing__(self, chunk: bytes) -> bytes:
+        word = chunk.rstrip(MARKS)
+        text = word.decode("utf-8")
+        if text.isalpha() and max(word) <= LATIN:
+            # letters, then marks: two pre-tokens of a known place
+            out = self._part(text.lower()) + (self._part(chunk[len(word):].decode("ascii")) if len(word) < len(chunk) else b"")
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[chunk] = out
+            return out
         text = chunk.decode("utf-8")
         if self.plain.fullmatch(text) and "<|" not in text:
             out = b"".join(map(self._part, self.split.findall(text.lower())))
